@@ -93,3 +93,136 @@ ORACLE["latest_batch"] = with_chain([LATEST], "SELECT * FROM latest", ["transact
 ORACLE["batch_days"] = with_chain(
     [], "SELECT DISTINCT ingest_year, ingest_month, ingest_day FROM transactions", ["transactions"]
 )
+
+
+# --- lineage, index and lookup ------------------------------------------------------
+
+from ledgerlake import schemas  # noqa: E402
+
+ORACLE["raw_lineage"] = (
+    f"SELECT *, 'users_data.csv' AS table_source, {CLOCK_1} AS ingest_time, "
+    "2026 AS ingest_year, 4 AS ingest_month, 23 AS ingest_day FROM customer"
+)
+
+
+def _index_of(src: str) -> list[tuple[str, str]]:
+    order = ", ".join(
+        f"{c} DESC NULLS LAST"
+        for c in ["ingest_time", "ingest_year", "ingest_month", "ingest_day", "client_id", "card_id", "table_source"]
+    )
+    return [
+        (f"{src}_slim", f"SELECT id AS transaction_id, client_id, card_id, table_source, ingest_time, "
+                        f"ingest_year, ingest_month, ingest_day FROM {src}"),
+        (f"{src}_idx", f"SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER "
+                       f"(PARTITION BY transaction_id ORDER BY {order}) AS rn FROM {src}_slim) WHERE rn = 1"),
+    ]
+
+
+ORACLE["txn_index"] = with_chain(_index_of("transactions_dup"), "SELECT * FROM transactions_dup_idx", ["transactions_dup"])
+
+_REQ = ("req", "SELECT DISTINCT id AS transaction_id FROM transactions_dup")
+ORACLE["txn_lookup"] = with_chain(
+    _index_of("transactions") + [_REQ],
+    "SELECT " + ", ".join(f"i.{c}" for c in schemas.INDEX_COLUMNS) + ", "
+    + ", ".join(f"t.{c}" for c in schemas.LOOKUP_RECORD_COLUMNS)
+    + " FROM transactions_idx i JOIN transactions t ON i.transaction_id = t.id "
+    "WHERE i.transaction_id IN (SELECT transaction_id FROM req)",
+    ["transactions", "transactions_dup"],
+)
+ORACLE["txn_lookup_missing"] = with_chain(
+    _index_of("transactions") + [_REQ],
+    "SELECT r.transaction_id FROM req r WHERE NOT EXISTS "
+    "(SELECT 1 FROM transactions_idx i WHERE i.transaction_id = r.transaction_id)",
+    ["transactions", "transactions_dup"],
+)
+
+# --- users change history --------------------------------------------------------------
+
+USER_ATTRS = schemas.USER_COLUMNS[1:]
+_UN = [
+    ("u1n", "SELECT CAST(id AS BIGINT) AS user_id, " + ", ".join(USER_ATTRS) + " FROM users_1"),
+    ("u2n", "SELECT CAST(id AS BIGINT) AS user_id, " + ", ".join(USER_ATTRS) + " FROM users_2"),
+]
+_DELTA = _UN + [(
+    "delta",
+    "SELECT cur.*, CASE WHEN inc.user_id IS NULL THEN 'DELETE' ELSE 'UPDATE' END AS change_type, "
+    f"{CLOCK_2} AS change_detected_at, {BATCH_2} AS batch_id "
+    "FROM u1n cur LEFT JOIN u2n inc ON cur.user_id = inc.user_id "
+    f"WHERE cur.user_id IS NOT NULL AND (inc.user_id IS NULL OR {R.any_differs('cur', 'inc', USER_ATTRS)})",
+)]
+ORACLE["users_normalize"] = with_chain(_UN[:1], "SELECT * FROM u1n", ["users_1"])
+ORACLE["row_changed"] = with_chain(
+    _UN,
+    f"SELECT cur.user_id, {R.any_differs('cur', 'inc', USER_ATTRS)} AS row_changed "
+    "FROM u1n cur JOIN u2n inc ON cur.user_id = inc.user_id",
+    ["users_1", "users_2"],
+)
+ORACLE["users_history_delta"] = with_chain(_DELTA, "SELECT * FROM delta", ["users_1", "users_2"])
+ORACLE["change_count"] = with_chain(_DELTA, "SELECT count(*) AS change_count FROM delta", ["users_1", "users_2"])
+
+# --- cards SCD2 (written in the six-join shape, as an independent check) ---------------
+
+CARD_ATTRS = schemas.CARD_COLUMNS[1:]
+_CARD_REST = [c for c in CARD_ATTRS if c != "client_id"]
+
+
+def _cards_norm(src: str) -> str:
+    return (f"SELECT CAST(id AS BIGINT) AS card_id, CAST(client_id AS BIGINT) AS client_id, "
+            f"{', '.join(_CARD_REST)} FROM {src}")
+
+
+def _versions(src: str, clock: str, batch: str) -> str:
+    return (f"SELECT {', '.join(schemas.CARD_COLUMNS)}, {clock} AS effective_from, "
+            f"CAST(NULL AS TIMESTAMP) AS effective_to, TRUE AS is_current, {batch} AS batch_id FROM {src}")
+
+
+_DIFFERS = R.any_differs("cur", "inc", CARD_ATTRS)
+_SCD2 = [
+    ("c1n", _cards_norm("cards_1")),
+    ("c2n", _cards_norm("cards_2")),
+    ("init", _versions("c1n", CLOCK_1, BATCH_1)),
+    ("curv", "SELECT * FROM init WHERE is_current = TRUE"),
+    ("ins", _versions("(SELECT inc.* FROM c2n inc LEFT JOIN curv cur ON cur.card_id = inc.card_id "
+                      "WHERE cur.card_id IS NULL AND inc.card_id IS NOT NULL)", CLOCK_2, BATCH_2)),
+    ("upd", f"SELECT DISTINCT cur.card_id FROM curv cur JOIN c2n inc ON cur.card_id = inc.card_id WHERE {_DIFFERS}"),
+    ("closed", f"SELECT s.* REPLACE ({CLOCK_2} AS effective_to, FALSE AS is_current) FROM init s "
+               "WHERE s.is_current = TRUE AND s.card_id IN (SELECT card_id FROM upd)"),
+    ("kept", "SELECT s.* FROM init s WHERE NOT EXISTS "
+             "(SELECT 1 FROM upd u WHERE u.card_id = s.card_id AND s.is_current = TRUE)"),
+    ("newv", _versions(f"(SELECT inc.* FROM curv cur JOIN c2n inc ON cur.card_id = inc.card_id WHERE {_DIFFERS})",
+                       CLOCK_2, BATCH_2)),
+    ("merged", "SELECT * FROM kept UNION ALL BY NAME SELECT * FROM closed "
+               "UNION ALL BY NAME SELECT * FROM newv UNION ALL BY NAME SELECT * FROM ins"),
+]
+_CARDS_PAIR = ["cards_1", "cards_2"]
+
+ORACLE["cards_normalize"] = with_chain(_SCD2[:1], "SELECT * FROM c1n", ["cards_1"])
+ORACLE["scd2_initial"] = with_chain(_SCD2[:3], "SELECT * FROM init", _CARDS_PAIR)
+ORACLE["scd2_diff"] = with_chain(
+    _SCD2[:4],
+    "SELECT coalesce(cur.card_id, inc.card_id) AS card_id, CASE WHEN cur.card_id IS NULL THEN 'INSERT' "
+    f"WHEN inc.card_id IS NULL THEN 'ABSENT' WHEN {_DIFFERS} THEN 'UPDATE' ELSE 'UNCHANGED' END AS action "
+    "FROM curv cur FULL OUTER JOIN c2n inc ON cur.card_id = inc.card_id",
+    _CARDS_PAIR,
+)
+ORACLE["scd2_insert_rows"] = with_chain(_SCD2, "SELECT * FROM ins", _CARDS_PAIR)
+ORACLE["scd2_updated_keys"] = with_chain(_SCD2, "SELECT * FROM upd", _CARDS_PAIR)
+ORACLE["scd2_closed"] = with_chain(_SCD2, "SELECT * FROM closed", _CARDS_PAIR)
+ORACLE["scd2_kept"] = with_chain(_SCD2, "SELECT * FROM kept", _CARDS_PAIR)
+ORACLE["scd2_merge"] = with_chain(_SCD2, "SELECT * FROM merged", _CARDS_PAIR)
+ORACLE["scd2_current"] = with_chain(_SCD2, "SELECT * FROM merged WHERE is_current = TRUE", _CARDS_PAIR)
+ORACLE["cards_refined"] = with_chain(
+    _SCD2 + [("cr1", RS.cards_layer1("merged")), ("cr", RS.cards_layer2("cr1", CURRENT_YEAR))],
+    "SELECT * FROM cr",
+    _CARDS_PAIR,
+)
+
+# --- keyed patch ------------------------------------------------------------------------
+
+ORACLE["keyed_patch"] = with_chain(
+    [],
+    "SELECT c.* REPLACE ("
+    + ", ".join(f"CASE WHEN k.id IS NOT NULL THEN k.{x} ELSE c.{x} END AS {x}" for x in ["credit_limit", "has_chip", "card_type"])
+    + ") FROM cards c LEFT JOIN card_corrections k ON c.id = k.id",
+    ["cards", "card_corrections"],
+)

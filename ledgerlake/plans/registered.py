@@ -161,3 +161,132 @@ def q_latest_batch(spark, sf):
 @register
 def q_batch_days(spark, sf):
     return P.batch_days(X.transactions(spark, sf))
+
+
+# --- lineage, index and lookup -------------------------------------------------
+
+from ledgerlake.operators import history as H  # noqa: E402
+from ledgerlake.operators import index as IX  # noqa: E402
+from ledgerlake.operators import scd2 as S  # noqa: E402
+from ledgerlake.operators.lineage import stamp_lineage  # noqa: E402
+from ledgerlake.operators.patch import keyed_patch  # noqa: E402
+
+
+@register
+def q_raw_lineage(spark, sf):
+    return stamp_lineage(X.load(spark, sf, "customer"), "users_data.csv", CLOCK_1)
+
+
+@register
+def q_txn_index(spark, sf):
+    return IX.transaction_index(X.transactions_with_duplicates(spark, sf))
+
+
+def _lookup_requests(spark, sf):
+    """Every id of the line-item transactions, looked up in the order index."""
+    return X.transactions_with_duplicates(spark, sf).select(F.col("id").alias("transaction_id"))
+
+
+@register
+def q_txn_lookup(spark, sf):
+    txn = X.transactions(spark, sf)
+    return IX.lookup_transactions(IX.transaction_index(txn), txn, _lookup_requests(spark, sf))
+
+
+@register
+def q_txn_lookup_missing(spark, sf):
+    txn = X.transactions(spark, sf)
+    return IX.missing_ids(IX.transaction_index(txn), _lookup_requests(spark, sf))
+
+
+# --- users change history ----------------------------------------------------------
+
+def _users_pair(spark, sf):
+    return H.normalize_users(X.users_snapshot_1(spark, sf)), H.normalize_users(X.users_snapshot_2(spark, sf))
+
+
+@register
+def q_users_normalize(spark, sf):
+    return H.normalize_users(X.users_snapshot_1(spark, sf))
+
+
+@register
+def q_row_changed(spark, sf):
+    return H.row_changed(*_users_pair(spark, sf))
+
+
+@register
+def q_users_history_delta(spark, sf):
+    return H.history_delta(*_users_pair(spark, sf), detected_at=CLOCK_2, batch_id=BATCH_2)
+
+
+@register
+def q_change_count(spark, sf):
+    return H.change_count(H.history_delta(*_users_pair(spark, sf), detected_at=CLOCK_2, batch_id=BATCH_2))
+
+
+# --- cards SCD2 -------------------------------------------------------------------
+
+def _scd2_start(spark, sf):
+    initial = S.initial_versions(S.normalize_cards(X.cards_snapshot_1(spark, sf)), CLOCK_1, BATCH_1)
+    return initial, S.normalize_cards(X.cards_snapshot_2(spark, sf))
+
+
+def _scd2_merged(spark, sf):
+    existing, incoming = _scd2_start(spark, sf)
+    return S.merge(existing, incoming, CLOCK_2, BATCH_2)
+
+
+@register
+def q_cards_normalize(spark, sf):
+    return S.normalize_cards(X.cards_snapshot_1(spark, sf))
+
+
+@register
+def q_scd2_initial(spark, sf):
+    return _scd2_start(spark, sf)[0]
+
+
+@register
+def q_scd2_diff(spark, sf):
+    return S.diff(*_scd2_start(spark, sf)).select("card_id", "action")
+
+
+@register
+def q_scd2_insert_rows(spark, sf):
+    return S.insert_rows(*_scd2_start(spark, sf), effective_at=CLOCK_2, batch_id=BATCH_2)
+
+
+@register
+def q_scd2_updated_keys(spark, sf):
+    return S.updated_keys(*_scd2_start(spark, sf))
+
+
+@register
+def q_scd2_closed(spark, sf):
+    return S.closed_versions(*_scd2_start(spark, sf), effective_at=CLOCK_2)
+
+
+@register
+def q_scd2_kept(spark, sf):
+    return S.kept_versions(*_scd2_start(spark, sf))
+
+
+@register
+def q_scd2_merge(spark, sf):
+    return _scd2_merged(spark, sf)
+
+
+@register
+def q_scd2_current(spark, sf):
+    return S.current_versions(_scd2_merged(spark, sf))
+
+
+@register
+def q_cards_refined(spark, sf):
+    return refine.cards_refined(_scd2_merged(spark, sf), current_year=CURRENT_YEAR)
+
+
+@register
+def q_keyed_patch(spark, sf):
+    return keyed_patch(X.cards(spark, sf), X.card_corrections(spark, sf), key="id")
