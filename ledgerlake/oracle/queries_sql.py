@@ -226,3 +226,44 @@ ORACLE["keyed_patch"] = with_chain(
     + ") FROM cards c LEFT JOIN card_corrections k ON c.id = k.id",
     ["cards", "card_corrections"],
 )
+
+
+# --- sinks (the written tables must read back as the plain query) ----------------------
+
+ORACLE["raw_ingest_roundtrip"] = (
+    f"SELECT *, 'transactions_data.csv' AS table_source, {CLOCK_1} AS ingest_time, "
+    "2026 AS ingest_year, 4 AS ingest_month, 23 AS ingest_day FROM orders"
+)
+ORACLE["txn_index_roundtrip"] = ORACLE["txn_index"]
+ORACLE["users_refined_roundtrip"] = ORACLE["users_refined"]
+ORACLE["cards_refined_roundtrip"] = ORACLE["cards_refined"]
+ORACLE["transactions_append_roundtrip"] = ORACLE["transactions_dated"]
+
+_CLOCK_3, _BATCH_3 = "TIMESTAMP '2026-04-25 04:22:19'", "'20260425_042219'"
+_BACK = (
+    "delta_back",
+    "SELECT cur.*, CASE WHEN inc.user_id IS NULL THEN 'DELETE' ELSE 'UPDATE' END AS change_type, "
+    f"{_CLOCK_3} AS change_detected_at, {_BATCH_3} AS batch_id "
+    "FROM u2n cur LEFT JOIN u1n inc ON cur.user_id = inc.user_id "
+    f"WHERE cur.user_id IS NOT NULL AND (inc.user_id IS NULL OR {R.any_differs('cur', 'inc', USER_ATTRS)})",
+)
+ORACLE["users_history_append"] = with_chain(
+    _DELTA + [_BACK], "SELECT * FROM delta UNION ALL SELECT * FROM delta_back", ["users_1", "users_2"]
+)
+ORACLE["users_current_refresh"] = with_chain(_UN, "SELECT * FROM u2n", ["users_1", "users_2"])
+ORACLE["scd2_roundtrip"] = ORACLE["scd2_merge"]
+ORACLE["catalog_register"] = with_chain(
+    [("tr", RS.transactions_refined("transactions"))],
+    "SELECT txn_year, txn_month, txn_day, count(*) AS row_count FROM tr "
+    "WHERE txn_year IS NOT NULL AND txn_month IS NOT NULL AND txn_day IS NOT NULL "
+    "GROUP BY txn_year, txn_month, txn_day",
+    ["transactions"],
+)
+ORACLE["pipeline_counts"] = with_chain(
+    _SCD2 + [LATEST, ("tr", RS.transactions_refined("latest"))],
+    "SELECT 'users_refined' AS table_name, count(*) AS row_count FROM users "
+    "UNION ALL SELECT 'cards_refined_scd2', count(*) FROM merged "
+    "UNION ALL SELECT 'transactions_refined', count(*) FROM tr "
+    "WHERE txn_year IS NOT NULL AND txn_month IS NOT NULL AND txn_day IS NOT NULL",
+    _CARDS_PAIR + ["users", "transactions"],
+)

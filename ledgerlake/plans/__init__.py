@@ -1,0 +1 @@
+"""Jobs chaining sources, operators and sinks, and the registered queries."""

@@ -290,3 +290,149 @@ def q_cards_refined(spark, sf):
 @register
 def q_keyed_patch(spark, sf):
     return keyed_patch(X.cards(spark, sf), X.card_corrections(spark, sf), key="id")
+
+
+# --- sinks: write, read back (each run writes below a fresh shared directory) --------
+
+import uuid  # noqa: E402
+
+from ledgerlake import schemas  # noqa: E402
+from ledgerlake.plans.history_job import run_users_history  # noqa: E402
+from ledgerlake.plans.index_job import build_index  # noqa: E402
+from ledgerlake.plans.ingest import IngestSpec, run_raw_ingest  # noqa: E402
+from ledgerlake.plans.scd2_job import run_cards_scd2  # noqa: E402
+from ledgerlake.plans.warehouse import WarehouseConfig, run_warehouse  # noqa: E402
+from ledgerlake.session import fresh_dir  # noqa: E402
+from ledgerlake.sinks import catalog  # noqa: E402
+from ledgerlake.sinks.writers import append_refined_transactions, write_partitioned  # noqa: E402
+
+CLOCK_3 = "2026-04-25 04:22:19"   # third run (history written back the other way)
+BATCH_3 = batch_id_for(CLOCK_3)
+
+
+def _read_back(spark, path, like: DataFrame) -> DataFrame:
+    """Read a written table with the schema it was written with (no type inference)."""
+    return spark.read.schema(like.schema).parquet(path).select(*like.columns)
+
+
+def _unique(prefix: str) -> str:
+    return f"{prefix}_{uuid.uuid4().hex[:10]}"
+
+
+@register
+def q_raw_ingest_roundtrip(spark, sf):
+    base = fresh_dir(spark, "raw")
+    spec = IngestSpec("transactions", "orders", f"{base}/transactions", "transactions_data.csv")
+    orders = X.load(spark, sf, "orders")
+    run_raw_ingest([spec], lambda s: orders, clock=CLOCK_1)
+    return _read_back(spark, spec.output_path, stamp_lineage(orders, spec.table_source, CLOCK_1))
+
+
+@register
+def q_txn_index_roundtrip(spark, sf):
+    base = fresh_dir(spark, "index")
+    raw = X.transactions_with_duplicates(spark, sf)
+    write_partitioned(raw, f"{base}/raw", schemas.INGEST_PARTITIONS)
+    build_index(spark, f"{base}/raw", f"{base}/index")
+    return _read_back(spark, f"{base}/index", IX.transaction_index(raw))
+
+
+@register
+def q_users_refined_roundtrip(spark, sf):
+    path = fresh_dir(spark, "users_refined")
+    df = refine.users_refined(X.users(spark, sf), current_year=CURRENT_YEAR)
+    write_partitioned(df, path, schemas.USERS_REFINED_PARTITIONS)
+    return _read_back(spark, path, df)
+
+
+@register
+def q_cards_refined_roundtrip(spark, sf):
+    path = fresh_dir(spark, "cards_refined")
+    df = refine.cards_refined(_scd2_merged(spark, sf), current_year=CURRENT_YEAR)
+    write_partitioned(df, path, schemas.CARDS_REFINED_PARTITIONS)
+    return _read_back(spark, path, df)
+
+
+@register
+def q_transactions_append_roundtrip(spark, sf):
+    """Append the latest batch, then every batch with de-duplication on the id."""
+    path = fresh_dir(spark, "transactions_refined")
+    raw = X.transactions(spark, sf)
+    append_refined_transactions(refine.transactions_refined(P.latest_batch(raw)), path)
+    append_refined_transactions(refine.transactions_refined(raw), path, dedupe_on="transaction_id")
+    return spark.read.schema(schemas.TRANSACTIONS_REFINED).parquet(path)
+
+
+@register
+def q_users_history_append(spark, sf):
+    """Two runs into one log: snapshot 1 -> 2, then back 2 -> 1."""
+    base = fresh_dir(spark, "users_history")
+    u1, u2 = X.users_snapshot_1(spark, sf), X.users_snapshot_2(spark, sf)
+    run_users_history(u1, u2, f"{base}/history", f"{base}/current", CLOCK_2, BATCH_2)
+    run_users_history(u2, u1, f"{base}/history", f"{base}/current", CLOCK_3, BATCH_3)
+    return spark.read.schema(schemas.users_history_schema()).parquet(f"{base}/history")
+
+
+@register
+def q_users_current_refresh(spark, sf):
+    """Snapshot refresh through a catalog table moved between versions."""
+    base = fresh_dir(spark, "users_current")
+    table = _unique("ledgerlake_users_current")
+    u1, u2 = X.users_snapshot_1(spark, sf), X.users_snapshot_2(spark, sf)
+    run_users_history(u1, u1, f"{base}/history", f"{base}/current", CLOCK_1, BATCH_1, current_table=table)
+    run_users_history(spark.table(table), u2, f"{base}/history", f"{base}/current", CLOCK_2, BATCH_2, current_table=table)
+    return spark.table(table)
+
+
+@register
+def q_scd2_roundtrip(spark, sf):
+    """Initial load and one merge, each published as a version of a catalog table."""
+    base = fresh_dir(spark, "cards_scd2")
+    table = _unique("ledgerlake_cards_scd2")
+    run_cards_scd2(spark, X.cards_snapshot_1(spark, sf), table, base, CLOCK_1, BATCH_1)
+    run_cards_scd2(spark, X.cards_snapshot_2(spark, sf), table, base, CLOCK_2, BATCH_2)
+    return spark.table(table)
+
+
+@register
+def q_catalog_register(spark, sf):
+    """Refined transactions registered as an external table; rows per partition."""
+    base = fresh_dir(spark, "catalog")
+    database = _unique("ledgerlake_dw")
+    location = f"{base}/transactions_refined"
+    append_refined_transactions(refine.transactions_refined(X.transactions(spark, sf)), location)
+    catalog.register_refined_tables(spark, database, {"transactions_refined": location})
+    return spark.sql(
+        f"SELECT txn_year, txn_month, txn_day, count(*) AS row_count "
+        f"FROM `{database}`.`transactions_refined` GROUP BY txn_year, txn_month, txn_day"
+    )
+
+
+@register
+def q_pipeline_counts(spark, sf):
+    """Whole warehouse pipeline over the three sources; rows per refined table."""
+    base = fresh_dir(spark, "warehouse")
+    src_cards = f"{base}/cards_scd2"
+    _scd2_merged(spark, sf).write.parquet(src_cards)
+    src_txn = f"{base}/raw_transactions"
+    write_partitioned(X.transactions(spark, sf), src_txn, schemas.INGEST_PARTITIONS)
+    src_users = f"{base}/raw_users"
+    write_partitioned(X.users(spark, sf), src_users, schemas.INGEST_PARTITIONS)
+    config = WarehouseConfig(
+        database=_unique("ledgerlake_dw"),
+        users_source=src_users,
+        cards_scd2_source=src_cards,
+        transactions_source=src_txn,
+        users_refined=f"{base}/users_refined",
+        cards_refined_scd2=f"{base}/cards_refined_scd2",
+        transactions_refined=f"{base}/transactions_refined",
+        database_location=f"{base}/db",
+    )
+    run_warehouse(spark, config, clock=CLOCK_2)
+    parts = [
+        spark.table(f"`{config.database}`.`{name}`").agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("table_name"), "row_count"
+        )
+        for name in ("users_refined", "cards_refined_scd2", "transactions_refined")
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

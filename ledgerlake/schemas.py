@@ -85,8 +85,24 @@ SCD2_META = ["effective_from", "effective_to", "is_current", "batch_id"]
 # ---------------------------------------------------------------------------
 
 
+_TYPES = {
+    "BIGINT": T.LongType(),
+    "INT": T.IntegerType(),
+    "DOUBLE": T.DoubleType(),
+    "STRING": T.StringType(),
+    "BOOLEAN": T.BooleanType(),
+    "DATE": T.DateType(),
+    "TIMESTAMP": T.TimestampType(),
+}
+
+
 def struct_of(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(" ".join(ddl.split()))
+    """StructType of a ``name TYPE, ...`` column list (the types used above)."""
+    fields = []
+    for item in ddl.split(","):
+        name, type_name = item.split()
+        fields.append(T.StructField(name, _TYPES[type_name.upper()]))
+    return T.StructType(fields)
 
 
 USERS_REFINED = struct_of(USERS_REFINED_DDL)

@@ -1,0 +1 @@
+"""Writers, stage-then-publish and catalog registration."""

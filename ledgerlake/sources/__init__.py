@@ -1,0 +1 @@
+"""Readers: parquet tables and batches, JDBC, and the test fixtures."""
