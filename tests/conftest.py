@@ -1,0 +1,51 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+SF_SMALL = "/root/testdata/sf0.001"
+SF_CHECK = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from pyspark.sql import SparkSession
+
+    s = (
+        SparkSession.builder.master("local[*]")
+        .appName("ledgerlake-tests")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .getOrCreate()
+    )
+    s.sparkContext.setLogLevel("ERROR")
+    yield s
+    s.stop()
+
+
+def rows(df, *order):
+    """Collected rows as dicts, sorted by the given columns."""
+    out = [r.asDict() for r in df.collect()]
+    if order:
+        out.sort(key=lambda r: tuple((r[c] is None, r[c]) for c in order))
+    return out
+
+
+def plan_of(df, mode="formatted"):
+    """Text of ``df.explain(mode)``."""
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode)
+    return buf.getvalue()
+
+
+def layout(schema):
+    """(name, type) pairs, ignoring nullability."""
+    return [(f.name, f.dataType) for f in schema.fields]

@@ -1,0 +1,107 @@
+"""Edge literals for every quality rule, including ANSI-mode hazards."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from ledgerlake.functions import derived as D
+from ledgerlake.functions import quality as Q
+from tests.conftest import rows
+
+
+def one_col(spark, values, name="v"):
+    return spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, {name} string")
+
+
+def test_integer_group_edges(spark):
+    vals = [None, "", "   ", "12", "0012", "-5", "n/a", "1.5", "99999999999", " 7"]
+    df = one_col(spark, vals).select("i", *Q.integer_group("v", "x", "int"))
+    got = {r["i"]: r for r in rows(df)}
+    assert got[0]["x_null_flag"] and not got[0]["x_unknown_flag"] and got[0]["x"] is None
+    assert got[1]["x_null_flag"] and got[2]["x_null_flag"]
+    assert got[3]["x"] == 12 and not got[3]["x_unknown_flag"]
+    assert got[4]["x"] == 12
+    assert got[5]["x"] is None and got[5]["x_unknown_flag"]  # a sign is unknown
+    assert got[6]["x_unknown_flag"] and got[7]["x_unknown_flag"]
+    # passes the pattern but overflows INT: NULL, not an error, flags stay false
+    assert got[8]["x"] is None and not got[8]["x_unknown_flag"] and not got[8]["x_null_flag"]
+    assert got[9]["x_unknown_flag"]  # leading space fails the pattern
+    assert all(r["x_raw"] == vals[r["i"]] for r in got.values())
+
+
+def test_decimal_group_edges(spark):
+    vals = ["-90.00", "12", "1e5", "abc", ".5", "3."]
+    got = {r["i"]: r for r in rows(one_col(spark, vals).select("i", *Q.decimal_group("v", "x")))}
+    assert got[0]["x"] == -90.0 and got[1]["x"] == 12.0
+    for i in (2, 3, 4, 5):
+        assert got[i]["x"] is None and got[i]["x_unknown_flag"]
+
+
+def test_currency_group_edges(spark):
+    vals = ["$1,234.50", "1234", "$-77.00", ",", "", None, "USD 5", "$0.5"]
+    df = one_col(spark, vals).select("i", *Q.currency_group("v", "raw", "amt", "cur"))
+    got = {r["i"]: r for r in rows(df)}
+    assert got[0]["amt"] == 1234.5 and got[0]["cur"] == "USD"
+    assert got[1]["amt"] == 1234.0 and got[1]["cur"] == "UNKNOWN"
+    assert got[2]["amt"] is None and got[2]["amt_unknown_flag"] and got[2]["cur"] == "UNKNOWN"
+    # a lone comma passes the pattern and becomes '' -> NULL amount, flags false
+    assert got[3]["amt"] is None and not got[3]["amt_unknown_flag"] and not got[3]["amt_null_flag"]
+    assert got[4]["amt_null_flag"] and got[4]["cur"] == "UNKNOWN"
+    assert got[5]["amt_null_flag"] and got[5]["cur"] == "UNKNOWN" and got[5]["raw"] is None
+    assert got[6]["amt_unknown_flag"]
+    assert got[7]["amt"] == 0.5
+
+
+def test_currency_code_branches(spark):
+    df = one_col(spark, [None, " ", "$5", "5"]).select("i", Q.currency_code("v").alias("c"))
+    assert [r["c"] for r in rows(df, "i")] == [None, None, "USD", "UNKNOWN"]
+
+
+def test_age_and_income_groups(spark):
+    ages = spark.createDataFrame([(a,) for a in [None, 0, 17, 18, 25, 26, 40, 41, 60, 61]], "a int")
+    got = [r["g"] for r in rows(ages.select("a", D.age_group("a").alias("g")), "a")]
+    assert got == ["under_18", "under_18", "18_25", "18_25", "26_40", "26_40", "41_60", "41_60", "over_60", None]
+    inc = spark.createDataFrame([(x,) for x in [None, 29999.99, 30000.0, 69999.99, 70000.0]], "x double")
+    got = [r["g"] for r in rows(inc.select("x", D.income_group("x").alias("g")), "x")]
+    assert got == ["low_income", "middle_income", "middle_income", "high_income", None]
+
+
+def test_outlier_limits(spark):
+    df = spark.createDataFrame([(None,), (2026,), (2027,)], "y int")
+    got = [r["f"] for r in rows(df.select("y", D.above("y", 2026).alias("f")), "y")]
+    assert got == [False, True, False]  # sorted: 2026, 2027, NULL
+
+
+def test_load_day_from_parts(spark):
+    df = spark.createDataFrame([(2026, 4, 5), (2026, None, 5), (2026, 12, 31)], "y int, m int, d int")
+    got = [r["day"] for r in rows(df.select("y", "m", "d", D.day_from_parts("y", "m", "d").alias("day")), "m")]
+    # a NULL part is skipped by concat_ws: 2026-05 reads as 2026-05-01
+    assert got == [dt.date(2026, 4, 5), dt.date(2026, 12, 31), dt.date(2026, 5, 1)]
+
+
+def test_month_year_group(spark):
+    df = one_col(spark, ["02/1995", "13/2002", "9/2002", None, " "])
+    got = {r["i"]: r for r in rows(df.select("i", *D.month_year_group("v", "d")))}
+    assert got[0]["d"] == dt.date(1995, 2, 1) and not got[0]["d_unknown_flag"]
+    assert got[1]["d"] is None and got[1]["d_unknown_flag"]
+    assert got[2]["d"] is None and got[2]["d_unknown_flag"]
+    assert got[3]["d_null_flag"] and not got[3]["d_unknown_flag"]
+    assert got[4]["d_null_flag"] and not got[4]["d_unknown_flag"]
+    missing = spark.range(1).select(*D.month_year_group(None, "d")).first()
+    assert (missing["d"], missing["d_raw"], missing["d_null_flag"], missing["d_unknown_flag"]) == (None, None, True, False)
+
+
+def test_timestamp_parts(spark):
+    df = one_col(spark, ["1998-10-03 00:00:00", "zz", None, "2001-02-03"])
+    got = {r["i"]: r for r in rows(df.select("i", *D.timestamp_parts("v", "ts", "y", "m", "d")))}
+    assert (got[0]["y"], got[0]["m"], got[0]["d"]) == (1998, 10, 3)
+    assert got[1]["ts"] is None and got[1]["y"] is None
+    assert got[2]["ts"] is None
+    assert got[3]["d"] == 3
+
+
+def test_any_differs_is_null_safe(spark):
+    a = spark.createDataFrame([(1, None, "x"), (2, None, "x"), (3, "a", "x")], "k int, p string, q string").alias("a")
+    b = spark.createDataFrame([(1, None, "x"), (2, "v", "x"), (3, "a", "y")], "k int, p string, q string").alias("b")
+    j = a.join(b, F.col("a.k") == F.col("b.k")).select(F.col("a.k").alias("k"), D.any_differs("a", "b", ["p", "q"]).alias("d"))
+    assert [r["d"] for r in rows(j, "k")] == [False, True, True]

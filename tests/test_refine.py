@@ -1,0 +1,76 @@
+"""Refined builders: declared layout, source resolution, options."""
+
+from pyspark.sql import functions as F
+
+from ledgerlake import schemas
+from ledgerlake.operators import refine
+from ledgerlake.sources import tpch_fixtures as X
+from tests.conftest import SF_SMALL, layout, plan_of, rows
+
+
+def test_users_refined_layout(spark):
+    df = refine.users_refined(X.users(spark, SF_SMALL), current_year=2026)
+    assert layout(df.schema) == layout(schemas.USERS_REFINED)
+    assert len(df.columns) == 59
+
+
+def test_cards_refined_layout(spark):
+    from ledgerlake.operators import scd2
+
+    src = scd2.initial_versions(scd2.normalize_cards(X.cards(spark, SF_SMALL)), "2026-04-23 00:00:00", "b1")
+    df = refine.cards_refined(src, current_year=2026)
+    assert layout(df.schema) == layout(schemas.CARDS_REFINED)
+    assert len(df.columns) == 39
+    r = df.select("effective_year", "effective_month").distinct().collect()
+    assert [(x[0], x[1]) for x in r] == [(2026, 4)]
+
+
+def test_transactions_refined_layout_and_currency(spark):
+    src = X.transactions(spark, SF_SMALL)
+    df = refine.transactions_refined(src)
+    assert layout(df.schema) == layout(schemas.TRANSACTIONS_REFINED) and len(df.columns) == 28
+    assert {r[0] for r in df.select("amount_currency").distinct().collect()} == {"UNKNOWN"}
+    codes = {r[0] for r in refine.transactions_refined(src, currency_from_raw=True).select("amount_currency").distinct().collect()}
+    assert codes == {"USD", "UNKNOWN"}
+
+
+def test_source_column_resolution(spark):
+    src = X.users(spark, SF_SMALL).withColumnRenamed("id", "user_id")
+    assert refine.users_refined(src, current_year=2026).filter(F.col("user_id").isNull()).count() == 0
+    t = X.transactions(spark, SF_SMALL).withColumnRenamed("amount", "amount_raw").withColumnRenamed("id", "transaction_id")
+    out = refine.transactions_refined(t)
+    assert out.filter(F.col("transaction_id").isNull()).count() == 0
+    assert out.filter(F.col("amount").isNotNull()).count() > 0
+
+
+def test_load_day_default_without_ingest_columns(spark):
+    import datetime as dt
+
+    src = X.users(spark, SF_SMALL).drop("ingest_day")
+    out = refine.users_refined(src, current_year=2026, load_day_default=dt.date(2026, 1, 2))
+    assert {r[0] for r in out.select("load_day").distinct().collect()} == {dt.date(2026, 1, 2)}
+
+
+def test_transactions_dated_drops_unparsed(spark):
+    src = X.transactions(spark, SF_SMALL)
+    out = refine.transactions_dated(refine.transactions_refined(src))
+    bad = src.filter(F.col("date") == "not a date").count()
+    assert bad > 0 and out.count() == src.count() - bad
+
+
+def test_month_keys_sorted(spark):
+    keys = [tuple(r) for r in refine.month_keys(refine.transactions_refined(X.transactions(spark, SF_SMALL))).collect()]
+    assert keys == sorted(keys) and len(keys) == len(set(keys))
+
+
+def test_refine_is_one_projection_over_a_pruned_scan(spark):
+    df = refine.transactions_refined(X.load(spark, SF_SMALL, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderdate").cast("string").alias("date"),
+        F.col("o_custkey").alias("client_id"), F.col("o_custkey").alias("card_id"),
+        F.col("o_totalprice").cast("string").alias("amount"),
+        *[F.lit(None).cast("string").alias(c) for c in ["use_chip", "merchant_id", "merchant_city", "merchant_state", "zip", "mcc", "errors"]],
+    ))
+    plan = plan_of(df)
+    assert "Exchange" not in plan and "PythonUDF" not in plan and "BatchEvalPython" not in plan
+    read_schema = plan.split("ReadSchema:")[1].splitlines()[0]
+    assert "o_orderstatus" not in read_schema and "o_orderkey" in read_schema
