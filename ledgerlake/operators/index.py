@@ -48,7 +48,9 @@ def find_in_index(index: DataFrame, ids) -> DataFrame:
     becomes a left-semi join (AQE broadcasts it when it turns out small).
     """
     if isinstance(ids, DataFrame):
-        return index.join(_ids_frame(ids), "transaction_id", "left_semi")
+        # distinct first: a repeated request id collapses map-side instead of
+        # landing whole in one shuffle partition
+        return index.join(_ids_frame(ids).distinct(), "transaction_id", "left_semi")
     values = [int(ids)] if isinstance(ids, (int, str)) else [int(v) for v in ids]
     return index.filter(F.col("transaction_id").isin(values))
 

@@ -267,3 +267,4 @@ ORACLE["pipeline_counts"] = with_chain(
     "WHERE txn_year IS NOT NULL AND txn_month IS NOT NULL AND txn_day IS NOT NULL",
     _CARDS_PAIR + ["users", "transactions"],
 )
+ORACLE["transactions_stream_roundtrip"] = ORACLE["transactions_dated"]

@@ -436,3 +436,25 @@ def q_pipeline_counts(spark, sf):
         for name in ("users_refined", "cards_refined_scd2", "transactions_refined")
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# --- streaming -------------------------------------------------------------------------
+
+from ledgerlake.streaming.transactions_stream import start_transactions_append  # noqa: E402
+
+
+@register
+def q_transactions_stream_roundtrip(spark, sf):
+    """Raw ingest days arrive as files; the stream refines each exactly once.
+
+    Two runs of the same stream: the second finds nothing new, so nothing is
+    appended twice.
+    """
+    base = fresh_dir(spark, "stream")
+    raw = X.transactions(spark, sf)
+    write_partitioned(raw, f"{base}/raw", schemas.INGEST_PARTITIONS)
+    schema = spark.read.parquet(f"{base}/raw").schema
+    for _ in range(2):
+        q = start_transactions_append(spark, f"{base}/raw", f"{base}/out", f"{base}/checkpoint", schema)
+        q.awaitTermination()
+    return spark.read.schema(schemas.TRANSACTIONS_REFINED).parquet(f"{base}/out")
