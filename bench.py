@@ -98,6 +98,7 @@ def main() -> None:
             refine.cards_refined(read(f"{base}/history/cards_scd2_v2"), current_year=2026),
             f"{base}/dw/cards_refined_scd2",
             schemas.CARDS_REFINED_PARTITIONS,
+            rebalance=True,
         ),
     )
     timed(

@@ -57,7 +57,9 @@ def run_warehouse(spark: SparkSession, config: WarehouseConfig, clock: _dt.datet
     txns = refine.transactions_refined(latest_batch(_read(spark, config.transactions_source)))
 
     write_partitioned(users, config.users_refined, schemas.USERS_REFINED_PARTITIONS)
-    write_partitioned(cards, config.cards_refined_scd2, schemas.CARDS_REFINED_PARTITIONS)
+    # versions span one effective month per batch: without a rebalance every
+    # input task would write one small file into every month it holds
+    write_partitioned(cards, config.cards_refined_scd2, schemas.CARDS_REFINED_PARTITIONS, rebalance=True)
     append_refined_transactions(
         txns, config.transactions_refined, dedupe_on="transaction_id" if config.dedupe_transactions else None
     )
