@@ -8,23 +8,40 @@ SQL in :mod:`ledgerlake.oracle.queries_sql`.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake import schemas
 from ledgerlake.functions import derived as D
 from ledgerlake.functions import quality as Q
+from ledgerlake.operators import history as H
+from ledgerlake.operators import index as IX
 from ledgerlake.operators import refine
-from ledgerlake.session import batch_id_for
+from ledgerlake.operators import scd2 as S
+from ledgerlake.operators.lineage import stamp_lineage
+from ledgerlake.operators.patch import keyed_patch
+from ledgerlake.plans.history_job import run_users_history
+from ledgerlake.plans.index_job import build_index
+from ledgerlake.plans.ingest import IngestSpec, run_raw_ingest
+from ledgerlake.plans.scd2_job import run_cards_scd2
+from ledgerlake.plans.warehouse import WarehouseConfig, run_warehouse
+from ledgerlake.session import batch_id_for, fresh_dir
+from ledgerlake.sinks import catalog
+from ledgerlake.sinks.writers import append_refined_transactions, write_partitioned
 from ledgerlake.sources import parquet as P
 from ledgerlake.sources import tpch_fixtures as X
+from ledgerlake.streaming.transactions_stream import start_transactions_append
 
 # Fixed arguments of the registered queries.
 CLOCK_1 = "2026-04-23 04:22:19"   # first SCD2 load, first history run
 CLOCK_2 = "2026-04-24 04:22:19"   # second batch
+CLOCK_3 = "2026-04-25 04:22:19"   # third run (history written back the other way)
 BATCH_1 = batch_id_for(CLOCK_1)
 BATCH_2 = batch_id_for(CLOCK_2)
+BATCH_3 = batch_id_for(CLOCK_3)
 CURRENT_YEAR = 2026
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -165,12 +182,6 @@ def q_batch_days(spark, sf):
 
 # --- lineage, index and lookup -------------------------------------------------
 
-from ledgerlake.operators import history as H  # noqa: E402
-from ledgerlake.operators import index as IX  # noqa: E402
-from ledgerlake.operators import scd2 as S  # noqa: E402
-from ledgerlake.operators.lineage import stamp_lineage  # noqa: E402
-from ledgerlake.operators.patch import keyed_patch  # noqa: E402
-
 
 @register
 def q_raw_lineage(spark, sf):
@@ -294,21 +305,6 @@ def q_keyed_patch(spark, sf):
 
 # --- sinks: write, read back (each run writes below a fresh shared directory) --------
 
-import uuid  # noqa: E402
-
-from ledgerlake import schemas  # noqa: E402
-from ledgerlake.plans.history_job import run_users_history  # noqa: E402
-from ledgerlake.plans.index_job import build_index  # noqa: E402
-from ledgerlake.plans.ingest import IngestSpec, run_raw_ingest  # noqa: E402
-from ledgerlake.plans.scd2_job import run_cards_scd2  # noqa: E402
-from ledgerlake.plans.warehouse import WarehouseConfig, run_warehouse  # noqa: E402
-from ledgerlake.session import fresh_dir  # noqa: E402
-from ledgerlake.sinks import catalog  # noqa: E402
-from ledgerlake.sinks.writers import append_refined_transactions, write_partitioned  # noqa: E402
-
-CLOCK_3 = "2026-04-25 04:22:19"   # third run (history written back the other way)
-BATCH_3 = batch_id_for(CLOCK_3)
-
 
 def _read_back(spark, path, like: DataFrame) -> DataFrame:
     """Read a written table with the schema it was written with (no type inference)."""
@@ -440,8 +436,6 @@ def q_pipeline_counts(spark, sf):
 
 # --- streaming -------------------------------------------------------------------------
 
-from ledgerlake.streaming.transactions_stream import start_transactions_append  # noqa: E402
-
 
 @register
 def q_transactions_stream_roundtrip(spark, sf):
