@@ -74,3 +74,29 @@ def test_refine_is_one_projection_over_a_pruned_scan(spark):
     assert "Exchange" not in plan and "PythonUDF" not in plan and "BatchEvalPython" not in plan
     read_schema = plan.split("ReadSchema:")[1].splitlines()[0]
     assert "o_orderstatus" not in read_schema and "o_orderkey" in read_schema
+
+
+def test_users_outliers_and_unreachable_negative_age(spark):
+    src = X.users(spark, SF_SMALL)
+    out = refine.users_refined(src, current_year=2026)
+    # a signed age never parses, so the negative-age outlier cannot fire
+    assert out.filter("current_age_outlier_flag").count() == 0
+    assert out.filter("current_age_raw = '-5'").filter("current_age IS NULL AND current_age_unknown_flag").count() > 0
+    assert out.filter("retirement_age_outlier_flag").count() == out.filter("retirement_age > 100").count() > 0
+    assert out.filter("birth_year_outlier_flag").count() == out.filter("birth_year > 2026").count() > 0
+
+
+def test_cards_pin_year_outlier_and_roundtrip(spark):
+    from ledgerlake.operators import scd2
+    from ledgerlake.session import fresh_dir
+    from ledgerlake.sinks.writers import write_partitioned
+
+    src = scd2.initial_versions(scd2.normalize_cards(X.cards(spark, SF_SMALL)), "2026-04-23 00:00:00", "b1")
+    out = refine.cards_refined(src, current_year=2026)
+    assert out.filter("year_pin_last_changed_outlier_flag").count() == out.filter("year_pin_last_changed > 2026").count() > 0
+    path = fresh_dir(spark, "cards_refined_test")
+    write_partitioned(out, path, schemas.CARDS_REFINED_PARTITIONS, rebalance=True)
+    back = spark.read.schema(schemas.CARDS_REFINED).parquet(path)
+    assert back.count() == out.count()
+    assert sorted(map(tuple, back.select("card_id", "credit_limit_amount").collect())) == sorted(
+        map(tuple, out.select("card_id", "credit_limit_amount").collect()))

@@ -95,3 +95,13 @@ def test_merge_plan_has_one_join(spark):
     joins = plan.count("SortMergeJoin") + plan.count("BroadcastHashJoin") + plan.count("ShuffledHashJoin")
     assert joins == 1, plan
     check_invariants(merged)
+
+
+def test_updated_keys_closed_and_kept_partition_the_existing_rows(spark):
+    v1 = S.initial_versions(cards(spark, [(1, "a"), (2, "b"), (3, "c")]), T1, "b1")
+    inc = cards(spark, [(1, "A"), (2, "b"), (4, "d")])
+    assert [r[0] for r in S.updated_keys(v1, inc).collect()] == [1]
+    closed = S.closed_versions(v1, inc, T2)
+    kept = S.kept_versions(v1, inc)
+    assert closed.count() + kept.count() == v1.count()
+    assert [r["card_id"] for r in rows(S.insert_rows(v1, inc, T2, "b2"))] == [4]
