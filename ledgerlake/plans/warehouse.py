@@ -12,7 +12,7 @@ from ledgerlake import schemas
 from ledgerlake.operators import refine
 from ledgerlake.sinks import catalog
 from ledgerlake.sinks.writers import append_refined_transactions, write_partitioned
-from ledgerlake.sources.parquet import latest_batch
+from ledgerlake.sources.parquet import latest_batch, latest_batch_of_table
 
 LOG = logging.getLogger(__name__)
 
@@ -33,11 +33,13 @@ class WarehouseConfig:
     dedupe_transactions: bool = False
 
 
+def _is_table(spark: SparkSession, source: str) -> bool:
+    """A catalog table name (``db.table``, no slash) rather than a path."""
+    return "/" not in source and spark.catalog.tableExists(source)
+
+
 def _read(spark: SparkSession, source: str):
-    """A path, or a catalog table name (``db.table`` without a slash)."""
-    if "/" not in source and spark.catalog.tableExists(source):
-        return spark.table(source)
-    return spark.read.parquet(source)
+    return spark.table(source) if _is_table(spark, source) else spark.read.parquet(source)
 
 
 def run_warehouse(spark: SparkSession, config: WarehouseConfig, clock: _dt.datetime | str | None = None) -> dict[str, str]:
@@ -54,21 +56,30 @@ def run_warehouse(spark: SparkSession, config: WarehouseConfig, clock: _dt.datet
 
     users = refine.users_refined(_read(spark, config.users_source), current_year=now.year, load_day_default=now.date())
     cards = refine.cards_refined(_read(spark, config.cards_scd2_source), current_year=now.year)
-    txns = refine.transactions_refined(latest_batch(_read(spark, config.transactions_source)))
+    if _is_table(spark, config.transactions_source):  # batch key from partition metadata
+        source = latest_batch_of_table(spark, config.transactions_source)
+    else:
+        source = latest_batch(spark.read.parquet(config.transactions_source))
+    txns = refine.transactions_refined(source)
 
-    write_partitioned(users, config.users_refined, schemas.USERS_REFINED_PARTITIONS)
-    # versions span one effective month per batch: without a rebalance every
-    # input task would write one small file into every month it holds
-    write_partitioned(cards, config.cards_refined_scd2, schemas.CARDS_REFINED_PARTITIONS, rebalance=True)
-    append_refined_transactions(
-        txns, config.transactions_refined, dedupe_on="transaction_id" if config.dedupe_transactions else None
-    )
     locations = {
         "users_refined": config.users_refined,
         "cards_refined_scd2": config.cards_refined_scd2,
         "transactions_refined": config.transactions_refined,
     }
+    dedupe = "transaction_id" if config.dedupe_transactions else None
+    write_partitioned(users, config.users_refined, schemas.USERS_REFINED_PARTITIONS)
+    # versions span one effective month per batch: without a rebalance every
+    # input task would write one small file into every month it holds
+    write_partitioned(cards, config.cards_refined_scd2, schemas.CARDS_REFINED_PARTITIONS, rebalance=True)
     if config.register_tables:
+        # the append goes through the catalog table: only the touched
+        # partitions are listed, and new partitions are registered as written
         catalog.register_refined_tables(spark, config.database, locations)
+        append_refined_transactions(
+            txns, table=f"`{config.database}`.`transactions_refined`", dedupe_on=dedupe
+        )
+    else:
+        append_refined_transactions(txns, config.transactions_refined, dedupe_on=dedupe)
     LOG.info("warehouse refine done: %s", locations)
     return locations

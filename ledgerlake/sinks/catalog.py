@@ -45,7 +45,11 @@ def register_table(spark: SparkSession, qualified_name: str, schema: T.StructTyp
     """Create the external table and register the partitions found on disk."""
     spark.sql(table_ddl(qualified_name, schema, partitions, location))
     if partitions:
-        spark.catalog.recoverPartitions(qualified_name)
+        try:
+            spark.catalog.recoverPartitions(qualified_name)
+        except Exception as err:  # a new, still empty location has nothing to recover
+            if "FileNotFoundException" not in str(err):
+                raise
 
 
 def register_refined_tables(spark: SparkSession, database: str, locations: dict[str, str]) -> list[str]:

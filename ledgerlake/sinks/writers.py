@@ -65,9 +65,10 @@ def _path_exists(spark, path: str) -> bool:
 
 def append_refined_transactions(
     refined: DataFrame,
-    path: str,
+    path: str | None = None,
     max_records_per_file: int = 200000,
     dedupe_on: str | None = None,
+    table: str | None = None,
 ) -> DataFrame:
     """Incremental append of refined transactions by txn year / month / day.
 
@@ -81,18 +82,40 @@ def append_refined_transactions(
     partitions the batch touches are scanned (literal partition filter from
     the batch's distinct days, a bounded set), and only the id column.
 
+    With ``table`` (a partitioned catalog table, see
+    :func:`ledgerlake.sinks.catalog.register_table`) instead of ``path``, the
+    existing rows are read through the catalog, so only the partitions the
+    batch touches are even listed, and the append registers its new
+    partitions in the catalog (``insertInto``).
+
     Returns the rows that were appended (lazy, for reporting).
     """
+    if (path is None) == (table is None):
+        raise ValueError("give exactly one of path and table")
     parts = schemas.TRANSACTIONS_REFINED_PARTITIONS
     batch = transactions_dated(refined)
     spark = refined.sparkSession
-    if dedupe_on and _path_exists(spark, path):
-        existing = spark.read.schema(schemas.TRANSACTIONS_REFINED).parquet(path).select(*parts, dedupe_on)
+    target_exists = spark.catalog.tableExists(table) if table else _path_exists(spark, path)
+    if dedupe_on and target_exists:
+        if table:
+            existing = spark.table(table).select(*parts, dedupe_on)
+        else:
+            existing = spark.read.schema(schemas.TRANSACTIONS_REFINED).parquet(path).select(*parts, dedupe_on)
         days = batch.select(*parts).distinct().limit(MAX_PRUNING_VALUES + 1).collect()
         if 0 < len(days) <= MAX_PRUNING_VALUES:
             wanted = F.struct(*parts).isin([F.struct(*[F.lit(v) for v in row]) for row in days])
             existing = existing.filter(wanted)
         batch = batch.join(existing, on=[*parts, dedupe_on], how="left_anti")
+    if table:
+        if not target_exists:
+            raise ValueError(f"table {table} does not exist; register it first")
+        (
+            batch.hint("rebalance", *parts)
+            .select(*[f.name for f in schemas.TRANSACTIONS_REFINED.fields])
+            .write.option("maxRecordsPerFile", int(max_records_per_file))
+            .insertInto(table)
+        )
+        return batch
     write_partitioned(
         batch, path, parts, mode="append", rebalance=True, max_records_per_file=max_records_per_file
     )

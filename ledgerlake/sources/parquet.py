@@ -48,6 +48,48 @@ def latest_batch_key(df: DataFrame, parts: list[str] | None = None) -> tuple | N
     return tuple(row["k"][p] for p in parts)
 
 
+def _partition_value(text: str):
+    if text == "__HIVE_DEFAULT_PARTITION__":
+        return None
+    try:
+        return int(text)
+    except ValueError:
+        return text
+
+
+def latest_batch_key_from_catalog(spark: SparkSession, table: str, parts: list[str] | None = None) -> tuple | None:
+    """Greatest (year, month, day) among a catalog table's registered partitions.
+
+    ``SHOW PARTITIONS`` answers from the catalog: no data file is opened,
+    where the aggregate form reads every file footer. One row per partition
+    comes back (days, not rows).
+    """
+    parts = parts or schemas.INGEST_PARTITIONS
+    best = None
+    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        spec = dict(item.split("=", 1) for item in row[0].split("/"))
+        key = tuple(_partition_value(spec[p]) for p in parts)
+        if best is None or tuple((v is not None, v) for v in key) > tuple((v is not None, v) for v in best):
+            best = key
+    return best
+
+
+def latest_batch_of_table(spark: SparkSession, table: str, parts: list[str] | None = None) -> DataFrame:
+    """Latest ingest batch of a partitioned catalog table (metadata lookup + pruned scan)."""
+    parts = parts or schemas.INGEST_PARTITIONS
+    df = spark.table(table)
+    key = latest_batch_key_from_catalog(spark, table, parts)
+    return df if key is None else _filter_key(df, parts, key)
+
+
+def _filter_key(df: DataFrame, parts: list[str], key: tuple) -> DataFrame:
+    cond = None
+    for name, value in zip(parts, key):
+        c = F.col(name).isNull() if value is None else (F.col(name) == F.lit(value))
+        cond = c if cond is None else cond & c
+    return df.filter(cond)
+
+
 def latest_batch(df: DataFrame, parts: list[str] | None = None) -> DataFrame:
     """Rows of the latest ingest batch; all rows when the columns are missing.
 
@@ -63,11 +105,7 @@ def latest_batch(df: DataFrame, parts: list[str] | None = None) -> DataFrame:
     if key is None:
         return df
     LOG.info("latest batch: %s", "-".join(str(v) for v in key))
-    cond = None
-    for name, value in zip(parts, key):
-        c = F.col(name).isNull() if value is None else (F.col(name) == F.lit(value))
-        cond = c if cond is None else cond & c
-    return df.filter(cond)
+    return _filter_key(df, parts, key)
 
 
 def latest_batch_lazy(df: DataFrame, parts: list[str] | None = None) -> DataFrame:

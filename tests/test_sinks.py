@@ -108,3 +108,26 @@ def test_default_specs_and_jdbc_options():
     assert opts["partitionColumn"] == "id" and opts["numPartitions"] == "4" and opts["fetchsize"] == "10000"
     with pytest.raises(ValueError):
         jdbc.jdbc_options("jdbc:x://h/db", "t", partition_column="id")
+
+
+def test_append_through_catalog_table(spark):
+    base = fresh_dir(spark, "append_table_test")
+    db = "ledgerlake_append_table_test"
+    catalog.ensure_database(spark, db, f"{base}/db")
+    table = f"`{db}`.`transactions_refined`"
+    catalog.register_table(spark, table, schemas.TRANSACTIONS_REFINED, schemas.TRANSACTIONS_REFINED_PARTITIONS, f"{base}/t")
+    raw = X.transactions(spark, SF_SMALL)
+    refined = refine.transactions_refined(raw)
+    append_refined_transactions(refine.transactions_refined(P.latest_batch(raw)), table=table, dedupe_on="transaction_id")
+    append_refined_transactions(refined, table=table, dedupe_on="transaction_id")
+    append_refined_transactions(refined, table=table, dedupe_on="transaction_id")
+    want = refine.transactions_dated(refined).count()
+    assert spark.table(table).count() == want
+    # the appends registered their partitions: the catalog alone knows every day
+    days = spark.sql(f"SHOW PARTITIONS {table}").count()
+    assert days == refine.transactions_dated(refined).select(*schemas.TRANSACTIONS_REFINED_PARTITIONS).distinct().count()
+    # the latest day of the table, found from the catalog only
+    top = P.latest_batch_key_from_catalog(spark, table, schemas.TRANSACTIONS_REFINED_PARTITIONS)
+    assert top == tuple(refine.transactions_dated(refined).selectExpr(
+        "max(struct(txn_year, txn_month, txn_day)) AS k").first()["k"])
+    assert P.latest_batch_of_table(spark, table, schemas.TRANSACTIONS_REFINED_PARTITIONS).count() > 0
