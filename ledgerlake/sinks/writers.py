@@ -55,11 +55,17 @@ def append_batch(df: DataFrame, path: str, batch_column: str = "batch_id") -> No
     write_partitioned(df, path, [batch_column], mode="overwrite", dynamic=True)
 
 
-def _path_exists(spark, path: str) -> bool:
+def _path_exists(spark, path: str, schema=None) -> bool:
+    """Whether a parquet table exists at ``path``.
+
+    With a declared schema no footer is read; a missing path raises at
+    relation creation.
+    """
     try:
-        spark.read.parquet(path).schema  # noqa: B018 - listing only
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        reader.parquet(path)
         return True
-    except Exception:  # AnalysisException: path does not exist / empty
+    except Exception:  # AnalysisException: path does not exist / no files to infer from
         return False
 
 
@@ -95,7 +101,7 @@ def append_refined_transactions(
     parts = schemas.TRANSACTIONS_REFINED_PARTITIONS
     batch = transactions_dated(refined)
     spark = refined.sparkSession
-    target_exists = spark.catalog.tableExists(table) if table else _path_exists(spark, path)
+    target_exists = spark.catalog.tableExists(table) if table else _path_exists(spark, path, schemas.TRANSACTIONS_REFINED)
     if dedupe_on and target_exists:
         if table:
             existing = spark.table(table).select(*parts, dedupe_on)
