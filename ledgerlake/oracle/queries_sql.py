@@ -234,6 +234,7 @@ ORACLE["raw_ingest_roundtrip"] = (
     "2026 AS ingest_year, 4 AS ingest_month, 23 AS ingest_day FROM orders"
 )
 ORACLE["txn_index_roundtrip"] = ORACLE["txn_index"]
+ORACLE["txn_index_incremental"] = ORACLE["txn_index"]
 ORACLE["users_refined_roundtrip"] = ORACLE["users_refined"]
 ORACLE["cards_refined_roundtrip"] = ORACLE["cards_refined"]
 ORACLE["transactions_append_roundtrip"] = ORACLE["transactions_dated"]

@@ -25,3 +25,49 @@ def lookup(spark: SparkSession, index_path: str, transactions_path: str, ids, pr
     index = spark.read.parquet(index_path)
     txn = spark.read.parquet(transactions_path)
     return lookup_transactions(index, txn, ids, prune=prune), missing_ids(index, ids)
+
+
+def update_index(
+    spark: SparkSession,
+    transactions_path: str,
+    index_path: str,
+    days: list[tuple[int, int, int]],
+    max_affected_days: int = 10000,
+) -> list[tuple]:
+    """Add the given ingest days to an existing index, exactly as a rebuild would.
+
+    Only the new days' raw rows are read. Their index rows compete with the
+    existing index rows of the same ids (the latest ingest still wins), so
+    the partitions to rewrite are the new days plus the days holding an
+    existing row of a re-ingested id - found with a semi join, a set of day
+    keys bounded by the calendar. Those partitions are rewritten with dynamic
+    overwrite; every other day is left as it is. The rows to write are
+    checkpointed first (reliable checkpoint in the shared folder) so the
+    write does not read the partitions it replaces. Returns the rewritten days.
+    """
+    from pyspark.sql import functions as F
+
+    from ledgerlake.operators.dedupe import latest_per_key
+    from ledgerlake.operators.index import LATEST_INGEST
+    from ledgerlake.session import shared_dir
+
+    shared_dir(spark)  # makes sure a checkpoint directory is configured
+
+    parts = schemas.INGEST_PARTITIONS
+    day_key = F.struct(*parts)
+    new_days = [F.struct(*[F.lit(v) for v in d]) for d in days]
+    raw = spark.read.parquet(transactions_path).filter(day_key.isin(new_days))
+    fresh = transaction_index(raw)
+    existing = spark.read.parquet(index_path).select(*schemas.INDEX_COLUMNS)
+    touched_ids = fresh.select("transaction_id").distinct()
+    older = existing.join(touched_ids, "transaction_id", "left_semi")
+    affected = [tuple(r) for r in older.select(*parts).distinct().limit(max_affected_days + 1).collect()]
+    if len(affected) > max_affected_days:
+        raise ValueError("too many affected days for an incremental update; rebuild the index")
+    rewrite = sorted(set(affected) | {tuple(d) for d in days})
+    in_rewrite = day_key.isin([F.struct(*[F.lit(v) for v in d]) for d in rewrite])
+    untouched = existing.filter(in_rewrite).join(touched_ids, "transaction_id", "left_anti")
+    winners = latest_per_key(fresh.unionByName(older), "transaction_id", order=LATEST_INGEST)
+    rows = untouched.unionByName(winners).checkpoint()
+    write_partitioned(rows, index_path, parts, mode="overwrite", dynamic=True, rebalance=True)
+    return rewrite

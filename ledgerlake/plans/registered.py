@@ -24,7 +24,7 @@ from ledgerlake.operators import scd2 as S
 from ledgerlake.operators.lineage import stamp_lineage
 from ledgerlake.operators.patch import keyed_patch
 from ledgerlake.plans.history_job import run_users_history
-from ledgerlake.plans.index_job import build_index
+from ledgerlake.plans.index_job import build_index, update_index
 from ledgerlake.plans.ingest import IngestSpec, run_raw_ingest
 from ledgerlake.plans.scd2_job import run_cards_scd2
 from ledgerlake.plans.warehouse import WarehouseConfig, run_warehouse
@@ -333,6 +333,18 @@ def q_txn_index_roundtrip(spark, sf):
     return _read_back(spark, f"{base}/index", IX.transaction_index(raw))
 
 
+@register
+def q_txn_index_incremental(spark, sf):
+    """Index built from the first two ingest days, then updated with the third."""
+    base = fresh_dir(spark, "index_incremental")
+    raw = X.transactions_with_duplicates(spark, sf)
+    write_partitioned(raw, f"{base}/raw", schemas.INGEST_PARTITIONS)
+    first_days = raw.filter(F.col("ingest_day") < 23)
+    write_partitioned(IX.transaction_index(first_days), f"{base}/index", schemas.INGEST_PARTITIONS)
+    update_index(spark, f"{base}/raw", f"{base}/index", [(2026, 4, 23)])
+    return _read_back(spark, f"{base}/index", IX.transaction_index(raw))
+
+
 @register
 def q_users_refined_roundtrip(spark, sf):
     path = fresh_dir(spark, "users_refined")

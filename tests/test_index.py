@@ -65,3 +65,19 @@ def test_batch_lookup(spark):
 def test_fixture_index_unique(spark):
     idx = IX.transaction_index(X.transactions_with_duplicates(spark, SF_SMALL))
     assert idx.groupBy("transaction_id").count().filter(F.col("count") > 1).count() == 0
+
+
+def test_incremental_update_equals_rebuild_even_for_backfill(spark):
+    from ledgerlake.plans.index_job import update_index
+
+    base = fresh_dir(spark, "idx_update_test")
+    raw = X.transactions_with_duplicates(spark, SF_SMALL)
+    write_partitioned(raw, f"{base}/raw", schemas.INGEST_PARTITIONS)
+    # index of the later days first, then the earliest day arrives late
+    write_partitioned(IX.transaction_index(raw.filter("ingest_day > 21")), f"{base}/idx", schemas.INGEST_PARTITIONS)
+    rewritten = update_index(spark, f"{base}/raw", f"{base}/idx", [(2026, 4, 21)])
+    assert (2026, 4, 21) in rewritten
+    got = spark.read.parquet(f"{base}/idx").select(*schemas.INDEX_COLUMNS)
+    want = IX.transaction_index(raw)
+    assert got.count() == want.count()
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
