@@ -49,6 +49,7 @@ def main() -> None:
 
     from ledgerlake import schemas
     from ledgerlake.operators import history, index, refine, scd2
+    from ledgerlake.plans.index_job import update_index
     from ledgerlake.plans.registered import BATCH_1, BATCH_2, CLOCK_1, CLOCK_2
     from ledgerlake.session import fresh_dir
     from ledgerlake.sinks import catalog
@@ -137,6 +138,11 @@ def main() -> None:
         ),
     )
 
+    timed(
+        "txn_index_update_one_day",
+        lambda: update_index(spark, f"{base}/raw/transactions_dup", f"{base}/raw/transaction_index", [(2026, 4, 23)]),
+    )
+
     def lookups():
         idx = read(f"{base}/raw/transaction_index")
         txn = read(f"{base}/raw/transactions_dup")

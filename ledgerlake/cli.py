@@ -44,6 +44,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--transactions", required=True)
     s.add_argument("--index", required=True)
     s.add_argument("--survivor", choices=["latest", "any"], default="latest")
+    s.add_argument("--update-days", default=None,
+                   help="comma-separated yyyy-mm-dd ingest days to add to an existing index instead of a rebuild")
 
     s = sub.add_parser("lookup", help="look transaction ids up through the index")
     s.add_argument("--transactions", required=True)
@@ -110,9 +112,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
                                         dynamic=not args.static_overwrite)
 
     elif args.job == "index":
-        from ledgerlake.plans.index_job import build_index
+        from ledgerlake.plans.index_job import build_index, update_index
 
-        build_index(spark, args.transactions, args.index, survivor=args.survivor)
+        if args.update_days:
+            days = [tuple(int(x) for x in d.split("-")) for d in args.update_days.split(",")]
+            out["rewritten_days"] = update_index(spark, args.transactions, args.index, days)
+        else:
+            build_index(spark, args.transactions, args.index, survivor=args.survivor)
         out["index"] = args.index
 
     elif args.job == "lookup":

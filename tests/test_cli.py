@@ -19,6 +19,9 @@ def test_index_lookup_history_scd2_warehouse(spark, tmp_path):
     X.cards_snapshot_2(spark, SF_SMALL).write.parquet(f"{base}/c2")
 
     cli.main(["index", "--transactions", f"{base}/raw/transactions", "--index", f"{base}/raw/index"], spark)
+    out = cli.main(["index", "--transactions", f"{base}/raw/transactions", "--index", f"{base}/raw/index",
+                    "--update-days", "2026-04-23"], spark)
+    assert [2026, 4, 23] in [list(d) for d in out["rewritten_days"]]
     some = spark.read.parquet(f"{base}/raw/index").select("transaction_id").first()[0]
     out = cli.main(["lookup", "--transactions", f"{base}/raw/transactions", "--index", f"{base}/raw/index",
                     "--prune", str(some), "-1"], spark)
