@@ -81,3 +81,16 @@ def test_incremental_update_equals_rebuild_even_for_backfill(spark):
     want = IX.transaction_index(raw)
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_prune_adds_dynamic_partition_pruning(spark):
+    base = fresh_dir(spark, "idx_dpp_test")
+    raw = X.transactions(spark, SF_SMALL)
+    write_partitioned(raw, f"{base}/raw", schemas.INGEST_PARTITIONS)
+    write_partitioned(IX.transaction_index(raw), f"{base}/idx", schemas.INGEST_PARTITIONS)
+    idx, txn = spark.read.parquet(f"{base}/idx"), spark.read.parquet(f"{base}/raw")
+    req = txn.filter("id % 50 = 0").select(F.col("id").alias("transaction_id"))
+    pruned = IX.lookup_transactions(idx, txn, req, prune=True)
+    assert "dynamicpruning" in plan_of(pruned).lower()
+    assert "dynamicpruning" not in plan_of(IX.lookup_transactions(idx, txn, req)).lower()
+    assert sorted(map(tuple, pruned.collect())) == sorted(map(tuple, IX.lookup_transactions(idx, txn, req).collect()))

@@ -105,3 +105,18 @@ def test_any_differs_is_null_safe(spark):
     b = spark.createDataFrame([(1, None, "x"), (2, "v", "x"), (3, "a", "y")], "k int, p string, q string").alias("b")
     j = a.join(b, F.col("a.k") == F.col("b.k")).select(F.col("a.k").alias("k"), D.any_differs("a", "b", ["p", "q"]).alias("d"))
     assert [r["d"] for r in rows(j, "k")] == [False, True, True]
+
+
+def test_trailing_newline_matches_like_java(spark):
+    # Java's $ also matches before a final line terminator, so "12\n" is an integer
+    got = rows(one_col(spark, ["12\n"]).select("i", *Q.integer_group("v", "x", "int")))[0]
+    assert got["x"] == 12 and not got["x_unknown_flag"]
+
+
+def test_numeric_correction_into_text_column(spark):
+    from ledgerlake.operators.patch import keyed_patch
+
+    cards = spark.createDataFrame([(1, "$5.00"), (2, "$7.00")], "id long, credit_limit string")
+    fixes = spark.createDataFrame([(1, 99999.0)], "id long, credit_limit double")
+    got = {r["id"]: r["credit_limit"] for r in keyed_patch(cards, fixes).collect()}
+    assert got == {1: "99999.0", 2: "$7.00"}
