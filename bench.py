@@ -85,9 +85,10 @@ def main() -> None:
     timed(
         "users_refined_write",
         lambda: write_partitioned(
-            refine.users_refined(read(f"{base}/raw/users"), current_year=2026),
+            refine.users_refined(P.latest_batch(read(f"{base}/raw/users")), current_year=2026),
             f"{base}/dw/users_refined",
             schemas.USERS_REFINED_PARTITIONS,
+            dynamic=False,
         ),
     )
     timed(

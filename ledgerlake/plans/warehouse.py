@@ -31,6 +31,7 @@ class WarehouseConfig:
     database_location: str | None = None
     register_tables: bool = True
     dedupe_transactions: bool = False
+    keep_user_snapshots: bool = False
 
 
 def _is_table(spark: SparkSession, source: str) -> bool:
@@ -42,6 +43,13 @@ def _read(spark: SparkSession, source: str):
     return spark.table(source) if _is_table(spark, source) else spark.read.parquet(source)
 
 
+def _latest(spark: SparkSession, source: str):
+    """Latest ingest batch of a source; from partition metadata for a catalog table."""
+    if _is_table(spark, source):
+        return latest_batch_of_table(spark, source)
+    return latest_batch(spark.read.parquet(source))
+
+
 def run_warehouse(spark: SparkSession, config: WarehouseConfig, clock: _dt.datetime | str | None = None) -> dict[str, str]:
     """Create the database, refine users, cards and the latest transaction batch.
 
@@ -54,13 +62,12 @@ def run_warehouse(spark: SparkSession, config: WarehouseConfig, clock: _dt.datet
     )
     catalog.ensure_database(spark, config.database, config.database_location)
 
-    users = refine.users_refined(_read(spark, config.users_source), current_year=now.year, load_day_default=now.date())
+    # raw users keeps one full snapshot per ingest day: refine the latest only
+    users = refine.users_refined(
+        _latest(spark, config.users_source), current_year=now.year, load_day_default=now.date()
+    )
     cards = refine.cards_refined(_read(spark, config.cards_scd2_source), current_year=now.year)
-    if _is_table(spark, config.transactions_source):  # batch key from partition metadata
-        source = latest_batch_of_table(spark, config.transactions_source)
-    else:
-        source = latest_batch(spark.read.parquet(config.transactions_source))
-    txns = refine.transactions_refined(source)
+    txns = refine.transactions_refined(_latest(spark, config.transactions_source))
 
     locations = {
         "users_refined": config.users_refined,
@@ -68,7 +75,11 @@ def run_warehouse(spark: SparkSession, config: WarehouseConfig, clock: _dt.datet
         "transactions_refined": config.transactions_refined,
     }
     dedupe = "transaction_id" if config.dedupe_transactions else None
-    write_partitioned(users, config.users_refined, schemas.USERS_REFINED_PARTITIONS)
+    # default: the table is the latest snapshot (static overwrite), as in the
+    # reference; keep_user_snapshots keeps one load_day partition per batch
+    write_partitioned(
+        users, config.users_refined, schemas.USERS_REFINED_PARTITIONS, dynamic=config.keep_user_snapshots
+    )
     # versions span one effective month per batch: without a rebalance every
     # input task would write one small file into every month it holds
     write_partitioned(cards, config.cards_refined_scd2, schemas.CARDS_REFINED_PARTITIONS, rebalance=True)

@@ -131,3 +131,24 @@ def test_append_through_catalog_table(spark):
     assert top == tuple(refine.transactions_dated(refined).selectExpr(
         "max(struct(txn_year, txn_month, txn_day)) AS k").first()["k"])
     assert P.latest_batch_of_table(spark, table, schemas.TRANSACTIONS_REFINED_PARTITIONS).count() > 0
+
+
+def test_warehouse_refines_latest_users_snapshot(spark):
+    from ledgerlake.plans.warehouse import WarehouseConfig, run_warehouse
+    from ledgerlake.operators import scd2
+
+    base = fresh_dir(spark, "warehouse_test")
+    users = X.users(spark, SF_SMALL)
+    write_partitioned(users, f"{base}/raw/users", schemas.INGEST_PARTITIONS)
+    # a second, later ingest day of the same snapshot
+    write_partitioned(users.withColumn("ingest_day", F.lit(24)), f"{base}/raw/users", schemas.INGEST_PARTITIONS)
+    scd2.initial_versions(scd2.normalize_cards(X.cards(spark, SF_SMALL)), "2026-04-23 00:00:00", "b1").write.parquet(f"{base}/scd2")
+    write_partitioned(X.transactions(spark, SF_SMALL), f"{base}/raw/transactions", schemas.INGEST_PARTITIONS)
+    cfg = dict(database="ledgerlake_wh_test", users_source=f"{base}/raw/users", cards_scd2_source=f"{base}/scd2",
+               transactions_source=f"{base}/raw/transactions", users_refined=f"{base}/dw/u",
+               cards_refined_scd2=f"{base}/dw/c", transactions_refined=f"{base}/dw/t",
+               database_location=f"{base}/db", register_tables=False)
+    run_warehouse(spark, WarehouseConfig(**cfg), clock="2026-04-25 00:00:00")
+    u = spark.read.parquet(f"{base}/dw/u")
+    assert u.count() == users.count()
+    assert [str(r[0]) for r in u.select("load_day").distinct().collect()] == ["2026-04-24"]
