@@ -21,6 +21,23 @@ def version_path(base_path: str, version: str) -> str:
     return f"{base_path.rstrip('/')}/version_{safe}"
 
 
+def table_location(spark: SparkSession, table: str) -> str | None:
+    """Location of a catalog table, from its metadata (no file is listed)."""
+    if not spark.catalog.tableExists(table):
+        return None
+    for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect():
+        if row[0] == "Location":
+            return row[1]
+    return None
+
+
+def _same_path(a: str | None, b: str) -> bool:
+    if a is None:
+        return False
+    strip = lambda p: p.split("://", 1)[-1].replace("file:", "").rstrip("/")
+    return strip(a) == strip(b)
+
+
 def point_table(spark: SparkSession, table: str, path: str) -> None:
     """Create the external parquet table, or move it to ``path``."""
     if spark.catalog.tableExists(table):
@@ -42,6 +59,10 @@ def publish_version(
     Returns the version path.
     """
     path = version_path(base_path, version)
+    if table and _same_path(table_location(df.sparkSession, table), path):
+        raise ValueError(
+            f"version {version} is already published as {table}; a rerun must use a new batch id"
+        )
     df.write.mode("overwrite").parquet(path)
     if table:
         point_table(df.sparkSession, table, path)

@@ -152,3 +152,16 @@ def test_warehouse_refines_latest_users_snapshot(spark):
     u = spark.read.parquet(f"{base}/dw/u")
     assert u.count() == users.count()
     assert [str(r[0]) for r in u.select("load_day").distinct().collect()] == ["2026-04-24"]
+
+
+def test_republishing_the_live_version_is_refused(spark):
+    from ledgerlake.sinks.publish import table_location
+
+    base = fresh_dir(spark, "republish_test")
+    table = "ledgerlake_republish_test"
+    path = publish_version(spark.range(3), base, "v1", table=table)
+    assert table_location(spark, table).rstrip("/").endswith(path.split("://")[-1].rstrip("/"))
+    with pytest.raises(ValueError, match="already published"):
+        publish_version(spark.table(table), base, "v1", table=table)
+    publish_version(spark.table(table), base, "v2", table=table)
+    assert spark.table(table).count() == 3
