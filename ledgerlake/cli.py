@@ -69,7 +69,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--clock")
     s.add_argument("--batch-id")
     s.add_argument("--close-missing", action="store_true")
-    s.add_argument("--on-duplicate", choices=["dedupe", "raise"], default="dedupe")
+    s.add_argument("--on-duplicate", choices=["auto", "dedupe", "raise"], default="auto")
 
     s = sub.add_parser("corrections", help="replace columns of keyed rows, write a new snapshot")
     s.add_argument("--source", required=True)

@@ -36,6 +36,36 @@ def duplicate_keys(df: DataFrame, key: str | list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
 
 
+def has_duplicate_keys(df: DataFrame, key: str | list[str]) -> bool:
+    """Whether any key repeats: one small job over the key columns only.
+
+    A hash aggregate of (key, count) with map-side combining; at most one
+    row comes back to the driver.
+    """
+    return bool(duplicate_keys(df, key).limit(1).collect())
+
+
+def one_per_key(df: DataFrame, key: str | list[str], on_duplicate: str = "auto", what: str = "input") -> DataFrame:
+    """At most one row per key, by policy.
+
+    * ``auto`` (default): check for repeated keys first; only if some exist,
+      keep the greatest row per key (:func:`latest_per_key`). With unique
+      keys the frame is returned as it is, so a join on it needs no sort
+      aggregate and stays eligible for AQE's skew-join split.
+    * ``dedupe``: always :func:`latest_per_key`, no check.
+    * ``raise``: ``ValueError`` on a repeated key.
+    * ``keep``: no check, no change.
+    """
+    if on_duplicate == "keep":
+        return df
+    if on_duplicate == "raise":
+        reject_duplicates(df, key, what)
+        return df
+    if on_duplicate == "auto" and not has_duplicate_keys(df, key):
+        return df
+    return latest_per_key(df, key)
+
+
 def reject_duplicates(df: DataFrame, key: str | list[str], what: str = "input") -> None:
     """Raise ``ValueError`` when a key repeats (one small job; reads keys only)."""
     sample = duplicate_keys(df, key).limit(5).collect()

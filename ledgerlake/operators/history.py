@@ -6,9 +6,11 @@ a partner is a DELETE, one whose partner differs in any attribute (NULL-safe)
 is an UPDATE. Left outer keeps the current side splittable by AQE's skew-join
 handling should one key hold many current rows.
 
-The incoming snapshot is first reduced to one row per key (deterministic
-survivor), so no key ever pairs many rows with many rows; rows with a NULL
-key take no part, as they could match nothing.
+The incoming snapshot has at most one row per key when it is joined: a
+key-only check runs first, and only if a key repeats is the greatest row per
+key kept. No key ever pairs many rows with many rows, and with unique input
+the join reads the incoming rows directly, so AQE can split a hot key on the
+current side. Rows with a NULL key take no part, as they could match nothing.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake import schemas
 from ledgerlake.functions.quality import first_present
-from ledgerlake.operators.dedupe import latest_per_key, reject_duplicates
+from ledgerlake.operators.dedupe import one_per_key
 from ledgerlake.operators.lineage import clock_column
 
 KEY = "user_id"
@@ -35,15 +37,10 @@ def normalize_users(df: DataFrame) -> DataFrame:
 
 def _one_per_key(incoming: DataFrame, on_duplicate: str) -> DataFrame:
     keyed = incoming.filter(F.col(KEY).isNotNull())
-    if on_duplicate == "raise":
-        reject_duplicates(keyed, KEY, "incoming snapshot")
-        return keyed
-    if on_duplicate == "keep":
-        return keyed
-    return latest_per_key(keyed, KEY)
+    return one_per_key(keyed, KEY, on_duplicate, "incoming snapshot")
 
 
-def classify_changes(current: DataFrame, incoming: DataFrame, on_duplicate: str = "dedupe") -> DataFrame:
+def classify_changes(current: DataFrame, incoming: DataFrame, on_duplicate: str = "auto") -> DataFrame:
     """Current rows with ``change_type`` UPDATE, DELETE or NULL (unchanged)."""
     inc = _one_per_key(incoming, on_duplicate).select(
         F.col(KEY).alias("_k"), F.struct(*ATTRIBUTES).alias("inc")
@@ -63,7 +60,7 @@ def classify_changes(current: DataFrame, incoming: DataFrame, on_duplicate: str
 
 def row_changed(current: DataFrame, incoming: DataFrame) -> DataFrame:
     """Keys present in both snapshots with a NULL-safe "any attribute differs" flag."""
-    inc = _one_per_key(incoming, "dedupe").alias("inc")
+    inc = _one_per_key(incoming, "auto").alias("inc")
     cur = current.filter(F.col(KEY).isNotNull()).alias("cur")
     joined = cur.join(inc, F.col(f"cur.{KEY}") == F.col(f"inc.{KEY}"), "inner")
     changed = None
@@ -78,13 +75,15 @@ def history_delta(
     incoming: DataFrame,
     detected_at: _dt.datetime | str | None = None,
     batch_id: str = "",
-    on_duplicate: str = "dedupe",
+    on_duplicate: str = "auto",
 ) -> DataFrame:
     """Before images of updated and deleted users with change metadata.
 
     Columns: the 14 business columns, ``change_type``, ``change_detected_at``
     and ``batch_id``. ``on_duplicate`` handles repeated incoming keys:
-    ``dedupe`` (default, deterministic survivor), ``raise`` or ``keep``.
+    ``auto`` (default: keep the greatest row per key, after a key-only check
+    so unique input is joined as it is), ``dedupe``, ``raise`` or ``keep``
+    (see :func:`ledgerlake.operators.dedupe.one_per_key`).
     """
     classified = classify_changes(current, incoming, on_duplicate)
     return classified.filter(F.col("change_type").isNotNull()).select(

@@ -16,8 +16,9 @@ survives) and current rows with a NULL key bypass the join untouched. The
 old version's ``effective_to`` and the new version's ``effective_from`` are
 the same clock value, so intervals are half-open without gaps.
 
-Incoming rows are reduced to one per key first (deterministic survivor, or
-``on_duplicate="raise"``); with at most one current version per key the
+Incoming rows are reduced to one per key first: a key-only check, and only
+if a key repeats the greatest row per key is kept (or ``on_duplicate=
+"raise"`` refuses the batch); with at most one current version per key the
 join is one-to-one, so no key can skew it or multiply rows.
 """
 
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake import schemas
-from ledgerlake.operators.dedupe import latest_per_key, reject_duplicates
+from ledgerlake.operators.dedupe import one_per_key
 from ledgerlake.operators.lineage import clock_column
 
 KEY = "card_id"
@@ -72,17 +73,14 @@ def initial_versions(incoming: DataFrame, effective_at: _dt.datetime | str | Non
 
 def _one_per_key(incoming: DataFrame, on_duplicate: str) -> DataFrame:
     keyed = incoming.select(*schemas.CARD_COLUMNS).filter(F.col(KEY).isNotNull())
-    if on_duplicate == "raise":
-        reject_duplicates(keyed, KEY, "incoming cards")
-        return keyed
-    return latest_per_key(keyed, KEY)
+    return one_per_key(keyed, KEY, on_duplicate, "incoming cards")
 
 
 def _is_current() -> Column:
     return F.col("is_current").eqNullSafe(F.lit(True))
 
 
-def diff(existing: DataFrame, incoming: DataFrame, on_duplicate: str = "dedupe") -> DataFrame:
+def diff(existing: DataFrame, incoming: DataFrame, on_duplicate: str = "auto") -> DataFrame:
     """Current versions FULL OUTER incoming rows, with an ``action`` per pair.
 
     Columns: ``card_id``, ``cur`` (struct of the version, NULL if absent),
@@ -146,7 +144,7 @@ def merge(
     effective_at: _dt.datetime | str | None = None,
     batch_id: str = "",
     close_missing: bool = False,
-    on_duplicate: str = "dedupe",
+    on_duplicate: str = "auto",
 ) -> DataFrame:
     """New state of the dimension after one incoming snapshot.
 

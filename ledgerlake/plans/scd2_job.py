@@ -19,7 +19,7 @@ def run_cards_scd2(
     clock: _dt.datetime | str,
     batch_id: str | None = None,
     close_missing: bool = False,
-    on_duplicate: str = "dedupe",
+    on_duplicate: str = "auto",
 ) -> str:
     """Create or extend the dimension behind catalog table ``table``.
 

@@ -66,3 +66,72 @@ def test_keyed_patch_and_corrections_job(spark):
     assert got[3]["x"] is None and got[3]["y"] == "t" and got[5]["x"] == 1 and got[6]["x"] == 12
     assert out.count() == 100
     assert keyed_patch(src, fixes.select("id", "y")).filter("y = 's'").count() == 98
+
+
+import contextlib  # noqa: E402
+
+
+@contextlib.contextmanager
+def confs(spark, **settings):
+    """Temporarily set session confs (test only; the library never does)."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+LARGE_DATA_MODE = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+def test_history_join_is_split_for_a_hot_key(spark):
+    from tests.conftest import plan_of
+
+    attrs = schemas.USER_COLUMNS[1:]
+    ddl = "id long, " + ", ".join(f"{c} string" for c in attrs)
+    pad = ["x" * 40] * (len(attrs) - 1)
+    cur = [(1, "a", *pad)] * 3000 + [(k, "a", *pad) for k in range(2, 500)]
+    inc = [(1, "b", *pad)] + [(k, "a", *pad) for k in range(2, 400)]
+    with confs(spark, **LARGE_DATA_MODE):
+        delta = H.history_delta(
+            H.normalize_users(spark.createDataFrame(cur, ddl).repartition(8)),
+            H.normalize_users(spark.createDataFrame(inc, ddl)),
+            "2026-04-24 00:00:00", "b",
+        )
+        counts = {r["change_type"]: r["count"] for r in delta.groupBy("change_type").count().collect()}
+        delta.collect()
+        final = plan_of(delta, "simple")
+    assert counts == {"UPDATE": 3000, "DELETE": 100}
+    assert "SortMergeJoin" in final and "skew=true" in final, final
+
+
+def test_append_spreads_a_hot_day_over_writers(spark):
+    from ledgerlake.operators import refine
+    from ledgerlake.sinks.writers import append_refined_transactions
+    from ledgerlake.sources import tpch_fixtures as X
+    from tests.conftest import SF_SMALL
+
+    raw = X.transactions(spark, SF_SMALL)
+    # a third of all rows on one day
+    hot = raw.withColumn("date", F.when(F.col("id") % 3 == 0, F.lit("1998-01-01 00:00:00")).otherwise(F.col("date")))
+    path = fresh_dir(spark, "hot_day_test")
+    with confs(spark, **LARGE_DATA_MODE):
+        append_refined_transactions(refine.transactions_refined(hot), path)
+    back = spark.read.schema(schemas.TRANSACTIONS_REFINED).parquet(path)
+    day = back.filter("txn_year = 1998 AND txn_month = 1 AND txn_day = 1")
+    assert day.count() >= raw.count() // 3
+    assert len(day.inputFiles()) > 1  # the hot day was split over several writers
+    assert back.count() == refine.transactions_dated(refine.transactions_refined(hot)).count()
