@@ -79,11 +79,14 @@ def lookup_transactions(index: DataFrame, transactions: DataFrame, ids, prune: b
         values = [int(ids)] if isinstance(ids, (int, str)) else [int(v) for v in ids]
         records = records.filter(F.col("id").isin(values))
     txn = records.alias("txn")
-    cond = F.col("idx.transaction_id") == F.col("txn.id")
+    cond = F.col("txn.id") == F.col("idx.transaction_id")
     if prune:
         for p in schemas.INGEST_PARTITIONS:
-            cond = cond & (F.col(f"idx.{p}") == F.col(f"txn.{p}"))
-    return hits.join(txn, cond, "inner").select(
+            cond = cond & (F.col(f"txn.{p}") == F.col(f"idx.{p}"))
+    # records on the left: in a sort-merge join the left side is streamed and
+    # the right side buffered per key, so an id repeated across many records
+    # is streamed past the single index row instead of being buffered
+    return txn.join(hits, cond, "inner").select(
         *[F.col(f"idx.{c}") for c in schemas.INDEX_COLUMNS],
         *[F.col(f"txn.{c}") for c in schemas.LOOKUP_RECORD_COLUMNS],
     )

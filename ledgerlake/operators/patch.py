@@ -5,8 +5,10 @@ with ``when(id = k, v).otherwise(col)``. Generalised: a corrections
 DataFrame (key + new values) is joined on the key and each corrected column
 becomes ``CASE WHEN matched THEN new ELSE old``. The match marker is the
 presence of the correction row, so a correction may set a value to NULL.
-Corrections are reduced to one row per key first; the left outer join keeps
-every input row, and AQE broadcasts the corrections when they are small.
+Corrections are reduced to one row per key first (checked, and
+de-duplicated only if a key repeats); the left outer join keeps every input
+row, streams the table side (a hot key there stays splittable by AQE) and
+AQE broadcasts the corrections when they are small.
 """
 
 from __future__ import annotations
@@ -14,10 +16,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.dedupe import latest_per_key
+from ledgerlake.operators.dedupe import one_per_key
 
 
-def keyed_patch(df: DataFrame, corrections: DataFrame, key: str = "id") -> DataFrame:
+def keyed_patch(df: DataFrame, corrections: DataFrame, key: str = "id", on_duplicate: str = "auto") -> DataFrame:
     """``df`` with the columns named in ``corrections`` replaced where the key matches.
 
     New values are cast to the type of the column they replace.
@@ -26,7 +28,7 @@ def keyed_patch(df: DataFrame, corrections: DataFrame, key: str = "id") -> DataF
     unknown = [c for c in fixed if c not in df.columns]
     if unknown:
         raise ValueError(f"corrections name columns the table lacks: {unknown}")
-    one = latest_per_key(corrections.filter(F.col(key).isNotNull()), key)
+    one = one_per_key(corrections.filter(F.col(key).isNotNull()), key, on_duplicate, "corrections")
     fix = one.select(F.col(key).alias("_fix_key"), F.struct(*fixed).alias("_fix"))
     joined = df.join(fix, df[key] == fix["_fix_key"], "left_outer")
     types = dict((f.name, f.dataType) for f in df.schema.fields)
