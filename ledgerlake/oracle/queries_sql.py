@@ -91,6 +91,7 @@ ORACLE["month_keys"] = with_chain(
 # --- batches -------------------------------------------------------------------
 
 ORACLE["latest_batch"] = with_chain([LATEST], "SELECT * FROM latest", ["transactions"])
+ORACLE["latest_batch_catalog"] = ORACLE["latest_batch"]
 ORACLE["batch_days"] = with_chain(
     [], "SELECT DISTINCT ingest_year, ingest_month, ingest_day FROM transactions", ["transactions"]
 )

@@ -53,6 +53,15 @@ def register(fn: Query) -> Query:
     return fn
 
 
+def _read_back(spark, path, like: DataFrame) -> DataFrame:
+    """Read a written table with the schema it was written with (no type inference)."""
+    return spark.read.schema(like.schema).parquet(path).select(*like.columns)
+
+
+def _unique(prefix: str) -> str:
+    return f"{prefix}_{uuid.uuid4().hex[:10]}"
+
+
 # --- quality rules and column groups --------------------------------------
 
 @register
@@ -175,6 +184,19 @@ def q_latest_batch(spark, sf):
     return P.latest_batch(X.transactions(spark, sf))
 
 
+@register
+def q_latest_batch_catalog(spark, sf):
+    """Latest batch of a registered, partitioned raw table, keyed from SHOW PARTITIONS."""
+    base = fresh_dir(spark, "raw_catalog")
+    raw = X.transactions(spark, sf)
+    write_partitioned(raw, f"{base}/transactions", schemas.INGEST_PARTITIONS)
+    database = _unique("ledgerlake_raw")
+    catalog.ensure_database(spark, database, f"{base}/db")
+    table = f"`{database}`.`transactions`"
+    catalog.register_table(spark, table, raw.schema, schemas.INGEST_PARTITIONS, f"{base}/transactions")
+    return P.latest_batch_of_table(spark, table).select(*raw.columns)
+
+
 @register
 def q_batch_days(spark, sf):
     return P.batch_days(X.transactions(spark, sf))
@@ -306,15 +328,6 @@ def q_keyed_patch(spark, sf):
 # --- sinks: write, read back (each run writes below a fresh shared directory) --------
 
 
-def _read_back(spark, path, like: DataFrame) -> DataFrame:
-    """Read a written table with the schema it was written with (no type inference)."""
-    return spark.read.schema(like.schema).parquet(path).select(*like.columns)
-
-
-def _unique(prefix: str) -> str:
-    return f"{prefix}_{uuid.uuid4().hex[:10]}"
-
-
 @register
 def q_raw_ingest_roundtrip(spark, sf):
     base = fresh_dir(spark, "raw")
