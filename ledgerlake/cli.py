@@ -106,7 +106,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         for spec in default_specs(f"{args.base.rstrip('/')}/raw"):
             if spec.name == "transactions" and args.partition_column:
                 spec = IngestSpec(spec.name, spec.dbtable, spec.output_path, spec.table_source, spec.fetchsize,
-                                  args.partition_column, args.num_partitions or spark.sparkContext.defaultParallelism)
+                                  args.partition_column, args.num_partitions or spark.sparkContext.defaultParallelism,
+                                  spec.write_partitions)
             specs.append(spec)
         out["written"] = run_raw_ingest(specs, jdbc_reader(spark, args.url, **conn), _clock(args.clock),
                                         dynamic=not args.static_overwrite)

@@ -165,3 +165,13 @@ def test_republishing_the_live_version_is_refused(spark):
         publish_version(spark.table(table), base, "v1", table=table)
     publish_version(spark.table(table), base, "v2", table=table)
     assert spark.table(table).count() == 3
+
+
+def test_ingest_spreads_an_unsplit_read(spark):
+    from ledgerlake.plans.ingest import ingest_frame
+
+    one_task = X.load(spark, SF_SMALL, "orders").coalesce(1)
+    spec = IngestSpec("t", "orders", "/unused", "x", write_partitions=4)
+    assert ingest_frame(one_task, spec, "2026-04-23 00:00:00").rdd.getNumPartitions() == 4
+    split = IngestSpec("t", "orders", "/unused", "x", partition_column="o_orderkey", num_partitions=4, write_partitions=4)
+    assert ingest_frame(one_task, split, "2026-04-23 00:00:00").rdd.getNumPartitions() == 1
