@@ -28,6 +28,10 @@ CURRENCY_CODE_PREFIXED = "USD"
 CURRENCY_CODE_OTHER = "UNKNOWN"
 # ---------------------------------------------------------------------------
 
+# Our own option (not a reference rule): money text with a minus before or
+# after the dollar sign, for ``signed=True``.
+SIGNED_CURRENCY_TEXT = r"^(-\$?|\$-?)?[0-9,]+(\.[0-9]+)?$"
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -52,9 +56,9 @@ def is_decimal_text(c: Column | str) -> Column:
     return as_text(c).rlike(DECIMAL_TEXT)
 
 
-def is_currency_text(c: Column | str) -> Column:
-    """Optional ``$``, digits and commas, optional fraction; no minus."""
-    return as_text(c).rlike(CURRENCY_TEXT)
+def is_currency_text(c: Column | str, signed: bool = False) -> Column:
+    """Optional ``$``, digits and commas, optional fraction; no minus unless ``signed``."""
+    return as_text(c).rlike(SIGNED_CURRENCY_TEXT if signed else CURRENCY_TEXT)
 
 
 def currency_amount_text(c: Column | str) -> Column:
@@ -100,14 +104,16 @@ def decimal_group(source: Column | str, out: str, raw: str | None = None) -> lis
     ]
 
 
-def currency_group(source: Column | str, raw: str, amount: str, currency: str) -> list[Column]:
+def currency_group(source: Column | str, raw: str, amount: str, currency: str, signed: bool = False) -> list[Column]:
     """Raw text, two flags, DOUBLE amount and a currency code.
 
     A value failing the money pattern - blank included - gets ``UNKNOWN`` as
     its code, so the NULL branch of :func:`currency_code` is not reached here.
+    ``signed=True`` accepts a minus before or after the ``$`` (``$-77.00``
+    reads as -77.0) where the reference's rule makes it unknown.
     """
     src = _col(source)
-    valid = is_currency_text(src)
+    valid = is_currency_text(src, signed)
     return [
         as_text(src).alias(raw),
         is_blank(src).alias(f"{amount}_null_flag"),

@@ -2,9 +2,9 @@
 
 Each builder is two ``select`` layers: layer 1 reads only source columns and
 emits the quality groups, layer 2 derives outliers and groups from the typed
-values and casts to the declared schema in its order. Catalyst collapses both
-into one projection, so a builder is a narrow, shuffle-free map over the scan
-and only the source columns it names are read.
+values and casts to the declared schema in its order. Both run in one
+whole-stage-codegen stage over the scan: a builder is a narrow, shuffle-free
+map, and only the source columns it names are read.
 """
 
 from __future__ import annotations
@@ -33,9 +33,13 @@ def users_refined(
     source: DataFrame,
     current_year: int | None = None,
     load_day_default: Column | str | _dt.date | None = None,
+    signed_money: bool = False,
 ) -> DataFrame:
     """users_refined (59 columns, ``load_day`` last).
 
+    ``signed_money=True`` reads negative money text instead of flagging it
+    unknown (see :func:`ledgerlake.functions.quality.currency_group`).
+
     ``current_year`` bounds the birth-year outlier (default: this year).
     ``load_day`` comes from the ingest parts when all three exist, else from
     ``load_day_default`` (default: today).
@@ -50,7 +54,7 @@ def users_refined(
     layer1 += Q.decimal_group("latitude", "latitude")
     layer1 += Q.decimal_group("longitude", "longitude")
     for name in ["per_capita_income", "yearly_income", "total_debt"]:
-        layer1 += Q.currency_group(name, f"{name}_raw", f"{name}_amount", f"{name}_currency")
+        layer1 += Q.currency_group(name, f"{name}_raw", f"{name}_amount", f"{name}_currency", signed_money)
     layer1 += [F.col("gender"), F.col("address")]
     if Q.has_columns(cols, schemas.INGEST_PARTITIONS):
         layer1.append(D.day_from_parts(*schemas.INGEST_PARTITIONS).alias("load_day"))
@@ -71,7 +75,7 @@ def users_refined(
     return _cast_to(step, schemas.USERS_REFINED)
 
 
-def cards_refined(source: DataFrame, current_year: int | None = None) -> DataFrame:
+def cards_refined(source: DataFrame, current_year: int | None = None, signed_money: bool = False) -> DataFrame:
     """cards_refined_scd2 (39 columns, effective year and month last).
 
     The source is the cards type 2 dimension: business columns plus
@@ -85,7 +89,7 @@ def cards_refined(source: DataFrame, current_year: int | None = None) -> DataFra
     layer1 = list(Q.integer_group(key, "card_id", "bigint"))
     layer1 += Q.integer_group("client_id", "client_id", "bigint")
     layer1 += Q.integer_group("num_cards_issued", "num_cards_issued", "int")
-    layer1 += Q.currency_group(limit, "credit_limit_raw", "credit_limit_amount", "credit_limit_currency")
+    layer1 += Q.currency_group(limit, "credit_limit_raw", "credit_limit_amount", "credit_limit_currency", signed_money)
     layer1 += Q.integer_group("year_pin_last_changed", "year_pin_last_changed", "int")
     layer1 += D.month_year_group("acct_open_date" if "acct_open_date" in cols else None, "acct_open_date")
     layer1 += [F.col(c) for c in ["card_brand", "card_type", "card_number", "expires", "cvv", "has_chip", "card_on_dark_web"]]
@@ -103,7 +107,7 @@ def cards_refined(source: DataFrame, current_year: int | None = None) -> DataFra
     return _cast_to(step, schemas.CARDS_REFINED)
 
 
-def transactions_refined(source: DataFrame, currency_from_raw: bool = False) -> DataFrame:
+def transactions_refined(source: DataFrame, currency_from_raw: bool = False, signed_money: bool = False) -> DataFrame:
     """transactions_refined (28 columns, txn year, month and day last).
 
     When source and output are both ``amount`` the reference derives the
@@ -117,7 +121,7 @@ def transactions_refined(source: DataFrame, currency_from_raw: bool = False) ->
     amount = Q.first_present(cols, "amount", "amount_raw")
     when = Q.first_present(cols, "date", "txn_timestamp")
 
-    money = Q.currency_group(amount, "amount_raw", "amount", "amount_currency")
+    money = Q.currency_group(amount, "amount_raw", "amount", "amount_currency", signed_money)
     if not currency_from_raw and amount == "amount":
         money[-1] = F.lit(Q.CURRENCY_CODE_OTHER).alias("amount_currency")
 

@@ -120,3 +120,28 @@ def test_numeric_correction_into_text_column(spark):
     fixes = spark.createDataFrame([(1, 99999.0)], "id long, credit_limit double")
     got = {r["id"]: r["credit_limit"] for r in keyed_patch(cards, fixes).collect()}
     assert got == {1: "99999.0", 2: "$7.00"}
+
+
+def test_signed_money_option(spark):
+    vals = ["$-77.00", "-$77.00", "-77", "$77", "--77", "$-", "-"]
+    df = one_col(spark, vals).select("i", *Q.currency_group("v", "raw", "amt", "cur", signed=True))
+    got = {r["i"]: r for r in rows(df)}
+    assert [got[i]["amt"] for i in range(4)] == [-77.0, -77.0, -77.0, 77.0]
+    assert [got[i]["cur"] for i in range(4)] == ["USD", "UNKNOWN", "UNKNOWN", "USD"]
+    assert all(got[i]["amt_unknown_flag"] for i in (4, 5, 6))
+    # the default rule stays the reference's: a minus makes the value unknown
+    default = {r["i"]: r for r in rows(one_col(spark, vals).select("i", *Q.currency_group("v", "raw", "amt", "cur")))}
+    assert default[0]["amt"] is None and default[0]["amt_unknown_flag"]
+
+
+def test_signed_money_in_transactions(spark):
+    from ledgerlake.operators import refine
+    from ledgerlake.sources import tpch_fixtures as X
+    from tests.conftest import SF_SMALL
+
+    src = X.transactions(spark, SF_SMALL)
+    negative = src.filter(F.col("amount").startswith("$-")).count()
+    assert negative > 0
+    out = refine.transactions_refined(src, signed_money=True)
+    assert out.filter("amount < 0").count() == negative
+    assert out.filter("amount_unknown_flag").count() == 0
