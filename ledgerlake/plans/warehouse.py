@@ -32,6 +32,8 @@ class WarehouseConfig:
     register_tables: bool = True
     dedupe_transactions: bool = False
     keep_user_snapshots: bool = False
+    signed_money: bool = False          # D9: read negative money text
+    currency_from_raw: bool = False     # D4: transaction currency code from the raw text
 
 
 def _is_table(spark: SparkSession, source: str) -> bool:
@@ -64,10 +66,17 @@ def run_warehouse(spark: SparkSession, config: WarehouseConfig, clock: _dt.datet
 
     # raw users keeps one full snapshot per ingest day: refine the latest only
     users = refine.users_refined(
-        _latest(spark, config.users_source), current_year=now.year, load_day_default=now.date()
+        _latest(spark, config.users_source), current_year=now.year, load_day_default=now.date(),
+        signed_money=config.signed_money,
+    )
+    cards = refine.cards_refined(
+        _read(spark, config.cards_scd2_source), current_year=now.year, signed_money=config.signed_money
+    )
+    txns = refine.transactions_refined(
+        _latest(spark, config.transactions_source),
+        currency_from_raw=config.currency_from_raw,
+        signed_money=config.signed_money,
     )
-    cards = refine.cards_refined(_read(spark, config.cards_scd2_source), current_year=now.year)
-    txns = refine.transactions_refined(_latest(spark, config.transactions_source))
 
     locations = {
         "users_refined": config.users_refined,
