@@ -1,0 +1,32 @@
+"""The streaming append refines each arriving raw file exactly once."""
+
+from pyspark.sql import functions as F
+
+from ledgerlake import schemas
+from ledgerlake.operators import refine
+from ledgerlake.session import fresh_dir
+from ledgerlake.sinks.writers import write_partitioned
+from ledgerlake.sources import tpch_fixtures as X
+from ledgerlake.streaming.transactions_stream import start_transactions_append
+from tests.conftest import SF_SMALL
+
+
+def test_new_ingest_day_is_appended_once(spark):
+    base = fresh_dir(spark, "stream_test")
+    raw = X.transactions(spark, SF_SMALL)
+    schema = raw.schema
+    early, late = raw.filter("ingest_day < 23"), raw.filter("ingest_day = 23")
+    write_partitioned(early, f"{base}/raw", schemas.INGEST_PARTITIONS)
+
+    def run():
+        q = start_transactions_append(spark, f"{base}/raw", f"{base}/out", f"{base}/ckpt", schema)
+        q.awaitTermination()
+        return spark.read.schema(schemas.TRANSACTIONS_REFINED).parquet(f"{base}/out")
+
+    dated = lambda df: refine.transactions_dated(refine.transactions_refined(df)).count()
+    assert run().count() == dated(early)
+    write_partitioned(late, f"{base}/raw", schemas.INGEST_PARTITIONS)  # a new day arrives
+    out = run()
+    assert out.count() == dated(raw)
+    assert out.groupBy("transaction_id").count().filter(F.col("count") > 1).count() == 0
+    assert run().count() == dated(raw)  # nothing new: nothing appended
