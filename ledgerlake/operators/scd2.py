@@ -60,9 +60,21 @@ def normalize_cards(df: DataFrame) -> DataFrame:
     )
 
 
-def initial_versions(incoming: DataFrame, effective_at: _dt.datetime | str | None = None, batch_id: str = "") -> DataFrame:
-    """First load: every incoming row becomes a current version."""
-    return incoming.select(
+def initial_versions(
+    incoming: DataFrame,
+    effective_at: _dt.datetime | str | None = None,
+    batch_id: str = "",
+    on_duplicate: str = "auto",
+) -> DataFrame:
+    """First load: every incoming row becomes a current version.
+
+    Keys are made unique first with the same policy as the merge, so the
+    dimension starts with at most one current version per key; rows with a
+    NULL key are loaded as they are, as in the reference.
+    """
+    keyed = _one_per_key(incoming, on_duplicate)
+    unkeyed = incoming.select(*schemas.CARD_COLUMNS).filter(F.col(KEY).isNull())
+    return keyed.unionByName(unkeyed).select(
         *schemas.CARD_COLUMNS,
         clock_column(effective_at).alias("effective_from"),
         F.lit(None).cast("timestamp").alias("effective_to"),

@@ -20,7 +20,7 @@ def cards(spark, data):
 
 
 def check_invariants(df):
-    cur = df.filter(F.col("is_current") == True).groupBy("card_id").count()  # noqa: E712
+    cur = df.filter((F.col("is_current") == True) & F.col("card_id").isNotNull()).groupBy("card_id").count()  # noqa: E712
     assert cur.filter(F.col("count") > 1).count() == 0
     # closed versions end where the next one starts; current ones are open
     assert df.filter((F.col("is_current") == True) & F.col("effective_to").isNotNull()).count() == 0  # noqa: E712
@@ -105,3 +105,10 @@ def test_updated_keys_closed_and_kept_partition_the_existing_rows(spark):
     kept = S.kept_versions(v1, inc)
     assert closed.count() + kept.count() == v1.count()
     assert [r["card_id"] for r in rows(S.insert_rows(v1, inc, T2, "b2"))] == [4]
+
+
+def test_initial_load_keeps_one_current_version_per_key(spark):
+    v1 = S.initial_versions(cards(spark, [(1, "a"), (1, "b"), (None, "n"), (None, "m"), (2, "c")]), T1, "b1")
+    got = sorted((r["card_id"] is None, r["card_id"], r["card_brand"]) for r in v1.collect())
+    assert got == [(False, 1, "b"), (False, 2, "c"), (True, None, "m"), (True, None, "n")]
+    check_invariants(v1)
