@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +35,11 @@ def transaction_index(transactions: DataFrame, survivor: str = "latest") -> Data
     return latest_per_key(slim, "transaction_id", order=LATEST_INGEST)
 
 
+def _literal_ids(ids) -> list[int]:
+    """An id or an iterable of ids as a list of ints (given by the caller, so bounded)."""
+    return [int(ids)] if isinstance(ids, (int, str)) else [int(v) for v in ids]
+
+
 def _ids_frame(ids, column: str = "transaction_id") -> DataFrame:
     return ids.select(F.col(ids.columns[0]).cast("long").alias(column)) if len(ids.columns) == 1 else ids.select(column)
 
@@ -51,8 +54,7 @@ def find_in_index(index: DataFrame, ids) -> DataFrame:
         # distinct first: a repeated request id collapses map-side instead of
         # landing whole in one shuffle partition
         return index.join(_ids_frame(ids).distinct(), "transaction_id", "left_semi")
-    values = [int(ids)] if isinstance(ids, (int, str)) else [int(v) for v in ids]
-    return index.filter(F.col("transaction_id").isin(values))
+    return index.filter(F.col("transaction_id").isin(_literal_ids(ids)))
 
 
 def missing_ids(index: DataFrame, ids) -> DataFrame:
@@ -60,7 +62,7 @@ def missing_ids(index: DataFrame, ids) -> DataFrame:
     if isinstance(ids, DataFrame):
         req = _ids_frame(ids).distinct()
     else:
-        values = [int(ids)] if isinstance(ids, (int, str)) else sorted({int(v) for v in ids})
+        values = sorted(set(_literal_ids(ids)))
         req = index.sparkSession.createDataFrame([(v,) for v in values], "transaction_id long")
     return req.join(index.select("transaction_id"), "transaction_id", "left_anti")
 
@@ -76,8 +78,7 @@ def lookup_transactions(index: DataFrame, transactions: DataFrame, ids, prune: b
     hits = find_in_index(index, ids).alias("idx")
     records = transactions
     if not isinstance(ids, DataFrame):
-        values = [int(ids)] if isinstance(ids, (int, str)) else [int(v) for v in ids]
-        records = records.filter(F.col("id").isin(values))
+        records = records.filter(F.col("id").isin(_literal_ids(ids)))
     txn = records.alias("txn")
     cond = F.col("txn.id") == F.col("idx.transaction_id")
     if prune:
