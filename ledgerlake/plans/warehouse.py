@@ -84,6 +84,11 @@ def run_warehouse(spark: SparkSession, config: WarehouseConfig, clock: _dt.datet
         "transactions_refined": config.transactions_refined,
     }
     dedupe = "transaction_id" if config.dedupe_transactions else None
+    table = {name: f"`{config.database}`.`{name}`" for name in locations}
+    if config.register_tables:
+        # tables are created once; partition recovery (a listing of every
+        # partition) runs only then
+        catalog.register_refined_tables(spark, config.database, locations, recover=False)
     # default: the table is the latest snapshot (static overwrite), as in the
     # reference; keep_user_snapshots keeps one load_day partition per batch
     write_partitioned(
@@ -93,12 +98,11 @@ def run_warehouse(spark: SparkSession, config: WarehouseConfig, clock: _dt.datet
     # input task would write one small file into every month it holds
     write_partitioned(cards, config.cards_refined_scd2, schemas.CARDS_REFINED_PARTITIONS, rebalance=True)
     if config.register_tables:
-        # the append goes through the catalog table: only the touched
-        # partitions are listed, and new partitions are registered as written
-        catalog.register_refined_tables(spark, config.database, locations)
-        append_refined_transactions(
-            txns, table=f"`{config.database}`.`transactions_refined`", dedupe_on=dedupe
-        )
+        catalog.sync_partitions(spark, table["users_refined"])
+        catalog.sync_partitions(spark, table["cards_refined_scd2"])
+        # through the catalog table: only the touched partitions are listed,
+        # and insertInto registers the new ones
+        append_refined_transactions(txns, table=table["transactions_refined"], dedupe_on=dedupe)
     else:
         append_refined_transactions(txns, config.transactions_refined, dedupe_on=dedupe)
     LOG.info("warehouse refine done: %s", locations)

@@ -41,24 +41,48 @@ def refined_table_ddls(database: str, locations: dict[str, str]) -> dict[str, st
     return out
 
 
-def register_table(spark: SparkSession, qualified_name: str, schema: T.StructType, partitions: list[str], location: str) -> None:
-    """Create the external table and register the partitions found on disk."""
+def register_table(
+    spark: SparkSession,
+    qualified_name: str,
+    schema: T.StructType,
+    partitions: list[str],
+    location: str,
+    recover: bool = True,
+) -> bool:
+    """Create the external table; register the partitions found on disk.
+
+    Recovery lists every partition directory, so with ``recover=False`` it
+    runs only when the table is new. Returns whether the table was created.
+    """
+    existed = spark.catalog.tableExists(qualified_name)
     spark.sql(table_ddl(qualified_name, schema, partitions, location))
-    if partitions:
+    if partitions and (recover or not existed):
         try:
             spark.catalog.recoverPartitions(qualified_name)
         except Exception as err:  # a new, still empty location has nothing to recover
             if "FileNotFoundException" not in str(err):
                 raise
+    return not existed
+
+
+def sync_partitions(spark: SparkSession, qualified_name: str) -> None:
+    """Add partitions found on disk and drop those whose directory is gone.
+
+    For tables rewritten through their path (a few partitions each); appends
+    through ``insertInto`` register their partitions themselves.
+    """
+    spark.sql(f"MSCK REPAIR TABLE {qualified_name} SYNC PARTITIONS")
 
 
-def register_refined_tables(spark: SparkSession, database: str, locations: dict[str, str]) -> list[str]:
+def register_refined_tables(
+    spark: SparkSession, database: str, locations: dict[str, str], recover: bool = True
+) -> list[str]:
     """Create the database and the refined tables at the given locations."""
     ensure_database(spark, database)
     names = []
     for name, (schema, parts) in schemas.REFINED_TABLES.items():
         if name in locations:
             qualified = f"`{database}`.`{name}`"
-            register_table(spark, qualified, schema, parts, locations[name])
+            register_table(spark, qualified, schema, parts, locations[name], recover=recover)
             names.append(qualified)
     return names

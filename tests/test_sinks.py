@@ -175,3 +175,26 @@ def test_ingest_spreads_an_unsplit_read(spark):
     assert ingest_frame(one_task, spec, "2026-04-23 00:00:00").rdd.getNumPartitions() == 4
     split = IngestSpec("t", "orders", "/unused", "x", partition_column="o_orderkey", num_partitions=4, write_partitions=4)
     assert ingest_frame(one_task, split, "2026-04-23 00:00:00").rdd.getNumPartitions() == 1
+
+
+def test_warehouse_reruns_through_catalog_tables(spark):
+    from ledgerlake.operators import scd2
+    from ledgerlake.plans.warehouse import WarehouseConfig, run_warehouse
+
+    base = fresh_dir(spark, "warehouse_rerun_test")
+    users = X.users(spark, SF_SMALL)
+    write_partitioned(users, f"{base}/raw/users", schemas.INGEST_PARTITIONS)
+    scd2.initial_versions(scd2.normalize_cards(X.cards(spark, SF_SMALL)), "2026-04-23 00:00:00", "b1").write.parquet(f"{base}/scd2")
+    raw = X.transactions(spark, SF_SMALL)
+    write_partitioned(raw, f"{base}/raw/transactions", schemas.INGEST_PARTITIONS)
+    db = "ledgerlake_rerun_test"
+    cfg = WarehouseConfig(database=db, users_source=f"{base}/raw/users", cards_scd2_source=f"{base}/scd2",
+                          transactions_source=f"{base}/raw/transactions", users_refined=f"{base}/dw/u",
+                          cards_refined_scd2=f"{base}/dw/c", transactions_refined=f"{base}/dw/t",
+                          database_location=f"{base}/db", dedupe_transactions=True)
+    for _ in range(2):
+        run_warehouse(spark, cfg, clock="2026-04-25 00:00:00")
+    latest = refine.transactions_dated(refine.transactions_refined(P.latest_batch(raw))).count()
+    assert spark.table(f"{db}.users_refined").count() == users.count()
+    assert spark.table(f"{db}.cards_refined_scd2").count() == X.cards(spark, SF_SMALL).count()
+    assert spark.table(f"{db}.transactions_refined").count() == latest
