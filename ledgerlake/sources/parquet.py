@@ -111,10 +111,15 @@ def latest_batch(df: DataFrame, parts: list[str] | None = None) -> DataFrame:
 def latest_batch_lazy(df: DataFrame, parts: list[str] | None = None) -> DataFrame:
     """Same rows as :func:`latest_batch` without a driver round trip.
 
-    A left-semi join against the one-row maximum; Spark turns it into a
-    broadcast of one row and, on a partitioned table, a dynamic partition
-    filter. Useful where the caller must stay lazy (streaming, views).
+    A left-semi join against the one-row maximum (broadcast by Spark). For
+    callers that must stay lazy (views, streaming-style composition). It does
+    not prune partitions: Spark adds dynamic partition pruning only when the
+    other join side has a selective filter, which a bare maximum is not. For
+    a partitioned table prefer :func:`latest_batch` (literal partition filter)
+    or :func:`latest_batch_of_table` (catalog metadata).
     """
     parts = parts or schemas.INGEST_PARTITIONS
     top = df.select(F.max(F.struct(*parts)).alias("k")).select(*[F.col(f"k.{p}").alias(p) for p in parts])
-    return df.join(top, on=[df[p].eqNullSafe(top[p]) for p in parts], how="left_semi")
+    # plain equality on the partition columns (not <=>): a NULL part never
+    # matches, as with the literal filter, and DPP needs bare column keys
+    return df.join(top, on=parts, how="left_semi")
