@@ -129,6 +129,7 @@ ORACLE["txn_lookup"] = with_chain(
     "WHERE i.transaction_id IN (SELECT transaction_id FROM req)",
     ["transactions", "transactions_dup"],
 )
+ORACLE["txn_lookup_pruned"] = ORACLE["txn_lookup"]
 ORACLE["txn_lookup_missing"] = with_chain(
     _index_of("transactions") + [_REQ],
     "SELECT r.transaction_id FROM req r WHERE NOT EXISTS "

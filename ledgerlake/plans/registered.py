@@ -226,6 +226,19 @@ def q_txn_lookup(spark, sf):
     return IX.lookup_transactions(IX.transaction_index(txn), txn, _lookup_requests(spark, sf))
 
 
+@register
+def q_txn_lookup_pruned(spark, sf):
+    """The same lookup over partitioned tables, joined on the ingest columns too.
+
+    The record scan is pruned at run time to the days the index rows point at.
+    """
+    base = fresh_dir(spark, "lookup")
+    write_partitioned(X.transactions(spark, sf), f"{base}/raw", schemas.INGEST_PARTITIONS)
+    build_index(spark, f"{base}/raw", f"{base}/index")
+    index, txn = spark.read.parquet(f"{base}/index"), spark.read.parquet(f"{base}/raw")
+    return IX.lookup_transactions(index, txn, _lookup_requests(spark, sf), prune=True)
+
+
 @register
 def q_txn_lookup_missing(spark, sf):
     txn = X.transactions(spark, sf)
