@@ -435,7 +435,9 @@ def q_catalog_register(spark, sf):
     database = _unique("ledgerlake_dw")
     location = f"{base}/transactions_refined"
     append_refined_transactions(refine.transactions_refined(X.transactions(spark, sf)), location)
-    catalog.register_refined_tables(spark, database, {"transactions_refined": location})
+    catalog.register_refined_tables(
+        spark, database, {"transactions_refined": location}, database_location=f"{base}/db"
+    )
     return spark.sql(
         f"SELECT txn_year, txn_month, txn_day, count(*) AS row_count "
         f"FROM `{database}`.`transactions_refined` GROUP BY txn_year, txn_month, txn_day"

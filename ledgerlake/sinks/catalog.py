@@ -75,10 +75,14 @@ def sync_partitions(spark: SparkSession, qualified_name: str) -> None:
 
 
 def register_refined_tables(
-    spark: SparkSession, database: str, locations: dict[str, str], recover: bool = True
+    spark: SparkSession,
+    database: str,
+    locations: dict[str, str],
+    recover: bool = True,
+    database_location: str | None = None,
 ) -> list[str]:
-    """Create the database and the refined tables at the given locations."""
-    ensure_database(spark, database)
+    """Create the database (if new, at ``database_location``) and the refined tables."""
+    ensure_database(spark, database, database_location)
     names = []
     for name, (schema, parts) in schemas.REFINED_TABLES.items():
         if name in locations:

@@ -94,7 +94,8 @@ def test_catalog_ddl_matches_schema(spark):
     base = fresh_dir(spark, "catalog_test")
     loc = f"{base}/users_refined"
     write_partitioned(refine.users_refined(X.users(spark, SF_SMALL), 2026), loc, schemas.USERS_REFINED_PARTITIONS)
-    catalog.register_refined_tables(spark, "ledgerlake_catalog_test", {"users_refined": loc})
+    catalog.register_refined_tables(spark, "ledgerlake_catalog_test", {"users_refined": loc},
+                                    database_location=f"{base}/db")
     t = spark.table("ledgerlake_catalog_test.users_refined")
     assert layout(t.schema) == layout(schemas.USERS_REFINED)
     assert t.count() == X.users(spark, SF_SMALL).count()
