@@ -52,6 +52,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--index", required=True)
     s.add_argument("ids", nargs="+", type=int)
     s.add_argument("--prune", action="store_true")
+    s.add_argument("--max-rows", type=int, default=20, help="records to print (the count is always exact)")
 
     s = sub.add_parser("users-history", help="log UPDATE/DELETE before images, refresh the snapshot")
     s.add_argument("--current", required=True, help="path or catalog table of the current snapshot")
@@ -126,8 +127,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         from ledgerlake.plans.index_job import lookup
 
         found, missing = lookup(spark, args.index, args.transactions, args.ids, prune=args.prune)
-        out["found"] = [r.asDict() for r in found.collect()]  # bounded: the ids given on the command line
-        out["not_found"] = [r[0] for r in missing.collect()]
+        # a display, like show(): an id may repeat across many records, so only
+        # the first rows travel to the driver; the count is computed in Spark
+        out["found_count"] = found.count()
+        out["found"] = [r.asDict() for r in found.limit(args.max_rows).collect()]
+        out["not_found"] = [r[0] for r in missing.collect()]  # at most the ids given
 
     elif args.job == "users-history":
         from ledgerlake.plans.history_job import run_users_history
