@@ -72,8 +72,10 @@ def lookup_transactions(index: DataFrame, transactions: DataFrame, ids, prune: b
 
     Joined on the id alone, as in the reference; ``prune=True`` also joins on
     the ingest columns, which lets Spark prune the record table's partitions
-    to the days the index rows point at (dynamic partition pruning). With
-    literal ids the record scan is filtered by the same ids as well.
+    to the days the index rows point at (dynamic partition pruning, which
+    Spark applies when the requests are selective - point lookups, filtered
+    request sets). With literal ids the record scan is filtered by the same
+    ids as well.
     """
     hits = find_in_index(index, ids).alias("idx")
     records = transactions

@@ -14,7 +14,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 DEFAULT = [
-    "users_refined", "transactions_refined", "txn_index", "txn_lookup", "users_history_delta",
+    "users_refined", "transactions_refined", "txn_index", "txn_lookup", "txn_lookup_pruned", "users_history_delta",
     "scd2_merge", "keyed_patch", "latest_batch", "month_keys",
 ]
 
@@ -28,6 +28,7 @@ def tree(df) -> str:
     scans = [
         ln.strip() for ln in text.splitlines()
         if ln.startswith(("ReadSchema:", "PushedFilters:", "PartitionFilters:"))
+        or "dynamicpruning" in ln.lower() and ln.startswith("PartitionFilters")
     ]
     return head.strip() + "\n" + "\n".join(s[:220] for s in scans)
 
