@@ -1,15 +1,20 @@
-"""History delta and SCD2 merge against brute-force models on random inputs.
+"""Operators against brute-force models on random inputs.
 
-Keys and values come from tiny domains (NULL included) so that duplicates,
-NULL keys, NULL attributes, inserts, updates and deletes all occur.
+History delta and SCD2 merge: keys and values come from tiny domains (NULL
+included) so that duplicates, NULL keys, NULL attributes, inserts, updates
+and deletes all occur. Quality groups: short random texts over digits, signs,
+separators and letters, checked against the fixed rules written in Python
+(no newlines, where Java's ``$`` and Python's differ).
 """
 
 import datetime as dt
+import re
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from ledgerlake import schemas
+from ledgerlake.functions import quality as Q
 from ledgerlake.operators import history as H
 from ledgerlake.operators import scd2 as S
 
@@ -124,3 +129,55 @@ def test_scd2_merge_matches_model(spark, existing, inc):
         key=repr,
     )
     assert got == model_merge(existing, inc)
+
+
+# --- quality rules --------------------------------------------------------------------------
+
+TEXT = st.one_of(st.none(), st.text(alphabet="0123456789-$,. a", max_size=8))
+
+
+def _blank(s):
+    return s is None or s.strip(" ") == ""
+
+
+def _int_or_none(s):
+    v = int(s)
+    return v if -(2**31) <= v < 2**31 else None
+
+
+def model_integer(s):
+    valid = s is not None and re.fullmatch(r"[0-9]+", s) is not None
+    return (_blank(s), not _blank(s) and not valid, _int_or_none(s) if valid else None)
+
+
+def model_decimal(s):
+    valid = s is not None and re.fullmatch(r"-?[0-9]+(\.[0-9]+)?", s) is not None
+    return (_blank(s), not _blank(s) and not valid, float(s) if valid else None)
+
+
+def model_currency(s):
+    valid = s is not None and re.fullmatch(r"\$?[0-9,]+(\.[0-9]+)?", s) is not None
+    amount = None
+    if valid:
+        digits = s.replace("$", "").replace(",", "")
+        amount = float(digits) if digits else None
+    code = ("USD" if s.startswith("$") else "UNKNOWN") if valid else "UNKNOWN"
+    return (_blank(s), not _blank(s) and not valid, amount, code)
+
+
+@SETTINGS
+@given(values=st.lists(TEXT, min_size=1, max_size=30))
+def test_quality_groups_match_model(spark, values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    out = df.select(
+        "i",
+        *Q.integer_group("v", "n", "int"),
+        *Q.decimal_group("v", "d", raw="d_raw"),
+        *Q.currency_group("v", "c_raw", "c", "c_code"),
+    ).collect()
+    for r in sorted(out, key=lambda r: r["i"]):
+        s = values[r["i"]]
+        assert (r["n_null_flag"], r["n_unknown_flag"], r["n"]) == model_integer(s), s
+        assert (r["d_null_flag"], r["d_unknown_flag"], r["d"]) == model_decimal(s), s
+        assert (r["c_null_flag"], r["c_unknown_flag"], r["c"], r["c_code"]) == model_currency(s), s
+        assert r["n_raw"] == s and r["c_raw"] == s
