@@ -127,6 +127,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         from ledgerlake.plans.index_job import lookup
 
         found, missing = lookup(spark, args.index, args.transactions, args.ids, prune=args.prune)
+        out["index_schema"] = spark.read.parquet(args.index).schema.simpleString()
         # a display, like show(): an id may repeat across many records, so only
         # the first rows travel to the driver; the count is computed in Spark
         out["found_count"] = found.count()

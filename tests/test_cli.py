@@ -26,7 +26,7 @@ def test_index_lookup_history_scd2_warehouse(spark, tmp_path):
     out = cli.main(["lookup", "--transactions", f"{base}/raw/transactions", "--index", f"{base}/raw/index",
                     "--prune", str(some), "-1"], spark)
     assert [r["transaction_id"] for r in out["found"]] == [some] and out["not_found"] == [-1]
-    assert out["found_count"] == 1
+    assert out["found_count"] == 1 and out["index_schema"].startswith("struct<transaction_id:bigint")
 
     cli.main(["users-history", "--current", f"{base}/u1", "--incoming", f"{base}/u2", "--history", f"{base}/h",
               "--current-base", f"{base}/current", "--clock", "2026-04-24 00:00:00"], spark)
