@@ -31,11 +31,13 @@ def table_location(spark: SparkSession, table: str) -> str | None:
     return None
 
 
+def _bare(path: str) -> str:
+    """A path without its scheme, for comparing a catalog location with a path."""
+    return path.split("://", 1)[-1].replace("file:", "").rstrip("/")
+
+
 def _same_path(a: str | None, b: str) -> bool:
-    if a is None:
-        return False
-    strip = lambda p: p.split("://", 1)[-1].replace("file:", "").rstrip("/")
-    return strip(a) == strip(b)
+    return a is not None and _bare(a) == _bare(b)
 
 
 def point_table(spark: SparkSession, table: str, path: str) -> None:
