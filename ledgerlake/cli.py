@@ -71,6 +71,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--batch-id")
     s.add_argument("--close-missing", action="store_true")
     s.add_argument("--on-duplicate", choices=["auto", "dedupe", "raise"], default="auto")
+    s.add_argument("--bucket-count", type=int, default=None, help="publish versions bucketed by card_id")
 
     s = sub.add_parser("corrections", help="replace columns of keyed rows, write a new snapshot")
     s.add_argument("--source", required=True)
@@ -145,7 +146,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         from ledgerlake.plans.scd2_job import run_cards_scd2
 
         out["version"] = run_cards_scd2(spark, _read(spark, args.incoming), args.table, args.base,
-                                        _clock(args.clock), args.batch_id, args.close_missing, args.on_duplicate)
+                                        _clock(args.clock), args.batch_id, args.close_missing, args.on_duplicate,
+                                        args.bucket_count)
 
     elif args.job == "corrections":
         from ledgerlake.plans.corrections_job import apply_corrections

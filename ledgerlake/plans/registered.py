@@ -430,6 +430,16 @@ def q_scd2_roundtrip(spark, sf):
     return spark.table(table)
 
 
+@register
+def q_scd2_bucketed_roundtrip(spark, sf):
+    """As scd2_roundtrip, with versions bucketed by card_id (one-sided merge shuffle)."""
+    base = fresh_dir(spark, "cards_scd2_bucketed")
+    table = _unique("ledgerlake_cards_scd2_bucketed")
+    run_cards_scd2(spark, X.cards_snapshot_1(spark, sf), table, base, CLOCK_1, BATCH_1, bucket_count=8)
+    run_cards_scd2(spark, X.cards_snapshot_2(spark, sf), table, base, CLOCK_2, BATCH_2, bucket_count=8)
+    return spark.table(table)
+
+
 @register
 def q_catalog_register(spark, sf):
     """Refined transactions registered as an external table; rows per partition."""

@@ -20,13 +20,17 @@ def run_cards_scd2(
     batch_id: str | None = None,
     close_missing: bool = False,
     on_duplicate: str = "auto",
+    bucket_count: int | None = None,
 ) -> str:
     """Create or extend the dimension behind catalog table ``table``.
 
     First run (no table): every incoming card becomes a current version.
     Later runs: one-join merge against the published version. The result
     is written as a new version and the table is moved to it, so the job
-    never overwrites the files it reads. Returns the version path.
+    never overwrites the files it reads. ``bucket_count`` publishes versions
+    bucketed by ``card_id``, so the next merge reads the dimension without
+    shuffling it (current versions are unique per key, so no bucket can hold
+    a hot key). Returns the version path.
     """
     batch_id = batch_id or batch_id_for(clock)
     cards = scd2.normalize_cards(incoming)
@@ -36,4 +40,5 @@ def run_cards_scd2(
         )
     else:
         result = scd2.initial_versions(cards, clock, batch_id)
-    return publish_version(result, base_path, batch_id, table=table)
+    bucket_by = (bucket_count, scd2.KEY) if bucket_count else None
+    return publish_version(result, base_path, batch_id, table=table, bucket_by=bucket_by)

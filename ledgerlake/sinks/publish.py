@@ -49,23 +49,53 @@ def point_table(spark: SparkSession, table: str, path: str) -> None:
         spark.catalog.createTable(table, path=path, source="parquet")
 
 
+def _staging_name(table: str, version: str) -> str:
+    suffix = "__staging_" + re.sub(r"[^0-9A-Za-z_]", "_", str(version))
+    return table[:-1] + suffix + "`" if table.endswith("`") else table + suffix
+
+
 def publish_version(
     df: DataFrame,
     base_path: str,
     version: str,
     table: str | None = None,
+    bucket_by: tuple[int, str] | None = None,
 ) -> str:
     """Write ``df`` as a new version below ``base_path`` and publish it.
 
     Rewriting the same version (a retried job) replaces that version only.
+    ``bucket_by=(n, column)`` writes the version bucketed (it needs ``table``):
+    a later join on that column reads the table without shuffling it, and
+    only the other side is shuffled to the n buckets. The version is written
+    through a staging table (external, dropped afterwards; files stay) and
+    the live table, created bucketed on the first run, is moved to it.
     Returns the version path.
     """
     path = version_path(base_path, version)
-    if table and _same_path(table_location(df.sparkSession, table), path):
+    spark = df.sparkSession
+    if table and _same_path(table_location(spark, table), path):
         raise ValueError(
             f"version {version} is already published as {table}; a rerun must use a new batch id"
         )
-    df.write.mode("overwrite").parquet(path)
-    if table:
-        point_table(df.sparkSession, table, path)
+    if bucket_by is None:
+        df.write.mode("overwrite").parquet(path)
+        if table:
+            point_table(spark, table, path)
+        return path
+    if table is None:
+        raise ValueError("a bucketed version needs a catalog table")
+    buckets, column = bucket_by
+    exists = spark.catalog.tableExists(table)
+    target = _staging_name(table, version) if exists else table
+    (
+        df.write.mode("overwrite")
+        .bucketBy(int(buckets), column)
+        .sortBy(column)
+        .option("path", path)
+        .saveAsTable(target)
+    )
+    if exists:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(table)
+        spark.sql(f"DROP TABLE {target}")  # external: the version's files stay
     return path

@@ -49,3 +49,19 @@ def plan_of(df, mode="formatted"):
 def layout(schema):
     """(name, type) pairs, ignoring nullability."""
     return [(f.name, f.dataType) for f in schema.fields]
+
+
+@__import__("contextlib").contextmanager
+def confs(spark, **settings):
+    """Temporarily set session confs (tests only; the library never does)."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

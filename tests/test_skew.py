@@ -68,23 +68,7 @@ def test_keyed_patch_and_corrections_job(spark):
     assert keyed_patch(src, fixes.select("id", "y")).filter("y = 's'").count() == 98
 
 
-import contextlib  # noqa: E402
-
-
-@contextlib.contextmanager
-def confs(spark, **settings):
-    """Temporarily set session confs (test only; the library never does)."""
-    old = {k: spark.conf.get(k, None) for k in settings}
-    try:
-        for k, v in settings.items():
-            spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+from tests.conftest import confs  # noqa: E402
 
 
 LARGE_DATA_MODE = {
