@@ -62,6 +62,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--current-table", default=None)
     s.add_argument("--clock")
     s.add_argument("--batch-id")
+    s.add_argument("--bucket-count", type=int, default=None, help="publish the snapshot bucketed by user_id")
 
     s = sub.add_parser("cards-scd2", help="initial load or merge of the cards type 2 dimension")
     s.add_argument("--incoming", required=True)
@@ -139,7 +140,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         from ledgerlake.plans.history_job import run_users_history
 
         run_users_history(_read(spark, args.current), _read(spark, args.incoming), args.history,
-                          args.current_base, _clock(args.clock), args.batch_id, args.current_table)
+                          args.current_base, _clock(args.clock), args.batch_id, args.current_table,
+                          args.bucket_count)
         out["history"] = args.history
 
     elif args.job == "cards-scd2":

@@ -20,6 +20,7 @@ def run_users_history(
     clock: _dt.datetime | str,
     batch_id: str | None = None,
     current_table: str | None = None,
+    bucket_count: int | None = None,
 ) -> DataFrame:
     """Append this batch's UPDATE/DELETE before images and publish the new snapshot.
 
@@ -27,11 +28,16 @@ def run_users_history(
     change writes nothing, so no separate count is needed, and a rerun of a
     batch replaces that batch only. The snapshot refresh happens in every
     run, as in the reference, as a new version (see :mod:`ledgerlake.sinks.publish`).
+    ``bucket_count`` (with ``current_table``) publishes the snapshot bucketed
+    by ``user_id``, so the next diff shuffles only the incoming snapshot; off
+    by default, because a snapshot can repeat a key and a bucketed hot key
+    cannot be split by AQE the way a shuffled one can.
     Returns the delta (lazy).
     """
     batch_id = batch_id or batch_id_for(clock)
     cur, inc = normalize_users(current), normalize_users(incoming)
     delta = history_delta(cur, inc, detected_at=clock, batch_id=batch_id)
     append_batch(delta, history_path, "batch_id")
-    publish_version(inc, current_base, batch_id, table=current_table)
+    bucket_by = (bucket_count, "user_id") if bucket_count and current_table else None
+    publish_version(inc, current_base, batch_id, table=current_table, bucket_by=bucket_by)
     return delta

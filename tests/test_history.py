@@ -60,3 +60,22 @@ def test_one_join_and_change_count(spark):
     plan = plan_of(delta)
     assert plan.count("Join ") + plan.count("Join(") >= 1
     assert plan.count("SortMergeJoin") + plan.count("BroadcastHashJoin") + plan.count("ShuffledHashJoin") <= 2
+
+
+def test_bucketed_snapshot_makes_the_diff_shuffle_one_side(spark):
+    from ledgerlake.plans.history_job import run_users_history
+    from ledgerlake.session import fresh_dir
+    from ledgerlake.sources import tpch_fixtures as X
+    from tests.conftest import SF_SMALL, confs
+
+    base = fresh_dir(spark, "history_bucketed_test")
+    table = "ledgerlake_users_current_bucketed"
+    u1, u2 = X.users_snapshot_1(spark, SF_SMALL), X.users_snapshot_2(spark, SF_SMALL)
+    run_users_history(u1, u1, f"{base}/h", f"{base}/c", "2026-04-23 00:00:00", "b1", table, bucket_count=8)
+    with confs(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1",
+                         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        delta = H.history_delta(spark.table(table), H.normalize_users(u2), "2026-04-24 00:00:00", "b2")
+        plan = plan_of(delta, "simple")
+        assert plan.count("SortMergeJoin") == 1 and plan.count("Exchange hashpartitioning") == 1, plan
+        want = H.history_delta(H.normalize_users(u1), H.normalize_users(u2), "2026-04-24 00:00:00", "b2")
+        assert delta.exceptAll(want).count() == 0 and want.exceptAll(delta).count() == 0
