@@ -58,7 +58,11 @@ def update_index(
     new_days = [F.struct(*[F.lit(v) for v in d]) for d in days]
     raw = spark.read.parquet(transactions_path).filter(day_key.isin(new_days))
     fresh = transaction_index(raw)
-    existing = spark.read.parquet(index_path).select(*schemas.INDEX_COLUMNS)
+    try:
+        existing = spark.read.parquet(index_path).select(*schemas.INDEX_COLUMNS)
+    except Exception:  # AnalysisException: no index yet - the new days are the index
+        write_partitioned(fresh, index_path, parts, mode="overwrite", dynamic=True, rebalance=True)
+        return sorted(tuple(d) for d in days)
     touched_ids = fresh.select("transaction_id").distinct()
     older = existing.join(touched_ids, "transaction_id", "left_semi")
     affected = [tuple(r) for r in older.select(*parts).distinct().limit(max_affected_days + 1).collect()]

@@ -94,3 +94,16 @@ def test_prune_adds_dynamic_partition_pruning(spark):
     assert "dynamicpruning" in plan_of(pruned).lower()
     assert "dynamicpruning" not in plan_of(IX.lookup_transactions(idx, txn, req)).lower()
     assert sorted(map(tuple, pruned.collect())) == sorted(map(tuple, IX.lookup_transactions(idx, txn, req).collect()))
+
+
+def test_incremental_update_without_an_index_builds_one(spark):
+    from ledgerlake.plans.index_job import update_index
+
+    base = fresh_dir(spark, "idx_first_update_test")
+    raw = X.transactions_with_duplicates(spark, SF_SMALL)
+    write_partitioned(raw, f"{base}/raw", schemas.INGEST_PARTITIONS)
+    update_index(spark, f"{base}/raw", f"{base}/idx", [(2026, 4, 21)])
+    update_index(spark, f"{base}/raw", f"{base}/idx", [(2026, 4, 22), (2026, 4, 23)])
+    got = spark.read.parquet(f"{base}/idx").select(*schemas.INDEX_COLUMNS)
+    want = IX.transaction_index(raw)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
