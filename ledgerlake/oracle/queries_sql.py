@@ -262,7 +262,7 @@ ORACLE["catalog_register"] = with_chain(
     "GROUP BY txn_year, txn_month, txn_day",
     ["transactions"],
 )
-ORACLE["pipeline_counts"] = with_chain(
+ORACLE["warehouse_counts"] = with_chain(
     _SCD2 + [LATEST, ("tr", RS.transactions_refined("latest"))],
     "SELECT 'users_refined' AS table_name, count(*) AS row_count FROM users "
     "UNION ALL SELECT 'cards_refined_scd2', count(*) FROM merged "

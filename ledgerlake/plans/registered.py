@@ -457,8 +457,8 @@ def q_catalog_register(spark, sf):
 
 
 @register
-def q_pipeline_counts(spark, sf):
-    """Whole warehouse pipeline over the three sources; rows per refined table."""
+def q_warehouse_counts(spark, sf):
+    """The whole warehouse refine job over the three sources; rows per refined table."""
     base = fresh_dir(spark, "warehouse")
     src_cards = f"{base}/cards_scd2"
     _scd2_merged(spark, sf).write.parquet(src_cards)

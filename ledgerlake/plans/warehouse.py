@@ -1,4 +1,4 @@
-"""Warehouse refine pipeline: read three sources, build and write three tables."""
+"""Warehouse refine job: read three sources, build and write three tables."""
 
 from __future__ import annotations
 
