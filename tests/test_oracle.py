@@ -42,6 +42,10 @@ def test_every_query_has_oracle_sql():
     assert set(SQL) == set(QUERIES)
 
 
+DUCKDB_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                "BOOLEAN": "boolean", "DATE": "date", "TIMESTAMP": "timestamp"}
+
+
 @pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, key):
     df = QUERIES[key](spark, SF_SMALL)
@@ -49,6 +53,9 @@ def test_query_matches_oracle(spark, con, key):
     res = con.sql(SQL[key])
     want, cols = res.fetchall(), res.columns
     assert sorted(df.columns) == sorted(cols)
+    spark_types = {f.name: f.dataType.simpleString().replace("timestamp_ntz", "timestamp") for f in df.schema.fields}
+    sql_types = {c: DUCKDB_TYPES.get(str(t), str(t)) for c, t in zip(cols, res.types)}
+    assert spark_types == sql_types
     assert len(got) == len(want)
     assert digest(df.columns, got) == digest(cols, want)
 
