@@ -347,7 +347,8 @@ def q_keyed_patch(spark, sf):
 def q_raw_ingest_roundtrip(spark, sf):
     base = fresh_dir(spark, "raw")
     spec = IngestSpec("transactions", "orders", f"{base}/transactions", "transactions_data.csv")
-    orders = X.load(spark, sf, "orders")
+    # stands in for the JDBC read, which yields TIMESTAMP (not TIMESTAMP_NTZ)
+    orders = X.load(spark, sf, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
     run_raw_ingest([spec], lambda s: orders, clock=CLOCK_1)
     return _read_back(spark, spec.output_path, stamp_lineage(orders, spec.table_source, CLOCK_1))
 
