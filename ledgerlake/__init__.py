@@ -11,6 +11,8 @@ so reruns give the same rows. Subpackages:
 * ``sinks``     - writers, stage-then-publish, catalog registration
 * ``plans``     - the jobs that chain sources, operators and sinks
 * ``streaming`` - a Structured Streaming form of the incremental append
+* ``oracle``    - DuckDB SQL equivalents of the registered queries (checks)
+* ``cli``       - ``spark-submit`` entry points for the jobs
 """
 
 __version__ = "0.1.0"
