@@ -50,7 +50,9 @@ def _parser() -> argparse.ArgumentParser:
     s = sub.add_parser("lookup", help="look transaction ids up through the index")
     s.add_argument("--transactions", required=True)
     s.add_argument("--index", required=True)
-    s.add_argument("ids", nargs="+", type=int)
+    s.add_argument("ids", nargs="*", type=int)
+    s.add_argument("--ids-parquet", default=None, help="parquet with the ids to look up (first column)")
+    s.add_argument("--output", default=None, help="with --ids-parquet: write found/ and missing/ here")
     s.add_argument("--prune", action="store_true")
     s.add_argument("--max-rows", type=int, default=20, help="records to print (the count is always exact)")
 
@@ -128,6 +130,18 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     elif args.job == "lookup":
         from ledgerlake.plans.index_job import lookup
 
+        if args.ids_parquet:
+            if not args.output:
+                raise SystemExit("--ids-parquet needs --output")
+            requests = spark.read.parquet(args.ids_parquet)
+            found, missing = lookup(spark, args.index, args.transactions, requests, prune=args.prune)
+            found.write.mode("overwrite").parquet(f"{args.output.rstrip('/')}/found")
+            missing.write.mode("overwrite").parquet(f"{args.output.rstrip('/')}/missing")
+            out["output"] = args.output
+            print(json.dumps(out, default=str))
+            return out
+        if not args.ids:
+            raise SystemExit("give ids or --ids-parquet")
         found, missing = lookup(spark, args.index, args.transactions, args.ids, prune=args.prune)
         out["index_schema"] = spark.read.parquet(args.index).schema.simpleString()
         # a display, like show(): an id may repeat across many records, so only

@@ -28,6 +28,12 @@ def test_index_lookup_history_scd2_warehouse(spark, tmp_path):
     assert [r["transaction_id"] for r in out["found"]] == [some] and out["not_found"] == [-1]
     assert out["found_count"] == 1 and out["index_schema"].startswith("struct<transaction_id:bigint")
 
+    spark.read.parquet(f"{base}/raw/transactions").select("id").write.parquet(f"{base}/requests")
+    cli.main(["lookup", "--transactions", f"{base}/raw/transactions", "--index", f"{base}/raw/index",
+              "--ids-parquet", f"{base}/requests", "--output", f"{base}/lookup_out"], spark)
+    assert spark.read.parquet(f"{base}/lookup_out/found").count() == X.transactions(spark, SF_SMALL).count()
+    assert spark.read.parquet(f"{base}/lookup_out/missing").count() == 0
+
     cli.main(["users-history", "--current", f"{base}/u1", "--incoming", f"{base}/u2", "--history", f"{base}/h",
               "--current-base", f"{base}/current", "--clock", "2026-04-24 00:00:00"], spark)
     assert spark.read.schema(schemas.users_history_schema()).parquet(f"{base}/h").count() > 0
