@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,8 +50,10 @@ def latest_batch_key(df: DataFrame, parts: list[str] | None = None) -> tuple | N
 
 
 def _partition_value(text: str):
+    """A partition value as SHOW PARTITIONS prints it (path-escaped) -> int, text or None."""
     if text == "__HIVE_DEFAULT_PARTITION__":
         return None
+    text = unquote(text)
     try:
         return int(text)
     except ValueError:
