@@ -1,0 +1,72 @@
+"""JDBC reads against a stand-in reader (no database is started in tests)."""
+
+from ledgerlake.sources import jdbc
+
+
+class _Row(dict):
+    def __getitem__(self, k):
+        return dict.__getitem__(self, k)
+
+
+class _Loaded:
+    def __init__(self, log, opts):
+        self.log, self.opts = log, opts
+
+    def first(self):
+        return _Row(lo=1, hi=1000)
+
+
+class _Reader:
+    def __init__(self, log):
+        self.log, self.opts = log, {}
+
+    def format(self, name):
+        assert name == "jdbc"
+        return self
+
+    def options(self, **opts):
+        self.opts.update(opts)
+        return self
+
+    def load(self):
+        self.log.append(dict(self.opts))
+        return _Loaded(self.log, dict(self.opts))
+
+    def jdbc(self, url, table, properties):
+        self.log.append({"url": url, "table": table, **properties})
+        return "df"
+
+
+class _Spark:
+    def __init__(self):
+        self.log = []
+
+    @property
+    def read(self):
+        return _Reader(self.log)
+
+
+def test_partitioned_read_fetches_bounds_with_one_query():
+    spark = _Spark()
+    jdbc.read_jdbc(spark, "jdbc:x://h/db", "raw_transactions", partition_column="id", num_partitions=8,
+                   user="u", password="p", fetchsize=10000)
+    bounds, table = spark.log
+    assert bounds["query"] == "SELECT MIN(id) AS lo, MAX(id) AS hi FROM raw_transactions" and "dbtable" not in bounds
+    assert table["dbtable"] == "raw_transactions" and table["partitionColumn"] == "id"
+    assert (table["lowerBound"], table["upperBound"], table["numPartitions"]) == ("1", "1000", "8")
+    assert table["fetchsize"] == "10000" and table["user"] == "u"
+
+
+def test_given_bounds_skip_the_bounds_query_and_plain_read_is_one_query():
+    spark = _Spark()
+    jdbc.read_jdbc(spark, "jdbc:x://h/db", "t", partition_column="id", num_partitions=4, lower_bound=0, upper_bound=9)
+    assert len(spark.log) == 1 and spark.log[0]["upperBound"] == "9"
+    spark = _Spark()
+    jdbc.read_jdbc(spark, "jdbc:x://h/db", "t")
+    assert len(spark.log) == 1 and "partitionColumn" not in spark.log[0]
+
+
+def test_function_form():
+    spark = _Spark()
+    assert jdbc.read_jdbc_table(spark, "jdbc:x://h/db", "raw_users", {"user": "u"}) == "df"
+    assert spark.log == [{"url": "jdbc:x://h/db", "table": "raw_users", "user": "u"}]
