@@ -119,3 +119,21 @@ def test_append_spreads_a_hot_day_over_writers(spark):
     assert day.count() >= raw.count() // 3
     assert len(day.inputFiles()) > 1  # the hot day was split over several writers
     assert back.count() == refine.transactions_dated(refine.transactions_refined(hot)).count()
+
+
+def test_keyed_patch_join_is_split_for_a_hot_key(spark):
+    from tests.conftest import plan_of
+
+    # distinct padding per row, so the hot key's shuffle block stays large
+    # after compression
+    hot = [(1, "old", f"{i:060d}") for i in range(3000)]
+    rest = [(k, "old", f"{k:060d}") for k in range(2, 500)]
+    table = spark.createDataFrame(hot + rest, "id long, v string, w string").repartition(8)
+    fixes = spark.createDataFrame([(1, "new")] + [(k, "new") for k in range(400, 450)], "id long, v string")
+    with confs(spark, **LARGE_DATA_MODE):
+        out = keyed_patch(table, fixes)
+        counts = {r["v"]: r["count"] for r in out.groupBy("v").count().collect()}
+        out.collect()
+        final = plan_of(out, "simple")
+    assert counts == {"new": 3050, "old": 448}
+    assert "SortMergeJoin(skew=true)" in final, final
