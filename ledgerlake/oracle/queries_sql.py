@@ -76,6 +76,11 @@ ORACLE["users_refined"] = with_chain(USERS_REFINED, "SELECT * FROM users_refined
 ORACLE["transactions_refined"] = with_chain(
     [LATEST, ("tr", RS.transactions_refined("latest"))], "SELECT * FROM tr", ["transactions"]
 )
+ORACLE["transactions_refined_options"] = with_chain(
+    [("tr", RS.transactions_refined("transactions", currency_from_raw=True, signed=True))],
+    "SELECT * FROM tr",
+    ["transactions"],
+)
 ORACLE["transactions_dated"] = with_chain(
     [("tr", RS.transactions_refined("transactions"))],
     "SELECT * FROM tr WHERE txn_year IS NOT NULL AND txn_month IS NOT NULL AND txn_day IS NOT NULL",

@@ -51,11 +51,12 @@ def cards_layer2(layer1: str, current_year: int) -> str:
     return f"SELECT *, {R.above('year_pin_last_changed', current_year)} AS year_pin_last_changed_outlier_flag FROM {layer1}"
 
 
-def transactions_refined(src: str) -> str:
+def transactions_refined(src: str, currency_from_raw: bool = False, signed: bool = False) -> str:
     items = R.integer_group("id", "transaction_id", "BIGINT")
     items += R.integer_group("client_id", "client_id", "BIGINT")
     items += R.integer_group("card_id", "card_id", "BIGINT")
-    items += R.currency_group("amount", "amount_raw", "amount", "amount_currency", code="'UNKNOWN'")
+    code = None if currency_from_raw else "'UNKNOWN'"
+    items += R.currency_group("amount", "amount_raw", "amount", "amount_currency", code=code, signed=signed)
     items += R.timestamp_parts("date", "txn_timestamp", "txn_year", "txn_month", "txn_day")
     items += [f"CAST({c} AS VARCHAR) AS {c}" for c in ["use_chip", "merchant_id", "merchant_city", "merchant_state", "zip", "mcc", "errors"]]
     return f"SELECT {R.select_list(items)} FROM {src}"

@@ -46,8 +46,10 @@ def currency_code(src: str) -> str:
     return f"CASE WHEN {blank(src)} THEN NULL WHEN starts_with({text(src)}, '$') THEN 'USD' ELSE 'UNKNOWN' END"
 
 
-def currency_group(src: str, raw: str, amount: str, currency: str, code: str | None = None) -> list[str]:
-    valid = matches(src, Q.CURRENCY_TEXT)
+def currency_group(
+    src: str, raw: str, amount: str, currency: str, code: str | None = None, signed: bool = False
+) -> list[str]:
+    valid = matches(src, Q.SIGNED_CURRENCY_TEXT if signed else Q.CURRENCY_TEXT)
     code_sql = code if code is not None else f"CASE WHEN {valid} THEN {currency_code(src)} ELSE 'UNKNOWN' END"
     return [
         f"{text(src)} AS {raw}",

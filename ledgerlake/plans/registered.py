@@ -167,6 +167,12 @@ def q_transactions_refined(spark, sf):
     return refine.transactions_refined(P.latest_batch(X.transactions(spark, sf)))
 
 
+@register
+def q_transactions_refined_options(spark, sf):
+    """transactions_refined with both options: code from the raw text, signed money."""
+    return refine.transactions_refined(X.transactions(spark, sf), currency_from_raw=True, signed_money=True)
+
+
 @register
 def q_transactions_dated(spark, sf):
     return refine.transactions_dated(refine.transactions_refined(X.transactions(spark, sf)))
