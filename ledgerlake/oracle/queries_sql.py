@@ -202,6 +202,19 @@ _SCD2 = [
 ]
 _CARDS_PAIR = ["cards_1", "cards_2"]
 
+# D8 option: current cards absent from the snapshot are closed as well
+_SCD2_CLOSE_MISSING = _SCD2[:-1] + [
+    ("gone", "SELECT cur.card_id FROM curv cur WHERE cur.card_id IS NOT NULL AND NOT EXISTS "
+             "(SELECT 1 FROM c2n inc WHERE inc.card_id = cur.card_id)"),
+    ("closing", "SELECT card_id FROM upd UNION SELECT card_id FROM gone"),
+    ("closed_all", f"SELECT s.* REPLACE ({CLOCK_2} AS effective_to, FALSE AS is_current) FROM init s "
+                   "WHERE s.is_current = TRUE AND s.card_id IN (SELECT card_id FROM closing)"),
+    ("kept_rest", "SELECT s.* FROM init s WHERE NOT EXISTS "
+                  "(SELECT 1 FROM closing u WHERE u.card_id = s.card_id AND s.is_current = TRUE)"),
+    ("merged_close", "SELECT * FROM kept_rest UNION ALL BY NAME SELECT * FROM closed_all "
+                     "UNION ALL BY NAME SELECT * FROM newv UNION ALL BY NAME SELECT * FROM ins"),
+]
+
 ORACLE["cards_normalize"] = with_chain(_SCD2[:1], "SELECT * FROM c1n", ["cards_1"])
 ORACLE["scd2_initial"] = with_chain(_SCD2[:3], "SELECT * FROM init", _CARDS_PAIR)
 ORACLE["scd2_diff"] = with_chain(
@@ -216,6 +229,7 @@ ORACLE["scd2_updated_keys"] = with_chain(_SCD2, "SELECT * FROM upd", _CARDS_PAIR
 ORACLE["scd2_closed"] = with_chain(_SCD2, "SELECT * FROM closed", _CARDS_PAIR)
 ORACLE["scd2_kept"] = with_chain(_SCD2, "SELECT * FROM kept", _CARDS_PAIR)
 ORACLE["scd2_merge"] = with_chain(_SCD2, "SELECT * FROM merged", _CARDS_PAIR)
+ORACLE["scd2_merge_close_missing"] = with_chain(_SCD2_CLOSE_MISSING, "SELECT * FROM merged_close", _CARDS_PAIR)
 ORACLE["scd2_current"] = with_chain(_SCD2, "SELECT * FROM merged WHERE is_current = TRUE", _CARDS_PAIR)
 ORACLE["cards_refined"] = with_chain(
     _SCD2 + [("cr1", RS.cards_layer1("merged")), ("cr", RS.cards_layer2("cr1", CURRENT_YEAR))],

@@ -331,6 +331,13 @@ def q_scd2_merge(spark, sf):
     return _scd2_merged(spark, sf)
 
 
+@register
+def q_scd2_merge_close_missing(spark, sf):
+    """The merge with the D8 option: cards absent from the snapshot are closed."""
+    existing, incoming = _scd2_start(spark, sf)
+    return S.merge(existing, incoming, CLOCK_2, BATCH_2, close_missing=True)
+
+
 @register
 def q_scd2_current(spark, sf):
     return S.current_versions(_scd2_merged(spark, sf))
