@@ -73,6 +73,11 @@ ORACLE["date_parts"] = with_chain(
 # --- refined tables ------------------------------------------------------------
 
 ORACLE["users_refined"] = with_chain(USERS_REFINED, "SELECT * FROM users_refined", ["users"])
+ORACLE["users_refined_signed"] = with_chain(
+    [("ur1", RS.users_layer1("users", signed=True)), ("urs", RS.users_layer2("ur1", CURRENT_YEAR))],
+    "SELECT * FROM urs",
+    ["users"],
+)
 ORACLE["transactions_refined"] = with_chain(
     [LATEST, ("tr", RS.transactions_refined("latest"))], "SELECT * FROM tr", ["transactions"]
 )

@@ -9,13 +9,13 @@ USER_INTS = ["current_age", "retirement_age", "birth_year", "birth_month", "cred
 USER_MONEY = ["per_capita_income", "yearly_income", "total_debt"]
 
 
-def users_layer1(src: str) -> str:
+def users_layer1(src: str, signed: bool = False) -> str:
     items = R.integer_group("id", "user_id", "BIGINT")
     for c in USER_INTS:
         items += R.integer_group(c, c)
     items += R.decimal_group("latitude", "latitude") + R.decimal_group("longitude", "longitude")
     for c in USER_MONEY:
-        items += R.currency_group(c, f"{c}_raw", f"{c}_amount", f"{c}_currency")
+        items += R.currency_group(c, f"{c}_raw", f"{c}_amount", f"{c}_currency", signed=signed)
     items += ["CAST(gender AS VARCHAR) AS gender", "CAST(address AS VARCHAR) AS address"]
     items.append(f"{R.day_from_parts('ingest_year', 'ingest_month', 'ingest_day')} AS load_day")
     return f"SELECT {R.select_list(items)} FROM {src}"

@@ -162,6 +162,12 @@ def q_users_refined(spark, sf):
     return refine.users_refined(X.users(spark, sf), current_year=CURRENT_YEAR)
 
 
+@register
+def q_users_refined_signed(spark, sf):
+    """users_refined with the signed-money option (negative income and debt are read)."""
+    return refine.users_refined(X.users(spark, sf), current_year=CURRENT_YEAR, signed_money=True)
+
+
 @register
 def q_transactions_refined(spark, sf):
     return refine.transactions_refined(P.latest_batch(X.transactions(spark, sf)))
