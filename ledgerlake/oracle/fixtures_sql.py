@@ -87,6 +87,12 @@ SELECT * REPLACE (
 FROM cards WHERE id % 7 <> 0
 """
 
+CARDS_2_COPIES = """
+SELECT * FROM cards_2
+UNION ALL
+SELECT * REPLACE ('Z_COPY' AS card_type) FROM cards_2 WHERE id % 17 = 0
+"""
+
 CARD_CORRECTIONS = """
 SELECT p_partkey AS id, '$99999.00' AS credit_limit, 'NO' AS has_chip, 'UPDATED_TYPE' AS card_type
 FROM part WHERE p_partkey % 13 = 0
@@ -135,6 +141,7 @@ FIXTURES = {
     "cards": (CARDS, []),
     "cards_1": (CARDS_1, ["cards"]),
     "cards_2": (CARDS_2, ["cards"]),
+    "cards_2_copies": (CARDS_2_COPIES, ["cards_2"]),
     "card_corrections": (CARD_CORRECTIONS, []),
     "transactions": (TRANSACTIONS, []),
     "transactions_dup": (TRANSACTIONS_DUP, []),

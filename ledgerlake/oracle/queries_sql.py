@@ -234,6 +234,16 @@ ORACLE["scd2_updated_keys"] = with_chain(_SCD2, "SELECT * FROM upd", _CARDS_PAIR
 ORACLE["scd2_closed"] = with_chain(_SCD2, "SELECT * FROM closed", _CARDS_PAIR)
 ORACLE["scd2_kept"] = with_chain(_SCD2, "SELECT * FROM kept", _CARDS_PAIR)
 ORACLE["scd2_merge"] = with_chain(_SCD2, "SELECT * FROM merged", _CARDS_PAIR)
+# D5: repeated incoming keys keep the greatest row (attributes compared in
+# order, NULL lowest), then the same merge
+_SURVIVOR_ORDER = ", ".join(f"{c} DESC NULLS LAST" for c in CARD_ATTRS)
+_SCD2_COPIES = [
+    ("c1n", _cards_norm("cards_1")),
+    ("c2all", _cards_norm("cards_2_copies")),
+    ("c2n", "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER "
+            f"(PARTITION BY card_id ORDER BY {_SURVIVOR_ORDER}) AS rn FROM c2all) WHERE rn = 1"),
+] + _SCD2[2:]
+ORACLE["scd2_merge_repeated_keys"] = with_chain(_SCD2_COPIES, "SELECT * FROM merged", ["cards_1", "cards_2_copies"])
 ORACLE["scd2_merge_close_missing"] = with_chain(_SCD2_CLOSE_MISSING, "SELECT * FROM merged_close", _CARDS_PAIR)
 ORACLE["scd2_current"] = with_chain(_SCD2, "SELECT * FROM merged WHERE is_current = TRUE", _CARDS_PAIR)
 ORACLE["cards_refined"] = with_chain(

@@ -337,6 +337,14 @@ def q_scd2_merge(spark, sf):
     return _scd2_merged(spark, sf)
 
 
+@register
+def q_scd2_merge_repeated_keys(spark, sf):
+    """The merge when the incoming snapshot repeats keys (D5): one survivor per key."""
+    existing = _scd2_start(spark, sf)[0]
+    incoming = S.normalize_cards(X.cards_snapshot_2_with_copies(spark, sf))
+    return S.merge(existing, incoming, CLOCK_2, BATCH_2)
+
+
 @register
 def q_scd2_merge_close_missing(spark, sf):
     """The merge with the D8 option: cards absent from the snapshot are closed."""

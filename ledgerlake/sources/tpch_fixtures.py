@@ -150,6 +150,17 @@ def cards_snapshot_2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def cards_snapshot_2_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Second snapshot where every card with ``p % 17 = 0`` appears twice.
+
+    The copy differs in ``card_type`` (``Z_COPY``), so a repeated key carries
+    two different rows and the survivor rule decides.
+    """
+    c2 = cards_snapshot_2(spark, sf_dir)
+    copies = c2.filter(F.col("id") % 17 == 0).withColumn("card_type", F.lit("Z_COPY"))
+    return c2.unionByName(copies)
+
+
 def card_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keyed corrections for every part with ``p % 13 = 0`` (three columns)."""
     p = F.col("p_partkey")
