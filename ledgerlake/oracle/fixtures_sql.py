@@ -58,6 +58,12 @@ SELECT * REPLACE (
 FROM users WHERE id % 7 <> 0
 """
 
+USERS_2_COPIES = """
+SELECT * FROM users_2
+UNION ALL
+SELECT * REPLACE ('Z_COPY' AS address) FROM users_2 WHERE id % 17 = 0
+"""
+
 CARDS = f"""
 SELECT p_partkey AS id,
   (p_partkey * 3) % 1500 AS client_id,
@@ -138,6 +144,7 @@ FIXTURES = {
     "users": (USERS, []),
     "users_1": (USERS_1, ["users"]),
     "users_2": (USERS_2, ["users"]),
+    "users_2_copies": (USERS_2_COPIES, ["users_2"]),
     "cards": (CARDS, []),
     "cards_1": (CARDS_1, ["cards"]),
     "cards_2": (CARDS_2, ["cards"]),

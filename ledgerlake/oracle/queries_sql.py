@@ -161,6 +161,16 @@ _DELTA = _UN + [(
     "FROM u1n cur LEFT JOIN u2n inc ON cur.user_id = inc.user_id "
     f"WHERE cur.user_id IS NOT NULL AND (inc.user_id IS NULL OR {R.any_differs('cur', 'inc', USER_ATTRS)})",
 )]
+_USER_ORDER = ", ".join(f"{c} DESC NULLS LAST" for c in USER_ATTRS)
+_DELTA_COPIES = [
+    _UN[0],
+    ("u2all", "SELECT CAST(id AS BIGINT) AS user_id, " + ", ".join(USER_ATTRS) + " FROM users_2_copies"),
+    ("u2n", "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER "
+            f"(PARTITION BY user_id ORDER BY {_USER_ORDER}) AS rn FROM u2all) WHERE rn = 1"),
+] + _DELTA[2:]
+ORACLE["users_history_repeated_keys"] = with_chain(
+    _DELTA_COPIES, "SELECT * FROM delta", ["users_1", "users_2_copies"]
+)
 ORACLE["users_normalize"] = with_chain(_UN[:1], "SELECT * FROM u1n", ["users_1"])
 ORACLE["row_changed"] = with_chain(
     _UN,

@@ -280,6 +280,14 @@ def q_users_history_delta(spark, sf):
     return H.history_delta(*_users_pair(spark, sf), detected_at=CLOCK_2, batch_id=BATCH_2)
 
 
+@register
+def q_users_history_repeated_keys(spark, sf):
+    """The history delta when the incoming snapshot repeats keys (D5)."""
+    incoming = H.normalize_users(X.users_snapshot_2_with_copies(spark, sf))
+    current = H.normalize_users(X.users_snapshot_1(spark, sf))
+    return H.history_delta(current, incoming, detected_at=CLOCK_2, batch_id=BATCH_2)
+
+
 @register
 def q_change_count(spark, sf):
     return H.change_count(H.history_delta(*_users_pair(spark, sf), detected_at=CLOCK_2, batch_id=BATCH_2))

@@ -109,6 +109,16 @@ def users_snapshot_2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def users_snapshot_2_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Second users snapshot where every user with ``k % 17 = 0`` appears twice.
+
+    The copy has ``address`` ``Z_COPY``, so a repeated key carries two
+    different rows and the survivor rule decides.
+    """
+    u2 = users_snapshot_2(spark, sf_dir)
+    return u2.unionByName(u2.filter(F.col("id") % 17 == 0).withColumn("address", F.lit("Z_COPY")))
+
+
 def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw cards, one per part (``id`` = ``p_partkey``)."""
     p = F.col("p_partkey")
