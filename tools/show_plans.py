@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 DEFAULT = [
     "users_refined", "transactions_refined", "txn_index", "txn_lookup", "txn_lookup_pruned", "users_history_delta",
-    "scd2_merge", "keyed_patch", "latest_batch", "month_keys",
+    "scd2_merge", "scd2_merge_repeated_keys", "keyed_patch", "latest_batch", "month_keys",
 ]
 
 
