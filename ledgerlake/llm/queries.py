@@ -5,8 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import table
+from ledgerlake.llm.common import fold, table
+from ledgerlake.llm.mil_quality import quality_scores
+from ledgerlake.llm.ppm_language import identify
+from ledgerlake.llm.pu_toxicity import toxicity_scores
 from ledgerlake.llm.tensored_minhash import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,3 +25,26 @@ def register(fn):
 @register
 def op10_tensored_minhash(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register
+def op9_ppm_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    return identify(docs, ~held_out).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@register
+def op2_mil_quality(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    scores = quality_scores(docs, labels, ~held_out)
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@register
+def op8_pu_toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    scores = toxicity_scores(docs, labels, ~held_out)
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))

@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20
+SLICE_ROWS = 1 << 12
 _MULT = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_MULT, -1, 1 << 64)
 
@@ -56,7 +57,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def text_slices(column: pa.Array, limit: int = SLICE_BYTES):
-    """Yield (first row, bytes, offsets) for runs of whole rows of about ``limit`` bytes."""
+    """Yield (first row, bytes, offsets) for runs of whole rows of about ``limit`` bytes, one row at least."""
     column = pc.fill_null(column.cast(pa.large_string()), "")
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -68,18 +69,18 @@ def text_slices(column: pa.Array, limit: int = SLICE_BYTES):
     first = 0
     while first < len(column):
         last = int(np.searchsorted(offsets, offsets[first] + limit, side="right")) - 1
-        last = min(max(last, first + 1), len(column))
+        last = min(max(last, first + 1), first + SLICE_ROWS, len(column))
         lo, hi = offsets[first], offsets[last]
         yield first, data[lo:hi], offsets[first : last + 1] - lo
         first = last
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words, and per row the index of its first word (one more at the end)."""
     if not len(data):
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(len(offsets), np.int64)
-    space = SPACE[data]
+    space = separator[data]
     border = np.zeros(len(data) + 1, bool)
     border[offsets] = True
     before = border[:-1].copy()
