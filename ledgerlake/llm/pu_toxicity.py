@@ -2,7 +2,8 @@
 
 A linear classifier in numpy learns from confirmed toxic documents (P) and
 unlabelled documents (U, a mixture of toxic and clean ones). With prior pi of
-toxic documents and logistic loss l, the risk
+toxic documents and the sigmoid loss (bounded, so no single document can make
+the estimate run away), the risk
 
     pi * R_P(+1) + max(0, R_U(-1) - pi * R_P(-1))
 
@@ -14,8 +15,10 @@ Features: for each of some word parts, whether its count in the whole text
 reaches each of ``COUNTS`` and its count per 1024 words each of ``DENSITIES``
 (a stem that a long clean text meets by chance is rare in it). A word is a run
 of letters, digits and non-ASCII bytes, A-Z lowered; its parts are the word
-and its prefixes of 4 to 7 bytes, as 64-bit hashes. The ``features`` parts whose document shares are most above those of U in P, by
-five standard errors at least, are kept. ``lang``, ``source``, ``doc_id`` and labels never enter a score.
+and its prefixes of 4 to 7 bytes, as 64-bit hashes. The ``features`` parts
+whose share of the documents (or of the documents that have them twice) is
+most above that of U in P are kept. ``lang``, ``source``, ``doc_id`` and
+labels never enter a score.
 
 Training sample: up to about ``positives`` toxic and ``unlabelled`` other
 documents, picked by a hash of the id, of at most ``longest`` bytes (a bound
@@ -37,7 +40,8 @@ from ledgerlake.llm import text_np as X
 from ledgerlake.llm.common import ident_hash
 
 PREFIXES = (4, 5, 6, 7)
-SIGNIFICANT = 5.0  # standard errors between the two shares
+SIGNIFICANT = 3.5  # standard errors between the two shares
+SUPPORT = 0.01  # least share of P, and 3 documents
 COUNTS = np.array([1, 2, 3, 5, 9])
 DENSITIES = np.array([1.0, 3.0, 9.0, 27.0])  # a 1024 words
 LEVELS = len(COUNTS) + len(DENSITIES)
@@ -85,21 +89,27 @@ def levels(count: np.ndarray, words: np.ndarray) -> np.ndarray:
     return np.hstack([count[:, None] >= COUNTS, density[:, None] >= DENSITIES]).astype(np.float32)
 
 
-def select_features(texts: list[np.ndarray], toxic: np.ndarray, most: int) -> np.ndarray:
-    """Sorted hashes of the parts whose shares of documents differ most between P and U."""
-    shares = []
-    for which in (toxic, ~toxic):
-        own = [t for t, x in zip(texts, which) if x]
-        hashes, n = np.unique(np.concatenate(own) if own else np.zeros(0, np.uint64), return_counts=True)
-        shares.append((hashes, n / max(len(own), 1), n))
-    (hp, sp, np_), (hu, su, _) = shares
-    at = np.minimum(np.searchsorted(hu, hp), max(len(hu) - 1, 0))
-    other = np.where(hu[at] == hp, su[at], 0.0) if len(hu) else np.zeros(len(hp))
-    pooled = (sp * toxic.sum() + other * (~toxic).sum() + 0.5) / (len(toxic) + 1)
-    contrast = (sp - other) / np.sqrt(pooled * (1 - np.minimum(pooled, 0.999)))
-    contrast[np_ < 3] = -1
-    best = np.argsort(-contrast, kind="stable")[:most]
-    return np.sort(hp[best[contrast[best] * np.sqrt(toxic.sum()) > SIGNIFICANT]])
+def _contrasts(texts: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parts of P with how many standard errors their share of P is above that of U."""
+    hashes, n = np.unique(np.concatenate([t for t, x in zip(texts, toxic) if x]), return_counts=True)
+    others = [t for t, x in zip(texts, toxic) if not x]
+    other, m = np.unique(np.concatenate(others) if others else hashes[:0], return_counts=True)
+    at = np.minimum(np.searchsorted(other, hashes), max(len(other) - 1, 0))
+    in_u = np.where(other[at] == hashes, m[at], 0) if len(other) else np.zeros(len(hashes))
+    pooled = (n + in_u + 0.5) / (len(toxic) + 1)
+    above = n / toxic.sum() - in_u / max(len(others), 1)
+    errors = above * np.sqrt(toxic.sum() / (pooled * (1 - np.minimum(pooled, 0.999))))
+    return hashes, np.where(n >= max(3, SUPPORT * toxic.sum()), errors, 0.0)
+
+
+def select_features(texts: list[np.ndarray], counts: list[np.ndarray], toxic: np.ndarray, most: int) -> np.ndarray:
+    """Sorted hashes of the parts that occur, or occur twice, in most more documents of P than of U."""
+    hashes, errors = _contrasts(texts, toxic)
+    twice, more = _contrasts([t[c >= 2] for t, c in zip(texts, counts)], toxic)
+    at = np.searchsorted(hashes, twice)
+    errors[at] = np.maximum(errors[at], more)
+    best = np.argsort(-errors, kind="stable")[:most]
+    return np.sort(hashes[best[errors[best] > SIGNIFICANT]])
 
 
 def fit_nnpu(x: np.ndarray, toxic: np.ndarray, prior: float, steps: int = 400, rate: float = 0.05, decay: float = 2e-4) -> tuple[np.ndarray, float]:
@@ -112,9 +122,11 @@ def fit_nnpu(x: np.ndarray, toxic: np.ndarray, prior: float, steps: int = 400, r
     w[-1] = np.log(prior / (1 - prior))
     for step in range(1, steps + 1):
         sp, su = p @ w[:-1] + w[-1], u @ w[:-1] + w[-1]
-        negative = np.logaddexp(0, su).mean() - prior * np.logaddexp(0, sp).mean()
-        g_negative = grad(u, sigmoid(su)) - prior * grad(p, sigmoid(sp))
-        g = prior * grad(p, sigmoid(sp) - 1) + g_negative if negative >= 0 else -g_negative
+        lp, lu = sigmoid(sp), sigmoid(su)  # loss of calling P, U negative; the slope is l * (1 - l)
+        negative = lu.mean() - prior * lp.mean()
+        towards = prior * grad(p, lp * (1 - lp))
+        g_negative = grad(u, lu * (1 - lu)) - towards
+        g = g_negative - towards if negative >= 0 else -g_negative
         g[:-1] += decay * w[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w = (w - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
@@ -162,11 +174,12 @@ def train(docs: DataFrame, marked: DataFrame, positives: int = 2000, unlabelled:
     if not toxic.any():
         return None
     texts = [np.frombuffer(h, np.uint64) for h, *_ in got]
-    chosen = select_features(texts, toxic, features)
+    counts = [np.frombuffer(c, np.uint32).astype(np.int64) for _, c, *_ in got]
+    chosen = select_features(texts, counts, toxic, features)
     x = np.zeros((len(got), len(chosen), LEVELS), np.float32)
-    for k, (h, (_, c, words, _)) in enumerate(zip(texts, got)):
+    for k, (h, c, (_, _, words, _)) in enumerate(zip(texts, counts, got)):
         _, mine, column = np.intersect1d(h, chosen, assume_unique=True, return_indices=True)
-        x[k, column] = levels(np.frombuffer(c, np.uint32)[mine].astype(np.int64), np.int64(words))
+        x[k, column] = levels(c[mine], np.int64(words))
     weights, intercept = fit_nnpu(x.reshape(len(got), -1), toxic, prior)
     return Model(chosen, weights, intercept)
 

@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import fold, table
+from ledgerlake.llm.impact_topk import top_k
 from ledgerlake.llm.mil_quality import quality_scores
 from ledgerlake.llm.ppm_language import identify
 from ledgerlake.llm.pu_toxicity import toxicity_scores
 from ledgerlake.llm.tensored_minhash import near_duplicates
+from ledgerlake.llm.warc_revisit import read_archives, write_archives
+from ledgerlake.session import fresh_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -48,3 +51,15 @@ def op8_pu_toxicity(spark, sf_dir):
     held_out = fold(F.col("doc_id"), 4) == 2
     scores = toxicity_scores(docs, labels, ~held_out)
     return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@register
+def op1_impact_topk(spark, sf_dir):
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+@register
+def op3_warc_revisit(spark, sf_dir):
+    path = fresh_dir(spark, "warc")
+    write_archives(table(spark, sf_dir, "pages"), path)
+    return read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
