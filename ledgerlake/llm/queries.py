@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import fold, table
+from ledgerlake.llm.fair_mix import mix_plan
+from ledgerlake.llm.id_store import read_store, write_store
 from ledgerlake.llm.impact_topk import top_k
+from ledgerlake.llm.length_buckets import pack
 from ledgerlake.llm.mil_quality import quality_scores
+from ledgerlake.llm.multiset_hash import edited_fingerprints
 from ledgerlake.llm.ppm_language import identify
 from ledgerlake.llm.pu_toxicity import toxicity_scores
 from ledgerlake.llm.tensored_minhash import near_duplicates
@@ -63,3 +68,25 @@ def op3_warc_revisit(spark, sf_dir):
     path = fresh_dir(spark, "warc")
     write_archives(table(spark, sf_dir, "pages"), path)
     return read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register
+def op5_multiset_hash(spark, sf_dir):
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@register
+def op4_fair_mix(spark, sf_dir):
+    return mix_plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@register
+def op6_length_buckets(spark, sf_dir):
+    return pack(table(spark, sf_dir, "documents"))
+
+
+@register
+def op7_id_store(spark, sf_dir):
+    path = fresh_dir(spark, "id_store")
+    write_store(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return read_store(spark, path)
