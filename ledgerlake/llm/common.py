@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,3 +32,20 @@ def fold(key: Column, parts: int) -> Column:
 def ident_hash(key: Column, seed: int) -> Column:
     """Uniform number in [0, 2**30) from the key; the same on every run."""
     return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 30))
+
+
+def keep_texts(docs: DataFrame, decider) -> DataFrame:
+    """Rows of ``docs`` whose text is kept, with all columns and no shuffle.
+
+    ``decider()`` is called once a task and gives a function from an Arrow
+    column of texts to a boolean array.
+    """
+    docs = docs.filter("doc_id is not null")
+    at = docs.columns.index("text")
+
+    def keep(batches):
+        decide = decider()
+        for batch in batches:
+            yield batch.filter(pa.array(decide(batch.column(at)), pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

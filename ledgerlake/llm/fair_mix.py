@@ -54,7 +54,9 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, budget: float =
     after = F.sum("weight").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
     level = (F.sum("source_size").over(whole) * F.lit(float(budget)) - before) / after
     found = found.withColumn("level", level)
-    common = F.min(F.when(F.col("level") <= F.col("bound") / F.col("weight"), F.col("level"))).over(whole)
+    ratio = F.col("bound") / F.col("weight")
+    first = F.min(F.when(F.col("level") <= ratio, F.struct(ratio.alias("ratio"), "no", "level"))).over(whole)
+    common = first["level"]
     share = F.least(F.col("weight") * F.coalesce(common, F.lit(float("inf"))), F.col("bound").cast("double"))
     return found.select("source", F.col("no").cast("int").alias("no"), "source_size", share.alias("target"))
 

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import text_np as X
-from ledgerlake.llm.common import ident_hash
+from ledgerlake.llm.common import ident_hash, keep_texts
 
 CLASSES = 16
 WIDTH = CLASSES + CLASSES * CLASSES + 4
@@ -183,18 +183,29 @@ def train(docs: DataFrame, marked: DataFrame, sample: int = 4000, longest: int =
     return net.fit(bags, labels, epochs, 64)
 
 
+def _score(net, column: pa.Array, passage_words: int) -> np.ndarray:
+    scores = [np.zeros(0)]
+    for passages, features in passage_features(column, passage_words):
+        scores.append(net.forward(features, passages)[0] if net else np.full(len(passages), 0.5))
+    return np.concatenate(scores).astype(np.float64)
+
+
 def _scorer(shared, passage_words: int):
     def score(batches):
-        net = shared.value
         for batch in batches:
-            scores = [np.zeros(0)]
-            for passages, features in passage_features(batch.column(1), passage_words):
-                scores.append(net.forward(features, passages)[0] if net else np.full(len(passages), 0.5))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(scores).astype(np.float64))], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_score(shared.value, batch.column(1), passage_words))], names=["doc_id", "score"])
 
     return score
 
 
+def _model(docs: DataFrame, labels: DataFrame, learn_from: Column, passage_words: int, options: dict):
+    """The network trained for ``docs``, as a broadcast variable."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null")
+    marked = labels.filter("quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.round(F.avg("quality")).cast("int").alias("label"))
+    net = train(docs.filter(learn_from), marked.filter(learn_from), passage_words=passage_words, **options)
+    return docs, docs.sparkSession.sparkContext.broadcast(net)
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, learn_from: Column, passage_words: int = 64, **options) -> DataFrame:
     """doc_id, score (0 to 1, higher: label 1 likelier) of every document.
 
@@ -202,8 +213,11 @@ def quality_scores(docs: DataFrame, labels: DataFrame, learn_from: Column, passa
     condition on ``doc_id`` of the rows to learn from. Labels of one document
     that disagree count as their mean rounded.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null")
-    marked = labels.filter("quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.round(F.avg("quality")).cast("int").alias("label"))
-    net = train(docs.filter(learn_from), marked.filter(learn_from), passage_words=passage_words, **options)
-    shared = docs.sparkSession.sparkContext.broadcast(net)
+    docs, shared = _model(docs, labels, learn_from, passage_words, options)
     return docs.mapInArrow(_scorer(shared, passage_words), "doc_id long, score double")
+
+
+def keep_quality(docs: DataFrame, labels: DataFrame, learn_from: Column, least: float = 0.3, passage_words: int = 64, **options) -> DataFrame:
+    """The rows of ``docs`` whose score is at least ``least``, all columns."""
+    _, shared = _model(docs, labels, learn_from, passage_words, options)
+    return keep_texts(docs, lambda: lambda texts: _score(shared.value, texts.cast(pa.string()), passage_words) >= least)

@@ -17,8 +17,11 @@ Work flows in four steps, all of them Spark joins and aggregates:
    links join most groups. All other pairs that share a key are tested too,
    but only where their two ends are not yet in one component, so a group of
    many near copies costs a number of tests near its size, not its square;
-3. a test compares the two full sets (64-bit shingle hashes), after the sizes
-   allow the similarity; no candidate is dropped for any other reason;
+3. a test compares the two full sets (64-bit shingle hashes). Pairs whose sizes
+   rule the similarity out are not tested, nor pairs whose minhashes (four bits
+   of each are kept) differ in more places than six standard deviations above
+   what a pair at the threshold shows, which such a pair exceeds with a
+   probability of about 1e-7;
 4. components of the confirmed links; the smallest id of each is kept.
 
 Defined cases: an empty or NULL text (or one of white space only) has an empty
@@ -66,6 +69,7 @@ def _sketcher(keys: int, rows: int, seed: int):
         sizes = np.array([len(s) for s in sets], np.int64)
         full = np.flatnonzero(sizes)
         out = np.zeros((len(sets), 2 * keys), np.uint64)
+        bits = np.zeros((len(sets), -(-2 * keys * rows // 16)), np.uint64)
         digest = np.zeros((len(sets), 2), np.uint64)
         if len(full):
             flat = np.concatenate([sets[i] for i in full])
@@ -76,10 +80,13 @@ def _sketcher(keys: int, rows: int, seed: int):
             for k in range(2 * keys):
                 key = np.full(len(full), salt[k])
                 for r in range(rows):
-                    np.multiply(flat, odd[k * rows + r], out=held)
-                    key = X.mix(key ^ np.minimum.reduceat(held, at))
+                    place = k * rows + r
+                    np.multiply(flat, odd[place], out=held)
+                    least = np.minimum.reduceat(held, at)
+                    key = X.mix(key ^ least)
+                    bits[full, place // 16] |= (X.mix(least) & np.uint64(15)) << np.uint64(4 * (place % 16))
                 out[full, k] = key
-        return sizes, digest.view(np.int64), out.view(np.int64)
+        return sizes, digest.view(np.int64), out.view(np.int64), bits.view(np.int64)
 
     def sketch(batches):
         for batch in batches:
@@ -95,12 +102,12 @@ def _sketcher(keys: int, rows: int, seed: int):
                 lo = hi
             if not part:
                 continue
-            sizes, digest, out = (np.concatenate(x) for x in zip(*part))
+            sizes, digest, out, bits = (np.concatenate(x) for x in zip(*part))
             lists = lambda m: pa.ListArray.from_arrays(np.arange(len(m) + 1, dtype=np.int32) * m.shape[1], m.ravel())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes), pa.array(digest[:, 0]), pa.array(digest[:, 1]),
-                 lists(np.ascontiguousarray(out[:, :keys])), lists(np.ascontiguousarray(out[:, keys:]))],
-                names=["doc_id", "n_shingles", "d1", "d2", "a", "b"],
+                 lists(np.ascontiguousarray(out[:, :keys])), lists(np.ascontiguousarray(out[:, keys:])), lists(bits)],
+                names=["doc_id", "n_shingles", "d1", "d2", "a", "b", "bits"],
             )
 
     return sketch
@@ -131,20 +138,29 @@ def _confirmer(percent: int):
     return confirm
 
 
-def confirmed_links(docs: DataFrame, pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+def _possible(percent: int, minhashes: int) -> str:
+    """Condition on n_u, n_v, bits_u, bits_v of pairs that can reach the similarity."""
+    share = (1 - percent / 100) * 15 / 16
+    most = int(minhashes * share + 6 * (minhashes * share * (1 - share)) ** 0.5)
+    differ = []
+    for k in range(-(-minhashes // 16)):  # nibbles that differ, counted by their lowest bit
+        x = f"(bits_u[{k}] ^ bits_v[{k}])"
+        y = f"({x} | shiftrightunsigned({x}, 1))"
+        differ.append(f"bit_count(({y} | shiftrightunsigned({y}, 2)) & {0x1111111111111111}L)")
+    return f"100 * least(n_u, n_v) >= {percent} * greatest(n_u, n_v) and {' + '.join(differ)} <= {most}"
+
+
+def _as(facts: DataFrame, end: str) -> DataFrame:
+    return facts.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("bits").alias(f"bits_{end}"))
+
+
+def confirmed_links(docs: DataFrame, allowed: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) whose full sets are similar enough.
 
-    ``docs``: doc_id, text; ``sizes``: node, n. Only texts of candidates are
-    turned into sets. The pairs meet the sets of ``u`` first, whose rows are
-    the rarer to repeat; a hot ``v`` is split by the adaptive skew join.
+    ``docs``: doc_id, text. Only texts of candidates are turned into sets. The
+    pairs meet the sets of ``u`` first, whose rows are the rarer to repeat; a
+    hot ``v`` is split by the adaptive skew join.
     """
-    n1 = sizes.select(F.col("node").alias("u"), F.col("n").alias("n_u"))
-    n2 = sizes.select(F.col("node").alias("v"), F.col("n").alias("n_v"))
-    allowed = (
-        pairs.join(n1, "u").join(n2, "v")
-        .filter(F.lit(100) * F.least("n_u", "n_v") >= F.lit(percent) * F.greatest("n_u", "n_v"))
-        .select("u", "v")
-    )
     allowed = cut(allowed, "pairs")
     nodes = cut(allowed.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), "pair_nodes")
     texts = docs.select("doc_id", "text").join(nodes, "doc_id", "left_semi")
@@ -161,7 +177,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, keys: int = 16, rows: in
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null")
     sketches = cut(
-        docs.mapInArrow(_sketcher(keys, rows, seed), "doc_id long, n_shingles long, d1 long, d2 long, a array<long>, b array<long>"),
+        docs.mapInArrow(_sketcher(keys, rows, seed), "doc_id long, n_shingles long, d1 long, d2 long, a array<long>, b array<long>, bits array<long>"),
         "sketches",
     )
     full = sketches.filter("n_shingles > 0")
@@ -177,21 +193,22 @@ def near_duplicates(docs: DataFrame, percent: int = 80, keys: int = 16, rows: in
         .select(F.xxhash64("a", "b").alias("key"), F.col("doc_id").alias("node"))
     )
     shared = cut(_members(tables), "shared_keys")
-    sizes = classes.select("node", F.col("n_shingles").alias("n"))
+    facts = reps.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "bits")
+    possible = F.expr(_possible(percent, 2 * keys * rows))
     parents = shared.groupBy("node").agg(F.min("least_node").alias("v")).filter("v <> node").select(F.col("node").alias("u"), "v")
-    links = cut(confirmed_links(docs, parents, sizes, percent), "confirmed")
+    first = parents.join(_as(facts, "u"), "u").join(_as(facts, "v"), "v").filter(possible).select("u", "v").distinct()
+    links = cut(confirmed_links(docs, first, percent), "confirmed")
     labels = cut(components(links), "labels")
 
     # Pairs that share a key, have not been tested and lie in two components.
     label = shared.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("part"))
     open_keys = label.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo <> hi").select("key")
-    members = cut(label.join(open_keys, "key", "left_semi"), "open_members")
-    other = members.select("key", F.col("node").alias("v"), F.col("part").alias("part_v"))
-    rest = (
-        members.join(other, "key").filter("node > v and part <> part_v").select(F.col("node").alias("u"), "v").distinct()
-        .join(parents, ["u", "v"], "left_anti")
-    )
-    more = cut(confirmed_links(docs, rest, sizes, percent), "confirmed_more")
+    members = label.join(open_keys, "key", "left_semi").join(facts, "node")
+    members = cut(members.select("key", "part", "node", "n", "bits"), "open_members")
+    u, v = (members.select(F.col("key").alias(f"key_{e}"), F.col("part").alias(f"part_{e}"), F.col("node").alias(e), F.col("n").alias(f"n_{e}"), F.col("bits").alias(f"bits_{e}")) for e in "uv")
+    rest = u.join(v, F.expr("key_u = key_v and u > v and part_u <> part_v") & possible).select("u", "v").distinct()
+    rest = rest.join(parents, ["u", "v"], "left_anti")
+    more = cut(confirmed_links(docs, rest, percent), "confirmed_more")
     if more.take(1):
         labels = components(links.unionByName(more))
 
@@ -215,3 +232,22 @@ def _members(tables: DataFrame) -> DataFrame:
     return seen.filter(F.coalesce(F.col("before") != F.col("node"), F.lit(False)) | F.coalesce(F.col("after") != F.col("node"), F.lit(False))).select(
         "key", "node", "least_node"
     )
+
+
+def deduplicated(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with one document of each component of near duplicates, all columns.
+
+    Of rows that repeat the kept id, the one with the smallest text stays.
+    Only ids to drop, and ids that repeat, are joined to the texts: Spark
+    broadcasts them if they are few.
+    """
+    docs = docs.filter("doc_id is not null")
+    found = cut(near_duplicates(docs, **options).select("doc_id", "kept"), "near_duplicates")
+    long_id = F.col("doc_id").cast("long")
+    drop = cut(found.filter("not kept").select(F.col("doc_id").alias("_drop")).distinct(), "dropped")
+    again = cut(found.filter("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("doc_id").alias("_again")), "repeated")
+    left = docs.join(drop, long_id == F.col("_drop"), "left_anti")
+    single = left.join(again, long_id == F.col("_again"), "left_anti")
+    order = Window.partitionBy(long_id).orderBy("text")
+    repeated = left.join(again, long_id == F.col("_again"), "left_semi").withColumn("_row", F.row_number().over(order)).filter("_row = 1").drop("_row")
+    return single.unionByName(repeated)
