@@ -17,12 +17,12 @@ from ledgerlake.llm.mil_quality import quality_scores
 from ledgerlake.llm.multiset_hash import edited_fingerprints
 from ledgerlake.llm.ppm_language import identify
 from ledgerlake.llm.pu_toxicity import toxicity_scores
+from ledgerlake.llm.sql import ORACLE  # noqa: F401  (read by the entry module)
 from ledgerlake.llm.tensored_minhash import near_duplicates
 from ledgerlake.llm.warc_revisit import read_archives, write_archives
 from ledgerlake.session import fresh_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
 
 
 def register(fn):
