@@ -106,15 +106,16 @@ def likeness(a: str, b: str) -> Column:
     return F.expr(f"case when {a} = {b} then 1.0D when {norm} = 0 then 0.0D else {share} end")
 
 
-def with_next(docs: DataFrame, columns: list[str], group_bits: int = 10) -> DataFrame:
+def with_next(docs: DataFrame, ids: DataFrame, columns: list[str], group_bits: int = 10) -> DataFrame:
     """``docs`` with ``next_<c>`` of the document that follows by ``doc_id`` (after the last: the first).
 
-    Groups are runs of ids, so none is larger than its range of ids. The table
+    ``ids`` holds the same ``doc_id`` (a narrow scan, where ``docs`` computes
+    columns). Groups are runs of ids, so none is larger than its range. The table
     of groups has one small row per group; it is looked up by the first id of
     a group, with a join that Spark broadcasts only if the table is small.
     """
     group = F.shiftright("doc_id", group_bits)
-    firsts = docs.select("doc_id", group.alias("grp")).groupBy("grp").agg(F.min("doc_id").alias("doc_id"))
+    firsts = ids.select("doc_id", group.alias("grp")).groupBy("grp").agg(F.min("doc_id").alias("doc_id"))
     order = Window.orderBy("grp")
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     before = firsts.select("doc_id", F.coalesce(F.lag("grp").over(order), F.last("grp").over(whole)).alias("also"))
@@ -136,11 +137,12 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).filter("doc_id is not null")
+    ids = docs.select("doc_id")
     docs = with_fingerprint(docs, "text", "words")
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
-    rows = with_next(docs, ["text", "words"]).select("doc_id", n.cast("long").alias("n_chars"), "words", "next_words", edited.alias("edited"))
+    rows = with_next(docs, ids, ["text", "words"]).select("doc_id", n.cast("long").alias("n_chars"), "words", "next_words", edited.alias("edited"))
     rows = with_fingerprint(rows, "edited", "edited_words")
     for name in ("words", "edited_words", "next_words"):
         rows = _once(rows, f"{name}_lanes", lanes(name))

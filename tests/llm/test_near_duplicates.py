@@ -1,0 +1,92 @@
+"""Tensored MinHash near-duplicates against brute force on whole sets."""
+
+import random
+import re
+
+import pytest
+
+from ledgerlake.llm.tensored_minhash import deduplicated, near_duplicates, shingle_sets
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def shingles(text):
+    words = re.findall("[^\x20\x09-\x0d]+", (text or "").translate(LOWER))
+    return frozenset(zip(words, words[1:])) if len(words) > 1 else frozenset((w,) for w in words)
+
+
+def brute(rows):
+    sets = [(i, shingles(t)) for i, t in rows if i is not None]
+    root = {i: i for i, _ in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for n, (i, a) in enumerate(sets):
+        for j, b in sets[:n]:
+            if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    return sorted((i, len(s), find(i), find(i) == i) for i, s in sets)
+
+
+def corpus(seed, n=60):
+    rng = random.Random(seed)
+    vocabulary = [f"w{k}" for k in range(400)]
+    rows, base = [], [rng.choices(vocabulary, k=rng.choice([3, 12, 40, 120])) for _ in range(n)]
+    for words in base:
+        rows.append(" ".join(words))
+        for _ in range(rng.choice([0, 0, 1, 3])):
+            copy = list(words)
+            for _ in range(rng.randint(0, max(1, len(words) // 12))):
+                copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
+            rows.append(" ".join(copy))
+    rng.shuffle(rows)
+    rows += ["", None, " \n\t", "one", "ONE", "one one", "A b", "a\nB", "ä b", "Ä b", rows[0], rows[0].upper()]
+    return list(enumerate(rows)) + [(None, "one two three")]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components_equal_brute_force(spark, seed):
+    rows = corpus(seed)
+    df = spark.createDataFrame([(i, t, 5, "c") for i, t in rows], "doc_id long, text string, n_shingles int, component_id string")
+    got = sorted(tuple(r) for r in near_duplicates(df).collect())
+    assert got == brute(rows)
+
+
+def test_drifting_copies_form_one_chain_and_a_group_of_copies_one_class(spark):
+    words = [f"t{k}" for k in range(200)]
+    rows, now = [], list(words)
+    for i in range(25):  # each differs a little from the one before, the ends a lot
+        rows.append((i, " ".join(now)))
+        for k in range(6):
+            now[(i * 6 + k) % 200] = f"n{i}_{k}"
+    rows += [(100 + i, "the same text in every copy of it") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r) for r in near_duplicates(df).collect()) == brute(rows)
+
+
+def test_empty_table_and_repeated_rows(spark):
+    schema = "doc_id long, text string"
+    assert near_duplicates(spark.createDataFrame([], schema)).collect() == []
+    rows = [(4, "a b c"), (4, "a b c"), (3, "x y"), (9, "A B C")]
+    got = sorted(tuple(r) for r in near_duplicates(spark.createDataFrame(rows, schema)).collect())
+    assert got == [(3, 1, 3, True), (4, 2, 4, True), (4, 2, 4, True), (9, 2, 4, False)]
+
+
+def test_deduplicated_keeps_one_row_of_each_group_with_all_columns(spark):
+    rows = [(4, "a b c", "k", 1), (4, "a b c", "k", 1), (9, "A B C", "l", 2), (2, None, None, 3), (5, "other words here", "m", 4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, kept string, n int")
+    out = deduplicated(df)
+    assert out.columns == df.columns
+    assert sorted(r["doc_id"] for r in out.collect()) == [2, 4, 5]
+
+
+def test_sets_are_taken_from_whole_long_texts():
+    import pyarrow as pa
+
+    text = " ".join(f"w{k}" for k in range(300_000))
+    (found,) = shingle_sets(pa.array([text]))
+    assert len(found) == 299_999
