@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,3 +52,15 @@ def keep_texts(docs: DataFrame, decider) -> DataFrame:
             yield batch.filter(pa.array(decide(batch.column(at)), pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
+
+
+def worker_cache(kind: str, key, make):
+    """``make()``, kept by this Python process for later tasks that ask for the same key.
+
+    One object a kind is kept; it lives in a module of its own, as the
+    functions of this package reach the workers by value.
+    """
+    held = sys.modules.setdefault("_ledgerlake_worker_cache", types.ModuleType("_ledgerlake_worker_cache")).__dict__
+    if held.get(kind, (None,))[0] != key:
+        held[kind] = (key, make())
+    return held[kind][1]

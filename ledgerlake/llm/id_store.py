@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import text_np as X
-from ledgerlake.llm.common import ident_hash
+from ledgerlake.llm.common import ident_hash, worker_cache
 
 BLOCK_SCHEMA = "part int, block long, dictionary_sha256 string, doc_ids binary, counts binary, offsets binary, frames binary"
 
@@ -207,7 +207,8 @@ def _writer(shared, end_id: int, block_docs: int):
         import zstandard
 
         tokenizer_json, whole, dictionary, width, level = shared.value
-        encoder = PieceEncoder(tokenizer_json, whole)
+        key = (hashlib.sha256(tokenizer_json.encode()).hexdigest(), whole)
+        encoder = worker_cache("piece encoder", key, lambda: PieceEncoder(tokenizer_json, whole))
         known = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         compressor = zstandard.ZstdCompressor(level=level, dict_data=known, write_content_size=True)
         digest = hashlib.sha256(dictionary).hexdigest()
@@ -233,6 +234,7 @@ def _writer(shared, end_id: int, block_docs: int):
                     yield flush()
         if ids:
             yield flush()
+        X.release_memory()
 
     return write
 

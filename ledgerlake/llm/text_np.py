@@ -9,6 +9,8 @@ and the longest single text, not the Arrow batch.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -104,3 +106,12 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     """64-bit hash of each span of bytes, the same wherever the span stands."""
     _, down = powers(len(sums) - 1)
     return mix((sums[ends] - sums[starts]) * down[starts])
+
+
+def release_memory() -> None:
+    """Give freed memory back to the machine: Spark keeps idle workers alive between stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
