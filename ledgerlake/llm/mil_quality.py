@@ -194,6 +194,8 @@ def _scorer(shared, passage_words: int):
     def score(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_score(shared.value, batch.column(1), passage_words))], names=["doc_id", "score"])
+            del batch
+        X.release_memory()
 
     return score
 

@@ -192,6 +192,8 @@ def _scorer(shared):
             for words, hashes, of in word_parts(batch.column(1)):
                 scores.append(1 / (1 + np.exp(-np.clip(model.logits(words, hashes, of), -30, 30))) if model else np.zeros(len(words)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(scores))], names=["doc_id", "score"])
+            del batch
+        X.release_memory()
 
     return score
 
