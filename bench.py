@@ -123,6 +123,7 @@ def main() -> None:
             refine.cards_refined(read(f"{base}/history/cards_scd2_v2"), current_year=2026),
             f"{base}/dw/cards_refined_scd2",
             schemas.CARDS_REFINED_PARTITIONS,
+            dynamic=False,
             rebalance=True,
         ),
     )
@@ -158,7 +159,7 @@ def main() -> None:
 
     timed(
         "txn_index_update_one_day",
-        lambda: update_index(spark, f"{base}/raw/transactions_dup", f"{base}/raw/transaction_index", [(2026, 4, 23)]),
+        lambda: update_index(spark, f"{base}/raw/transactions_dup", f"{base}/raw/transaction_index", f"{base}/raw/transaction_index_2", [(2026, 4, 23)]),
     )
 
     def lookups():

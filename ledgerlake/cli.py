@@ -35,7 +35,9 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--driver")
     s.add_argument("--user-env", default="LEDGERLAKE_DB_USER")
     s.add_argument("--password-env", default="LEDGERLAKE_DB_PASSWORD")
-    s.add_argument("--partition-column", default=None, help="numeric column to split the transactions read on")
+    s.add_argument("--partition-column", default="id", help="numeric column to split the reads on; empty: one connection a table")
+    s.add_argument("--fetch-size", type=int, default=10000)
+    s.add_argument("--database", default=None, help="register the raw tables in this catalog database")
     s.add_argument("--num-partitions", type=int, default=None)
     s.add_argument("--static-overwrite", action="store_true")
     s.add_argument("--clock")
@@ -45,16 +47,16 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--index", required=True)
     s.add_argument("--survivor", choices=["latest", "any"], default="latest")
     s.add_argument("--update-days", default=None,
-                   help="comma-separated yyyy-mm-dd ingest days to add to an existing index instead of a rebuild")
+                   help="comma-separated yyyy-mm-dd ingest days that were (re-)ingested: bring the index up to date")
+    s.add_argument("--output", default=None, help="with --update-days: path of the new index version")
 
     s = sub.add_parser("lookup", help="look transaction ids up through the index")
     s.add_argument("--transactions", required=True)
     s.add_argument("--index", required=True)
     s.add_argument("ids", nargs="*", type=int)
     s.add_argument("--ids-parquet", default=None, help="parquet with the ids to look up (first column)")
-    s.add_argument("--output", default=None, help="with --ids-parquet: write found/ and missing/ here")
+    s.add_argument("--output", required=True, help="write found/ and missing/ here")
     s.add_argument("--prune", action="store_true")
-    s.add_argument("--max-rows", type=int, default=20, help="records to print (the count is always exact)")
 
     s = sub.add_parser("users-history", help="log UPDATE/DELETE before images, refresh the snapshot")
     s.add_argument("--current", required=True, help="path or catalog table of the current snapshot")
@@ -65,6 +67,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--clock")
     s.add_argument("--batch-id")
     s.add_argument("--bucket-count", type=int, default=None, help="publish the snapshot bucketed by user_id")
+    s.add_argument("--order", nargs="*", default=None, help="incoming columns that decide between rows with one key")
 
     s = sub.add_parser("cards-scd2", help="initial load or merge of the cards type 2 dimension")
     s.add_argument("--incoming", required=True)
@@ -73,7 +76,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--clock")
     s.add_argument("--batch-id")
     s.add_argument("--close-missing", action="store_true")
-    s.add_argument("--on-duplicate", choices=["auto", "dedupe", "raise"], default="auto")
+    s.add_argument("--order", nargs="*", default=None, help="incoming columns that decide between rows with one key")
     s.add_argument("--bucket-count", type=int, default=None, help="publish versions bucketed by card_id")
 
     s = sub.add_parser("corrections", help="replace columns of keyed rows, write a new snapshot")
@@ -83,7 +86,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--key", default="id")
 
     s = sub.add_parser("warehouse", help="refine users, cards and the latest transaction batch")
-    s.add_argument("--config", help="JSON file with WarehouseConfig fields")
+    s.add_argument("--config", required=True, help="JSON file with RefineTargets fields")
     s.add_argument("--clock")
     return p
 
@@ -100,69 +103,53 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     out: dict = {"job": args.job}
 
     if args.job == "ingest":
-        from ledgerlake.plans.ingest import IngestSpec, default_specs, jdbc_reader, run_raw_ingest
+        from ledgerlake.plans.ingest import jdbc_reader, run_raw_ingest, source_specs
 
         conn = {
             "user": os.environ.get(args.user_env),
             "password": os.environ.get(args.password_env),
             "driver": args.driver,
         }
-        specs = []
-        for spec in default_specs(f"{args.base.rstrip('/')}/raw"):
-            if spec.name == "transactions" and args.partition_column:
-                spec = IngestSpec(spec.name, spec.dbtable, spec.output_path, spec.table_source, spec.fetchsize,
-                                  args.partition_column, args.num_partitions or spark.sparkContext.defaultParallelism,
-                                  spec.write_partitions)
-            specs.append(spec)
+        specs = source_specs(f"{args.base.rstrip('/')}/raw", args.partition_column or None, args.num_partitions, args.fetch_size)
         out["written"] = run_raw_ingest(specs, jdbc_reader(spark, args.url, **conn), _clock(args.clock),
-                                        dynamic=not args.static_overwrite)
-
+                                        dynamic=not args.static_overwrite, database=args.database)
     elif args.job == "index":
         from ledgerlake.plans.index_job import build_index, update_index
 
         if args.update_days:
             days = [tuple(int(x) for x in d.split("-")) for d in args.update_days.split(",")]
-            out["rewritten_days"] = update_index(spark, args.transactions, args.index, days)
+            if not args.output:
+                raise SystemExit("--update-days needs --output")
+            out["index"] = update_index(spark, args.transactions, args.index, args.output, days)
         else:
             build_index(spark, args.transactions, args.index, survivor=args.survivor)
-        out["index"] = args.index
+            out["index"] = args.index
 
     elif args.job == "lookup":
         from ledgerlake.plans.index_job import lookup
 
-        if args.ids_parquet:
-            if not args.output:
-                raise SystemExit("--ids-parquet needs --output")
-            requests = spark.read.parquet(args.ids_parquet)
-            found, missing = lookup(spark, args.index, args.transactions, requests, prune=args.prune)
-            found.write.mode("overwrite").parquet(f"{args.output.rstrip('/')}/found")
-            missing.write.mode("overwrite").parquet(f"{args.output.rstrip('/')}/missing")
-            out["output"] = args.output
-            print(json.dumps(out, default=str))
-            return out
-        if not args.ids:
+        if not args.ids and not args.ids_parquet:
             raise SystemExit("give ids or --ids-parquet")
-        found, missing = lookup(spark, args.index, args.transactions, args.ids, prune=args.prune)
+        requests = spark.read.parquet(args.ids_parquet) if args.ids_parquet else args.ids
+        found, missing = lookup(spark, args.index, args.transactions, requests, prune=args.prune)
+        found.write.mode("overwrite").parquet(f"{args.output.rstrip('/')}/found")
+        missing.write.mode("overwrite").parquet(f"{args.output.rstrip('/')}/missing")
+        out["output"] = args.output
         out["index_schema"] = spark.read.parquet(args.index).schema.simpleString()
-        # a display, like show(): an id may repeat across many records, so only
-        # the first rows travel to the driver; the count is computed in Spark
-        out["found_count"] = found.count()
-        out["found"] = [r.asDict() for r in found.limit(args.max_rows).collect()]
-        out["not_found"] = [r[0] for r in missing.collect()]  # at most the ids given
-
+        out["found_count"] = spark.read.parquet(f"{args.output.rstrip('/')}/found").count()
     elif args.job == "users-history":
         from ledgerlake.plans.history_job import run_users_history
 
         run_users_history(_read(spark, args.current), _read(spark, args.incoming), args.history,
                           args.current_base, _clock(args.clock), args.batch_id, args.current_table,
-                          args.bucket_count)
+                          args.bucket_count, args.order)
         out["history"] = args.history
 
     elif args.job == "cards-scd2":
         from ledgerlake.plans.scd2_job import run_cards_scd2
 
         out["version"] = run_cards_scd2(spark, _read(spark, args.incoming), args.table, args.base,
-                                        _clock(args.clock), args.batch_id, args.close_missing, args.on_duplicate,
+                                        _clock(args.clock), args.batch_id, args.close_missing, args.order,
                                         args.bucket_count)
 
     elif args.job == "corrections":
@@ -172,13 +159,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         out["output"] = args.output
 
     elif args.job == "warehouse":
-        from ledgerlake.plans.warehouse import WarehouseConfig, run_warehouse
+        from ledgerlake.plans.warehouse import RefineTargets, run_warehouse
 
-        fields = {}
-        if args.config:
-            with open(args.config) as fh:
-                fields = json.load(fh)
-        out["tables"] = run_warehouse(spark, WarehouseConfig(**fields), clock=args.clock)
+        with open(args.config) as fh:
+            targets = RefineTargets(**json.load(fh))
+        out["tables"] = run_warehouse(spark, targets, clock=args.clock)
 
     print(json.dumps(out, default=str))
     return out

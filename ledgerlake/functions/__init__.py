@@ -1,26 +1 @@
-"""Column expressions: quality rules, column groups and derived columns."""
-
-from ledgerlake.functions.derived import (  # noqa: F401
-    above,
-    age_group,
-    any_differs,
-    below,
-    day_from_parts,
-    income_group,
-    month_year_group,
-    timestamp_parts,
-)
-from ledgerlake.functions.quality import (  # noqa: F401
-    as_text,
-    currency_amount_text,
-    currency_code,
-    currency_group,
-    decimal_group,
-    first_present,
-    has_columns,
-    integer_group,
-    is_blank,
-    is_currency_text,
-    is_decimal_text,
-    is_integer_text,
-)
+"""Column expressions: quality rules and derived columns."""

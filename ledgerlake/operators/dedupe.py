@@ -32,42 +32,41 @@ def latest_per_key(df: DataFrame, key: str | list[str], order: list[str] | None
 
 def duplicate_keys(df: DataFrame, key: str | list[str]) -> DataFrame:
     """Keys that occur more than once, with their row count (partial aggregate)."""
-    keys = [key] if isinstance(key, str) else list(key)
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
-
+    return _key_counts(df, key).filter(F.col("rows") > 1)
 
-def has_duplicate_keys(df: DataFrame, key: str | list[str]) -> bool:
-    """Whether any key repeats: one small job over the key columns only.
 
-    A hash aggregate of (key, count) with map-side combining; at most one
-    row comes back to the driver.
-    """
-    return bool(duplicate_keys(df, key).limit(1).collect())
+def _key_counts(df: DataFrame, key: str | list[str]) -> DataFrame:
+    keys = [key] if isinstance(key, str) else list(key)
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def one_per_key(df: DataFrame, key: str | list[str], on_duplicate: str = "auto", what: str = "input") -> DataFrame:
-    """At most one row per key, by policy.
+def superseded_rows(df: DataFrame, key: str | list[str], order: list[str]) -> DataFrame:
+    """The rows that :func:`latest_per_key` drops, each as often as it is dropped.
 
-    * ``auto`` (default): check for repeated keys first; only if some exist,
-      keep the greatest row per key (:func:`latest_per_key`). With unique
-      keys the frame is returned as it is, so a join on it needs no sort
-      aggregate and stays eligible for AQE's skew-join split.
-    * ``dedupe``: always :func:`latest_per_key`, no check.
-    * ``raise``: ``ValueError`` on a repeated key.
-    * ``keep``: no check, no change.
+    Rows are counted per value and one of the survivor's value is taken off,
+    so a key with very many rows costs aggregates only.
     """
-    if on_duplicate == "keep":
-        return df
-    if on_duplicate == "raise":
-        reject_duplicates(df, key, what)
-        return df
-    if on_duplicate == "auto" and not has_duplicate_keys(df, key):
-        return df
-    return latest_per_key(df, key)
-
-
-def reject_duplicates(df: DataFrame, key: str | list[str], what: str = "input") -> None:
-    """Raise ``ValueError`` when a key repeats (one small job; reads keys only)."""
-    sample = duplicate_keys(df, key).limit(5).collect()
-    if sample:
-        raise ValueError(f"{what} has duplicate keys, e.g. {[tuple(r) for r in sample]}")
+    keys = [key] if isinstance(key, str) else list(key)
+    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    best = latest_per_key(df, keys, order).withColumn("_best", F.lit(1))
+    same = [rows[c].eqNullSafe(best[c]) for c in df.columns]
+    condition = same[0]
+    for c in same[1:]:
+        condition = condition & c
+    left = rows.join(best.select(*df.columns, "_best"), condition, "left").withColumn("_n", F.col("_n") - F.coalesce("_best", F.lit(0)))
+    return left.filter("_n > 0").select(*[rows[c] for c in df.columns], F.explode(F.sequence(F.lit(1).cast("long"), "_n")).alias("_copy")).drop("_copy")
+
+
+def refuse_repeats(result: DataFrame, df: DataFrame, key: str | list[str], what: str) -> DataFrame:
+    """``result``, which fails when it is computed if a key of ``df`` repeats.
+
+    The check is a branch of the same plan (a union with rows that raise), so
+    nothing runs while the plan is built, the plan is the same for all data,
+    and the joins in ``result`` read ``df`` as it is.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    shown = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+    message = F.concat(F.lit(f"{what} has duplicate keys, e.g. "), shown, F.lit(" in "), F.col("rows").cast("string"), F.lit(" rows"))
+    raised = F.when(F.col("rows") > 1, F.raise_error(message).cast("string"))
+    none = _key_counts(df, keys).filter(raised.isNotNull())
+    return result.union(none.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in result.schema.fields]))

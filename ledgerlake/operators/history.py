@@ -6,11 +6,12 @@ a partner is a DELETE, one whose partner differs in any attribute (NULL-safe)
 is an UPDATE. Left outer keeps the current side splittable by AQE's skew-join
 handling should one key hold many current rows.
 
-The incoming snapshot has at most one row per key when it is joined: a
-key-only check runs first, and only if a key repeats is the greatest row per
-key kept. No key ever pairs many rows with many rows, and with unique input
-the join reads the incoming rows directly, so AQE can split a hot key on the
-current side. Rows with a NULL key take no part, as they could match nothing.
+An incoming snapshot that repeats a key fails when the result is computed. If
+repeats are expected, name ``order`` columns: the row that is greatest by them
+is compared, and :func:`ledgerlake.operators.dedupe.superseded_rows` gives the
+others. Without ``order`` the join reads the incoming rows as they are, so AQE
+can split a hot key on the current side. Rows with a NULL key take no part, as
+they could match nothing.
 """
 
 from __future__ import annotations
@@ -21,53 +22,53 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake import schemas
+from ledgerlake.functions.derived import same_values
 from ledgerlake.functions.quality import first_present
-from ledgerlake.operators.dedupe import one_per_key
+from ledgerlake.operators.dedupe import latest_per_key, refuse_repeats
 from ledgerlake.operators.lineage import clock_column
 
 KEY = "user_id"
 ATTRIBUTES = schemas.USER_COLUMNS[1:]
 
 
-def normalize_users(df: DataFrame) -> DataFrame:
-    """``id`` (or ``user_id`` after a refresh) as a long ``user_id`` + 13 attributes."""
+def normalize_users(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """``id`` (or ``user_id`` after a refresh) as a long ``user_id`` + 13 attributes as text.
+
+    ``keep``: further columns to carry along, such as an order column.
+    """
     key = first_present(df.columns, "id", "user_id")
-    return df.select(F.col(key).try_cast("long").alias(KEY), *ATTRIBUTES)
+    return df.select(F.col(key).try_cast("long").alias(KEY), *[F.col(c).cast("string").alias(c) for c in ATTRIBUTES], *[c for c in keep or [] if c not in schemas.USER_COLUMNS])
 
 
-def _one_per_key(incoming: DataFrame, on_duplicate: str) -> DataFrame:
+def one_snapshot(incoming: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """The rows with a key; one per key, greatest by ``order``, if that is given."""
     keyed = incoming.filter(F.col(KEY).isNotNull())
-    return one_per_key(keyed, KEY, on_duplicate, "incoming snapshot")
+    return latest_per_key(keyed, KEY, order) if order else keyed
+
 
+def _checked(result: DataFrame, incoming: DataFrame, order: list[str] | None) -> DataFrame:
+    return result if order else refuse_repeats(result, incoming.filter(F.col(KEY).isNotNull()), KEY, "incoming snapshot")
 
-def classify_changes(current: DataFrame, incoming: DataFrame, on_duplicate: str = "auto") -> DataFrame:
+
+def classify_changes(current: DataFrame, incoming: DataFrame, order: list[str] | None = None) -> DataFrame:
     """Current rows with ``change_type`` UPDATE, DELETE or NULL (unchanged)."""
-    inc = _one_per_key(incoming, on_duplicate).select(
-        F.col(KEY).alias("_k"), F.struct(*ATTRIBUTES).alias("inc")
-    )
+    inc = one_snapshot(incoming, order).select(F.col(KEY).alias("_k"), F.struct(*ATTRIBUTES).alias("inc"))
     cur = current.filter(F.col(KEY).isNotNull()).alias("cur")
     joined = cur.join(inc, F.col(f"cur.{KEY}") == F.col("_k"), "left_outer")
-    changed = None
-    for c in ATTRIBUTES:
-        diff = ~F.col(f"cur.{c}").eqNullSafe(F.col(f"inc.{c}"))
-        changed = diff if changed is None else changed | diff
     change_type = (
         F.when(F.col("inc").isNull(), F.lit("DELETE"))
-        .when(changed, F.lit("UPDATE"))
+        .when(~same_values("cur", "inc", ATTRIBUTES), F.lit("UPDATE"))
     )
     return joined.select(*[F.col(f"cur.{c}").alias(c) for c in schemas.USER_COLUMNS], change_type.alias("change_type"))
 
 
-def row_changed(current: DataFrame, incoming: DataFrame) -> DataFrame:
+def row_changed(current: DataFrame, incoming: DataFrame, order: list[str] | None = None) -> DataFrame:
     """Keys present in both snapshots with a NULL-safe "any attribute differs" flag."""
-    inc = _one_per_key(incoming, "auto").alias("inc")
+    inc = one_snapshot(incoming, order).alias("inc")
     cur = current.filter(F.col(KEY).isNotNull()).alias("cur")
     joined = cur.join(inc, F.col(f"cur.{KEY}") == F.col(f"inc.{KEY}"), "inner")
-    changed = None
-    for c in ATTRIBUTES:
-        diff = ~F.col(f"cur.{c}").eqNullSafe(F.col(f"inc.{c}"))
-        changed = diff if changed is None else changed | diff
-    return joined.select(F.col(f"cur.{KEY}").alias(KEY), changed.alias("row_changed"))
+    flags = joined.select(F.col(f"cur.{KEY}").alias(KEY), (~same_values("cur", "inc", ATTRIBUTES)).alias("row_changed"))
+    return _checked(flags, incoming, order)
 
 
 def history_delta(
@@ -75,23 +76,22 @@ def history_delta(
     incoming: DataFrame,
     detected_at: _dt.datetime | str | None = None,
     batch_id: str = "",
-    on_duplicate: str = "auto",
+    order: list[str] | None = None,
 ) -> DataFrame:
     """Before images of updated and deleted users with change metadata.
 
     Columns: the 14 business columns, ``change_type``, ``change_detected_at``
-    and ``batch_id``. ``on_duplicate`` handles repeated incoming keys:
-    ``auto`` (default: keep the greatest row per key, after a key-only check
-    so unique input is joined as it is), ``dedupe``, ``raise`` or ``keep``
-    (see :func:`ledgerlake.operators.dedupe.one_per_key`).
+    and ``batch_id``. ``order``: what decides between rows that repeat an
+    incoming key; without it a repeated key is an error.
     """
-    classified = classify_changes(current, incoming, on_duplicate)
-    return classified.filter(F.col("change_type").isNotNull()).select(
+    classified = classify_changes(current, incoming, order)
+    delta = classified.filter(F.col("change_type").isNotNull()).select(
         *schemas.USER_COLUMNS,
         "change_type",
         clock_column(detected_at).alias("change_detected_at"),
         F.lit(batch_id).alias("batch_id"),
     )
+    return _checked(delta, incoming, order)
 
 
 def change_count(delta: DataFrame) -> DataFrame:

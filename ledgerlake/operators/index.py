@@ -77,12 +77,22 @@ def lookup_transactions(index: DataFrame, transactions: DataFrame, ids, prune: b
     request sets). With literal ids the record scan is filtered by the same
     ids as well.
     """
-    hits = find_in_index(index, ids).alias("idx")
+    hits = find_in_index(index, ids)
+    if isinstance(ids, DataFrame):
+        # The semi join above leaves the hits partitioned by id, and a record
+        # join on that very column would take them as they are; AQE splits a
+        # hot id only between two shuffles made for the join itself. The key
+        # is therefore an expression of the id, so both sides are shuffled
+        # for the record join (or the hits broadcast, if they turn out small).
+        hits = hits.withColumn("_key", F.col("transaction_id").bitwiseXOR(F.lit(0).cast("long")))
+    else:
+        hits = hits.withColumn("_key", F.col("transaction_id"))
+    hits = hits.alias("idx")
     records = transactions
     if not isinstance(ids, DataFrame):
         records = records.filter(F.col("id").isin(_literal_ids(ids)))
     txn = records.alias("txn")
-    cond = F.col("txn.id") == F.col("idx.transaction_id")
+    cond = F.col("txn.id") == F.col("idx._key")
     if prune:
         for p in schemas.INGEST_PARTITIONS:
             cond = cond & (F.col(f"txn.{p}") == F.col(f"idx.{p}"))

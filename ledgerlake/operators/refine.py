@@ -23,12 +23,6 @@ def _cast_to(df: DataFrame, schema) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def _year_of(clock) -> int:
-    if isinstance(clock, _dt.datetime):
-        return clock.year
-    return int(str(clock)[:4])
-
-
 def users_refined(
     source: DataFrame,
     current_year: int | None = None,
@@ -149,7 +143,3 @@ def month_keys(refined: DataFrame) -> DataFrame:
         .distinct()
         .orderBy("txn_year", "txn_month")
     )
-
-
-def current_year_of(clock) -> int:
-    return _year_of(clock)

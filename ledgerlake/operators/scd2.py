@@ -16,10 +16,11 @@ survives) and current rows with a NULL key bypass the join untouched. The
 old version's ``effective_to`` and the new version's ``effective_from`` are
 the same clock value, so intervals are half-open without gaps.
 
-Incoming rows are reduced to one per key first: a key-only check, and only
-if a key repeats the greatest row per key is kept (or ``on_duplicate=
-"raise"`` refuses the batch); with at most one current version per key the
-join is one-to-one, so no key can skew it or multiply rows.
+A key that repeats among the incoming rows fails when the result is computed,
+unless ``order`` columns are named: then the row greatest by them is merged
+(:func:`ledgerlake.operators.dedupe.superseded_rows` gives the others). Two
+current versions of one key fail in any case. So the join is one-to-one, and
+no key can skew it or multiply rows.
 """
 
 from __future__ import annotations
@@ -30,94 +31,86 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake import schemas
-from ledgerlake.operators.dedupe import one_per_key
+from ledgerlake.functions.derived import same_values
+from ledgerlake.functions.quality import first_present, has_columns
+from ledgerlake.operators.dedupe import latest_per_key, refuse_repeats
 from ledgerlake.operators.lineage import clock_column
 
 KEY = "card_id"
 ATTRIBUTES = schemas.CARD_COLUMNS[1:]
 COLUMNS = schemas.CARD_COLUMNS + schemas.SCD2_META
-REQUIRED = [c for c in schemas.CARD_COLUMNS if c not in ("card_id", "client_id")]
-
-
-def normalize_cards(df: DataFrame) -> DataFrame:
-    """Accept ``id`` or ``card_id``; cast both ids to long; check the columns."""
-    cols = set(df.columns)
-    if "id" in cols:
-        key = F.col("id")
-    elif "card_id" in cols:
-        key = F.col("card_id")
-    else:
-        raise ValueError(f"Cannot find card identifier column. Available columns: {df.columns}")
-    if "client_id" not in cols:
-        raise ValueError(f"Cannot find client_id column. Available columns: {df.columns}")
-    missing = [c for c in REQUIRED if c not in cols]
-    if missing:
-        raise ValueError(f"Missing required card columns: {missing}. Available columns: {df.columns}")
-    return df.select(
-        key.try_cast("long").alias(KEY),
-        F.col("client_id").try_cast("long").alias("client_id"),
-        *REQUIRED,
-    )
+TEXT_COLUMNS = schemas.CARD_COLUMNS[2:]
+
+
+def normalize_cards(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Both ids as long, the other 11 business columns as text.
+
+    The key may be called ``id`` or ``card_id``. ``keep``: further columns to
+    carry along, such as an order column.
+    """
+    key = first_present(df.columns, "id", "card_id")
+    needed = [key, "client_id", *TEXT_COLUMNS]
+    if not has_columns(df.columns, needed):
+        absent = ", ".join(c for c in needed if c not in df.columns)
+        raise ValueError(f"a cards table lacks {absent}; it has {', '.join(df.columns)}")
+    ids = [F.col(source).try_cast("long").alias(name) for source, name in ((key, KEY), ("client_id", "client_id"))]
+    return df.select(*ids, *[F.col(c).cast("string").alias(c) for c in TEXT_COLUMNS], *[c for c in keep or [] if c not in schemas.CARD_COLUMNS])
+
+
+def one_batch(incoming: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """The rows with a key; one per key, greatest by ``order``, if that is given."""
+    keyed = incoming.filter(F.col(KEY).isNotNull())
+    return (latest_per_key(keyed, KEY, order) if order else keyed).select(*schemas.CARD_COLUMNS)
+
+
+def _checked(result: DataFrame, incoming: DataFrame, order: list[str] | None) -> DataFrame:
+    return result if order else refuse_repeats(result, incoming.filter(F.col(KEY).isNotNull()), KEY, "incoming cards")
 
 
 def initial_versions(
     incoming: DataFrame,
     effective_at: _dt.datetime | str | None = None,
     batch_id: str = "",
-    on_duplicate: str = "auto",
+    order: list[str] | None = None,
 ) -> DataFrame:
     """First load: every incoming row becomes a current version.
 
-    Keys are made unique first with the same policy as the merge, so the
-    dimension starts with at most one current version per key; rows with a
-    NULL key are loaded as they are, as in the reference.
+    Repeated keys are handled as in the merge, so the dimension starts with at
+    most one current version per key; rows with a NULL key are loaded as they
+    are, as in the reference.
     """
-    keyed = _one_per_key(incoming, on_duplicate)
     unkeyed = incoming.select(*schemas.CARD_COLUMNS).filter(F.col(KEY).isNull())
-    return keyed.unionByName(unkeyed).select(
+    versions = one_batch(incoming, order).unionByName(unkeyed).select(
         *schemas.CARD_COLUMNS,
         clock_column(effective_at).alias("effective_from"),
         F.lit(None).cast("timestamp").alias("effective_to"),
         F.lit(True).alias("is_current"),
         F.lit(batch_id).alias("batch_id"),
     )
-
-
-def _one_per_key(incoming: DataFrame, on_duplicate: str) -> DataFrame:
-    keyed = incoming.select(*schemas.CARD_COLUMNS).filter(F.col(KEY).isNotNull())
-    return one_per_key(keyed, KEY, on_duplicate, "incoming cards")
+    return _checked(versions, incoming, order)
 
 
 def _is_current() -> Column:
     return F.col("is_current").eqNullSafe(F.lit(True))
 
 
-def diff(existing: DataFrame, incoming: DataFrame, on_duplicate: str = "auto") -> DataFrame:
+def diff(existing: DataFrame, incoming: DataFrame, order: list[str] | None = None) -> DataFrame:
     """Current versions FULL OUTER incoming rows, with an ``action`` per pair.
 
     Columns: ``card_id``, ``cur`` (struct of the version, NULL if absent),
     ``inc`` (struct of the incoming row, NULL if absent) and ``action`` one
     of INSERT, UPDATE, UNCHANGED, ABSENT.
     """
-    existing = existing.select(*COLUMNS)
-    cur = existing.filter(_is_current() & F.col(KEY).isNotNull()).select(
-        F.col(KEY).alias(KEY), F.struct(*COLUMNS).alias("cur")
-    )
-    inc = _one_per_key(incoming, on_duplicate).select(
-        F.col(KEY).alias(KEY), F.struct(*schemas.CARD_COLUMNS).alias("inc")
-    )
-    joined = cur.join(inc, KEY, "full_outer")
-    changed = None
-    for c in ATTRIBUTES:
-        d = ~F.col(f"cur.{c}").eqNullSafe(F.col(f"inc.{c}"))
-        changed = d if changed is None else changed | d
+    cur = existing.select(*COLUMNS).filter(_is_current() & F.col(KEY).isNotNull()).select(KEY, F.struct(*COLUMNS).alias("cur"))
+    inc = one_batch(incoming, order).select(KEY, F.struct(*schemas.CARD_COLUMNS).alias("inc"))
     action = (
         F.when(F.col("cur").isNull(), F.lit("INSERT"))
         .when(F.col("inc").isNull(), F.lit("ABSENT"))
-        .when(changed, F.lit("UPDATE"))
-        .otherwise(F.lit("UNCHANGED"))
+        .when(same_values("cur", "inc", ATTRIBUTES), F.lit("UNCHANGED"))
+        .otherwise(F.lit("UPDATE"))
     )
-    return joined.select(KEY, "cur", "inc", action.alias("action"))
+    pairs = cur.join(inc, KEY, "full_outer").select(KEY, "cur", "inc", action.alias("action"))
+    return _checked(refuse_repeats(pairs, cur, KEY, "current versions"), incoming, order)
 
 
 def _new_version(effective_at, batch_id: str) -> Column:
@@ -156,14 +149,14 @@ def merge(
     effective_at: _dt.datetime | str | None = None,
     batch_id: str = "",
     close_missing: bool = False,
-    on_duplicate: str = "auto",
+    order: list[str] | None = None,
 ) -> DataFrame:
     """New state of the dimension after one incoming snapshot.
 
     Cards absent from the snapshot stay current, as in the reference;
     ``close_missing=True`` closes them instead.
     """
-    d = diff(existing, incoming, on_duplicate)
+    d = diff(existing, incoming, order)
     new, closed, same = _new_version(effective_at, batch_id), _closed_version(effective_at), _as_is()
     absent = F.array(closed) if close_missing else F.array(same)
     rows = (

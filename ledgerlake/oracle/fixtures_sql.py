@@ -61,7 +61,7 @@ FROM users WHERE id % 7 <> 0
 USERS_2_COPIES = """
 SELECT * FROM users_2
 UNION ALL
-SELECT * REPLACE ('Z_COPY' AS address) FROM users_2 WHERE id % 17 = 0
+SELECT * REPLACE ('A_COPY' AS address, ingest_time + INTERVAL 1 HOUR AS ingest_time) FROM users_2 WHERE id % 17 = 0
 """
 
 CARDS = f"""
@@ -96,7 +96,7 @@ FROM cards WHERE id % 7 <> 0
 CARDS_2_COPIES = """
 SELECT * FROM cards_2
 UNION ALL
-SELECT * REPLACE ('Z_COPY' AS card_type) FROM cards_2 WHERE id % 17 = 0
+SELECT * REPLACE ('A_COPY' AS card_type, ingest_time + INTERVAL 1 HOUR AS ingest_time) FROM cards_2 WHERE id % 17 = 0
 """
 
 CARD_CORRECTIONS = """
@@ -139,6 +139,21 @@ SELECT l_orderkey * 10 + l_linenumber AS id,
 FROM lineitem
 """
 
+TRANSACTIONS_ODD = """
+SELECT * REPLACE (
+  CASE WHEN id % 15 = 0 THEN NULL WHEN id % 10 = 0 THEN 'bad' || CAST(id AS VARCHAR) ELSE CAST(id AS VARCHAR) END AS id)
+FROM (SELECT * FROM transactions UNION ALL SELECT * FROM transactions WHERE id % 4 = 0)
+"""
+
+TRANSACTIONS_AGAIN = """
+SELECT * FROM transactions_dup
+UNION ALL
+SELECT * REPLACE (24 AS ingest_day, ingest_time + INTERVAL 3 DAY AS ingest_time)
+FROM transactions_dup WHERE ingest_day = 21
+"""
+
+TRANSACTIONS_LEFT = "SELECT * FROM transactions_dup WHERE ingest_day <> 23 OR id % 3 <> 0"
+
 # name -> (body, names it depends on)
 FIXTURES = {
     "users": (USERS, []),
@@ -152,6 +167,9 @@ FIXTURES = {
     "card_corrections": (CARD_CORRECTIONS, []),
     "transactions": (TRANSACTIONS, []),
     "transactions_dup": (TRANSACTIONS_DUP, []),
+    "transactions_odd": (TRANSACTIONS_ODD, ["transactions"]),
+    "transactions_again": (TRANSACTIONS_AGAIN, ["transactions_dup"]),
+    "transactions_left": (TRANSACTIONS_LEFT, ["transactions_dup"]),
 }
 
 

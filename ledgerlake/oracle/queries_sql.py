@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from ledgerlake import schemas
 from ledgerlake.oracle import refine_sql as RS
 from ledgerlake.oracle import rules_sql as R
 from ledgerlake.oracle.fixtures_sql import with_chain
 
 CURRENT_YEAR = 2026
+USER_ATTRS = [
+    "current_age", "retirement_age", "birth_year", "birth_month", "gender", "address", "latitude", "longitude",
+    "per_capita_income", "yearly_income", "total_debt", "credit_score", "num_credit_cards",
+]
+CARD_ATTRS = [
+    "client_id", "card_brand", "card_type", "card_number", "expires", "cvv", "has_chip", "num_cards_issued",
+    "credit_limit", "acct_open_date", "year_pin_last_changed", "card_on_dark_web",
+]
 CLOCK_1 = "TIMESTAMP '2026-04-23 04:22:19'"
 CLOCK_2 = "TIMESTAMP '2026-04-24 04:22:19'"
 BATCH_1 = "'20260423_042219'"
@@ -81,6 +88,9 @@ ORACLE["users_refined_signed"] = with_chain(
 ORACLE["transactions_refined"] = with_chain(
     [LATEST, ("tr", RS.transactions_refined("latest"))], "SELECT * FROM tr", ["transactions"]
 )
+ORACLE["transactions_refined_all"] = with_chain(
+    [("tr", RS.transactions_refined("transactions"))], "SELECT * FROM tr", ["transactions"]
+)
 ORACLE["transactions_refined_options"] = with_chain(
     [("tr", RS.transactions_refined("transactions", currency_from_raw=True, signed=True))],
     "SELECT * FROM tr",
@@ -133,12 +143,19 @@ ORACLE["txn_index"] = with_chain(_index_of("transactions_dup"), "SELECT * FROM t
 _REQ = ("req", "SELECT DISTINCT id AS transaction_id FROM transactions_dup")
 ORACLE["txn_lookup"] = with_chain(
     _index_of("transactions") + [_REQ],
-    "SELECT " + ", ".join(f"i.{c}" for c in schemas.INDEX_COLUMNS) + ", "
-    + ", ".join(f"t.{c}" for c in schemas.LOOKUP_RECORD_COLUMNS)
-    + " FROM transactions_idx i JOIN transactions t ON i.transaction_id = t.id "
+    "SELECT i.transaction_id, i.client_id, i.card_id, i.table_source, i.ingest_time, i.ingest_year, i.ingest_month, "
+    "i.ingest_day, t.date, t.amount, t.merchant_id, t.merchant_city, t.merchant_state, t.errors FROM transactions_idx i JOIN transactions t ON i.transaction_id = t.id "
     "WHERE i.transaction_id IN (SELECT transaction_id FROM req)",
     ["transactions", "transactions_dup"],
 )
+ORACLE["txn_point_lookup"] = with_chain(
+    _index_of("transactions_dup"),
+    "SELECT i.transaction_id, i.client_id, i.card_id, i.table_source, i.ingest_time, i.ingest_year, i.ingest_month, "
+    "i.ingest_day, t.date, t.amount, t.merchant_id, t.merchant_city, t.merchant_state, t.errors "
+    "FROM transactions_dup_idx i JOIN transactions_dup t ON i.transaction_id = t.id "
+    "WHERE i.transaction_id IN (11, 13, 21, 6001, 4003, -1)",
+    ["transactions_dup"],
+)
 ORACLE["txn_lookup_pruned"] = ORACLE["txn_lookup"]
 ORACLE["txn_lookup_missing"] = with_chain(
     _index_of("transactions") + [_REQ],
@@ -149,7 +166,6 @@ ORACLE["txn_lookup_missing"] = with_chain(
 
 # --- users change history --------------------------------------------------------------
 
-USER_ATTRS = schemas.USER_COLUMNS[1:]
 _UN = [
     ("u1n", "SELECT CAST(id AS BIGINT) AS user_id, " + ", ".join(USER_ATTRS) + " FROM users_1"),
     ("u2n", "SELECT CAST(id AS BIGINT) AS user_id, " + ", ".join(USER_ATTRS) + " FROM users_2"),
@@ -161,17 +177,21 @@ _DELTA = _UN + [(
     "FROM u1n cur LEFT JOIN u2n inc ON cur.user_id = inc.user_id "
     f"WHERE cur.user_id IS NOT NULL AND (inc.user_id IS NULL OR {R.any_differs('cur', 'inc', USER_ATTRS)})",
 )]
-_USER_ORDER = ", ".join(f"{c} DESC NULLS LAST" for c in USER_ATTRS)
 _DELTA_COPIES = [
     _UN[0],
-    ("u2all", "SELECT CAST(id AS BIGINT) AS user_id, " + ", ".join(USER_ATTRS) + " FROM users_2_copies"),
-    ("u2n", "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER "
-            f"(PARTITION BY user_id ORDER BY {_USER_ORDER}) AS rn FROM u2all) WHERE rn = 1"),
+    ("u2all", "SELECT CAST(id AS BIGINT) AS user_id, " + ", ".join(USER_ATTRS) + ", ingest_time FROM users_2_copies"),
+    ("u2r", "SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ingest_time DESC) AS rn FROM u2all"),
+    ("u2n", "SELECT * EXCLUDE (rn, ingest_time) FROM u2r WHERE rn = 1"),
 ] + _DELTA[2:]
 ORACLE["users_history_repeated_keys"] = with_chain(
     _DELTA_COPIES, "SELECT * FROM delta", ["users_1", "users_2_copies"]
 )
-ORACLE["users_normalize"] = with_chain(_UN[:1], "SELECT * FROM u1n", ["users_1"])
+ORACLE["users_superseded"] = with_chain(
+    _DELTA_COPIES[1:3], "SELECT * EXCLUDE (rn) FROM u2r WHERE rn > 1", ["users_2_copies"]
+)
+ORACLE["users_normalize"] = with_chain(
+    [], "SELECT CAST(id AS BIGINT) AS user_id, " + ", ".join(USER_ATTRS) + " FROM users", ["users"]
+)
 ORACLE["row_changed"] = with_chain(
     _UN,
     f"SELECT cur.user_id, {R.any_differs('cur', 'inc', USER_ATTRS)} AS row_changed "
@@ -183,7 +203,6 @@ ORACLE["change_count"] = with_chain(_DELTA, "SELECT count(*) AS change_count FRO
 
 # --- cards SCD2 (written in the six-join shape, as an independent check) ---------------
 
-CARD_ATTRS = schemas.CARD_COLUMNS[1:]
 _CARD_REST = [c for c in CARD_ATTRS if c != "client_id"]
 
 
@@ -193,7 +212,7 @@ def _cards_norm(src: str) -> str:
 
 
 def _versions(src: str, clock: str, batch: str) -> str:
-    return (f"SELECT {', '.join(schemas.CARD_COLUMNS)}, {clock} AS effective_from, "
+    return (f"SELECT {', '.join(['card_id', *CARD_ATTRS])}, {clock} AS effective_from, "
             f"CAST(NULL AS TIMESTAMP) AS effective_to, TRUE AS is_current, {batch} AS batch_id FROM {src}")
 
 
@@ -230,8 +249,9 @@ _SCD2_CLOSE_MISSING = _SCD2[:-1] + [
                      "UNION ALL BY NAME SELECT * FROM newv UNION ALL BY NAME SELECT * FROM ins"),
 ]
 
-ORACLE["cards_normalize"] = with_chain(_SCD2[:1], "SELECT * FROM c1n", ["cards_1"])
-ORACLE["scd2_initial"] = with_chain(_SCD2[:3], "SELECT * FROM init", _CARDS_PAIR)
+_ALL_CARDS = [("cn", _cards_norm("cards")), ("first", _versions("cn", CLOCK_1, BATCH_1))]
+ORACLE["cards_normalize"] = with_chain(_ALL_CARDS[:1], "SELECT * FROM cn", ["cards"])
+ORACLE["scd2_initial"] = with_chain(_ALL_CARDS, "SELECT * FROM first", ["cards"])
 ORACLE["scd2_diff"] = with_chain(
     _SCD2[:4],
     "SELECT coalesce(cur.card_id, inc.card_id) AS card_id, CASE WHEN cur.card_id IS NULL THEN 'INSERT' "
@@ -244,14 +264,11 @@ ORACLE["scd2_updated_keys"] = with_chain(_SCD2, "SELECT * FROM upd", _CARDS_PAIR
 ORACLE["scd2_closed"] = with_chain(_SCD2, "SELECT * FROM closed", _CARDS_PAIR)
 ORACLE["scd2_kept"] = with_chain(_SCD2, "SELECT * FROM kept", _CARDS_PAIR)
 ORACLE["scd2_merge"] = with_chain(_SCD2, "SELECT * FROM merged", _CARDS_PAIR)
-# D5: repeated incoming keys keep the greatest row (attributes compared in
-# order, NULL lowest), then the same merge
-_SURVIVOR_ORDER = ", ".join(f"{c} DESC NULLS LAST" for c in CARD_ATTRS)
+# D5: of repeated incoming keys the row ingested last counts, then the same merge
 _SCD2_COPIES = [
     ("c1n", _cards_norm("cards_1")),
-    ("c2all", _cards_norm("cards_2_copies")),
-    ("c2n", "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER "
-            f"(PARTITION BY card_id ORDER BY {_SURVIVOR_ORDER}) AS rn FROM c2all) WHERE rn = 1"),
+    ("c2last", "SELECT * FROM cards_2_copies QUALIFY row_number() OVER (PARTITION BY id ORDER BY ingest_time DESC) = 1"),
+    ("c2n", _cards_norm("c2last")),
 ] + _SCD2[2:]
 ORACLE["scd2_merge_repeated_keys"] = with_chain(_SCD2_COPIES, "SELECT * FROM merged", ["cards_1", "cards_2_copies"])
 ORACLE["scd2_merge_close_missing"] = with_chain(_SCD2_CLOSE_MISSING, "SELECT * FROM merged_close", _CARDS_PAIR)
@@ -281,9 +298,40 @@ ORACLE["raw_ingest_roundtrip"] = (
 )
 ORACLE["txn_index_roundtrip"] = ORACLE["txn_index"]
 ORACLE["txn_index_incremental"] = ORACLE["txn_index"]
+ORACLE["txn_index_emptied_day"] = with_chain(
+    _index_of("transactions_again"), "SELECT * FROM transactions_again_idx", ["transactions_again"]
+)
+ORACLE["txn_index_reingested_day"] = with_chain(
+    _index_of("transactions_left"), "SELECT * FROM transactions_left_idx", ["transactions_left"]
+)
 ORACLE["users_refined_roundtrip"] = ORACLE["users_refined"]
 ORACLE["cards_refined_roundtrip"] = ORACLE["cards_refined"]
 ORACLE["transactions_append_roundtrip"] = ORACLE["transactions_dated"]
+ORACLE["transactions_append_rerun"] = with_chain(
+    [("tr", RS.transactions_refined("transactions_odd"))],
+    "SELECT DISTINCT * FROM tr WHERE txn_year IS NOT NULL AND txn_month IS NOT NULL AND txn_day IS NOT NULL",
+    ["transactions_odd"],
+)
+ORACLE["cards_refined_rewrite"] = with_chain(
+    _ALL_CARDS + [("cr1", RS.cards_layer1("first")), ("cr", RS.cards_layer2("cr1", CURRENT_YEAR))],
+    "SELECT * FROM cr",
+    ["cards"],
+)
+ORACLE["users_history_numeric"] = ORACLE["users_history_delta"]
+ORACLE["corrections_roundtrip"] = ORACLE["keyed_patch"]
+
+
+def _ingested(table: str, label: str, day: int) -> str:
+    return (f"SELECT *, '{label}' AS table_source, TIMESTAMP '2026-04-{day} 04:22:19' AS ingest_time, "
+            f"2026 AS ingest_year, 4 AS ingest_month, {day} AS ingest_day FROM {table}")
+
+
+ORACLE["ingest_tables"] = " UNION ALL ".join(
+    f"SELECT table_source, ingest_year, ingest_month, ingest_day, count(*) AS row_count FROM ({_ingested(t, label, day)}) GROUP BY ALL"
+    for t, label in (("customer", "users_data.csv"), ("part", "cards_data.csv"), ("orders", "transactions_data.csv"))
+    for day in (23, 24)
+)
+ORACLE["ingest_latest_batch_catalog"] = _ingested("customer", "users_data.csv", 24)
 
 _CLOCK_3, _BATCH_3 = "TIMESTAMP '2026-04-25 04:22:19'", "'20260425_042219'"
 _BACK = (
@@ -314,4 +362,11 @@ ORACLE["warehouse_counts"] = with_chain(
     "WHERE txn_year IS NOT NULL AND txn_month IS NOT NULL AND txn_day IS NOT NULL",
     _CARDS_PAIR + ["users", "transactions"],
 )
+ORACLE["warehouse_users"] = ORACLE["users_refined"]
+ORACLE["warehouse_cards"] = ORACLE["cards_refined"]
+ORACLE["warehouse_transactions"] = with_chain(
+    [LATEST, ("tr", RS.transactions_refined("latest"))],
+    "SELECT * FROM tr WHERE txn_year IS NOT NULL AND txn_month IS NOT NULL AND txn_day IS NOT NULL",
+    ["transactions"],
+)
 ORACLE["transactions_stream_roundtrip"] = ORACLE["transactions_dated"]

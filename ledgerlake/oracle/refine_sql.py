@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from ledgerlake.functions import derived as D
 from ledgerlake.oracle import rules_sql as R
 
 USER_INTS = ["current_age", "retirement_age", "birth_year", "birth_month", "credit_score", "num_credit_cards"]
@@ -25,7 +24,7 @@ def users_layer2(layer1: str, current_year: int) -> str:
     return f"""SELECT *,
   {R.above('birth_year', current_year)} AS birth_year_outlier_flag,
   {R.below('current_age', 0)} AS current_age_outlier_flag,
-  {R.above('retirement_age', D.RETIREMENT_AGE_LIMIT)} AS retirement_age_outlier_flag,
+  {R.above('retirement_age', 100)} AS retirement_age_outlier_flag,
   {R.age_group('current_age')} AS age_group,
   {R.income_group('yearly_income_amount')} AS income_group
 FROM {layer1}"""

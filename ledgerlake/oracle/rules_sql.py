@@ -1,14 +1,11 @@
 """DuckDB SQL text of the quality rules and derived columns.
 
-Mirrors :mod:`ledgerlake.functions` so each query's oracle can be written as
-plain SQL. Patterns are the same fixed values.
+All patterns, labels and limits are written out here, so that a wrong value in
+:mod:`ledgerlake.functions` does not pass on both sides.
 """
 
 from __future__ import annotations
 
-from ledgerlake.functions import derived as D
-from ledgerlake.functions import quality as Q
-
 
 def text(c: str) -> str:
     return f"CAST({c} AS VARCHAR)"
@@ -23,7 +20,7 @@ def matches(c: str, pattern: str) -> str:
 
 
 def integer_group(src: str, out: str, dtype: str = "INTEGER", raw: str | None = None) -> list[str]:
-    valid = matches(src, Q.INTEGER_TEXT)
+    valid = matches(src, '^[0-9]+$')
     return [
         f"{text(src)} AS {raw or out + '_raw'}",
         f"{blank(src)} AS {out}_null_flag",
@@ -33,7 +30,7 @@ def integer_group(src: str, out: str, dtype: str = "INTEGER", raw: str | None =
 
 
 def decimal_group(src: str, out: str) -> list[str]:
-    valid = matches(src, Q.DECIMAL_TEXT)
+    valid = matches(src, r'^-?[0-9]+(\.[0-9]+)?$')
     return [
         f"{text(src)} AS {out}_raw",
         f"{blank(src)} AS {out}_null_flag",
@@ -49,7 +46,7 @@ def currency_code(src: str) -> str:
 def currency_group(
     src: str, raw: str, amount: str, currency: str, code: str | None = None, signed: bool = False
 ) -> list[str]:
-    valid = matches(src, Q.SIGNED_CURRENCY_TEXT if signed else Q.CURRENCY_TEXT)
+    valid = matches(src, r'^(-\$?|\$-?)?[0-9,]+(\.[0-9]+)?$' if signed else r'^\$?[0-9,]+(\.[0-9]+)?$')
     code_sql = code if code is not None else f"CASE WHEN {valid} THEN {currency_code(src)} ELSE 'UNKNOWN' END"
     return [
         f"{text(src)} AS {raw}",
@@ -69,15 +66,17 @@ def below(c: str, limit) -> str:
 
 
 def age_group(c: str) -> str:
-    arms = " ".join(f"WHEN {c} >= {lo} AND {c} <= {hi} THEN '{label}'" for label, lo, hi in D.AGE_GROUPS)
-    return f"CASE WHEN {c} IS NULL THEN NULL {arms} ELSE '{D.AGE_GROUP_REST}' END"
+    return (
+        f"CASE WHEN {c} IS NULL THEN NULL WHEN {c} BETWEEN 0 AND 17 THEN 'under_18' "
+        f"WHEN {c} BETWEEN 18 AND 25 THEN '18_25' WHEN {c} BETWEEN 26 AND 40 THEN '26_40' "
+        f"WHEN {c} BETWEEN 41 AND 60 THEN '41_60' ELSE 'over_60' END"
+    )
 
 
 def income_group(c: str) -> str:
-    low, middle, high = D.INCOME_GROUPS
     return (
-        f"CASE WHEN {c} IS NULL THEN NULL WHEN {c} < {D.INCOME_LOW_BELOW} THEN '{low}' "
-        f"WHEN {c} >= {D.INCOME_LOW_BELOW} AND {c} < {D.INCOME_MIDDLE_BELOW} THEN '{middle}' ELSE '{high}' END"
+        f"CASE WHEN {c} IS NULL THEN NULL WHEN {c} < 30000 THEN 'low_income' "
+        f"WHEN {c} < 70000 THEN 'middle_income' ELSE 'high_income' END"
     )
 
 

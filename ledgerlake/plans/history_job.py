@@ -6,7 +6,8 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame
 
-from ledgerlake.operators.history import history_delta, normalize_users
+from ledgerlake import schemas
+from ledgerlake.operators.history import history_delta, normalize_users, one_snapshot
 from ledgerlake.session import batch_id_for
 from ledgerlake.sinks.publish import publish_version
 from ledgerlake.sinks.writers import append_batch
@@ -21,6 +22,7 @@ def run_users_history(
     batch_id: str | None = None,
     current_table: str | None = None,
     bucket_count: int | None = None,
+    order: list[str] | None = None,
 ) -> DataFrame:
     """Append this batch's UPDATE/DELETE before images and publish the new snapshot.
 
@@ -32,12 +34,15 @@ def run_users_history(
     by ``user_id``, so the next diff shuffles only the incoming snapshot; off
     by default, because a snapshot can repeat a key and a bucketed hot key
     cannot be split by AQE the way a shuffled one can.
-    Returns the delta (lazy).
+    ``order``: columns of ``incoming`` that decide between rows with the same
+    key, in the log and in the published snapshot alike; without it a repeated
+    key is an error. Returns the delta (lazy).
     """
     batch_id = batch_id or batch_id_for(clock)
-    cur, inc = normalize_users(current), normalize_users(incoming)
-    delta = history_delta(cur, inc, detected_at=clock, batch_id=batch_id)
+    cur, inc = normalize_users(current), normalize_users(incoming, keep=order)
+    delta = history_delta(cur, inc, detected_at=clock, batch_id=batch_id, order=order)
     append_batch(delta, history_path, "batch_id")
     bucket_by = (bucket_count, "user_id") if bucket_count and current_table else None
-    publish_version(inc, current_base, batch_id, table=current_table, bucket_by=bucket_by)
+    kept = inc.filter("user_id is null").unionByName(one_snapshot(inc, order)).select(*schemas.USER_COLUMNS)
+    publish_version(kept, current_base, batch_id, table=current_table, bucket_by=bucket_by)
     return delta

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlake import schemas
 from ledgerlake.operators.index import lookup_transactions, missing_ids, transaction_index
-from ledgerlake.sinks.writers import write_partitioned
+from ledgerlake.sinks.writers import table_exists_at, write_partitioned
 
 
 def build_index(spark: SparkSession, transactions_path: str, index_path: str, survivor: str = "latest") -> None:
@@ -27,51 +28,43 @@ def lookup(spark: SparkSession, index_path: str, transactions_path: str, ids, pr
     return lookup_transactions(index, txn, ids, prune=prune), missing_ids(index, ids)
 
 
+def updated_index(index: DataFrame, transactions: DataFrame, days: list[tuple[int, int, int]]) -> DataFrame:
+    """``index`` brought up to date after the given ingest days were (re-)ingested.
+
+    An id is touched if a raw row of those days has it, or an index row of
+    those days (its raw row may be gone now). Touched ids are indexed anew
+    from all of their raw rows; all other index rows stay as they are. So the
+    result equals a rebuild, whatever was added, moved or removed on the days.
+    """
+    day = F.struct(*schemas.INGEST_PARTITIONS)
+    on_days = day.isin([F.struct(*[F.lit(v) for v in d]) for d in days])
+    old = index.filter(on_days).select("transaction_id")
+    new = transactions.filter(on_days).select(F.col("id").alias("transaction_id"))
+    touched = old.unionByName(new).distinct()
+    same_id = F.col("id").eqNullSafe(F.col("transaction_id"))
+    fresh = transaction_index(transactions.join(touched, same_id, "left_semi"))
+    left = touched.withColumnRenamed("transaction_id", "_touched")
+    untouched = index.join(left, F.col("transaction_id").eqNullSafe(F.col("_touched")), "left_anti")
+    return untouched.select(*schemas.INDEX_COLUMNS).unionByName(fresh)
+
+
 def update_index(
     spark: SparkSession,
     transactions_path: str,
     index_path: str,
+    new_index_path: str,
     days: list[tuple[int, int, int]],
-    max_affected_days: int = 10000,
-) -> list[tuple]:
-    """Add the given ingest days to an existing index, exactly as a rebuild would.
+) -> str:
+    """Write the index after ``days`` were ingested as a new version; returns its path.
 
-    Only the new days' raw rows are read. Their index rows compete with the
-    existing index rows of the same ids (the latest ingest still wins), so
-    the partitions to rewrite are the new days plus the days holding an
-    existing row of a re-ingested id - found with a semi join, a set of day
-    keys bounded by the calendar. Those partitions are rewritten with dynamic
-    overwrite; every other day is left as it is. The rows to write are
-    checkpointed first (reliable checkpoint in the shared folder) so the
-    write does not read the partitions it replaces. Returns the rewritten days.
+    The version at ``index_path`` is only read, so a failed job leaves it as
+    it was, and days that have become empty are absent from the new version.
+    Without an index at ``index_path`` the new version is a full build.
     """
-    from pyspark.sql import functions as F
-
-    from ledgerlake.operators.dedupe import latest_per_key
-    from ledgerlake.operators.index import LATEST_INGEST
-    from ledgerlake.session import shared_dir
-
-    shared_dir(spark)  # makes sure a checkpoint directory is configured
-
-    parts = schemas.INGEST_PARTITIONS
-    day_key = F.struct(*parts)
-    new_days = [F.struct(*[F.lit(v) for v in d]) for d in days]
-    raw = spark.read.parquet(transactions_path).filter(day_key.isin(new_days))
-    fresh = transaction_index(raw)
-    try:
-        existing = spark.read.parquet(index_path).select(*schemas.INDEX_COLUMNS)
-    except Exception:  # AnalysisException: no index yet - the new days are the index
-        write_partitioned(fresh, index_path, parts, mode="overwrite", dynamic=True, rebalance=True)
-        return sorted(tuple(d) for d in days)
-    touched_ids = fresh.select("transaction_id").distinct()
-    older = existing.join(touched_ids, "transaction_id", "left_semi")
-    affected = [tuple(r) for r in older.select(*parts).distinct().limit(max_affected_days + 1).collect()]
-    if len(affected) > max_affected_days:
-        raise ValueError("too many affected days for an incremental update; rebuild the index")
-    rewrite = sorted(set(affected) | {tuple(d) for d in days})
-    in_rewrite = day_key.isin([F.struct(*[F.lit(v) for v in d]) for d in rewrite])
-    untouched = existing.filter(in_rewrite).join(touched_ids, "transaction_id", "left_anti")
-    winners = latest_per_key(fresh.unionByName(older), "transaction_id", order=LATEST_INGEST)
-    rows = untouched.unionByName(winners).checkpoint()
-    write_partitioned(rows, index_path, parts, mode="overwrite", dynamic=True, rebalance=True)
-    return rewrite
+    if not table_exists_at(spark, index_path):
+        build_index(spark, transactions_path, new_index_path)
+        return new_index_path
+    index = spark.read.parquet(index_path).select(*schemas.INDEX_COLUMNS)
+    rows = updated_index(index, spark.read.parquet(transactions_path), days)
+    write_partitioned(rows, new_index_path, schemas.INGEST_PARTITIONS, dynamic=False, rebalance=True)
+    return new_index_path

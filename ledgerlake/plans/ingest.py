@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake import schemas
 from ledgerlake.operators.lineage import stamp_lineage
+from ledgerlake.sinks import catalog
 from ledgerlake.sinks.writers import write_partitioned
 from ledgerlake.sources.jdbc import read_jdbc
 
@@ -23,20 +24,15 @@ class IngestSpec:
     fetchsize: int | None = None
     partition_column: str | None = None
     num_partitions: int | None = None
-    # round-robin spread before the write when the read itself is not split
-    # (Spark sorts before a round-robin repartition, so a retried task gets
-    # the same rows)
-    write_partitions: int | None = None
 
 
-def default_specs(base: str = "/warehouse/raw") -> list[IngestSpec]:
-    """The reference's three tables (fixed values: names, source tables, labels)."""
-    return [
-        IngestSpec("users", "raw_users", f"{base}/users", "users_data.csv"),
-        IngestSpec("cards", "raw_cards", f"{base}/cards", "cards_data.csv"),
-        IngestSpec("transactions", "raw_transactions", f"{base}/transactions", "transactions_data.csv",
-                   fetchsize=10000, write_partitions=8),
-    ]
+# The source tables and the labels stamped on their rows.
+SOURCES = [("users", "raw_users", "users_data.csv"), ("cards", "raw_cards", "cards_data.csv"), ("transactions", "raw_transactions", "transactions_data.csv")]
+
+
+def source_specs(base: str, partition_column: str | None = None, num_partitions: int | None = None, fetchsize: int | None = None) -> list[IngestSpec]:
+    """The three source tables, written below ``base``; all are split on ``partition_column``."""
+    return [IngestSpec(name, dbtable, f"{base}/{name}", label, fetchsize, partition_column, num_partitions) for name, dbtable, label in SOURCES]
 
 
 def jdbc_reader(spark: SparkSession, url: str, **conn) -> Callable[[IngestSpec], DataFrame]:
@@ -56,27 +52,30 @@ def jdbc_reader(spark: SparkSession, url: str, **conn) -> Callable[[IngestSpec],
     return read
 
 
-def ingest_frame(df: DataFrame, spec: IngestSpec, clock: _dt.datetime | str | None = None) -> DataFrame:
-    stamped = stamp_lineage(df, spec.table_source, clock)
-    if spec.write_partitions and not spec.partition_column:
-        stamped = stamped.repartition(spec.write_partitions)
-    return stamped
-
-
 def run_raw_ingest(
     specs: list[IngestSpec],
     read: Callable[[IngestSpec], DataFrame],
     clock: _dt.datetime | str | None = None,
     dynamic: bool = True,
+    database: str | None = None,
 ) -> dict[str, str]:
     """Read, stamp and write each table; returns name -> output path.
 
     One job per table; the loop is over the (small) table list, not data.
-    Dynamic partition overwrite keeps earlier ingest days.
+    Dynamic partition overwrite keeps earlier ingest days. A read that is not
+    split arrives in one task; a rebalance deals its rows out to writers, as
+    many as their size needs. With ``database`` each table is registered there with its
+    partitions, so the latest batch is found in the catalog
+    (:func:`ledgerlake.sources.parquet.latest_batch_of_table`).
     """
     out = {}
     for spec in specs:
-        stamped = ingest_frame(read(spec), spec, clock)
-        write_partitioned(stamped, spec.output_path, schemas.INGEST_PARTITIONS, dynamic=dynamic)
+        stamped = stamp_lineage(read(spec), spec.table_source, clock)
+        rows = stamped if spec.partition_column else stamped.hint("rebalance")
+        write_partitioned(rows, spec.output_path, schemas.INGEST_PARTITIONS, dynamic=dynamic)
+        if database:
+            spark = stamped.sparkSession
+            catalog.ensure_database(spark, database)
+            catalog.register_table(spark, f"`{database}`.`{spec.name}`", stamped.schema, schemas.INGEST_PARTITIONS, spec.output_path)
         out[spec.name] = spec.output_path
     return out

@@ -21,16 +21,18 @@ from ledgerlake.operators import history as H
 from ledgerlake.operators import index as IX
 from ledgerlake.operators import refine
 from ledgerlake.operators import scd2 as S
+from ledgerlake.operators.dedupe import superseded_rows
 from ledgerlake.operators.lineage import stamp_lineage
 from ledgerlake.operators.patch import keyed_patch
 from ledgerlake.plans.history_job import run_users_history
-from ledgerlake.plans.index_job import build_index, update_index
-from ledgerlake.plans.ingest import IngestSpec, run_raw_ingest
+from ledgerlake.plans.index_job import build_index, lookup, update_index
+from ledgerlake.plans.ingest import IngestSpec, run_raw_ingest, source_specs
 from ledgerlake.plans.scd2_job import run_cards_scd2
-from ledgerlake.plans.warehouse import WarehouseConfig, run_warehouse
+from ledgerlake.plans.corrections_job import apply_corrections
+from ledgerlake.plans.warehouse import RefineTargets, run_warehouse
 from ledgerlake.session import batch_id_for, fresh_dir
 from ledgerlake.sinks import catalog
-from ledgerlake.sinks.writers import append_refined_transactions, write_partitioned
+from ledgerlake.sinks.writers import append_batch, append_refined_transactions, write_partitioned
 from ledgerlake.sources import parquet as P
 from ledgerlake.sources import tpch_fixtures as X
 from ledgerlake.streaming.transactions_stream import start_transactions_append
@@ -43,6 +45,7 @@ BATCH_1 = batch_id_for(CLOCK_1)
 BATCH_2 = batch_id_for(CLOCK_2)
 BATCH_3 = batch_id_for(CLOCK_3)
 CURRENT_YEAR = 2026
+POINT_IDS = [11, 13, 21, 6001, 4003, -1]
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -173,6 +176,12 @@ def q_transactions_refined(spark, sf):
     return refine.transactions_refined(P.latest_batch(X.transactions(spark, sf)))
 
 
+@register
+def q_transactions_refined_all(spark, sf):
+    """transactions_refined over every batch, default options."""
+    return refine.transactions_refined(X.transactions(spark, sf))
+
+
 @register
 def q_transactions_refined_options(spark, sf):
     """transactions_refined with both options: code from the raw text, signed money."""
@@ -253,6 +262,15 @@ def q_txn_lookup_pruned(spark, sf):
     return IX.lookup_transactions(index, txn, _lookup_requests(spark, sf), prune=True)
 
 
+@register
+def q_txn_point_lookup(spark, sf):
+    """Literal ids (as on the command line), some without a record, through a built index."""
+    base = fresh_dir(spark, "point_lookup")
+    write_partitioned(X.transactions_with_duplicates(spark, sf), f"{base}/raw", schemas.INGEST_PARTITIONS)
+    build_index(spark, f"{base}/raw", f"{base}/index")
+    return lookup(spark, f"{base}/index", f"{base}/raw", POINT_IDS)[0]
+
+
 @register
 def q_txn_lookup_missing(spark, sf):
     txn = X.transactions(spark, sf)
@@ -267,7 +285,7 @@ def _users_pair(spark, sf):
 
 @register
 def q_users_normalize(spark, sf):
-    return H.normalize_users(X.users_snapshot_1(spark, sf))
+    return H.normalize_users(X.users(spark, sf))
 
 
 @register
@@ -282,10 +300,17 @@ def q_users_history_delta(spark, sf):
 
 @register
 def q_users_history_repeated_keys(spark, sf):
-    """The history delta when the incoming snapshot repeats keys (D5)."""
-    incoming = H.normalize_users(X.users_snapshot_2_with_copies(spark, sf))
+    """The history delta when the incoming snapshot repeats keys (D5): the latest row of a key counts."""
+    incoming = H.normalize_users(X.users_snapshot_2_with_copies(spark, sf), keep=["ingest_time"])
     current = H.normalize_users(X.users_snapshot_1(spark, sf))
-    return H.history_delta(current, incoming, detected_at=CLOCK_2, batch_id=BATCH_2)
+    return H.history_delta(current, incoming, detected_at=CLOCK_2, batch_id=BATCH_2, order=["ingest_time"])
+
+
+@register
+def q_users_superseded(spark, sf):
+    """The rows of the same snapshot that the latest row of their key replaces."""
+    incoming = H.normalize_users(X.users_snapshot_2_with_copies(spark, sf), keep=["ingest_time"])
+    return superseded_rows(incoming, H.KEY, ["ingest_time"])
 
 
 @register
@@ -307,12 +332,12 @@ def _scd2_merged(spark, sf):
 
 @register
 def q_cards_normalize(spark, sf):
-    return S.normalize_cards(X.cards_snapshot_1(spark, sf))
+    return S.normalize_cards(X.cards(spark, sf))
 
 
 @register
 def q_scd2_initial(spark, sf):
-    return _scd2_start(spark, sf)[0]
+    return S.initial_versions(S.normalize_cards(X.cards(spark, sf)), CLOCK_1, BATCH_1)
 
 
 @register
@@ -347,10 +372,10 @@ def q_scd2_merge(spark, sf):
 
 @register
 def q_scd2_merge_repeated_keys(spark, sf):
-    """The merge when the incoming snapshot repeats keys (D5): one survivor per key."""
+    """The merge when the incoming snapshot repeats keys (D5): the latest row of a key counts."""
     existing = _scd2_start(spark, sf)[0]
-    incoming = S.normalize_cards(X.cards_snapshot_2_with_copies(spark, sf))
-    return S.merge(existing, incoming, CLOCK_2, BATCH_2)
+    incoming = S.normalize_cards(X.cards_snapshot_2_with_copies(spark, sf), keep=["ingest_time"])
+    return S.merge(existing, incoming, CLOCK_2, BATCH_2, order=["ingest_time"])
 
 
 @register
@@ -405,8 +430,31 @@ def q_txn_index_incremental(spark, sf):
     write_partitioned(raw, f"{base}/raw", schemas.INGEST_PARTITIONS)
     first_days = raw.filter(F.col("ingest_day") < 23)
     write_partitioned(IX.transaction_index(first_days), f"{base}/index", schemas.INGEST_PARTITIONS)
-    update_index(spark, f"{base}/raw", f"{base}/index", [(2026, 4, 23)])
-    return _read_back(spark, f"{base}/index", IX.transaction_index(raw))
+    path = update_index(spark, f"{base}/raw", f"{base}/index", f"{base}/index_2", [(2026, 4, 23)])
+    return _read_back(spark, path, IX.transaction_index(raw))
+
+
+@register
+def q_txn_index_emptied_day(spark, sf):
+    """A later day brings all ids of day 21 again, so no index row is left on day 21."""
+    base = fresh_dir(spark, "index_emptied")
+    raw = X.transactions_with_duplicates(spark, sf)
+    write_partitioned(IX.transaction_index(raw.filter(F.col("ingest_day") == 21)), f"{base}/index", schemas.INGEST_PARTITIONS)
+    write_partitioned(X.brought_again(raw, 21, 24), f"{base}/raw", schemas.INGEST_PARTITIONS)
+    path = update_index(spark, f"{base}/raw", f"{base}/index", f"{base}/index_2", [(2026, 4, 22), (2026, 4, 23), (2026, 4, 24)])
+    return _read_back(spark, path, IX.transaction_index(raw))
+
+
+@register
+def q_txn_index_reingested_day(spark, sf):
+    """Day 23 is ingested again without the ids divisible by 3: their older rows, if any, are indexed."""
+    base = fresh_dir(spark, "index_reingested")
+    raw = X.transactions_with_duplicates(spark, sf)
+    write_partitioned(IX.transaction_index(raw), f"{base}/index", schemas.INGEST_PARTITIONS)
+    left = raw.filter((F.col("ingest_day") != 23) | (F.col("id") % 3 != 0))
+    write_partitioned(left, f"{base}/raw", schemas.INGEST_PARTITIONS)
+    path = update_index(spark, f"{base}/raw", f"{base}/index", f"{base}/index_2", [(2026, 4, 23)])
+    return _read_back(spark, path, IX.transaction_index(raw))
 
 
 @register
@@ -431,10 +479,80 @@ def q_transactions_append_roundtrip(spark, sf):
     path = fresh_dir(spark, "transactions_refined")
     raw = X.transactions(spark, sf)
     append_refined_transactions(refine.transactions_refined(P.latest_batch(raw)), path)
-    append_refined_transactions(refine.transactions_refined(raw), path, dedupe_on="transaction_id")
+    append_refined_transactions(refine.transactions_refined(raw), path, dedupe=True)
+    return spark.read.schema(schemas.TRANSACTIONS_REFINED).parquet(path)
+
+
+@register
+def q_transactions_append_rerun(spark, sf):
+    """Three idempotent appends of one batch that holds repeats, unparsable ids and missing ids."""
+    path = fresh_dir(spark, "transactions_rerun")
+    refined = refine.transactions_refined(X.transactions_with_odd_ids(spark, sf))
+    for _ in range(3):
+        append_refined_transactions(refined, path, dedupe=True)
     return spark.read.schema(schemas.TRANSACTIONS_REFINED).parquet(path)
 
 
+@register
+def q_cards_refined_rewrite(spark, sf):
+    """cards_refined written twice by the job's write; the second dimension starts in another month."""
+    path = fresh_dir(spark, "cards_refined_rewrite")
+    cards = S.normalize_cards(X.cards(spark, sf))
+    for clock in ("2026-02-01 00:00:00", CLOCK_1):
+        versions = S.initial_versions(cards, clock, BATCH_1)
+        df = refine.cards_refined(versions, current_year=CURRENT_YEAR)
+        write_partitioned(df, path, schemas.CARDS_REFINED_PARTITIONS, dynamic=False, rebalance=True)
+    return _read_back(spark, path, df)
+
+
+@register
+def q_users_history_numeric(spark, sf):
+    """Source columns that are numbers: the log reads back with its declared schema."""
+    path = fresh_dir(spark, "users_history_numeric")
+    numbers = {c: F.col(c).cast("int") for c in ("birth_year", "credit_score")}
+    u1, u2 = (H.normalize_users(x.withColumns(numbers)) for x in (X.users_snapshot_1(spark, sf), X.users_snapshot_2(spark, sf)))
+    append_batch(H.history_delta(u1, u2, detected_at=CLOCK_2, batch_id=BATCH_2), path)
+    return spark.read.schema(schemas.users_history_schema()).parquet(path)
+
+
+@register
+def q_corrections_roundtrip(spark, sf):
+    """The corrections job: read, patch, write un-partitioned (twice: the second replaces)."""
+    base = fresh_dir(spark, "corrections")
+    X.cards(spark, sf).write.parquet(f"{base}/cards")
+    for _ in range(2):
+        apply_corrections(spark, f"{base}/cards", X.card_corrections(spark, sf), f"{base}/corrected")
+    return spark.read.parquet(f"{base}/corrected")
+
+
+def _ingested(spark, sf, database=None):
+    """The ingest job over three tables, read by a stand-in for JDBC; returns the paths."""
+    base = fresh_dir(spark, "ingest")
+    tables = {"users": X.load(spark, sf, "customer"), "cards": X.load(spark, sf, "part"), "transactions": X.load(spark, sf, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))}
+    for clock in (CLOCK_1, CLOCK_2):
+        paths = run_raw_ingest(source_specs(base), lambda s: tables[s.name], clock=clock, database=database)
+    return paths
+
+
+@register
+def q_ingest_tables(spark, sf):
+    """Three source tables ingested on two days; rows per table and day."""
+    paths = _ingested(spark, sf)
+    parts = [
+        spark.read.parquet(path).groupBy("table_source", *schemas.INGEST_PARTITIONS).agg(F.count(F.lit(1)).alias("row_count"))
+        for path in paths.values()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register
+def q_ingest_latest_batch_catalog(spark, sf):
+    """The ingest job registers its tables; the latest batch comes from SHOW PARTITIONS."""
+    database = _unique("ledgerlake_ingest")
+    _ingested(spark, sf, database)
+    return P.latest_batch_of_table(spark, f"`{database}`.`users`")
+
+
 @register
 def q_users_history_append(spark, sf):
     """Two runs into one log: snapshot 1 -> 2, then back 2 -> 1."""
@@ -492,9 +610,8 @@ def q_catalog_register(spark, sf):
     )
 
 
-@register
-def q_warehouse_counts(spark, sf):
-    """The whole warehouse refine job over the three sources; rows per refined table."""
+def _warehouse(spark, sf) -> RefineTargets:
+    """The whole warehouse refine job over the three sources."""
     base = fresh_dir(spark, "warehouse")
     src_cards = f"{base}/cards_scd2"
     _scd2_merged(spark, sf).write.parquet(src_cards)
@@ -502,7 +619,7 @@ def q_warehouse_counts(spark, sf):
     write_partitioned(X.transactions(spark, sf), src_txn, schemas.INGEST_PARTITIONS)
     src_users = f"{base}/raw_users"
     write_partitioned(X.users(spark, sf), src_users, schemas.INGEST_PARTITIONS)
-    config = WarehouseConfig(
+    config = RefineTargets(
         database=_unique("ledgerlake_dw"),
         users_source=src_users,
         cards_scd2_source=src_cards,
@@ -513,6 +630,13 @@ def q_warehouse_counts(spark, sf):
         database_location=f"{base}/db",
     )
     run_warehouse(spark, config, clock=CLOCK_2)
+    return config
+
+
+@register
+def q_warehouse_counts(spark, sf):
+    """Rows per refined table after the warehouse job."""
+    config = _warehouse(spark, sf)
     parts = [
         spark.table(f"`{config.database}`.`{name}`").agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit(name).alias("table_name"), "row_count"
@@ -522,6 +646,24 @@ def q_warehouse_counts(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@register
+def q_warehouse_users(spark, sf):
+    """The users table of the warehouse job, read back through the catalog."""
+    return spark.table(f"`{_warehouse(spark, sf).database}`.`users_refined`")
+
+
+@register
+def q_warehouse_cards(spark, sf):
+    """The cards table of the warehouse job, read back through the catalog."""
+    return spark.table(f"`{_warehouse(spark, sf).database}`.`cards_refined_scd2`")
+
+
+@register
+def q_warehouse_transactions(spark, sf):
+    """The transactions table of the warehouse job, read back through the catalog."""
+    return spark.table(f"`{_warehouse(spark, sf).database}`.`transactions_refined`")
+
+
 # --- streaming -------------------------------------------------------------------------
 
 

@@ -19,7 +19,7 @@ def run_cards_scd2(
     clock: _dt.datetime | str,
     batch_id: str | None = None,
     close_missing: bool = False,
-    on_duplicate: str = "auto",
+    order: list[str] | None = None,
     bucket_count: int | None = None,
 ) -> str:
     """Create or extend the dimension behind catalog table ``table``.
@@ -30,15 +30,17 @@ def run_cards_scd2(
     never overwrites the files it reads. ``bucket_count`` publishes versions
     bucketed by ``card_id``, so the next merge reads the dimension without
     shuffling it (current versions are unique per key, so no bucket can hold
-    a hot key). Returns the version path.
+    a hot key). ``order``: columns of ``incoming`` that decide between rows
+    with the same key; without it a repeated key is an error, on the first
+    load too. Returns the version path.
     """
     batch_id = batch_id or batch_id_for(clock)
-    cards = scd2.normalize_cards(incoming)
+    cards = scd2.normalize_cards(incoming, keep=order)
     if spark.catalog.tableExists(table):
         result = scd2.merge(
-            spark.table(table), cards, clock, batch_id, close_missing=close_missing, on_duplicate=on_duplicate
+            spark.table(table), cards, clock, batch_id, close_missing=close_missing, order=order
         )
     else:
-        result = scd2.initial_versions(cards, clock, batch_id)
+        result = scd2.initial_versions(cards, clock, batch_id, order)
     bucket_by = (bucket_count, scd2.KEY) if bucket_count else None
     return publish_version(result, base_path, batch_id, table=table, bucket_by=bucket_by)

@@ -18,16 +18,16 @@ LOG = logging.getLogger(__name__)
 
 
 @dataclass(frozen=True)
-class WarehouseConfig:
-    """Source and output locations (fixed defaults: the reference's layout)."""
-
-    database: str = catalog.DEFAULT_DATABASE
-    users_source: str = "/warehouse/raw/users"
-    cards_scd2_source: str = "/warehouse/history/cards_scd2"
-    transactions_source: str = "/warehouse/raw/transactions"
-    users_refined: str = "/warehouse/datawarehouse/users_refined"
-    cards_refined_scd2: str = "/warehouse/datawarehouse/cards_refined_scd2"
-    transactions_refined: str = "/warehouse/datawarehouse/transactions_refined"
+class RefineTargets:
+    """Where the job reads and writes; all of it is the caller's choice."""
+
+    database: str
+    users_source: str
+    cards_scd2_source: str
+    transactions_source: str
+    users_refined: str
+    cards_refined_scd2: str
+    transactions_refined: str
     database_location: str | None = None
     register_tables: bool = True
     dedupe_transactions: bool = False
@@ -52,11 +52,11 @@ def _latest(spark: SparkSession, source: str):
     return latest_batch(spark.read.parquet(source))
 
 
-def run_warehouse(spark: SparkSession, config: WarehouseConfig, clock: _dt.datetime | str | None = None) -> dict[str, str]:
+def run_warehouse(spark: SparkSession, config: RefineTargets, clock: _dt.datetime | str | None = None) -> dict[str, str]:
     """Create the database, refine users, cards and the latest transaction batch.
 
-    The three builds are narrow projections; users and cards overwrite their
-    partitions (dynamic), transactions append by day. ``clock`` fixes the
+    The three builds are narrow projections; users and cards replace their
+    tables, transactions append by day. ``clock`` fixes the
     current year and the fallback load day. Returns table name -> location.
     """
     now = _dt.datetime.now() if clock is None else (
@@ -83,7 +83,6 @@ def run_warehouse(spark: SparkSession, config: WarehouseConfig, clock: _dt.datet
         "cards_refined_scd2": config.cards_refined_scd2,
         "transactions_refined": config.transactions_refined,
     }
-    dedupe = "transaction_id" if config.dedupe_transactions else None
     table = {name: f"`{config.database}`.`{name}`" for name in locations}
     if config.register_tables:
         # tables are created once; partition recovery (a listing of every
@@ -94,16 +93,17 @@ def run_warehouse(spark: SparkSession, config: WarehouseConfig, clock: _dt.datet
     write_partitioned(
         users, config.users_refined, schemas.USERS_REFINED_PARTITIONS, dynamic=config.keep_user_snapshots
     )
-    # versions span one effective month per batch: without a rebalance every
-    # input task would write one small file into every month it holds
-    write_partitioned(cards, config.cards_refined_scd2, schemas.CARDS_REFINED_PARTITIONS, rebalance=True)
+    # the table is the refined dimension as a whole, so it is replaced (months
+    # that are gone go); versions span one effective month per batch: without
+    # a rebalance every task would write a small file into every month it holds
+    write_partitioned(cards, config.cards_refined_scd2, schemas.CARDS_REFINED_PARTITIONS, dynamic=False, rebalance=True)
     if config.register_tables:
         catalog.sync_partitions(spark, table["users_refined"])
         catalog.sync_partitions(spark, table["cards_refined_scd2"])
         # through the catalog table: only the touched partitions are listed,
         # and insertInto registers the new ones
-        append_refined_transactions(txns, table=table["transactions_refined"], dedupe_on=dedupe)
+        append_refined_transactions(txns, table=table["transactions_refined"], dedupe=config.dedupe_transactions)
     else:
-        append_refined_transactions(txns, config.transactions_refined, dedupe_on=dedupe)
+        append_refined_transactions(txns, config.transactions_refined, dedupe=config.dedupe_transactions)
     LOG.info("warehouse refine done: %s", locations)
     return locations

@@ -1,14 +1,15 @@
 """Session helpers.
 
 Configuration belongs to the caller: the library reads settings from the
-session it is given and never changes them, with one exception - when no
-shared folder for lineage cuts is configured (as in local tests), a fresh
-one is created and registered as the checkpoint directory.
+session it is given and never changes them, with one exception - when a local
+session (as in tests) names no shared folder for lineage cuts, a fresh one is
+created and registered as the checkpoint directory.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import re
 import tempfile
 import uuid
 
@@ -18,23 +19,21 @@ from pyspark.sql import SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Written tables that cut lineage go below this folder. Only where the
-    setting is unset (local tests) a folder of our own is created.
+    Written tables that cut lineage go below this folder. Without it only a
+    local session gets a folder of its own; on a cluster, where other machines
+    would not see that folder, this raises.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    try:
-        current = spark.sparkContext.getCheckpointDir()
-    except Exception:  # Spark Connect has no SparkContext
-        current = None
+    context = spark.sparkContext
+    current = context.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
     own = tempfile.mkdtemp(prefix="ledgerlake-shared-")
-    try:
-        spark.sparkContext.setCheckpointDir(own)
-    except Exception:
-        pass
+    context.setCheckpointDir(own)
     return own
 
 

@@ -11,12 +11,10 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from ledgerlake import schemas
+from ledgerlake.sinks.publish import same_path, table_location
+from ledgerlake.sinks.writers import table_exists_at
 
-# Fixed value: the reference's warehouse database name.
-DEFAULT_DATABASE = "fintech_dw"
-
-
-def ensure_database(spark: SparkSession, name: str = DEFAULT_DATABASE, location: str | None = None, use: bool = False) -> None:
+def ensure_database(spark: SparkSession, name: str, location: str | None = None, use: bool = False) -> None:
     """``CREATE DATABASE IF NOT EXISTS`` (optionally at a location), optionally ``USE``."""
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{where}")
@@ -32,15 +30,6 @@ def table_ddl(qualified_name: str, schema: T.StructType, partitions: list[str],
     )
 
 
-def refined_table_ddls(database: str, locations: dict[str, str]) -> dict[str, str]:
-    """DDL of every refined table whose location is given (name -> statement)."""
-    out = {}
-    for name, (schema, parts) in schemas.REFINED_TABLES.items():
-        if name in locations:
-            out[name] = table_ddl(f"`{database}`.`{name}`", schema, parts, locations[name])
-    return out
-
-
 def register_table(
     spark: SparkSession,
     qualified_name: str,
@@ -55,16 +44,24 @@ def register_table(
     runs only when the table is new. Returns whether the table was created.
     """
     existed = spark.catalog.tableExists(qualified_name)
+    if existed:
+        _require_same(spark, qualified_name, schema, location)
     spark.sql(table_ddl(qualified_name, schema, partitions, location))
-    if partitions and (recover or not existed):
-        try:
-            spark.catalog.recoverPartitions(qualified_name)
-        except Exception as err:  # a new, still empty location has nothing to recover
-            if "FileNotFoundException" not in str(err):
-                raise
+    if partitions and (recover or not existed) and table_exists_at(spark, location, schema):
+        spark.catalog.recoverPartitions(qualified_name)
     return not existed
 
 
+def _require_same(spark: SparkSession, qualified_name: str, schema: T.StructType, location: str) -> None:
+    """Raise unless the table has this schema and location (``IF NOT EXISTS`` would keep the old ones)."""
+    found = table_location(spark, qualified_name)
+    if not same_path(found, location):
+        raise ValueError(f"{qualified_name} is at {found}, not at {location}")
+    kinds = [{f.name: f.dataType for f in s.fields} for s in (spark.table(qualified_name).schema, schema)]
+    if kinds[0] != kinds[1]:
+        raise ValueError(f"{qualified_name} has another schema than declared")
+
+
 def sync_partitions(spark: SparkSession, qualified_name: str) -> None:
     """Add partitions found on disk and drop those whose directory is gone.
 

@@ -36,7 +36,7 @@ def _bare(path: str) -> str:
     return path.split("://", 1)[-1].replace("file:", "").rstrip("/")
 
 
-def _same_path(a: str | None, b: str) -> bool:
+def same_path(a: str | None, b: str) -> bool:
     return a is not None and _bare(a) == _bare(b)
 
 
@@ -73,7 +73,7 @@ def publish_version(
     """
     path = version_path(base_path, version)
     spark = df.sparkSession
-    if table and _same_path(table_location(spark, table), path):
+    if table and same_path(table_location(spark, table), path):
         raise ValueError(
             f"version {version} is already published as {table}; a rerun must use a new batch id"
         )
@@ -88,7 +88,9 @@ def publish_version(
     exists = spark.catalog.tableExists(table)
     target = _staging_name(table, version) if exists else table
     (
-        df.write.mode("overwrite")
+        # one task, and so one sorted file, per bucket
+        df.repartition(int(buckets), column)
+        .write.mode("overwrite")
         .bucketBy(int(buckets), column)
         .sortBy(column)
         .option("path", path)

@@ -12,17 +12,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake import schemas
+from ledgerlake.operators.dedupe import latest_per_key
 from ledgerlake.operators.refine import transactions_dated
 
-# Upper bound on distinct partition values used to prune a target scan with a
-# literal list; beyond it the scan is left unpruned (correct, only slower).
-MAX_PRUNING_VALUES = 10000
-
-
 def write_partitioned(
     df: DataFrame,
     path: str,
@@ -55,27 +52,54 @@ def append_batch(df: DataFrame, path: str, batch_column: str = "batch_id") -> No
     write_partitioned(df, path, [batch_column], mode="overwrite", dynamic=True)
 
 
-def _path_exists(spark, path: str, schema=None) -> bool:
-    """Whether a parquet table exists at ``path``.
+def table_exists_at(spark, path: str, schema=None) -> bool:
+    """Whether there is a parquet table at ``path``.
 
-    With a declared schema no footer is read; a missing path raises at
-    relation creation.
+    Only a missing path (or one without files to take a schema from) counts as
+    absent; any other failure is raised. With a declared schema no footer is read.
     """
     try:
         reader = spark.read.schema(schema) if schema is not None else spark.read
         reader.parquet(path)
         return True
-    except Exception:  # AnalysisException: path does not exist / no files to infer from
-        return False
+    except AnalysisException as err:
+        if err.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+
+
+def has_sink_log(spark, path: str) -> bool:
+    """Whether a streaming file sink owns ``path`` (readers follow its log)."""
+    return _text_exists(spark, f"{path.rstrip('/')}/_spark_metadata")
+
+
+def _text_exists(spark, path: str) -> bool:
+    try:
+        spark.read.text(path)
+        return True
+    except AnalysisException as err:
+        if err.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+
+
+# Raw columns that tell transactions apart; all of them for rows without an id.
+_WITHOUT_ID = ["txn_timestamp", "client_id_raw", "card_id_raw", "amount_raw", "use_chip", "merchant_id", "merchant_city", "merchant_state", "zip", "mcc", "errors"]
+
+
+def _row_key() -> Column:
+    """Identity of a refined transaction within its day: the raw id, else the whole row's raw values."""
+    values = F.to_json(F.struct(*_WITHOUT_ID))
+    return F.struct(F.col("transaction_id_raw").alias("id"), F.when(F.col("transaction_id_raw").isNull(), values).alias("values"))
 
 
 def append_refined_transactions(
     refined: DataFrame,
     path: str | None = None,
     max_records_per_file: int = 200000,
-    dedupe_on: str | None = None,
+    dedupe: bool = False,
     table: str | None = None,
-) -> DataFrame:
+) -> None:
     """Incremental append of refined transactions by txn year / month / day.
 
     Rows without a parsed date are dropped. One write replaces the
@@ -83,46 +107,46 @@ def append_refined_transactions(
     over several writers and caps file sizes, ``maxRecordsPerFile`` caps rows
     per file.
 
-    ``dedupe_on="transaction_id"`` makes the append idempotent: rows whose id
-    already exists in the same day partition are skipped. Only the target
-    partitions the batch touches are scanned (literal partition filter from
-    the batch's distinct days, a bounded set), and only the id column.
+    ``dedupe`` makes the append idempotent: a row whose raw id (for rows
+    without one: whose raw values) already stands in the same day, or earlier
+    in the batch, is skipped; of equal keys in the batch the greatest row is
+    kept. The target is read between the first and the last day of the batch
+    (one row of day bounds, then a partition filter), and only the key columns.
 
     With ``table`` (a partitioned catalog table, see
     :func:`ledgerlake.sinks.catalog.register_table`) instead of ``path``, the
-    existing rows are read through the catalog, so only the partitions the
-    batch touches are even listed, and the append registers its new
-    partitions in the catalog (``insertInto``).
-
-    Returns the rows that were appended (lazy, for reporting).
+    existing rows are read through the catalog, and the append registers its
+    new partitions there (``insertInto``). A path that a streaming sink owns
+    is refused: its readers follow the sink's log and would not see the rows.
     """
     if (path is None) == (table is None):
         raise ValueError("give exactly one of path and table")
     parts = schemas.TRANSACTIONS_REFINED_PARTITIONS
-    batch = transactions_dated(refined)
+    columns = [f.name for f in schemas.TRANSACTIONS_REFINED.fields]
+    batch = transactions_dated(refined).select(*columns)
     spark = refined.sparkSession
-    target_exists = spark.catalog.tableExists(table) if table else _path_exists(spark, path, schemas.TRANSACTIONS_REFINED)
-    if dedupe_on and target_exists:
-        if table:
-            existing = spark.table(table).select(*parts, dedupe_on)
-        else:
-            existing = spark.read.schema(schemas.TRANSACTIONS_REFINED).parquet(path).select(*parts, dedupe_on)
-        days = batch.select(*parts).distinct().limit(MAX_PRUNING_VALUES + 1).collect()
-        if 0 < len(days) <= MAX_PRUNING_VALUES:
-            wanted = F.struct(*parts).isin([F.struct(*[F.lit(v) for v in row]) for row in days])
-            existing = existing.filter(wanted)
-        batch = batch.join(existing, on=[*parts, dedupe_on], how="left_anti")
+    if path is not None and has_sink_log(spark, path):
+        raise ValueError(f"{path} belongs to a streaming sink; append through the stream or to another path")
+    exists = spark.catalog.tableExists(table) if table else table_exists_at(spark, path, schemas.TRANSACTIONS_REFINED)
+    if table and not exists:
+        raise ValueError(f"table {table} does not exist; register it first")
+    if dedupe:
+        batch = latest_per_key(batch.withColumn("_key", _row_key()), [*parts, "_key"])
+        if exists:
+            existing = spark.table(table) if table else spark.read.schema(schemas.TRANSACTIONS_REFINED).parquet(path)
+            day = F.struct(*parts)
+            first, last = transactions_dated(refined).agg(F.min(day), F.max(day)).first()
+            if first is not None:
+                bounds = [F.struct(*[F.lit(v).cast("int").alias(p) for p, v in zip(parts, d)]) for d in (first, last)]
+                existing = existing.filter((day >= bounds[0]) & (day <= bounds[1]))
+            there = existing.select(*[F.col(p).alias(f"_{p}") for p in parts], _row_key().alias("_there"))
+            same = F.col("_key").eqNullSafe(F.col("_there"))
+            for p in parts:
+                same = same & (F.col(p) == F.col(f"_{p}"))
+            batch = batch.join(there, same, "left_anti")
+        batch = batch.select(*columns)
     if table:
-        if not target_exists:
-            raise ValueError(f"table {table} does not exist; register it first")
-        (
-            batch.hint("rebalance", *parts)
-            .select(*[f.name for f in schemas.TRANSACTIONS_REFINED.fields])
-            .write.option("maxRecordsPerFile", int(max_records_per_file))
-            .insertInto(table)
-        )
-        return batch
-    write_partitioned(
-        batch, path, parts, mode="append", rebalance=True, max_records_per_file=max_records_per_file
-    )
-    return batch
+        writer = batch.hint("rebalance", *parts).write.option("maxRecordsPerFile", int(max_records_per_file))
+        writer.insertInto(table)
+    else:
+        write_partitioned(batch, path, parts, mode="append", rebalance=True, max_records_per_file=max_records_per_file)

@@ -62,9 +62,17 @@ def read_jdbc(
     upper_bound=None,
     **conn,
 ) -> DataFrame:
-    """One table as a DataFrame; split by ``partition_column`` when given."""
-    if partition_column is not None and (lower_bound is None or upper_bound is None):
-        lower_bound, upper_bound = column_bounds(spark, url, table, partition_column, **conn)
+    """One table as a DataFrame; split by ``partition_column`` when given.
+
+    ``num_partitions`` defaults to the cluster's parallelism. A table without
+    rows (no bounds) is read plainly.
+    """
+    if partition_column is not None:
+        num_partitions = num_partitions or spark.sparkContext.defaultParallelism
+        if lower_bound is None or upper_bound is None:
+            lower_bound, upper_bound = column_bounds(spark, url, table, partition_column, **conn)
+        if lower_bound is None or upper_bound is None:
+            partition_column = lower_bound = upper_bound = num_partitions = None
     opts = jdbc_options(
         url,
         table,

@@ -1,4 +1,4 @@
-"""Parquet readers: tables, the latest ingest batch, batch keys."""
+"""Raw tables: the latest ingest batch, batch keys."""
 
 from __future__ import annotations
 
@@ -7,25 +7,12 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerlake import schemas
 
 LOG = logging.getLogger(__name__)
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Parquet directory as a DataFrame.
-
-    With a schema, partition columns take the declared types instead of being
-    inferred from directory names (a batch id of digits stays a string).
-    """
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.parquet(path)
-
-
 def batch_days(df: DataFrame, parts: list[str] | None = None) -> DataFrame:
     """Distinct ingest (year, month, day) triples.
 
@@ -109,20 +96,3 @@ def latest_batch(df: DataFrame, parts: list[str] | None = None) -> DataFrame:
         return df
     LOG.info("latest batch: %s", "-".join(str(v) for v in key))
     return _filter_key(df, parts, key)
-
-
-def latest_batch_lazy(df: DataFrame, parts: list[str] | None = None) -> DataFrame:
-    """Same rows as :func:`latest_batch` without a driver round trip.
-
-    A left-semi join against the one-row maximum (broadcast by Spark). For
-    callers that must stay lazy (views, streaming-style composition). It does
-    not prune partitions: Spark adds dynamic partition pruning only when the
-    other join side has a selective filter, which a bare maximum is not. For
-    a partitioned table prefer :func:`latest_batch` (literal partition filter)
-    or :func:`latest_batch_of_table` (catalog metadata).
-    """
-    parts = parts or schemas.INGEST_PARTITIONS
-    top = df.select(F.max(F.struct(*parts)).alias("k")).select(*[F.col(f"k.{p}").alias(p) for p in parts])
-    # plain equality on the partition columns (not <=>): a NULL part never
-    # matches, as with the literal filter, and DPP needs bare column keys
-    return df.join(top, on=parts, how="left_semi")

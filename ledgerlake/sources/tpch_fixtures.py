@@ -112,11 +112,12 @@ def users_snapshot_2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def users_snapshot_2_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second users snapshot where every user with ``k % 17 = 0`` appears twice.
 
-    The copy has ``address`` ``Z_COPY``, so a repeated key carries two
-    different rows and the survivor rule decides.
+    The copy was ingested an hour later and has ``address`` ``A_COPY``, so a
+    repeated key carries two different rows and the ingest time decides.
     """
     u2 = users_snapshot_2(spark, sf_dir)
-    return u2.unionByName(u2.filter(F.col("id") % 17 == 0).withColumn("address", F.lit("Z_COPY")))
+    copies = u2.filter(F.col("id") % 17 == 0).withColumn("address", F.lit("A_COPY"))
+    return u2.unionByName(copies.withColumn("ingest_time", F.expr("ingest_time + interval 1 hour")))
 
 
 def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,12 +164,12 @@ def cards_snapshot_2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cards_snapshot_2_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second snapshot where every card with ``p % 17 = 0`` appears twice.
 
-    The copy differs in ``card_type`` (``Z_COPY``), so a repeated key carries
-    two different rows and the survivor rule decides.
+    The copy was ingested an hour later and has ``card_type`` ``A_COPY``, so a
+    repeated key carries two different rows and the ingest time decides.
     """
     c2 = cards_snapshot_2(spark, sf_dir)
-    copies = c2.filter(F.col("id") % 17 == 0).withColumn("card_type", F.lit("Z_COPY"))
-    return c2.unionByName(copies)
+    copies = c2.filter(F.col("id") % 17 == 0).withColumn("card_type", F.lit("A_COPY"))
+    return c2.unionByName(copies.withColumn("ingest_time", F.expr("ingest_time + interval 1 hour")))
 
 
 def card_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,3 +229,21 @@ def transactions_with_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("errors"),
         *_ingest(day, 3, "lineitem"),
     )
+
+
+def transactions_with_odd_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions with text ids: ``o % 15 = 0`` has none, else ``o % 10 = 0`` an unparsable
+    one; every row with ``o % 4 = 0`` stands twice."""
+    t = transactions(spark, sf_dir)
+    o = F.col("id")
+    twice = t.unionByName(t.filter(o % 4 == 0))
+    text = F.when(o % 15 == 0, F.lit(None).cast("string")).when(o % 10 == 0, F.concat(F.lit("bad"), o.cast("string"))).otherwise(o.cast("string"))
+    return twice.withColumn("id", text)
+
+
+def brought_again(txn: DataFrame, day: int, later: int) -> DataFrame:
+    """``txn`` and all rows of ingest day ``day`` once more on day ``later``."""
+    again = txn.filter(F.col("ingest_day") == day).withColumns(
+        {"ingest_day": F.lit(later).cast("int"), "ingest_time": F.expr(f"ingest_time + interval {later - day} days")}
+    )
+    return txn.unionByName(again.select(*txn.columns))

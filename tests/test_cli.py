@@ -20,12 +20,14 @@ def test_index_lookup_history_scd2_warehouse(spark, tmp_path):
 
     cli.main(["index", "--transactions", f"{base}/raw/transactions", "--index", f"{base}/raw/index"], spark)
     out = cli.main(["index", "--transactions", f"{base}/raw/transactions", "--index", f"{base}/raw/index",
-                    "--update-days", "2026-04-23"], spark)
-    assert [2026, 4, 23] in [list(d) for d in out["rewritten_days"]]
+                    "--update-days", "2026-04-23", "--output", f"{base}/raw/index2"], spark)
+    assert out["index"] == f"{base}/raw/index2"
+    assert spark.read.parquet(out["index"]).count() == spark.read.parquet(f"{base}/raw/index").count()
     some = spark.read.parquet(f"{base}/raw/index").select("transaction_id").first()[0]
     out = cli.main(["lookup", "--transactions", f"{base}/raw/transactions", "--index", f"{base}/raw/index",
-                    "--prune", str(some), "-1"], spark)
-    assert [r["transaction_id"] for r in out["found"]] == [some] and out["not_found"] == [-1]
+                    "--prune", "--output", f"{base}/lookup_ids", str(some), "-1"], spark)
+    assert [r["transaction_id"] for r in spark.read.parquet(f"{base}/lookup_ids/found").collect()] == [some]
+    assert [r["transaction_id"] for r in spark.read.parquet(f"{base}/lookup_ids/missing").collect()] == [-1]
     assert out["found_count"] == 1 and out["index_schema"].startswith("struct<transaction_id:bigint")
 
     spark.read.parquet(f"{base}/raw/transactions").select("id").write.parquet(f"{base}/requests")

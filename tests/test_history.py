@@ -40,11 +40,39 @@ def test_null_keys_are_never_logged(spark):
 def test_duplicate_incoming_keys(spark):
     cur = users(spark, [(1, "a")])
     inc = users(spark, [(1, "a"), (1, "z")])
-    # deterministic survivor: the greatest row ("z") -> one UPDATE, never two
-    out = rows(H.history_delta(cur, inc, "2026-04-24 00:00:00", "b"))
+    # by the named order the row "z" counts -> one UPDATE, never two
+    out = rows(H.history_delta(cur, inc, "2026-04-24 00:00:00", "b", order=["current_age"]))
     assert [(r["user_id"], r["change_type"]) for r in out] == [(1, "UPDATE")]
-    with pytest.raises(ValueError):
-        H.history_delta(cur, inc, "2026-04-24 00:00:00", "b", on_duplicate="raise")
+    # without an order the result cannot be computed, not even counted
+    for broken in (H.history_delta(cur, inc, "2026-04-24 00:00:00", "b"), H.row_changed(cur, inc)):
+        with pytest.raises(Exception, match="incoming snapshot has duplicate keys, e.g. 1 in 2 rows"):
+            broken.count()
+
+
+def test_superseded_rows_are_what_the_order_drops(spark):
+    from ledgerlake.operators.dedupe import latest_per_key, superseded_rows
+
+    data = [(1, 1, "a"), (1, 2, "b"), (1, 2, "b"), (1, None, "c"), (2, 5, "x"), (None, 1, "n"), (None, 3, "m")]
+    df = spark.createDataFrame(data, "k int, o int, v string")
+    kept = [tuple(r) for r in latest_per_key(df, "k", ["o"]).collect()]
+    dropped = [tuple(r) for r in superseded_rows(df, "k", ["o"]).collect()]
+    assert sorted(kept + dropped, key=repr) == sorted(data, key=repr)
+    assert sorted(dropped, key=repr) == sorted([(1, 1, "a"), (1, 2, "b"), (1, None, "c"), (None, 1, "n")], key=repr)
+
+
+def test_published_snapshot_has_one_row_per_key(spark):
+    from ledgerlake.plans.history_job import run_users_history
+    from ledgerlake.session import fresh_dir
+
+    base = fresh_dir(spark, "history_order_test")
+    cur = users(spark, [(1, "a"), (2, "b")])
+    inc = users(spark, [(1, "p"), (1, "q"), (2, "b"), (None, "n")])
+    for batch in ("b1", "b2"):  # the same snapshot again logs nothing more
+        run_users_history(cur, inc, f"{base}/log", f"{base}/current", "2026-04-24 00:00:00", batch, order=["current_age"])
+        cur = spark.read.parquet(f"{base}/current/version_{batch}")
+    assert sorted((r["user_id"] or 0, r["current_age"]) for r in cur.collect()) == [(0, "n"), (1, "q"), (2, "b")]
+    log = spark.read.schema(schemas.users_history_schema()).parquet(f"{base}/log").collect()
+    assert [(r["user_id"], r["batch_id"]) for r in log] == [(1, "b1")]
 
 
 def test_user_id_column_accepted_after_refresh(spark):
@@ -76,6 +104,7 @@ def test_bucketed_snapshot_makes_the_diff_shuffle_one_side(spark):
                          "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
         delta = H.history_delta(spark.table(table), H.normalize_users(u2), "2026-04-24 00:00:00", "b2")
         plan = plan_of(delta, "simple")
-        assert plan.count("SortMergeJoin") == 1 and plan.count("Exchange hashpartitioning") == 1, plan
+        # the bucketed snapshot is not shuffled; the incoming rows are, and their keys for the check
+        assert plan.count("SortMergeJoin") == 1 and plan.count("Exchange hashpartitioning") == 2, plan
         want = H.history_delta(H.normalize_users(u1), H.normalize_users(u2), "2026-04-24 00:00:00", "b2")
         assert delta.exceptAll(want).count() == 0 and want.exceptAll(delta).count() == 0

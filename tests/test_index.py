@@ -75,9 +75,8 @@ def test_incremental_update_equals_rebuild_even_for_backfill(spark):
     write_partitioned(raw, f"{base}/raw", schemas.INGEST_PARTITIONS)
     # index of the later days first, then the earliest day arrives late
     write_partitioned(IX.transaction_index(raw.filter("ingest_day > 21")), f"{base}/idx", schemas.INGEST_PARTITIONS)
-    rewritten = update_index(spark, f"{base}/raw", f"{base}/idx", [(2026, 4, 21)])
-    assert (2026, 4, 21) in rewritten
-    got = spark.read.parquet(f"{base}/idx").select(*schemas.INDEX_COLUMNS)
+    path = update_index(spark, f"{base}/raw", f"{base}/idx", f"{base}/idx2", [(2026, 4, 21)])
+    got = spark.read.parquet(path).select(*schemas.INDEX_COLUMNS)
     want = IX.transaction_index(raw)
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
@@ -102,8 +101,20 @@ def test_incremental_update_without_an_index_builds_one(spark):
     base = fresh_dir(spark, "idx_first_update_test")
     raw = X.transactions_with_duplicates(spark, SF_SMALL)
     write_partitioned(raw, f"{base}/raw", schemas.INGEST_PARTITIONS)
-    update_index(spark, f"{base}/raw", f"{base}/idx", [(2026, 4, 21)])
-    update_index(spark, f"{base}/raw", f"{base}/idx", [(2026, 4, 22), (2026, 4, 23)])
-    got = spark.read.parquet(f"{base}/idx").select(*schemas.INDEX_COLUMNS)
+    update_index(spark, f"{base}/raw", f"{base}/none", f"{base}/idx", [(2026, 4, 21)])
+    update_index(spark, f"{base}/raw", f"{base}/idx", f"{base}/idx2", [(2026, 4, 22), (2026, 4, 23)])
+    got = spark.read.parquet(f"{base}/idx2").select(*schemas.INDEX_COLUMNS)
     want = IX.transaction_index(raw)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_update_equals_rebuild_when_rows_move_vanish_or_lack_an_id(spark):
+    from ledgerlake.plans.index_job import updated_index
+
+    before = raw_txn(spark, [(1, 10, 1, 21), (2, 20, 2, 21), (3, 30, 3, 22), (3, 31, 3, 21), (None, 5, 5, 22), (4, 40, 4, 22)])
+    # day 22 is ingested again without 3 and the row without an id, and brings 1; day 23 is new
+    after = raw_txn(spark, [(1, 10, 1, 21), (2, 20, 2, 21), (3, 31, 3, 21), (1, 11, 1, 22), (4, 41, 4, 22), (2, 22, 2, 23)])
+    got = updated_index(IX.transaction_index(before), after, [(2026, 4, 22), (2026, 4, 23)])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, IX.transaction_index(after).collect()))
+    # day 21 is left to the index rows of 3 alone
+    assert [r["transaction_id"] for r in got.filter("ingest_day = 21").collect()] == [3]

@@ -70,3 +70,10 @@ def test_function_form():
     spark = _Spark()
     assert jdbc.read_jdbc_table(spark, "jdbc:x://h/db", "raw_users", {"user": "u"}) == "df"
     assert spark.log == [{"url": "jdbc:x://h/db", "table": "raw_users", "user": "u"}]
+
+
+def test_empty_table_is_read_plainly(monkeypatch):
+    spark = _Spark()
+    monkeypatch.setattr(jdbc, "column_bounds", lambda *a, **k: (None, None))
+    jdbc.read_jdbc(spark, "jdbc:x://h/db", "t", partition_column="id", num_partitions=4)
+    assert len(spark.log) == 1 and "partitionColumn" not in spark.log[0] and "numPartitions" not in spark.log[0]

@@ -100,11 +100,11 @@ def test_timestamp_parts(spark):
     assert got[3]["d"] == 3
 
 
-def test_any_differs_is_null_safe(spark):
+def test_same_values_is_null_safe(spark):
     a = spark.createDataFrame([(1, None, "x"), (2, None, "x"), (3, "a", "x")], "k int, p string, q string").alias("a")
     b = spark.createDataFrame([(1, None, "x"), (2, "v", "x"), (3, "a", "y")], "k int, p string, q string").alias("b")
-    j = a.join(b, F.col("a.k") == F.col("b.k")).select(F.col("a.k").alias("k"), D.any_differs("a", "b", ["p", "q"]).alias("d"))
-    assert [r["d"] for r in rows(j, "k")] == [False, True, True]
+    j = a.join(b, F.col("a.k") == F.col("b.k")).select(F.col("a.k").alias("k"), D.same_values("a", "b", ["p", "q"]).alias("s"))
+    assert [r["s"] for r in rows(j, "k")] == [True, False, False]
 
 
 def test_trailing_newline_matches_like_java(spark):

@@ -64,11 +64,29 @@ def test_null_key_and_null_is_current_survive(spark):
 def test_duplicate_incoming_keys(spark):
     v1 = S.initial_versions(cards(spark, [(1, "a")]), T1, "b1")
     inc = cards(spark, [(1, "b"), (1, "c")])
-    v2 = S.merge(v1, inc, T2, "b2")
+    v2 = S.merge(v1, inc, T2, "b2", order=["card_brand"])
     check_invariants(v2)
     assert [r["card_brand"] for r in rows(v2.filter("is_current"))] == ["c"]
-    with pytest.raises(ValueError):
-        S.merge(v1, inc, T2, "b2", on_duplicate="raise")
+    for broken in (S.merge(v1, inc, T2, "b2"), S.initial_versions(inc, T2, "b2")):
+        with pytest.raises(Exception, match="incoming cards has duplicate keys, e.g. 1 in 2 rows"):
+            broken.count()
+
+
+def test_two_current_versions_of_one_key_are_refused(spark):
+    v1 = S.initial_versions(cards(spark, [(1, "a")]), T1, "b1")
+    with pytest.raises(Exception, match="current versions has duplicate keys"):
+        S.merge(v1.unionByName(v1), cards(spark, [(1, "b")]), T2, "b2").collect()
+
+
+def test_first_load_takes_the_order_and_refuses_repeats_without_it(spark):
+    from ledgerlake.plans.scd2_job import run_cards_scd2
+    from ledgerlake.session import fresh_dir
+
+    base, inc = fresh_dir(spark, "scd2_first_test"), cards(spark, [(1, "b"), (1, "c")])
+    with pytest.raises(Exception, match="duplicate keys"):
+        run_cards_scd2(spark, inc, "ledgerlake_first_refused", f"{base}/r", "2026-04-23 00:00:00")
+    run_cards_scd2(spark, inc, "ledgerlake_first_ordered", f"{base}/o", "2026-04-23 00:00:00", order=["card_brand"])
+    assert [r["card_brand"] for r in spark.table("ledgerlake_first_ordered").collect()] == ["c"]
 
 
 def test_close_missing(spark):
@@ -80,11 +98,11 @@ def test_close_missing(spark):
 
 def test_normalize_validation(spark):
     bad = spark.createDataFrame([(1,)], "x long")
-    with pytest.raises(ValueError, match="identifier"):
+    with pytest.raises(ValueError, match="lacks card_id, client_id"):
         S.normalize_cards(bad)
-    with pytest.raises(ValueError, match="client_id"):
+    with pytest.raises(ValueError, match="lacks client_id"):
         S.normalize_cards(spark.createDataFrame([(1,)], "id long"))
-    with pytest.raises(ValueError, match="Missing required"):
+    with pytest.raises(ValueError, match="lacks card_brand"):
         S.normalize_cards(spark.createDataFrame([(1, 2)], "id long, client_id long"))
 
 
@@ -108,7 +126,7 @@ def test_updated_keys_closed_and_kept_partition_the_existing_rows(spark):
 
 
 def test_initial_load_keeps_one_current_version_per_key(spark):
-    v1 = S.initial_versions(cards(spark, [(1, "a"), (1, "b"), (None, "n"), (None, "m"), (2, "c")]), T1, "b1")
+    v1 = S.initial_versions(cards(spark, [(1, "a"), (1, "b"), (None, "n"), (None, "m"), (2, "c")]), T1, "b1", order=["card_brand"])
     got = sorted((r["card_id"] is None, r["card_id"], r["card_brand"]) for r in v1.collect())
     assert got == [(False, 1, "b"), (False, 2, "c"), (True, None, "m"), (True, None, "n")]
     check_invariants(v1)
@@ -134,6 +152,7 @@ def test_bucketed_versions_give_the_same_rows_with_a_one_sided_shuffle(spark):
         plan = plan_of(nxt, "simple")
         assert plan.count("SortMergeJoin") == 1
         # the bucketed dimension is not shuffled; only the incoming side is
-        assert plan.count("Exchange hashpartitioning") == 1, plan
+        # (its rows, and its keys once more for the check of repeats)
+        assert plan.count("Exchange hashpartitioning") == 2, plan
         plain_plan = plan_of(S.merge(plain, S.normalize_cards(X.cards_snapshot_1(spark, SF_SMALL)), T3, "b3"), "simple")
-        assert plain_plan.count("Exchange hashpartitioning") == 2, plain_plan
+        assert plain_plan.count("Exchange hashpartitioning") == 4, plain_plan

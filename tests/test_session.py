@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from ledgerlake import session
 
 
@@ -14,8 +16,8 @@ class _Conf:
 
 
 class _Context:
-    def __init__(self, current=None):
-        self.current, self.set_to = current, None
+    def __init__(self, current=None, master="local[4]"):
+        self.current, self.set_to, self.master = current, None, master
 
     def getCheckpointDir(self):
         return self.current
@@ -25,8 +27,8 @@ class _Context:
 
 
 class _Session:
-    def __init__(self, conf_value=None, current=None):
-        self.conf, self.sparkContext = _Conf(conf_value), _Context(current)
+    def __init__(self, conf_value=None, current=None, master="local[4]"):
+        self.conf, self.sparkContext = _Conf(conf_value), _Context(current, master)
 
 
 def test_configured_folder_wins():
@@ -43,6 +45,12 @@ def test_unset_creates_and_registers_a_local_folder():
     assert os.path.isdir(path) and s.sparkContext.set_to == path
 
 
+def test_unset_raises_on_a_cluster():
+    for master in ("yarn", "spark://host:7077", "k8s://https://host", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            session.shared_dir(_Session(None, None, master))
+
+
 def test_fresh_dirs_are_distinct():
     s = _Session("/shared")
     a, b = session.fresh_dir(s, "x"), session.fresh_dir(s, "x")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ledgerlake import schemas
 from ledgerlake.operators import refine
 from ledgerlake.plans.history_job import run_users_history
-from ledgerlake.plans.ingest import IngestSpec, default_specs, run_raw_ingest
+from ledgerlake.plans.ingest import IngestSpec, run_raw_ingest, source_specs
 from ledgerlake.plans.scd2_job import run_cards_scd2
 from ledgerlake.session import fresh_dir
 from ledgerlake.sinks import catalog
@@ -40,7 +40,6 @@ def test_latest_batch_prunes_partitions(spark):
     latest = P.latest_batch(df)
     assert "PartitionFilters: [isnotnull(ingest_year" in plan_of(latest)
     assert {tuple(r) for r in P.batch_days(latest).collect()} == {(2026, 4, 23)}
-    assert P.latest_batch_lazy(df).count() == latest.count()
     empty = df.limit(0)
     assert P.latest_batch(empty).count() == 0
 
@@ -48,8 +47,8 @@ def test_latest_batch_prunes_partitions(spark):
 def test_append_dedupe_is_idempotent(spark):
     path = fresh_dir(spark, "append_test")
     refined = refine.transactions_refined(X.transactions(spark, SF_SMALL))
-    append_refined_transactions(refined, path, dedupe_on="transaction_id")
-    append_refined_transactions(refined, path, dedupe_on="transaction_id")
+    append_refined_transactions(refined, path, dedupe=True)
+    append_refined_transactions(refined, path, dedupe=True)
     back = spark.read.schema(schemas.TRANSACTIONS_REFINED).parquet(path)
     assert back.count() == refine.transactions_dated(refined).count()
     append_refined_transactions(refined, path)  # without dedupe a rerun doubles, as in the reference
@@ -87,8 +86,7 @@ def test_scd2_job_first_and_next_run(spark):
 
 
 def test_catalog_ddl_matches_schema(spark):
-    ddls = catalog.refined_table_ddls("db", {"users_refined": "/x"})
-    ddl = ddls["users_refined"]
+    ddl = catalog.table_ddl("`db`.`users_refined`", schemas.USERS_REFINED, schemas.USERS_REFINED_PARTITIONS, "/x")
     assert ddl.startswith("CREATE TABLE IF NOT EXISTS `db`.`users_refined` (`user_id` BIGINT")
     assert "PARTITIONED BY (`load_day`)" in ddl and "USING parquet" in ddl
     base = fresh_dir(spark, "catalog_test")
@@ -101,9 +99,47 @@ def test_catalog_ddl_matches_schema(spark):
     assert t.count() == X.users(spark, SF_SMALL).count()
 
 
-def test_default_specs_and_jdbc_options():
-    specs = default_specs("/lake")
+def test_registered_table_with_another_location_or_schema_is_refused(spark):
+    base = fresh_dir(spark, "register_test")
+    db = "ledgerlake_register_test"
+    catalog.ensure_database(spark, db, f"{base}/db")
+    args = (spark, f"`{db}`.`t`", schemas.TRANSACTIONS_REFINED, schemas.TRANSACTIONS_REFINED_PARTITIONS)
+    assert catalog.register_table(*args, f"{base}/t") is True
+    assert catalog.register_table(*args, f"{base}/t") is False
+    with pytest.raises(ValueError, match="not at"):
+        catalog.register_table(*args, f"{base}/elsewhere")
+    with pytest.raises(ValueError, match="another schema"):
+        catalog.register_table(spark, f"`{db}`.`t`", schemas.USERS_REFINED, schemas.USERS_REFINED_PARTITIONS, f"{base}/t")
+
+
+def test_append_to_a_streaming_sink_is_refused(spark):
+    path = fresh_dir(spark, "sink_log_test")
+    spark.createDataFrame([("v1",)], "value string").write.text(f"{path}/_spark_metadata")
+    with pytest.raises(ValueError, match="streaming sink"):
+        append_refined_transactions(refine.transactions_refined(X.transactions(spark, SF_SMALL)), path)
+
+
+def test_bucketed_version_has_one_file_per_bucket(spark):
+    base = fresh_dir(spark, "bucket_test")
+    path = publish_version(spark.range(1000).repartition(16), base, "v1", table="ledgerlake_bucket_test", bucket_by=(8, "id"))
+    files = spark.read.parquet(path).inputFiles()
+    assert len(files) <= 8 and spark.table("ledgerlake_bucket_test").count() == 1000
+
+
+def test_ingest_registers_its_tables(spark):
+    base = fresh_dir(spark, "ingest_register_test")
+    orders = X.load(spark, SF_SMALL, "orders")
+    for clock in ("2026-04-21 01:00:00", "2026-04-22 01:00:00"):
+        run_raw_ingest([IngestSpec("t", "orders", f"{base}/t", "x")], lambda s: orders, clock=clock, database="ledgerlake_ingest_test")
+    table = "`ledgerlake_ingest_test`.`t`"
+    assert P.latest_batch_key_from_catalog(spark, table) == (2026, 4, 22)
+    assert P.latest_batch_of_table(spark, table).count() == orders.count()
+
+
+def test_source_specs_and_jdbc_options():
+    specs = source_specs("/lake", "id", 4)
     assert [s.dbtable for s in specs] == ["raw_users", "raw_cards", "raw_transactions"]
+    assert all((s.partition_column, s.num_partitions) == ("id", 4) for s in specs)
     opts = jdbc.jdbc_options("jdbc:x://h/db", "t", user="u", fetchsize=10000, partition_column="id",
                              lower_bound=1, upper_bound=100, num_partitions=4)
     assert opts["partitionColumn"] == "id" and opts["numPartitions"] == "4" and opts["fetchsize"] == "10000"
@@ -119,9 +155,9 @@ def test_append_through_catalog_table(spark):
     catalog.register_table(spark, table, schemas.TRANSACTIONS_REFINED, schemas.TRANSACTIONS_REFINED_PARTITIONS, f"{base}/t")
     raw = X.transactions(spark, SF_SMALL)
     refined = refine.transactions_refined(raw)
-    append_refined_transactions(refine.transactions_refined(P.latest_batch(raw)), table=table, dedupe_on="transaction_id")
-    append_refined_transactions(refined, table=table, dedupe_on="transaction_id")
-    append_refined_transactions(refined, table=table, dedupe_on="transaction_id")
+    append_refined_transactions(refine.transactions_refined(P.latest_batch(raw)), table=table, dedupe=True)
+    append_refined_transactions(refined, table=table, dedupe=True)
+    append_refined_transactions(refined, table=table, dedupe=True)
     want = refine.transactions_dated(refined).count()
     assert spark.table(table).count() == want
     # the appends registered their partitions: the catalog alone knows every day
@@ -135,7 +171,7 @@ def test_append_through_catalog_table(spark):
 
 
 def test_warehouse_refines_latest_users_snapshot(spark):
-    from ledgerlake.plans.warehouse import WarehouseConfig, run_warehouse
+    from ledgerlake.plans.warehouse import RefineTargets, run_warehouse
     from ledgerlake.operators import scd2
 
     base = fresh_dir(spark, "warehouse_test")
@@ -149,7 +185,7 @@ def test_warehouse_refines_latest_users_snapshot(spark):
                transactions_source=f"{base}/raw/transactions", users_refined=f"{base}/dw/u",
                cards_refined_scd2=f"{base}/dw/c", transactions_refined=f"{base}/dw/t",
                database_location=f"{base}/db", register_tables=False)
-    run_warehouse(spark, WarehouseConfig(**cfg), clock="2026-04-25 00:00:00")
+    run_warehouse(spark, RefineTargets(**cfg), clock="2026-04-25 00:00:00")
     u = spark.read.parquet(f"{base}/dw/u")
     assert u.count() == users.count()
     assert [str(r[0]) for r in u.select("load_day").distinct().collect()] == ["2026-04-24"]
@@ -169,18 +205,19 @@ def test_republishing_the_live_version_is_refused(spark):
 
 
 def test_ingest_spreads_an_unsplit_read(spark):
-    from ledgerlake.plans.ingest import ingest_frame
+    from tests.conftest import confs
 
     one_task = X.load(spark, SF_SMALL, "orders").coalesce(1)
-    spec = IngestSpec("t", "orders", "/unused", "x", write_partitions=4)
-    assert ingest_frame(one_task, spec, "2026-04-23 00:00:00").rdd.getNumPartitions() == 4
-    split = IngestSpec("t", "orders", "/unused", "x", partition_column="o_orderkey", num_partitions=4, write_partitions=4)
-    assert ingest_frame(one_task, split, "2026-04-23 00:00:00").rdd.getNumPartitions() == 1
+    path = fresh_dir(spark, "ingest_spread_test")
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    with confs(spark, **small):
+        run_raw_ingest([IngestSpec("t", "orders", path, "x")], lambda s: one_task, clock="2026-04-23 00:00:00")
+    assert len(spark.read.parquet(path).inputFiles()) > 1 and spark.read.parquet(path).count() == one_task.count()
 
 
 def test_warehouse_reruns_through_catalog_tables(spark):
     from ledgerlake.operators import scd2
-    from ledgerlake.plans.warehouse import WarehouseConfig, run_warehouse
+    from ledgerlake.plans.warehouse import RefineTargets, run_warehouse
 
     base = fresh_dir(spark, "warehouse_rerun_test")
     users = X.users(spark, SF_SMALL)
@@ -189,7 +226,7 @@ def test_warehouse_reruns_through_catalog_tables(spark):
     raw = X.transactions(spark, SF_SMALL)
     write_partitioned(raw, f"{base}/raw/transactions", schemas.INGEST_PARTITIONS)
     db = "ledgerlake_rerun_test"
-    cfg = WarehouseConfig(database=db, users_source=f"{base}/raw/users", cards_scd2_source=f"{base}/scd2",
+    cfg = RefineTargets(database=db, users_source=f"{base}/raw/users", cards_scd2_source=f"{base}/scd2",
                           transactions_source=f"{base}/raw/transactions", users_refined=f"{base}/dw/u",
                           cards_refined_scd2=f"{base}/dw/c", transactions_refined=f"{base}/dw/t",
                           database_location=f"{base}/db", dedupe_transactions=True)
