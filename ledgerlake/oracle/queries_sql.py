@@ -346,6 +346,7 @@ ORACLE["users_history_append"] = with_chain(
 )
 ORACLE["users_current_refresh"] = with_chain(_UN, "SELECT * FROM u2n", ["users_1", "users_2"])
 ORACLE["scd2_roundtrip"] = ORACLE["scd2_merge"]
+ORACLE["scd2_split_roundtrip"] = ORACLE["scd2_merge"]
 ORACLE["scd2_bucketed_roundtrip"] = ORACLE["scd2_merge"]
 ORACLE["catalog_register"] = with_chain(
     [("tr", RS.transactions_refined("transactions"))],

@@ -27,7 +27,7 @@ from ledgerlake.operators.patch import keyed_patch
 from ledgerlake.plans.history_job import run_users_history
 from ledgerlake.plans.index_job import build_index, lookup, update_index
 from ledgerlake.plans.ingest import IngestSpec, run_raw_ingest, source_specs
-from ledgerlake.plans.scd2_job import run_cards_scd2
+from ledgerlake.plans.scd2_job import dimension, run_cards_scd2, run_cards_scd2_split
 from ledgerlake.plans.corrections_job import apply_corrections
 from ledgerlake.plans.warehouse import RefineTargets, run_warehouse
 from ledgerlake.session import batch_id_for, fresh_dir
@@ -594,6 +594,16 @@ def q_scd2_bucketed_roundtrip(spark, sf):
     return spark.table(table)
 
 
+@register
+def q_scd2_split_roundtrip(spark, sf):
+    """As scd2_roundtrip, with closed versions appended to a log that no merge rewrites."""
+    base = fresh_dir(spark, "cards_scd2_split")
+    table = _unique("ledgerlake_cards_scd2_split")
+    for cards, clock, batch in ((X.cards_snapshot_1(spark, sf), CLOCK_1, BATCH_1), (X.cards_snapshot_2(spark, sf), CLOCK_2, BATCH_2)):
+        run_cards_scd2_split(spark, cards, table, base, f"{base}/closed", clock, batch)
+    return dimension(spark, table, f"{base}/closed")
+
+
 @register
 def q_catalog_register(spark, sf):
     """Refined transactions registered as an external table; rows per partition."""

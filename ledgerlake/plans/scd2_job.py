@@ -5,10 +5,14 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlake.operators import scd2
 from ledgerlake.session import batch_id_for
 from ledgerlake.sinks.publish import publish_version
+from ledgerlake.sinks.writers import append_batch, table_exists_at
+
+CLOSED_BY = "closed_by_batch"
 
 
 def run_cards_scd2(
@@ -44,3 +48,43 @@ def run_cards_scd2(
         result = scd2.initial_versions(cards, clock, batch_id, order)
     bucket_by = (bucket_count, scd2.KEY) if bucket_count else None
     return publish_version(result, base_path, batch_id, table=table, bucket_by=bucket_by)
+
+
+def run_cards_scd2_split(
+    spark: SparkSession,
+    incoming: DataFrame,
+    table: str,
+    base_path: str,
+    closed_path: str,
+    clock: _dt.datetime | str,
+    batch_id: str | None = None,
+    close_missing: bool = False,
+    order: list[str] | None = None,
+    bucket_count: int | None = None,
+) -> str:
+    """As :func:`run_cards_scd2`, with closed versions in a log of their own.
+
+    ``table`` holds the versions that are not closed and is published anew;
+    versions that this batch closes are appended to ``closed_path``,
+    partitioned by the batch that closed them, so closed versions are written
+    once and never read by a merge. Running a batch again replaces its part of
+    the log. :func:`dimension` gives the two together.
+    """
+    batch_id = batch_id or batch_id_for(clock)
+    cards = scd2.normalize_cards(incoming, keep=order)
+    if spark.catalog.tableExists(table):
+        merged = scd2.merge(spark.table(table), cards, clock, batch_id, close_missing=close_missing, order=order)
+    else:
+        merged = scd2.initial_versions(cards, clock, batch_id, order)
+    closed = F.col("is_current").eqNullSafe(F.lit(False))
+    append_batch(merged.filter(closed).withColumn(CLOSED_BY, F.lit(batch_id)), closed_path, CLOSED_BY)
+    bucket_by = (bucket_count, scd2.KEY) if bucket_count else None
+    return publish_version(merged.filter(~closed), base_path, batch_id, table=table, bucket_by=bucket_by)
+
+
+def dimension(spark: SparkSession, table: str, closed_path: str) -> DataFrame:
+    """All versions: those that are not closed and the log of closed ones."""
+    live = spark.table(table).select(*scd2.COLUMNS)
+    if not table_exists_at(spark, closed_path):
+        return live
+    return live.unionByName(spark.read.schema(live.schema).parquet(closed_path).select(*scd2.COLUMNS))

@@ -156,3 +156,22 @@ def test_bucketed_versions_give_the_same_rows_with_a_one_sided_shuffle(spark):
         assert plan.count("Exchange hashpartitioning") == 2, plan
         plain_plan = plan_of(S.merge(plain, S.normalize_cards(X.cards_snapshot_1(spark, SF_SMALL)), T3, "b3"), "simple")
         assert plain_plan.count("Exchange hashpartitioning") == 4, plain_plan
+
+
+def test_split_storage_appends_closed_versions_and_never_reads_them(spark):
+    from ledgerlake.plans.scd2_job import dimension, run_cards_scd2, run_cards_scd2_split
+    from ledgerlake.session import fresh_dir
+
+    base = fresh_dir(spark, "scd2_split_test")
+    batches = [[(1, "a"), (2, "b"), (None, "n")], [(1, "A"), (2, "b")], [(1, "x"), (2, "y"), (3, "z")]]
+    for i, data in enumerate(batches):
+        clock = f"2026-04-{23 + i} 00:00:00"
+        run_cards_scd2(spark, cards(spark, data), "ledgerlake_whole", f"{base}/whole", clock)
+        before = spark.table("ledgerlake_split") if i else None
+        run_cards_scd2_split(spark, cards(spark, data), "ledgerlake_split", f"{base}/live", f"{base}/closed", clock)
+        assert before is None or "closed" not in plan_of(S.merge(before, cards(spark, data), clock, "b"), "extended")
+    whole, split = spark.table("ledgerlake_whole"), dimension(spark, "ledgerlake_split", f"{base}/closed")
+    assert sorted(map(tuple, whole.collect()), key=repr) == sorted(map(tuple, split.select(*whole.columns).collect()), key=repr)
+    assert spark.table("ledgerlake_split").filter("not is_current").count() == 0
+    # running the last batch's log part again replaces it
+    assert spark.read.parquet(f"{base}/closed").groupBy("closed_by_batch").count().count() == 2
