@@ -13,10 +13,15 @@ Work flows in four steps, all of them Spark joins and aggregates:
 
 1. documents with equal sets become one class, named by its smallest id;
 2. classes that share a table key are candidates. Every class is first
-   tested against the smallest class it shares a key with; the confirmed
-   links join most groups. All other pairs that share a key are tested too,
-   but only where their two ends are not yet in one component, so a group of
-   many near copies costs a number of tests near its size, not its square;
+   tested against a few hubs: for each of its keys, the class of the key that
+   shares keys with most others (in a group of copies, the one they were made
+   from). The confirmed links join most groups. All other pairs that share a
+   key are tested too, but only where their two ends are not yet in one
+   component, so a group of many near copies costs a number of tests near its
+   size, not its square. Shingles that stand in one class only, of all classes
+   in such pairs, are in no intersection: they bound the similarity of a class
+   with any other, exactly, and a copy with too many words of its own drops
+   out without a test;
 3. a test compares the two full sets (64-bit shingle hashes). Pairs whose sizes
    rule the similarity out are not tested, nor pairs whose minhashes (four bits
    of each are kept) differ in more places than six standard deviations above
@@ -45,10 +50,11 @@ _FIRST, _SECOND = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 _SINGLE, _OTHER = np.uint64(0x27D4EB2F165667C5), np.uint64(0x85EBCA77C2B2AE63)
 
 
-def shingle_sets(column) -> list[np.ndarray]:
-    """Per text the sorted distinct 64-bit hashes of its 2-word shingles."""
-    sets = []
-    for _, data, offsets in X.text_slices(column):
+def shingle_sets(column: pa.Array):
+    """Yield (first row, sets) for runs of whole texts; a set is the sorted
+    distinct 64-bit hashes of the 2-word shingles of a text."""
+    for at, data, offsets in X.text_slices(column):
+        sets = []
         starts, ends, first = X.word_spans(data, offsets)
         words = X.span_hashes(X.prefix_sums(data), starts, ends)
         pairs = X.mix(words[:-1] * _FIRST + words[1:] * _SECOND) if len(words) > 1 else words[:0]
@@ -57,7 +63,7 @@ def shingle_sets(column) -> list[np.ndarray]:
                 sets.append(np.unique(pairs[lo : hi - 1]))
             else:
                 sets.append(words[lo:hi] ^ _SINGLE)
-    return sets
+        yield at, sets
 
 
 def _sketcher(keys: int, rows: int, seed: int):
@@ -89,53 +95,28 @@ def _sketcher(keys: int, rows: int, seed: int):
         return sizes, digest.view(np.int64), out.view(np.int64), bits.view(np.int64)
 
     def sketch(batches):
+        lists = lambda m: pa.ListArray.from_arrays(np.arange(len(m) + 1, dtype=np.int32) * m.shape[1], np.ascontiguousarray(m).ravel())
         for batch in batches:
-            sets = shingle_sets(batch.column(1))
-            part = []
-            lo = 0
-            while lo < len(sets):  # groups of about a quarter million shingles
-                hi, total = lo, 0
-                while hi < len(sets) and (hi == lo or total + len(sets[hi]) <= 1 << 18):
-                    total += len(sets[hi])
-                    hi += 1
-                part.append(group(sets[lo:hi]))
-                lo = hi
-            if not part:
-                continue
-            sizes, digest, out, bits = (np.concatenate(x) for x in zip(*part))
-            lists = lambda m: pa.ListArray.from_arrays(np.arange(len(m) + 1, dtype=np.int32) * m.shape[1], m.ravel())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes), pa.array(digest[:, 0]), pa.array(digest[:, 1]),
-                 lists(np.ascontiguousarray(out[:, :keys])), lists(np.ascontiguousarray(out[:, keys:])), lists(bits)],
-                names=["doc_id", "n_shingles", "d1", "d2", "a", "b", "bits"],
-            )
+            for at, sets in shingle_sets(batch.column(1)):
+                sizes, digest, out, bits = group(sets)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(at, len(sets)), pa.array(sizes), pa.array(digest[:, 0]), pa.array(digest[:, 1]), lists(out[:, :keys]), lists(out[:, keys:]), lists(bits)],
+                    names=["doc_id", "n_shingles", "d1", "d2", "a", "b", "bits"],
+                )
+            del batch
+        X.release_memory()
 
     return sketch
 
 
-def _set_bytes(batches):
+def _set_rows(batches):
     for batch in batches:
-        sets = shingle_sets(batch.column(1))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "shingles"]
-        )
-
-
-def _confirmer(percent: int):
-    def confirm(batches):
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                p = np.frombuffer(x.as_buffer(), np.uint64)
-                q = np.frombuffer(y.as_buffer(), np.uint64)
-                if len(p) > len(q):
-                    p, q = q, p
-                at = np.searchsorted(q, p)
-                common = int(np.count_nonzero(q[np.minimum(at, len(q) - 1)] == p))
-                keep.append(100 * common >= percent * (len(p) + len(q) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
-
-    return confirm
+        for at, sets in shingle_sets(batch.column(1)):
+            ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(ends, np.concatenate(sets).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(sets)), lists], names=["node", "shingles"])
+        del batch
+    X.release_memory()
 
 
 def _possible(percent: int, minhashes: int) -> str:
@@ -164,13 +145,14 @@ def confirmed_links(docs: DataFrame, allowed: DataFrame, percent: int) -> DataFr
     allowed = cut(allowed, "pairs")
     nodes = cut(allowed.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), "pair_nodes")
     texts = docs.select("doc_id", "text").join(nodes, "doc_id", "left_semi")
-    sets = cut(texts.mapInArrow(_set_bytes, "node long, shingles binary"), "pair_sets")
+    sets = cut(texts.mapInArrow(_set_rows, "node long, shingles array<long>"), "pair_sets")
     first = allowed.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("s_u")), "u")
     both = first.join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("s_v")), "v")
-    return both.select("u", "v", "s_u", "s_v").mapInArrow(_confirmer(percent), "u long, v long").distinct()
+    common = both.select("u", "v", F.size("s_u").alias("n_u"), F.size("s_v").alias("n_v"), F.size(F.array_intersect("s_u", "s_v")).alias("common"))
+    return common.filter(f"100L * common >= {percent} * (n_u + n_v - common)").select("u", "v").distinct()
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, keys: int = 16, rows: int = 3, seed: int = 10) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 80, keys: int = 16, rows: int = 3, seed: int = 10, hubs_tested: int = 4) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
     ``docs`` needs ``doc_id`` and ``text``. See the module text.
@@ -185,8 +167,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, keys: int = 16, rows: in
     named = classes.select(F.col("node").alias("doc_id"), "d1", "d2", "n_shingles")
     reps = full.join(named, ["doc_id", "d1", "d2", "n_shingles"], "left_semi")
 
-    # All table keys of all classes; of those that more than one class has,
-    # the members, each with the smallest member.
+    # All table keys of all classes; of those that more than one class has, the members.
     tables = (
         reps.select("doc_id", F.explode("a").alias("a"), "b")
         .select("doc_id", "a", F.explode("b").alias("b"))
@@ -195,8 +176,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, keys: int = 16, rows: in
     shared = cut(_members(tables), "shared_keys")
     facts = reps.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "bits")
     possible = F.expr(_possible(percent, 2 * keys * rows))
-    parents = shared.groupBy("node").agg(F.min("least_node").alias("v")).filter("v <> node").select(F.col("node").alias("u"), "v")
-    first = parents.join(_as(facts, "u"), "u").join(_as(facts, "v"), "v").filter(possible).select("u", "v").distinct()
+    hubs = _hub_pairs(shared, hubs_tested)
+    first = hubs.join(_as(facts, "u"), "u").join(_as(facts, "v"), "v").filter(possible).select("u", "v").distinct()
     links = cut(confirmed_links(docs, first, percent), "confirmed")
     labels = cut(components(links), "labels")
 
@@ -205,9 +186,16 @@ def near_duplicates(docs: DataFrame, percent: int = 80, keys: int = 16, rows: in
     open_keys = label.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo <> hi").select("key")
     members = label.join(open_keys, "key", "left_semi").join(facts, "node")
     members = cut(members.select("key", "part", "node", "n", "bits"), "open_members")
-    u, v = (members.select(F.col("key").alias(f"key_{e}"), F.col("part").alias(f"part_{e}"), F.col("node").alias(e), F.col("n").alias(f"n_{e}"), F.col("bits").alias(f"bits_{e}")) for e in "uv")
-    rest = u.join(v, F.expr("key_u = key_v and u > v and part_u <> part_v") & possible).select("u", "v").distinct()
-    rest = rest.join(parents, ["u", "v"], "left_anti")
+    shareable = (F.col("n") - F.coalesce("own", F.lit(0))).alias("common")
+    several = facts.groupBy("node").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1")  # ids with several texts get no bound
+    own = _own_shingles(docs, members.select("node").distinct()).join(several, "node", "left_anti")
+    members = members.join(own, "node", "left").select("key", "part", "node", "n", "bits", shareable)
+    members = cut(members.filter(f"100L * common >= {percent} * n"), "able_members")
+    u, v = (members.select(*[F.col(c).alias(f"{c}_{e}") for c in ("key", "part", "n", "bits", "common")], F.col("node").alias(e)) for e in "uv")
+    able = F.expr(f"100L * least(common_u, common_v) >= {percent} * (n_u + n_v - least(common_u, common_v))")
+    rest = u.join(v, F.expr("key_u = key_v and u > v and part_u <> part_v") & able & possible).select("u", "v").distinct()
+    tested = hubs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    rest = rest.join(tested, ["u", "v"], "left_anti")
     more = cut(confirmed_links(docs, rest, percent), "confirmed_more")
     if more.take(1):
         labels = components(links.unionByName(more))
@@ -220,18 +208,32 @@ def near_duplicates(docs: DataFrame, percent: int = 80, keys: int = 16, rows: in
 
 
 def _members(tables: DataFrame) -> DataFrame:
-    """Rows of keys that several classes have, with the smallest class of the key."""
+    """Rows of the keys that several classes have."""
     order = Window.partitionBy("key").orderBy("node")
-    sofar = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    seen = tables.select(
-        "key", "node",
-        F.min("node").over(sofar).alias("least_node"),
-        F.lag("node").over(order).alias("before"),
-        F.lead("node").over(order).alias("after"),
-    )
-    return seen.filter(F.coalesce(F.col("before") != F.col("node"), F.lit(False)) | F.coalesce(F.col("after") != F.col("node"), F.lit(False))).select(
-        "key", "node", "least_node"
-    )
+    seen = tables.select("key", "node", F.lag("node").over(order).alias("before"), F.lead("node").over(order).alias("after"))
+    differs = lambda c: F.coalesce(F.col(c) != F.col("node"), F.lit(False))
+    return seen.filter(differs("before") | differs("after")).select("key", "node")
+
+
+def _own_shingles(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, own): how many shingles of a class no other of ``nodes`` has."""
+    nodes = cut(nodes.select(F.col("node").alias("doc_id")), "open_nodes")
+    sets = docs.select("doc_id", "text").join(nodes, "doc_id", "left_semi").mapInArrow(_set_rows, "node long, shingles array<long>")
+    each = sets.select("node", F.explode("shingles").alias("shingle"))
+    single = each.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("last")).filter("node = last")
+    return single.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+
+
+def _hub_pairs(shared: DataFrame, most: int) -> DataFrame:
+    """Pairs (u, v) of each class and up to ``most`` of the hubs of its keys (other pairs follow later)."""
+    counts = shared.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    weights = shared.join(counts, "key").groupBy("node").agg(F.sum("n").alias("weight"))
+    heaviest = F.max(F.struct("weight", (-F.col("node")).alias("node")))
+    hubs = cut(shared.join(weights, "node").groupBy("key").agg(heaviest.alias("hub")).select("key", "hub.weight", (-F.col("hub.node")).alias("v")), "hubs")
+    met = shared.select("key", F.col("node").alias("u")).join(hubs, "key").filter("u <> v")
+    met = met.groupBy("u", "v").agg(F.max("weight").alias("weight"))
+    rank = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("weight"), "v"))
+    return cut(met.withColumn("rank", rank).filter(F.col("rank") <= most).select("u", "v"), "hub_pairs")
 
 
 def deduplicated(docs: DataFrame, **options) -> DataFrame:

@@ -90,3 +90,14 @@ def test_sets_are_taken_from_whole_long_texts():
     text = " ".join(f"w{k}" for k in range(300_000))
     ((_, (found,)),) = shingle_sets(pa.array([text]))
     assert len(found) == 299_999
+
+
+def test_ids_with_several_texts_link_by_any_of_them(spark):
+    base = [f"w{k}" for k in range(60)]
+    text = lambda words: " ".join(words)
+    rows = [(1, text(base)), (1, text(f"x{k}" for k in range(70))), (2, text(base[:50] + [f"y{k}" for k in range(4)])), (3, text([f"x{k}" for k in range(62)] + ["z"])), (4, text(base[:58]))]
+    got = {(r["doc_id"], r["component_id"]) for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (4, 1)} or got == {(1, 1), (2, 2), (3, 1), (4, 1)}
+    sets = [shingles(t) for _, t in rows]
+    linked = lambda a, b: 100 * len(a & b) >= 80 * len(a | b)
+    assert ((2, 1) in got) == (linked(sets[0], sets[2]) or linked(sets[4], sets[2]))
