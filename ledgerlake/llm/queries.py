@@ -32,7 +32,7 @@ def register(fn):
 
 @register
 def op10_tensored_minhash(spark, sf_dir):
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), words=2)
 
 
 @register

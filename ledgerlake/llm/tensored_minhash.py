@@ -1,7 +1,8 @@
 """Near-duplicate documents by MinHash with tensored banding.
 
-A document's set holds its distinct 2-word shingles (lower-cased A-Z, words
-split at ASCII white space). Two collections of ``keys`` short keys, each over
+A document's set holds its distinct shingles of ``words`` words (lower-cased
+A-Z, words split at ASCII white space): two by the contract of op10, five in
+:func:`deduplicated`. Two collections of ``keys`` short keys, each over
 ``rows`` minhashes, are made per document; every pair (one key from either
 collection) is a table key. So 2 * keys * rows minhashes serve keys ** 2
 tables of 2 * rows minhashes each: the tables cost the square of what is
@@ -30,8 +31,8 @@ Work flows in four steps, all of them Spark joins and aggregates:
 4. components of the confirmed links; the smallest id of each is kept.
 
 Defined cases: an empty or NULL text (or one of white space only) has an empty
-set, is linked with nothing and is kept; a text of one word has one shingle;
-rows that share a ``doc_id`` count as one document for links and each keeps
+set, is linked with nothing and is kept; a text of fewer than ``words`` words
+has one shingle, of all its words; rows that share a ``doc_id`` count as one document for links and each keeps
 its own row; rows with a NULL ``doc_id`` are left out.
 """
 
@@ -46,27 +47,41 @@ from ledgerlake.llm import text_np as X
 from ledgerlake.llm.common import cut
 from ledgerlake.llm.components import components
 
-_FIRST, _SECOND = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
+_PLACES = (np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))  # factors of the first words of a shingle
 _SINGLE, _OTHER = np.uint64(0x27D4EB2F165667C5), np.uint64(0x85EBCA77C2B2AE63)
 
 
-def shingle_sets(column: pa.Array):
+def _factors(words: int) -> tuple[np.uint64, ...]:
+    """Odd factors, one for each place in a shingle."""
+    return (*_PLACES, *(X.mix(np.arange(3, words + 1, dtype=np.uint64)) | np.uint64(1)))[:words]
+
+
+def shingle_sets(column: pa.Array, words: int = 2):
     """Yield (first row, sets) for runs of whole texts; a set is the sorted
-    distinct 64-bit hashes of the 2-word shingles of a text."""
+    distinct 64-bit hashes of the shingles of ``words`` words of a text."""
+    factors = _factors(words)
     for at, data, offsets in X.text_slices(column):
         sets = []
         starts, ends, first = X.word_spans(data, offsets)
-        words = X.span_hashes(X.prefix_sums(data), starts, ends)
-        pairs = X.mix(words[:-1] * _FIRST + words[1:] * _SECOND) if len(words) > 1 else words[:0]
+        each = X.span_hashes(X.prefix_sums(data), starts, ends)
+        runs = max(len(each) - words + 1, 0)
+        whole = np.zeros(runs, np.uint64)
+        for k, factor in enumerate(factors):
+            whole += each[k : k + runs] * factor
+        whole = X.mix(whole)
         for lo, hi in zip(first[:-1].tolist(), first[1:].tolist()):
-            if hi - lo > 1:
-                sets.append(np.unique(pairs[lo : hi - 1]))
+            n = hi - lo
+            if n >= words and n > 1:
+                sets.append(np.unique(whole[lo : hi - words + 1]))
+            elif n > 1:
+                short = (each[lo:hi] * np.array(factors[:n])).sum(keepdims=True, dtype=np.uint64)
+                sets.append(X.mix(short) ^ _SINGLE * np.array([n], np.uint64))
             else:
-                sets.append(words[lo:hi] ^ _SINGLE)
+                sets.append(each[lo:hi] ^ _SINGLE)
         yield at, sets
 
 
-def _sketcher(keys: int, rows: int, seed: int):
+def _sketcher(keys: int, rows: int, seed: int, words: int):
     """Function of Arrow batches: size, digest of the set, both key collections."""
     odd = np.random.default_rng(seed).integers(1, 1 << 63, 2 * keys * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     salt = X.mix(np.arange(1, 2 * keys + 1, dtype=np.uint64))
@@ -97,7 +112,7 @@ def _sketcher(keys: int, rows: int, seed: int):
     def sketch(batches):
         lists = lambda m: pa.ListArray.from_arrays(np.arange(len(m) + 1, dtype=np.int32) * m.shape[1], np.ascontiguousarray(m).ravel())
         for batch in batches:
-            for at, sets in shingle_sets(batch.column(1)):
+            for at, sets in shingle_sets(batch.column(1), words):
                 sizes, digest, out, bits = group(sets)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, len(sets)), pa.array(sizes), pa.array(digest[:, 0]), pa.array(digest[:, 1]), lists(out[:, :keys]), lists(out[:, keys:]), lists(bits)],
@@ -109,14 +124,17 @@ def _sketcher(keys: int, rows: int, seed: int):
     return sketch
 
 
-def _set_rows(batches):
-    for batch in batches:
-        for at, sets in shingle_sets(batch.column(1)):
-            ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(ends, np.concatenate(sets).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(sets)), lists], names=["node", "shingles"])
-        del batch
-    X.release_memory()
+def _set_rows(words: int):
+    def rows(batches):
+        for batch in batches:
+            for at, sets in shingle_sets(batch.column(1), words):
+                ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(ends, np.concatenate(sets).view(np.int64))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(sets)), lists], names=["node", "shingles"])
+            del batch
+        X.release_memory()
+
+    return rows
 
 
 def _possible(percent: int, minhashes: int) -> str:
@@ -135,7 +153,7 @@ def _as(facts: DataFrame, end: str) -> DataFrame:
     return facts.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("bits").alias(f"bits_{end}"))
 
 
-def confirmed_links(docs: DataFrame, allowed: DataFrame, percent: int) -> DataFrame:
+def confirmed_links(docs: DataFrame, allowed: DataFrame, percent: int, words: int = 2) -> DataFrame:
     """The pairs (u, v) whose full sets are similar enough.
 
     ``docs``: doc_id, text. Only texts of candidates are turned into sets. The
@@ -145,21 +163,21 @@ def confirmed_links(docs: DataFrame, allowed: DataFrame, percent: int) -> DataFr
     allowed = cut(allowed, "pairs")
     nodes = cut(allowed.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), "pair_nodes")
     texts = docs.select("doc_id", "text").join(nodes, "doc_id", "left_semi")
-    sets = cut(texts.mapInArrow(_set_rows, "node long, shingles array<long>"), "pair_sets")
+    sets = cut(texts.mapInArrow(_set_rows(words), "node long, shingles array<long>"), "pair_sets")
     first = allowed.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("s_u")), "u")
     both = first.join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("s_v")), "v")
     common = both.select("u", "v", F.size("s_u").alias("n_u"), F.size("s_v").alias("n_v"), F.size(F.array_intersect("s_u", "s_v")).alias("common"))
     return common.filter(f"100L * common >= {percent} * (n_u + n_v - common)").select("u", "v").distinct()
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, keys: int = 16, rows: int = 3, seed: int = 10, hubs_tested: int = 4) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 80, keys: int = 16, rows: int = 3, seed: int = 10, hubs_tested: int = 4, words: int = 2) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
     ``docs`` needs ``doc_id`` and ``text``. See the module text.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null")
     sketches = cut(
-        docs.mapInArrow(_sketcher(keys, rows, seed), "doc_id long, n_shingles long, d1 long, d2 long, a array<long>, b array<long>, bits array<long>"),
+        docs.mapInArrow(_sketcher(keys, rows, seed, words), "doc_id long, n_shingles long, d1 long, d2 long, a array<long>, b array<long>, bits array<long>"),
         "sketches",
     )
     full = sketches.filter("n_shingles > 0")
@@ -178,7 +196,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, keys: int = 16, rows: in
     possible = F.expr(_possible(percent, 2 * keys * rows))
     hubs = _hub_pairs(shared, hubs_tested)
     first = hubs.join(_as(facts, "u"), "u").join(_as(facts, "v"), "v").filter(possible).select("u", "v").distinct()
-    links = cut(confirmed_links(docs, first, percent), "confirmed")
+    links = cut(confirmed_links(docs, first, percent, words), "confirmed")
     labels = cut(components(links), "labels")
 
     # Pairs that share a key, have not been tested and lie in two components.
@@ -188,7 +206,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, keys: int = 16, rows: in
     members = cut(members.select("key", "part", "node", "n", "bits"), "open_members")
     shareable = (F.col("n") - F.coalesce("own", F.lit(0))).alias("common")
     several = facts.groupBy("node").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1")  # ids with several texts get no bound
-    own = _own_shingles(docs, members.select("node").distinct()).join(several, "node", "left_anti")
+    own = _own_shingles(docs, members.select("node").distinct(), words).join(several, "node", "left_anti")
     members = members.join(own, "node", "left").select("key", "part", "node", "n", "bits", shareable)
     members = cut(members.filter(f"100L * common >= {percent} * n"), "able_members")
     u, v = (members.select(*[F.col(c).alias(f"{c}_{e}") for c in ("key", "part", "n", "bits", "common")], F.col("node").alias(e)) for e in "uv")
@@ -196,7 +214,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, keys: int = 16, rows: in
     rest = u.join(v, F.expr("key_u = key_v and u > v and part_u <> part_v") & able & possible).select("u", "v").distinct()
     tested = hubs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     rest = rest.join(tested, ["u", "v"], "left_anti")
-    more = cut(confirmed_links(docs, rest, percent), "confirmed_more")
+    more = cut(confirmed_links(docs, rest, percent, words), "confirmed_more")
     if more.take(1):
         labels = components(links.unionByName(more))
 
@@ -215,10 +233,10 @@ def _members(tables: DataFrame) -> DataFrame:
     return seen.filter(differs("before") | differs("after")).select("key", "node")
 
 
-def _own_shingles(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _own_shingles(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     """(node, own): how many shingles of a class no other of ``nodes`` has."""
     nodes = cut(nodes.select(F.col("node").alias("doc_id")), "open_nodes")
-    sets = docs.select("doc_id", "text").join(nodes, "doc_id", "left_semi").mapInArrow(_set_rows, "node long, shingles array<long>")
+    sets = docs.select("doc_id", "text").join(nodes, "doc_id", "left_semi").mapInArrow(_set_rows(words), "node long, shingles array<long>")
     each = sets.select("node", F.explode("shingles").alias("shingle"))
     single = each.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("last")).filter("node = last")
     return single.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
@@ -236,15 +254,16 @@ def _hub_pairs(shared: DataFrame, most: int) -> DataFrame:
     return cut(met.withColumn("rank", rank).filter(F.col("rank") <= most).select("u", "v"), "hub_pairs")
 
 
-def deduplicated(docs: DataFrame, **options) -> DataFrame:
+def deduplicated(docs: DataFrame, words: int = 5, **options) -> DataFrame:
     """``docs`` with one document of each component of near duplicates, all columns.
 
-    Of rows that repeat the kept id, the one with the smallest text stays.
+    Near duplicates share 80 % of their shingles of ``words`` words (``percent``
+    in ``options``). Of rows that repeat the kept id, the one with the smallest text stays.
     Only ids to drop, and ids that repeat, are joined to the texts: Spark
     broadcasts them if they are few.
     """
     docs = docs.filter("doc_id is not null")
-    found = cut(near_duplicates(docs, **options).select("doc_id", "kept"), "near_duplicates")
+    found = cut(near_duplicates(docs, words=words, **options).select("doc_id", "kept"), "near_duplicates")
     long_id = F.col("doc_id").cast("long")
     drop = cut(found.filter("not kept").select(F.col("doc_id").alias("_drop")).distinct(), "dropped")
     again = cut(found.filter("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("doc_id").alias("_again")), "repeated")

@@ -101,3 +101,26 @@ def test_ids_with_several_texts_link_by_any_of_them(spark):
     sets = [shingles(t) for _, t in rows]
     linked = lambda a, b: 100 * len(a & b) >= 80 * len(a | b)
     assert ((2, 1) in got) == (linked(sets[0], sets[2]) or linked(sets[4], sets[2]))
+
+
+def five_word_sets(text):
+    words = re.findall("[^\x20\x09-\x0d]+", (text or "").translate(LOWER))
+    return frozenset(tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+def test_stage_links_on_five_words(spark, monkeypatch):
+    import corpus_pipeline as C
+
+    base = [f"w{k}" for k in range(100)]
+    apart = list(base)
+    for k in (20, 40, 60, 80):  # above 0.8 on 2 words (91 of 107), below on 5 (76 of 116)
+        apart[k] = f"x{k}"
+    close = base[:99] + ["y"]
+    rows = [(1, " ".join(base)), (2, " ".join(apart)), (3, " ".join(close)), (4, "a b c"), (5, "A B\nC"), (6, "a b d"), (7, "a b c d")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r["component_id"] for r in sorted(near_duplicates(df, words=2).collect())][:3] == [1, 1, 1]
+    assert sorted(r["doc_id"] for r in C.near_dedup(spark, df, "").collect()) == [1, 2, 4, 6, 7]
+    monkeypatch.setattr(__import__("sys").modules[__name__], "shingles", five_word_sets)
+    some = corpus(3, 40)
+    got = sorted(tuple(r) for r in near_duplicates(spark.createDataFrame(some, "doc_id long, text string"), words=5).collect())
+    assert got == brute(some)
