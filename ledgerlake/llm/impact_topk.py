@@ -17,6 +17,12 @@ when the vectors not proven out are few enough to be rescored, or when the
 segments are used up; all of those vectors are then rescored with the integer
 components, so the result is exact whatever the data is.
 
+Where a block or its queries hold a component of more than ``LEVELS`` steps
+(an un-normalised row), no posting lists are made of that block: all products
+are taken as doubles, rows that their rounding bound proves out are dropped,
+and the others are rescored with integers of any size. Integer components are
+carried as doubles, which hold them exactly.
+
 On Spark: blocks of the index and of the queries meet pair by pair (a stated
 query set against all rows, in blocks); each pair returns at most k rows a
 query, and the k best per query are taken with a partial aggregate.
@@ -24,13 +30,16 @@ query, and the k best per query are taken with a partial aggregate.
 Defined cases: vectors that are NULL or empty, hold a NULL, NaN or infinite
 component, or lack an id take no part; vectors of unequal length count as
 padded with zeros; ties go to the smaller id; ``query_id`` is no candidate of
-its own, in whatever row it stands; fewer candidates than k give all. A
+its own, in whatever row it stands; fewer candidates than k give all; a score
+among the k best that a long cannot hold is an error, as in the SQL. A
 repeated row is a candidate for each time it occurs, except that a query asked
 twice is answered once.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -39,11 +48,15 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.common import cut
 
 
+LEVELS = 1 << 16
+_LONG, _DECIMAL = (1 << 63) - 1, 10**38 - 1
+
+
 def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
     lists = column.combine_chunks()
     lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
     sizes = np.diff(lists.offsets.to_numpy())
-    out = np.zeros((len(lists), width), np.int64)
+    out = np.zeros((len(lists), width))
     rows = np.repeat(np.arange(len(lists)), sizes)
     out[rows, np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = lists.flatten().to_numpy()
     return out
@@ -109,6 +122,31 @@ class ImpactIndex:
         return found
 
 
+def _exact_scores(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products of integers that are held as doubles, as Python integers."""
+    whole = [int(x) for x in query.tolist()]
+    out = np.empty(len(vectors), object)
+    out[:] = [sum(int(x) * y for x, y in zip(row, whole)) for row in vectors.tolist()]
+    return out
+
+
+def _wide_top(vectors: np.ndarray, queries: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int):
+    """What :meth:`ImpactIndex.top` gives, for components of any size."""
+    found = []
+    for query, query_id in zip(queries, own):
+        rows = np.flatnonzero(ids != query_id)
+        if len(rows) > k:
+            with np.errstate(over="ignore", invalid="ignore"):
+                score, size = vectors[rows] @ query, np.abs(vectors[rows]) @ np.abs(query)
+                error = size * (len(query) + 4) * 2.0**-52
+                least = np.nan_to_num(score - error, nan=-np.inf, posinf=np.inf, neginf=-np.inf)
+                rows = rows[~(score + error < np.partition(least, len(rows) - k)[len(rows) - k])]
+        score = _exact_scores(vectors[rows], query)
+        best = sorted(range(len(rows)), key=lambda i: (-score[i], ids[rows[i]]))[:k]  # noqa: B023
+        found.append((ids[rows[best]], score[best]))
+    return found
+
+
 def _pair(k: int, step: int, few: int):
     def best(block: pa.Table, asked: pa.Table) -> pa.Table:
         out = {"query_id": [], "vec_id": [], "score": []}
@@ -116,26 +154,33 @@ def _pair(k: int, step: int, few: int):
             width = max(int(np.diff(t.column("v").combine_chunks().offsets.to_numpy()).max()) for t in (block, asked))
             vectors, queries = _matrix(block.column("v"), width), _matrix(asked.column("v"), width)
             ids, query_ids = block.column("id").to_numpy(), asked.column("id").to_numpy()
-            index = ImpactIndex(vectors, step)
+            wide = max(np.abs(vectors).max(), np.abs(queries).max()) >= LEVELS * step
+            if not wide:
+                vectors, queries = vectors.astype(np.int64), queries.astype(np.int64)
+                index = ImpactIndex(vectors, step)
             for lo in range(0, len(queries), 128):
-                own = query_ids[lo : lo + 128]
-                for query_id, (found, score) in zip(own, index.top(queries[lo : lo + 128], ids, own, k, few)):
+                own, some = query_ids[lo : lo + 128], queries[lo : lo + 128]
+                top = _wide_top(vectors, some, ids, own, k) if wide else index.top(some, ids, own, k, few)
+                for query_id, (found, score) in zip(own, top):
                     out["query_id"].append(np.full(len(found), query_id))
                     out["vec_id"].append(found)
                     out["score"].append(score)
-        whole = {c: pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64()) for c, x in out.items()}
-        return pa.table(whole)
+        whole = {c: np.concatenate(x) if x else np.zeros(0, np.int64) for c, x in out.items()}
+        score = [Decimal(max(-_DECIMAL, min(_DECIMAL, int(x)))) for x in whole["score"]]  # what is cut here fits no long
+        ids_out = {c: pa.array(whole[c].astype(np.int64), pa.int64()) for c in ("query_id", "vec_id")}
+        return pa.table({**ids_out, "score": pa.array(score, pa.decimal128(38, 0))})
 
     return best
 
 
 def integer_vectors(vectors: DataFrame, id_column: str, vector_column: str, scale: int) -> DataFrame:
-    """(id, v): valid vectors as arrays of floor(scale * x)."""
+    """(id, v): valid vectors as arrays of floor(scale * x), which are doubles."""
     v = F.col(vector_column).cast("array<double>")
-    bound = float(1 << 40)  # far beyond any embedding; keeps integers exact
-    good = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < bound))
+    good = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = vectors.filter(F.col(id_column).isNotNull() & v.isNotNull() & (F.size(v) > 0)).filter(good)
-    return rows.select(F.col(id_column).cast("long").alias("id"), F.transform(v, lambda x: F.floor(x * F.lit(float(scale)))).alias("v"))
+    exact = float(1 << 53)  # doubles from here on are integers
+    whole = lambda y: F.when(F.abs(y) < exact, F.floor(y).cast("double")).otherwise(y)
+    return rows.select(F.col(id_column).cast("long").alias("id"), F.transform(v, lambda x: whole(x * F.lit(float(scale)))).alias("v"))
 
 
 def top_k(
@@ -160,6 +205,9 @@ def top_k(
     index = rows.select("id", "v", place(1, blocks).alias("block"), each(groups).alias("asked"))
     queries = asked.select("id", "v", each(blocks).alias("block"), place(2, groups).alias("asked"))
     met = index.groupBy("block", "asked").cogroup(queries.groupBy("block", "asked"))
-    found = met.applyInArrow(_pair(k, step, few), "query_id long, vec_id long, score long")
+    found = met.applyInArrow(_pair(k, step, few), "query_id long, vec_id long, score decimal(38,0)")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id")))
-    return found.select("query_id", rank.alias("rank"), "vec_id", "score").filter(F.col("rank") <= k)
+    ranked = found.select("query_id", rank.alias("rank"), "vec_id", "score").filter(F.col("rank") <= k)
+    fits = F.abs("score") <= F.lit(Decimal(_LONG))
+    score = F.when(fits, F.col("score").cast("long")).otherwise(F.raise_error(F.lit("a score does not fit a long")).cast("long"))
+    return ranked.select("query_id", "rank", "vec_id", score.alias("score"))

@@ -77,3 +77,19 @@ def test_components_of_paths_cycles_and_a_hub(spark):
     got = {r["node"]: r["component"] for r in components(df).collect()}
     assert got == {**dict.fromkeys(range(41), 0), **dict.fromkeys((100, 101, 102), 100), **dict.fromkeys(range(500, 560), 500)}
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def test_top_k_with_rows_of_any_finite_size(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(0, 0.2, 8).tolist()) for i in range(200)]
+    rows[3] = (3, [1e7] + rows[3][1][1:])
+    rows[50] = (50, [-1e6] * 4 + rows[50][1][4:])  # a query
+    rows[60] = (60, rows[60][1][:7] + [1e13])
+    rows[70] = (70, [1e13, -1e13] * 4)
+    rows.append((250, [2.0**60] + [0.0] * 7))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for block_rows in (8192, 20):  # all in one block, and most blocks without such a row
+        got = sorted(tuple(r) for r in top_k(df.filter("vec_id < 250"), F.col("id") % 50 == 0, block_rows=block_rows, few=8).collect())
+        assert got == brute_top(rows[:-1], 5)
+    with pytest.raises(Exception, match="does not fit a long"):
+        top_k(df, F.col("id") % 50 == 0).collect()
