@@ -6,9 +6,11 @@ minimise the padding when every document is padded to the smallest bucket
 length that holds it. Inside a bucket, batches are formed of as many documents
 as the token budget holds at that length, one at least.
 
-The histogram has a proven bound: lengths are rounded up to ``digits``
-significant binary digits, so there are less than 2 ** digits * 64 of them
-whatever the data is (a length below 2 ** digits is exact). Batches are
+The histogram holds every length as it is, so the choice is optimal. Its size
+is bounded by the data: n distinct lengths need about n * n / 2 tokens, so
+5e9 words have 1e5 of them at most. With ``digits``, lengths are rounded up to
+that many significant binary digits, less than 2 ** digits * 64 of them
+whatever ``length`` is, and padding is least for the rounded lengths. Batches are
 numbered inside (bucket, shard), a shard being a hash share of a bucket of
 about ``shard_docs`` documents; so a bucket that holds a third of all
 documents is spread, and only the last batch of a shard can be short.
@@ -65,7 +67,7 @@ def optimal_bounds(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> lis
     return [int(lengths[j])] + bounds[::-1]
 
 
-def pack(docs: DataFrame, buckets: int = 16, token_budget: int = 16384, digits: int = 9, shard_docs: int = 20000, length: Column | None = None) -> DataFrame:
+def pack(docs: DataFrame, buckets: int = 16, token_budget: int = 16384, digits: int | None = None, shard_docs: int = 20000, length: Column | None = None) -> DataFrame:
     """One row per document: doc_id, n_tokens, bucket_length, batch_id, batch_docs, padding.
 
     ``docs``: doc_id and text, or whatever ``length`` needs (default: words).
@@ -74,9 +76,10 @@ def pack(docs: DataFrame, buckets: int = 16, token_budget: int = 16384, digits:
     """
     length = word_count(F.col("text").cast("string")) if length is None else length
     rows = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), length.cast("long").alias("n_tokens"))
-    over = f"greatest(length(bin(n_tokens)) - {digits}, 0)"
-    unit = f"shiftleft(1L, {over})"
-    rounded = F.expr(f"((n_tokens + {unit} - 1) div {unit}) * {unit}")
+    rounded = F.col("n_tokens")
+    if digits is not None:
+        unit = f"shiftleft(1L, greatest(length(bin(n_tokens)) - {digits}, 0))"
+        rounded = F.expr(f"((n_tokens + {unit} - 1) div {unit}) * {unit}")
     histogram = rows.select(rounded.alias("length")).groupBy("length").agg(F.count(F.lit(1)).alias("n")).orderBy("length").collect()
     lengths, counts = (np.array([r[c] for r in histogram], np.int64) for c in ("length", "n"))
     bounds = optimal_bounds(lengths, counts, buckets)

@@ -267,3 +267,13 @@ def test_wrong_dictionary_is_refused(spark):
     spark.read.parquet(f"{path}/dictionary").write.parquet(f"{other}/dictionary")
     with pytest.raises(Exception, match="dictionary"):
         I.read_store(spark, other).collect()
+
+
+def test_packing_is_optimal_for_long_texts(spark):
+    lengths = [3, 700, 1025, 1027, 2049, 5001, 20020]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(lengths)], "doc_id long, n long")
+    for buckets in (1, 3, 16):
+        out = L.pack(df, buckets=buckets, length=F.col("n")).collect()
+        choices = (c + (lengths[-1],) for k in range(min(buckets, len(lengths))) for c in itertools.combinations(lengths[:-1], k))
+        assert sum(r["padding"] for r in out) == min(padding(lengths, [1] * len(lengths), c) for c in choices)
+        assert {r["bucket_length"] for r in out} <= set(lengths)
