@@ -15,6 +15,7 @@ from ledgerlake.llm.impact_topk import top_k
 from ledgerlake.llm.length_buckets import pack
 from ledgerlake.llm.mil_quality import quality_scores
 from ledgerlake.llm.multiset_hash import edited_fingerprints
+from ledgerlake.llm.periodic_runs import periodic_runs, run_report
 from ledgerlake.llm.ppm_language import identify
 from ledgerlake.llm.pu_toxicity import toxicity_scores
 from ledgerlake.llm.sql import ORACLE  # noqa: F401  (read by the entry module)
@@ -90,3 +91,21 @@ def op7_id_store(spark, sf_dir):
     path = fresh_dir(spark, "id_store")
     write_store(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
     return read_store(spark, path)
+
+
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where the contract of op11 makes the end of some texts periodic."""
+    crc = F.crc32(F.col("doc_id").cast("string"))
+    words = F.when(crc % 10 == 0, F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    listed = docs.select("doc_id", "text", F.expr("crc32(string(doc_id)) div 10").alias("g"), words.alias("words"))
+    placed = listed.select("doc_id", "text", "g", "words", F.when(F.size("words") > 0, F.expr("int(g % size(words))")).alias("a"))
+    planted = F.expr(
+        """array_join(concat(slice(words, 1, a), transform(sequence(a, size(words) - 1),
+             i -> words[int(a + (i - a) % (1 + (size(words) - a) div (3 + g % 8)))])), ' ')"""
+    )
+    return placed.select("doc_id", F.when(F.col("a").isNotNull(), planted).otherwise(F.col("text")).alias("text"))
+
+
+@register
+def op11_periodic_runs(spark, sf_dir):
+    return run_report(periodic_runs(planted_periods(table(spark, sf_dir, "documents"))))

@@ -92,9 +92,55 @@ SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, w
 FROM w LEFT JOIN n USING (doc_id) JOIN comp ON comp.node = w.doc_id
 """
 
+RUNS = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents WHERE doc_id IS NOT NULL
+), bytes AS (
+  SELECT doc_id, unnest(string_split(CAST(doc_id AS VARCHAR), '')) AS c, generate_subscripts(string_split(CAST(doc_id AS VARCHAR), ''), 1) AS i FROM (SELECT DISTINCT doc_id FROM d)
+), key AS (
+  SELECT doc_id, list(ascii(c) ORDER BY i) AS b FROM bytes GROUP BY doc_id
+), entry AS (
+  SELECT n, list_reduce(list_prepend(CAST(n AS BIGINT), range(8)), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END) AS e FROM range(256) AS t(n)
+), tab AS (
+  SELECT list(CAST(e AS BIGINT) ORDER BY n) AS t FROM entry
+), h AS (
+  SELECT doc_id, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), [CAST(x AS BIGINT) FOR x IN b]),
+    lambda x, y: xor(x // 256, t[xor(x % 256, y) + 1])), 4294967295) AS h FROM key, tab
+), a AS (
+  SELECT doc_id, w, len(w) AS n, h, h // 10 AS g, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d JOIN h USING (doc_id)
+), p AS (
+  SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a
+), t AS (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN w[1:a] || [w[a + (i - a) % p + 1] FOR i IN range(a, n)] ELSE w END AS w FROM p
+), o AS (
+  SELECT doc_id, n, unnest(w) AS word, unnest(range(n)) AS i FROM t
+), pairs AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS q FROM o x JOIN o y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+), islands AS (
+  SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs
+), stretches AS (
+  SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM islands GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)
+), runs AS (
+  SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY ALL
+), best AS (
+  SELECT doc_id, count(*) AS n_runs, arg_max(struct_pack(s := start, l := length, p := period), struct_pack(l := length, s := -start, p := -period)) AS b,
+    sha256(string_agg(CAST(start AS BIGINT) || ',' || CAST(length AS BIGINT) || ',' || CAST(period AS BIGINT) || chr(10), '' ORDER BY start, period)) AS runs_sha256 FROM runs GROUP BY doc_id
+), edges AS (
+  SELECT doc_id, place, sum(step) AS step FROM (SELECT doc_id, start + period AS place, 1 AS step FROM runs UNION ALL SELECT doc_id, start + length, -1 FROM runs) GROUP BY ALL
+), covered AS (
+  SELECT o.doc_id, o.i, o.word, coalesce(sum(step) OVER (PARTITION BY o.doc_id ORDER BY o.i), 0) AS inside FROM o LEFT JOIN edges ON edges.doc_id = o.doc_id AND place = o.i
+), collapsed AS (
+  SELECT doc_id, sha256(string_agg(word, ' ' ORDER BY i)) AS collapsed_sha256 FROM covered WHERE inside = 0 GROUP BY doc_id
+)
+SELECT t.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(b.s AS BIGINT) AS start, CAST(b.l AS BIGINT) AS length, CAST(b.p AS BIGINT) AS period,
+  CAST(1000 * b.l // b.p AS BIGINT) AS exponent_milli, coalesce(runs_sha256, sha256('')) AS runs_sha256, coalesce(collapsed_sha256, sha256('')) AS collapsed_sha256
+FROM t LEFT JOIN best USING (doc_id) LEFT JOIN collapsed USING (doc_id)
+"""
+
 ORACLE = {
     "op1_impact_topk": TOP_K,
     "op3_warc_revisit": WARC,
     "op4_fair_mix": MIX,
     "op10_tensored_minhash": NEAR,
+    "op11_periodic_runs": RUNS,
 }
