@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.collocations import collocations
 from ledgerlake.llm.common import fold, table
 from ledgerlake.llm.fair_mix import mix_plan
 from ledgerlake.llm.id_store import read_store, write_store
@@ -19,6 +20,7 @@ from ledgerlake.llm.periodic_runs import periodic_runs, run_report
 from ledgerlake.llm.ppm_language import identify
 from ledgerlake.llm.pu_toxicity import toxicity_scores
 from ledgerlake.llm.sql import ORACLE  # noqa: F401  (read by the entry module)
+from ledgerlake.llm.substring_dedup import without_repeats
 from ledgerlake.llm.tensored_minhash import near_duplicates
 from ledgerlake.llm.warc_revisit import read_archives, write_archives
 from ledgerlake.session import fresh_dir
@@ -109,3 +111,14 @@ def planted_periods(docs: DataFrame) -> DataFrame:
 @register
 def op11_periodic_runs(spark, sf_dir):
     return run_report(periodic_runs(planted_periods(table(spark, sf_dir, "documents"))))
+
+
+@register
+def op13_sketch_substrings(spark, sf_dir):
+    found = without_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@register
+def op12_vertical_collocations(spark, sf_dir):
+    return collocations(table(spark, sf_dir, "documents"))

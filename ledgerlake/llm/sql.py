@@ -137,10 +137,66 @@ SELECT t.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(b.s AS BIGI
 FROM t LEFT JOIN best USING (doc_id) LEFT JOIN collapsed USING (doc_id)
 """
 
+SUBSTRINGS = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents WHERE doc_id IS NOT NULL
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i + 1:i + 50], ' ') AS words FROM (SELECT doc_id, w, unnest(range(len(w) - 49)) AS i FROM d WHERE len(w) >= 50)
+), repeated AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY words) AS first FROM windows) WHERE first < doc_id
+), o AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM d
+), last AS (
+  SELECT o.doc_id, o.i, o.word, max(r.i) OVER (PARTITION BY o.doc_id ORDER BY o.i) AS before FROM o LEFT JOIN repeated r ON r.doc_id = o.doc_id AND r.i = o.i
+), kept AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (i - before < 50) AS n_removed,
+    sha256(coalesce(string_agg(word, ' ' ORDER BY i) FILTER (before IS NULL OR i - before >= 50), '')) AS kept_sha256
+  FROM last GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(kept_sha256, sha256('')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+PHRASES = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), p AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d
+), grams AS (
+  SELECT lang, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS phrase FROM p, range(1, 5) AS s(k)
+), f AS (
+  SELECT lang, k, phrase, CAST(count(*) AS HUGEINT) AS f FROM grams GROUP BY ALL
+), total AS (
+  SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang
+), cand AS (
+  SELECT lang, k AS words, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND f >= 30
+), cuts AS (
+  SELECT c.lang, c.phrase, a, cut, x.f AS l, y.f AS r, (2000000 * a) // (x.f + y.f) AS score
+  FROM (SELECT *, unnest(range(1, words)) AS cut FROM cand) c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:cut], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[cut + 1:words], ' ')
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), spans AS (
+  SELECT lang, a AS longer, unnest([array_to_string(w[i:i + s - 1], ' ') FOR i IN range(1, words - s + 2)]) AS phrase
+  FROM (SELECT *, unnest(range(2, words)) AS s FROM cand WHERE words > 2)
+), around AS (
+  SELECT lang, phrase, max(longer) AS longer FROM spans GROUP BY ALL
+), ranked AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+  FROM best b LEFT JOIN around o ON o.lang = b.lang AND o.phrase = b.phrase WHERE longer IS NULL OR 100 * longer < 80 * a
+)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
 ORACLE = {
     "op1_impact_topk": TOP_K,
     "op3_warc_revisit": WARC,
     "op4_fair_mix": MIX,
     "op10_tensored_minhash": NEAR,
     "op11_periodic_runs": RUNS,
+    "op12_vertical_collocations": PHRASES,
+    "op13_sketch_substrings": SUBSTRINGS,
 }

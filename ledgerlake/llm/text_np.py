@@ -31,7 +31,12 @@ def _byte_values() -> np.ndarray:
     return values
 
 
+def _exact_values(seed: int) -> np.ndarray:
+    return np.random.default_rng(seed).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
 BYTE_VALUES = _byte_values()
+EXACT_VALUES = (_exact_values(50), _exact_values(51))  # two that tell A-Z from a-z
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -94,11 +99,11 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SP
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def prefix_sums(data: np.ndarray) -> np.ndarray:
+def prefix_sums(data: np.ndarray, values: np.ndarray = BYTE_VALUES) -> np.ndarray:
     """Polynomial prefix sums of the bytes; see :func:`span_hashes`."""
     up, _ = powers(len(data))
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(BYTE_VALUES[data] * up[: len(data)], dtype=np.uint64, out=sums[1:])
+    np.cumsum(values[data] * up[: len(data)], dtype=np.uint64, out=sums[1:])
     return sums
 
 
@@ -108,6 +113,21 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((sums[ends] - sums[starts]) * down[starts])
 
 
+def sequence_sums(hashes: np.ndarray) -> np.ndarray:
+    """Polynomial prefix sums of a sequence of word hashes."""
+    up, _ = powers(len(hashes))
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * up[: len(hashes)], dtype=np.uint64, out=sums[1:])
+    return sums
+
+
+def window_hashes(sums: np.ndarray, words: int) -> np.ndarray:
+    """64-bit hash of each stretch of ``words`` items of the sequence."""
+    runs = max(len(sums) - words, 0)
+    _, down = powers(len(sums) - 1)
+    return mix((sums[words:] - sums[:runs]) * down[:runs])
+
+
 def release_memory() -> None:
     """Give freed memory back to the machine: Spark keeps idle workers alive between stages."""
     pa.default_memory_pool().release_unused()
