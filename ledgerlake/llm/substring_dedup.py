@@ -12,10 +12,12 @@ judged on the input.
    have equal anchors, and neighbouring windows mostly share one, so a text
    adds about 2 / (words - anchor + 2) anchors a word, each once a text. A
    window in two documents has an anchor counted twice or more: none is lost.
-2. *Exact grouping* of the windows estimated repeated, by a 128-bit hash: the
-   smallest document of each. It is joined back to the windows. Windows with
-   more than a hundred-thousandth of all rows (at most 100,000 of them, by
-   counting) are joined by broadcast, so no group is one task.
+2. *Exact grouping* of the windows estimated repeated, by a 96-bit hash. They
+   are sorted over all tasks by hash and document, so the first of a group is
+   its smallest document and any other document's window is removed. A group
+   that lies across tasks (a passage of very many documents does) is split by
+   document between them: the few groups at the ends of tasks, two a task at
+   most, are compared with their first document in a second step.
 3. Each text meets the starts of its removed windows and is cut.
 
 The sketch is sized by the bytes of text up to 2 * 32 MB; beyond about 1e9
@@ -40,7 +42,6 @@ from ledgerlake.llm import text_np as X
 from ledgerlake.llm.common import cut
 
 ROWS = 2  # of the sketch
-_HOT_SHARE, _HOT_LEAST = 100_000, 10_000
 
 
 def _least_of(values: np.ndarray, width: int) -> np.ndarray:
@@ -101,7 +102,7 @@ def _finder(words: int, anchor: int, bits: int, held):
                 may = S.passes(bitmap, anchors, bits)
                 row, start = pa.array(row[may] + at), start[may]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(one[may].view(np.int64)), pa.array(two[may].view(np.int64)), batch.column(0).take(row), batch.column(1).take(row), pa.array(start.astype(np.int32))],
+                    [pa.array(one[may].view(np.int64)), pa.array((two[may] >> np.uint64(32)).astype(np.uint32).view(np.int32)), batch.column(0).take(row), batch.column(1).take(row), pa.array(start.astype(np.int32))],
                     names=["h1", "h2", "doc_id", "row", "start"],
                 )
             del batch
@@ -110,6 +111,42 @@ def _finder(words: int, anchor: int, bits: int, held):
     return find
 
 
+def _marker(batches):
+    """Windows that are not the first of their group, of rows sorted by hash and document.
+
+    Rows of the task's first group keep hash and document, as the group may
+    begin in another task; the last group's first document is given out with
+    its hash and without a row, as the group may go on in another.
+    """
+    first, last, least = None, None, None
+
+    def out(h1, h2, doc, row, start):
+        return pa.RecordBatch.from_arrays([h1, h2, doc, row, start], names=["h1", "h2", "doc_id", "row", "start"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        h1, h2, doc = (batch.column(i).to_numpy() for i in range(3))
+        if first is None:
+            first = last = (h1[0], h2[0])
+            least = doc[0]
+        new = np.ones(len(h1), bool)
+        new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
+        starts = np.flatnonzero(new)
+        firsts = doc[starts]
+        if (h1[0], h2[0]) == last:
+            firsts[0] = least
+        smallest = np.repeat(firsts, np.diff(starts, append=len(h1)))
+        last, least = (h1[-1], h2[-1]), smallest[-1]
+        pending = (h1 == first[0]) & (h2 == first[1])
+        given = np.flatnonzero(pending | (doc > smallest))
+        hidden = ~pending[given]
+        some = [pa.array(x[given], mask=hidden) for x in (h1, h2, doc)]
+        yield out(*some, *(batch.column(i).take(pa.array(given)) for i in (3, 4)))
+    if last is not None:
+        yield out(pa.array([last[0]], pa.int64()), pa.array([last[1]], pa.int32()), pa.array([least], pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()))
+
+
 def _cutter(words: int):
     def cut_texts(batches):
         for batch in batches:
@@ -149,17 +186,13 @@ def repeated_windows(docs: DataFrame, words: int, anchor: int) -> DataFrame:
     bits = S.bits_for(int(size * 2 / (words - anchor + 2) / 6))
     counted = docs.select("text").mapInArrow(_counter(words, anchor, bits), S.SCHEMA)
     held = spark.sparkContext.broadcast(S.reached(counted, bits, ROWS, 2))
-    found = cut(
-        docs.select("doc_id", "row", "text").mapInArrow(_finder(words, anchor, bits, held), "h1 long, h2 long, doc_id long, row long, start int"),
-        "windows",
-    )
-    firsts = found.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n"))
-    firsts = cut(firsts.filter("first < last").select("h1", "h2", "first", "n"), "window_firsts")
-    hot_above = max(_HOT_LEAST, found.count() // _HOT_SHARE)
-    hot = F.broadcast(firsts.filter(F.col("n") > hot_above).drop("n"))  # at most 100,000 rows
-    cold = firsts.filter(F.col("n") <= hot_above).drop("n")
-    parts = [found.join(hot, ["h1", "h2"]), found.join(hot, ["h1", "h2"], "left_anti").join(cold, ["h1", "h2"])]
-    return parts[0].unionByName(parts[1]).filter("first < doc_id").select("row", "start")
+    found = docs.select("doc_id", "row", "text").mapInArrow(_finder(words, anchor, bits, held), "h1 long, h2 int, doc_id long, row long, start int")
+    by = ["h1", "h2", "doc_id"]
+    marked = cut(found.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(_marker, found.schema), "repeated_windows")
+    ends = marked.filter("h1 is not null")
+    firsts = F.broadcast(ends.groupBy("h1", "h2").agg(F.min("doc_id").alias("first")))  # two rows a task at most
+    late = ends.filter("row is not null").join(firsts, ["h1", "h2"]).filter("first < doc_id")
+    return marked.filter("h1 is null").select("row", "start").unionByName(late.select("row", "start"))
 
 
 def without_repeats(docs: DataFrame, words: int = 50, anchor: int = 16) -> DataFrame:
