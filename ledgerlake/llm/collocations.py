@@ -93,19 +93,21 @@ class _Combiner:
         self.most, self.held, self.size, self.whole = most, [], 0, 0
 
     def add(self, lang: str, texts: pa.Array):
+        """Take the texts in; a table of what has been held, if that is much."""
         found = pc.value_counts(texts)
-        self.held.append(pa.table({"lang": pa.array([lang] * len(found), pa.string()).dictionary_encode(), "text": found.field(0), "n": found.field(1)}))
+        self.held.append(pa.table({"lang": pa.array([lang] * len(found), pa.string()), "text": found.field(0), "n": found.field(1)}))
         self.size += len(found)
-        if self.size > self.whole + self.most:
-            held = self._combined()
-            if held.num_rows > self.most:
-                self.held, self.size, self.whole = [], 0, 0
-                return held
-            self.held, self.size, self.whole = [held], held.num_rows, held.num_rows
+        if self.size <= self.whole + self.most:
+            return None
+        held = self._combined()
+        if held.num_rows > self.most:
+            self.held, self.size, self.whole = [], 0, 0
+            return held
+        self.held, self.size, self.whole = [held], held.num_rows, held.num_rows
         return None
 
     def _combined(self) -> pa.Table:
-        return pa.concat_tables([t.set_column(0, "lang", t.column("lang").cast(pa.string())) for t in self.held]).group_by(["lang", "text"]).aggregate([("n", "sum")])
+        return pa.concat_tables(self.held).group_by(["lang", "text"]).aggregate([("n", "sum")]).select(["lang", "text", "n_sum"]).rename_columns(["lang", "text", "n"])
 
     def rest(self):
         return self._combined() if self.held else None
@@ -128,7 +130,7 @@ def _first_pass(bits: int):
         for lo in range(0, table.num_rows if table is not None else 0, _ROWS_OUT):
             part = table.slice(lo, _ROWS_OUT)
             empty = [pa.nulls(part.num_rows, t) for t in (pa.int64(), pa.binary(), pa.binary())]
-            columns = [part.column("lang").combine_chunks(), part.column("text").cast(pa.string()).combine_chunks(), part.column("n_sum").combine_chunks(), *empty]
+            columns = [part.column("lang").combine_chunks(), part.column("text").cast(pa.string()).combine_chunks(), part.column("n").combine_chunks(), *empty]
             yield pa.RecordBatch.from_arrays(columns, names=["lang", "word", "n", "slice", "places", "counts"])
 
     def with_sketch(batch):
@@ -157,7 +159,7 @@ def _leaves(bits: int, held):
     def batches_of(table):
         for lo in range(0, table.num_rows if table is not None else 0, _ROWS_OUT):
             part = table.slice(lo, _ROWS_OUT)
-            columns = [part.column("lang").combine_chunks(), part.column("text").cast(pa.string()).combine_chunks(), part.column("n_sum").combine_chunks()]
+            columns = [part.column("lang").combine_chunks(), part.column("text").cast(pa.string()).combine_chunks(), part.column("n").combine_chunks()]
             yield pa.RecordBatch.from_arrays(columns, names=["lang", "suffix", "n"])
 
     def cut_suffixes(batches):
