@@ -60,13 +60,17 @@ def superseded_rows(df: DataFrame, key: str | list[str], order: list[str]) -> Da
 def refuse_repeats(result: DataFrame, df: DataFrame, key: str | list[str], what: str) -> DataFrame:
     """``result``, which fails when it is computed if a key of ``df`` repeats.
 
-    The check is a branch of the same plan (a union with rows that raise), so
-    nothing runs while the plan is built, the plan is the same for all data,
-    and the joins in ``result`` read ``df`` as it is.
+    The check is a branch of the same plan (a union with one row for each
+    repeated key), so nothing runs while the plan is built, the plan is the
+    same for all data, and the joins in ``result`` read ``df`` as it is. Every
+    column of the branch raises when its value is needed, so no filter,
+    projection or aggregate over the result can prune the check; only a limit
+    that is met before the branch is read can end without it.
     """
     keys = [key] if isinstance(key, str) else list(key)
     shown = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
     message = F.concat(F.lit(f"{what} has duplicate keys, e.g. "), shown, F.lit(" in "), F.col("rows").cast("string"), F.lit(" rows"))
-    raised = F.when(F.col("rows") > 1, F.raise_error(message).cast("string"))
-    none = _key_counts(df, keys).filter(raised.isNotNull())
-    return result.union(none.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in result.schema.fields]))
+    # the condition is part of every expression: reordered or pushed down, it raises for repeated keys only
+    raised = lambda kind: F.when(F.col("rows") > 1, F.raise_error(message).cast(kind))
+    none = _key_counts(df, keys).filter(raised("string").isNotNull())
+    return result.union(none.select(*[raised(f.dataType).alias(f.name) for f in result.schema.fields]))

@@ -35,6 +35,20 @@ def transaction_index(transactions: DataFrame, survivor: str = "latest") -> Data
     return latest_per_key(slim, "transaction_id", order=LATEST_INGEST)
 
 
+def day_occurrences(transactions: DataFrame) -> DataFrame:
+    """One index row per transaction id and ingest day: the one of that day that would survive."""
+    return latest_per_key(index_projection(transactions), ["transaction_id", *schemas.INGEST_PARTITIONS], order=LATEST_INGEST[:1])
+
+
+def survivors(occurrences: DataFrame) -> DataFrame:
+    """The index of the transactions that ``occurrences`` was made from.
+
+    A survivor is the greatest row of its id in one total order, so it is the
+    greatest of the days' greatest rows.
+    """
+    return latest_per_key(occurrences, "transaction_id", order=LATEST_INGEST)
+
+
 def _literal_ids(ids) -> list[int]:
     """An id or an iterable of ids as a list of ints (given by the caller, so bounded)."""
     return [int(ids)] if isinstance(ids, (int, str)) else [int(v) for v in ids]

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake import schemas
-from ledgerlake.functions.derived import same_values
+from ledgerlake.functions.derived import row_digest, same_values
 from ledgerlake.functions.quality import first_present, has_columns
 from ledgerlake.operators.dedupe import latest_per_key, refuse_repeats
 from ledgerlake.operators.lineage import clock_column
@@ -113,6 +113,22 @@ def diff(existing: DataFrame, incoming: DataFrame, order: list[str] | None = Non
     return _checked(refuse_repeats(pairs, cur, KEY, "current versions"), incoming, order)
 
 
+def changed_keys(existing: DataFrame, incoming: DataFrame, close_missing: bool = False, order: list[str] | None = None) -> DataFrame:
+    """(card_id, action) of the pairs a merge changes, found from keys and digests alone.
+
+    INSERT and UPDATE, and ABSENT with ``close_missing``. Only the key and 32
+    bytes of each row are shuffled; the rows themselves are not.
+    """
+    digest = row_digest(ATTRIBUTES).alias("digest")
+    cur = existing.filter(_is_current() & F.col(KEY).isNotNull()).select(KEY, digest)
+    inc = one_batch(incoming, order).select(KEY, digest)
+    pairs = cur.withColumnRenamed("digest", "cur").join(inc.withColumnRenamed("digest", "inc"), KEY, "full_outer")
+    action = F.when(F.col("cur").isNull(), F.lit("INSERT")).when(F.col("inc").isNull(), F.lit("ABSENT")).when(F.col("cur") != F.col("inc"), F.lit("UPDATE"))
+    wanted = ["INSERT", "UPDATE", *(["ABSENT"] if close_missing else [])]
+    found = pairs.select(KEY, action.alias("action")).filter(F.col("action").isin(wanted))
+    return _checked(refuse_repeats(found, cur, KEY, "current versions"), incoming, order)
+
+
 def _new_version(effective_at, batch_id: str) -> Column:
     return F.struct(
         *[F.col(f"inc.{c}").alias(c) for c in schemas.CARD_COLUMNS],

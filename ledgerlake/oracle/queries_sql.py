@@ -304,6 +304,10 @@ ORACLE["txn_index_emptied_day"] = with_chain(
 ORACLE["txn_index_reingested_day"] = with_chain(
     _index_of("transactions_left"), "SELECT * FROM transactions_left_idx", ["transactions_left"]
 )
+ORACLE["txn_index_occurrences"] = ORACLE["txn_index"]
+ORACLE["txn_index_occurrences_emptied"] = ORACLE["txn_index_emptied_day"]
+ORACLE["txn_index_occurrences_reingested"] = ORACLE["txn_index_reingested_day"]
+ORACLE["txn_point_lookup_clustered"] = ORACLE["txn_point_lookup"]
 ORACLE["users_refined_roundtrip"] = ORACLE["users_refined"]
 ORACLE["cards_refined_roundtrip"] = ORACLE["cards_refined"]
 ORACLE["transactions_append_roundtrip"] = ORACLE["transactions_dated"]
@@ -347,6 +351,7 @@ ORACLE["users_history_append"] = with_chain(
 ORACLE["users_current_refresh"] = with_chain(_UN, "SELECT * FROM u2n", ["users_1", "users_2"])
 ORACLE["scd2_roundtrip"] = ORACLE["scd2_merge"]
 ORACLE["scd2_split_roundtrip"] = ORACLE["scd2_merge"]
+ORACLE["scd2_buckets_roundtrip"] = ORACLE["scd2_merge"]
 ORACLE["scd2_bucketed_roundtrip"] = ORACLE["scd2_merge"]
 ORACLE["catalog_register"] = with_chain(
     [("tr", RS.transactions_refined("transactions"))],

@@ -25,9 +25,9 @@ from ledgerlake.operators.dedupe import superseded_rows
 from ledgerlake.operators.lineage import stamp_lineage
 from ledgerlake.operators.patch import keyed_patch
 from ledgerlake.plans.history_job import run_users_history
-from ledgerlake.plans.index_job import build_index, lookup, update_index
+from ledgerlake.plans.index_job import build_index, build_index_table, cluster_transactions, lookup, update_index, update_index_table
 from ledgerlake.plans.ingest import IngestSpec, run_raw_ingest, source_specs
-from ledgerlake.plans.scd2_job import dimension, run_cards_scd2, run_cards_scd2_split
+from ledgerlake.plans.scd2_job import dimension, run_cards_scd2, run_cards_scd2_buckets, run_cards_scd2_split
 from ledgerlake.plans.corrections_job import apply_corrections
 from ledgerlake.plans.warehouse import RefineTargets, run_warehouse
 from ledgerlake.session import batch_id_for, fresh_dir
@@ -271,6 +271,16 @@ def q_txn_point_lookup(spark, sf):
     return lookup(spark, f"{base}/index", f"{base}/raw", POINT_IDS)[0]
 
 
+@register
+def q_txn_point_lookup_clustered(spark, sf):
+    """The same ids through an index and records that are clustered by id, with bloom filters."""
+    base = fresh_dir(spark, "point_lookup_clustered")
+    write_partitioned(X.transactions_with_duplicates(spark, sf), f"{base}/raw", schemas.INGEST_PARTITIONS)
+    build_index(spark, f"{base}/raw", f"{base}/index", cluster=True)
+    cluster_transactions(spark, f"{base}/raw", f"{base}/by_id")
+    return lookup(spark, f"{base}/index", f"{base}/by_id", POINT_IDS)[0]
+
+
 @register
 def q_txn_lookup_missing(spark, sf):
     txn = X.transactions(spark, sf)
@@ -457,6 +467,38 @@ def q_txn_index_reingested_day(spark, sf):
     return _read_back(spark, path, IX.transaction_index(raw))
 
 
+def _updated_index_table(spark, before: DataFrame, after: DataFrame, days: list[int]) -> DataFrame:
+    """The index table built over ``before`` and brought up to date for ``days`` of April 2026 of ``after``."""
+    base, table = fresh_dir(spark, "index_table"), _unique("ledgerlake_index")
+    write_partitioned(before, f"{base}/raw", schemas.INGEST_PARTITIONS)
+    build_index_table(spark, f"{base}/raw", table, base, f"{base}/occurrences", BATCH_1)
+    write_partitioned(after, f"{base}/raw_2", schemas.INGEST_PARTITIONS)
+    update_index_table(spark, f"{base}/raw_2", table, base, f"{base}/occurrences", [(2026, 4, d) for d in days], BATCH_2)
+    return spark.table(table)
+
+
+@register
+def q_txn_index_occurrences(spark, sf):
+    """Index and occurrences of the first two ingest days, brought up to date with the third."""
+    raw = X.transactions_with_duplicates(spark, sf)
+    return _updated_index_table(spark, raw.filter(F.col("ingest_day") < 23), raw, [23])
+
+
+@register
+def q_txn_index_occurrences_emptied(spark, sf):
+    """As txn_index_emptied_day, from the occurrences: no index row is left on day 21."""
+    raw = X.transactions_with_duplicates(spark, sf)
+    return _updated_index_table(spark, raw.filter(F.col("ingest_day") == 21), X.brought_again(raw, 21, 24), [22, 23, 24])
+
+
+@register
+def q_txn_index_occurrences_reingested(spark, sf):
+    """As txn_index_reingested_day, from the occurrences: ids that left day 23 get their older rows back."""
+    raw = X.transactions_with_duplicates(spark, sf)
+    left = raw.filter((F.col("ingest_day") != 23) | (F.col("id") % 3 != 0))
+    return _updated_index_table(spark, raw, left, [23])
+
+
 @register
 def q_users_refined_roundtrip(spark, sf):
     path = fresh_dir(spark, "users_refined")
@@ -511,7 +553,7 @@ def q_users_history_numeric(spark, sf):
     path = fresh_dir(spark, "users_history_numeric")
     numbers = {c: F.col(c).cast("int") for c in ("birth_year", "credit_score")}
     u1, u2 = (H.normalize_users(x.withColumns(numbers)) for x in (X.users_snapshot_1(spark, sf), X.users_snapshot_2(spark, sf)))
-    append_batch(H.history_delta(u1, u2, detected_at=CLOCK_2, batch_id=BATCH_2), path)
+    append_batch(H.history_delta(u1, u2, detected_at=CLOCK_2, batch_id=BATCH_2), path, BATCH_2)
     return spark.read.schema(schemas.users_history_schema()).parquet(path)
 
 
@@ -604,6 +646,16 @@ def q_scd2_split_roundtrip(spark, sf):
     return dimension(spark, table, f"{base}/closed")
 
 
+@register
+def q_scd2_buckets_roundtrip(spark, sf):
+    """As scd2_split_roundtrip, by copy-on-write of hash buckets."""
+    base = fresh_dir(spark, "cards_scd2_buckets")
+    table = _unique("ledgerlake_cards_scd2_buckets")
+    for cards, clock, batch in ((X.cards_snapshot_1(spark, sf), CLOCK_1, BATCH_1), (X.cards_snapshot_2(spark, sf), CLOCK_2, BATCH_2)):
+        run_cards_scd2_buckets(spark, cards, table, base, f"{base}/closed", clock, batch, buckets=16)
+    return dimension(spark, table, f"{base}/closed")
+
+
 @register
 def q_catalog_register(spark, sf):
     """Refined transactions registered as an external table; rows per partition."""

@@ -12,6 +12,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +22,7 @@ from ledgerlake import schemas
 from ledgerlake.operators.dedupe import latest_per_key
 from ledgerlake.operators.refine import transactions_dated
 
+
 def write_partitioned(
     df: DataFrame,
     path: str,
@@ -28,12 +31,16 @@ def write_partitioned(
     dynamic: bool = True,
     rebalance: bool = False,
     max_records_per_file: int | None = None,
+    options: dict[str, str] | None = None,
 ) -> None:
-    """Write parquet, optionally partitioned; see the module notes for the options."""
+    """Write parquet, optionally partitioned; see the module notes for the options.
+
+    ``options`` go to the parquet writer, such as :func:`bloom_options`.
+    """
     parts = list(partition_by or [])
     if rebalance and parts:
         df = df.hint("rebalance", *parts)
-    writer = df.write.mode(mode)
+    writer = df.write.mode(mode).options(**(options or {}))
     if mode == "overwrite" and parts:
         writer = writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if max_records_per_file:
@@ -43,13 +50,46 @@ def write_partitioned(
     writer.parquet(path)
 
 
-def append_batch(df: DataFrame, path: str, batch_column: str = "batch_id") -> None:
+def clustered(df: DataFrame, key: str, partition_by: list[str] | None = None) -> DataFrame:
+    """``df`` dealt by ranges of ``key`` within the partition columns and sorted by it.
+
+    Files and row groups then hold narrow ranges of the key, so a lookup by
+    literal keys skips the others by their minimum and maximum. Rows that share
+    a key are dealt by a hash of the row as well, so a key with very many rows
+    lies in several files.
+    """
+    parts = list(partition_by or [])
+    spread = F.xxhash64(*[c for c in df.columns if c not in (*parts, key)])
+    return df.repartitionByRange(*parts, key, spread).sortWithinPartitions(*parts, key)
+
+
+def bloom_options(*columns: str, distinct: int = 1_000_000) -> dict[str, str]:
+    """Parquet writer options for a bloom filter per row group on each column.
+
+    ``distinct``: values a row group is expected to hold; more raise the rate
+    of false positives, which cost a read and no row.
+    """
+    options = {}
+    for c in columns:
+        options[f"parquet.bloom.filter.enabled#{c}"] = "true"
+        options[f"parquet.bloom.filter.expected.ndv#{c}"] = str(int(distinct))
+    return options
+
+
+_SAFE_VALUE = re.compile(r"[0-9A-Za-z_.-]+")
+
+
+def append_batch(df: DataFrame, path: str, batch_id: str, batch_column: str = "batch_id") -> None:
     """Create-or-extend an append-only log partitioned by batch.
 
-    Writing a batch replaces only that batch's partition, so rerunning a batch
-    does not double it, and earlier batches are never rewritten.
+    The partition of ``batch_id`` is overwritten by the rows of ``df`` (its
+    ``batch_column``, if any, is left out and read back from the partition), so
+    rerunning a batch does not double it, a rerun without rows clears it, and
+    earlier batches are never rewritten.
     """
-    write_partitioned(df, path, [batch_column], mode="overwrite", dynamic=True)
+    if not _SAFE_VALUE.fullmatch(batch_id):
+        raise ValueError(f"batch id {batch_id!r} may hold letters, digits, '.', '_' and '-' only")
+    df.drop(batch_column).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{batch_column}={batch_id}")
 
 
 def table_exists_at(spark, path: str, schema=None) -> bool:
