@@ -114,9 +114,9 @@ def _finder(words: int, anchor: int, bits: int, held):
 def _marker(batches):
     """Windows that are not the first of their group, of rows sorted by hash and document.
 
-    Rows of the task's first group keep hash and document, as the group may
-    begin in another task; the last group's first document is given out with
-    its hash and without a row, as the group may go on in another.
+    The smallest document's rows of the task's first group are given out with
+    hash and document, as the group may begin in another task; so is the last
+    group's smallest document, without a row, as the group may go on in another.
     """
     first, last, least = None, None, None
 
@@ -138,7 +138,7 @@ def _marker(batches):
             firsts[0] = least
         smallest = np.repeat(firsts, np.diff(starts, append=len(h1)))
         last, least = (h1[-1], h2[-1]), smallest[-1]
-        pending = (h1 == first[0]) & (h2 == first[1])
+        pending = (h1 == first[0]) & (h2 == first[1]) & (doc == smallest)
         given = np.flatnonzero(pending | (doc > smallest))
         hidden = ~pending[given]
         some = [pa.array(x[given], mask=hidden) for x in (h1, h2, doc)]
