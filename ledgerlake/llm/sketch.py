@@ -68,12 +68,13 @@ class Counter:
             )
 
 
-def _merger(least: int):
+def _merger(thresholds: tuple[int, ...]):
     def merge(batches):
         now, total = None, None
 
         def done():
-            return pa.RecordBatch.from_arrays([pa.array([now]), pa.array([np.packbits(total >= least).tobytes()], pa.binary())], names=["slice", "held"])
+            planes = np.packbits(np.stack([total >= x for x in thresholds]), axis=1)
+            return pa.RecordBatch.from_arrays([pa.array([now]), pa.array([planes.tobytes()], pa.binary())], names=["slice", "held"])
 
         for batch in batches:
             for number, at, counts in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
@@ -88,16 +89,21 @@ def _merger(least: int):
     return merge
 
 
-def reached(sketches: DataFrame, bits: int, rows: int, least: int) -> np.ndarray:
-    """Bit array (rows, 2**bits / 8): counters whose merged total is ``least`` (255 at most) or more."""
-    if not 1 <= least <= 255:
+def planes(sketches: DataFrame, bits: int, rows: int, thresholds: tuple[int, ...]) -> list[np.ndarray]:
+    """For each threshold (255 at most) a bit array (rows, 2**bits / 8): counters whose merged total reaches it."""
+    if not 1 <= min(thresholds) <= max(thresholds) <= 255:
         raise ValueError("counters stop at 255")
     parts = int(sketches.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sliced = sketches.repartition(max(1, min(parts, rows << bits >> 16)), "slice").sortWithinPartitions("slice")
-    out = np.zeros((max(rows << bits, SLICE) // SLICE, SLICE // 8), np.uint8)
-    for row in sliced.mapInArrow(_merger(least), "slice long, held binary").toLocalIterator():
-        out[row["slice"]] = np.frombuffer(row["held"], np.uint8)
-    return out.reshape(rows, -1)
+    out = np.zeros((len(thresholds), max(rows << bits, SLICE) // SLICE, SLICE // 8), np.uint8)
+    for row in sliced.mapInArrow(_merger(tuple(thresholds)), "slice long, held binary").toLocalIterator():
+        out[:, row["slice"]] = np.frombuffer(row["held"], np.uint8).reshape(len(thresholds), -1)
+    return [plane.reshape(rows, -1) for plane in out]
+
+
+def reached(sketches: DataFrame, bits: int, rows: int, least: int) -> np.ndarray:
+    """The plane of one threshold."""
+    return planes(sketches, bits, rows, (least,))[0]
 
 
 def passes(held: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:

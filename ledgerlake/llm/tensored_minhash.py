@@ -19,10 +19,11 @@ Work flows in four steps, all of them Spark joins and aggregates:
    from). The confirmed links join most groups. All other pairs that share a
    key are tested too, but only where their two ends are not yet in one
    component, so a group of many near copies costs a number of tests near its
-   size, not its square. Shingles that stand in one class only, of all classes
-   in such pairs, are in no intersection: they bound the similarity of a class
-   with any other, exactly, and a copy with too many words of its own drops
-   out without a test;
+   size, not its square. The classes of such keys meet by an exact prefix join
+   (:mod:`ledgerlake.llm.prefix_join`) rather than by key: near copies share
+   keys with nearly all others of their group, but copies too far from its hub
+   to be linked to it have words of their own, and these come first in the join's
+   order, so they meet few. It finds every pair that reaches the similarity;
 3. a test compares the two full sets (64-bit shingle hashes). Pairs whose sizes
    rule the similarity out are not tested, nor pairs whose minhashes (four bits
    of each are kept) differ in more places than six standard deviations above
@@ -46,6 +47,7 @@ from pyspark.sql import functions as F
 from ledgerlake.llm import text_np as X
 from ledgerlake.llm.common import cut
 from ledgerlake.llm.components import components
+from ledgerlake.llm.prefix_join import candidate_pairs
 
 _PLACES = (np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))  # factors of the first words of a shingle
 _SINGLE, _OTHER = np.uint64(0x27D4EB2F165667C5), np.uint64(0x85EBCA77C2B2AE63)
@@ -130,7 +132,7 @@ def _set_rows(words: int):
             for at, sets in shingle_sets(batch.column(1), words):
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(ends, np.concatenate(sets).view(np.int64))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(sets)), lists], names=["node", "shingles"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(sets)), batch.column(2).slice(at, len(sets)), lists], names=["node", "part", "shingles"])
             del batch
         X.release_memory()
 
@@ -153,17 +155,19 @@ def _as(facts: DataFrame, end: str) -> DataFrame:
     return facts.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("bits").alias(f"bits_{end}"))
 
 
-def confirmed_links(docs: DataFrame, allowed: DataFrame, percent: int, words: int = 2) -> DataFrame:
+def confirmed_links(docs: DataFrame, allowed: DataFrame, percent: int, words: int = 2, sets: DataFrame | None = None) -> DataFrame:
     """The pairs (u, v) whose full sets are similar enough.
 
-    ``docs``: doc_id, text. Only texts of candidates are turned into sets. The
-    pairs meet the sets of ``u`` first, whose rows are the rarer to repeat; a
-    hot ``v`` is split by the adaptive skew join.
+    ``docs``: doc_id, text. Only texts of candidates are turned into sets,
+    unless ``sets`` (node, shingles) has them. The pairs meet the sets of ``u``
+    first, whose rows are the rarer to repeat; a hot ``v`` is split by the
+    adaptive skew join.
     """
     allowed = cut(allowed, "pairs")
-    nodes = cut(allowed.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), "pair_nodes")
-    texts = docs.select("doc_id", "text").join(nodes, "doc_id", "left_semi")
-    sets = cut(texts.mapInArrow(_set_rows(words), "node long, shingles array<long>"), "pair_sets")
+    if sets is None:
+        nodes = cut(allowed.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), "pair_nodes")
+        texts = docs.select("doc_id", "text", F.lit(0).cast("long").alias("part")).join(nodes, "doc_id", "left_semi")
+        sets = cut(texts.mapInArrow(_set_rows(words), "node long, part long, shingles array<long>"), "pair_sets")
     first = allowed.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("s_u")), "u")
     both = first.join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("s_v")), "v")
     common = both.select("u", "v", F.size("s_u").alias("n_u"), F.size("s_v").alias("n_v"), F.size(F.array_intersect("s_u", "s_v")).alias("common"))
@@ -199,22 +203,15 @@ def near_duplicates(docs: DataFrame, percent: int = 80, keys: int = 16, rows: in
     links = cut(confirmed_links(docs, first, percent, words), "confirmed")
     labels = cut(components(links), "labels")
 
-    # Pairs that share a key, have not been tested and lie in two components.
+    # Pairs that have not been tested and lie in two components, among the classes of keys that have two.
     label = shared.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("part"))
     open_keys = label.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo <> hi").select("key")
-    members = label.join(open_keys, "key", "left_semi").join(facts, "node")
-    members = cut(members.select("key", "part", "node", "n", "bits"), "open_members")
-    shareable = (F.col("n") - F.coalesce("own", F.lit(0))).alias("common")
-    several = facts.groupBy("node").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1")  # ids with several texts get no bound
-    own = _own_shingles(docs, members.select("node").distinct(), words).join(several, "node", "left_anti")
-    members = members.join(own, "node", "left").select("key", "part", "node", "n", "bits", shareable)
-    members = cut(members.filter(f"100L * common >= {percent} * n"), "able_members")
-    u, v = (members.select(*[F.col(c).alias(f"{c}_{e}") for c in ("key", "part", "n", "bits", "common")], F.col("node").alias(e)) for e in "uv")
-    able = F.expr(f"100L * least(common_u, common_v) >= {percent} * (n_u + n_v - least(common_u, common_v))")
-    rest = u.join(v, F.expr("key_u = key_v and u > v and part_u <> part_v") & able & possible).select("u", "v").distinct()
+    members = cut(label.join(open_keys, "key", "left_semi").select(F.col("node").alias("doc_id"), "part").distinct(), "open_members")
+    sets = cut(docs.join(members, "doc_id").select("doc_id", "text", "part").mapInArrow(_set_rows(words), "node long, part long, shingles array<long>"), "open_sets")
     tested = hubs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    rest = rest.join(tested, ["u", "v"], "left_anti")
-    more = cut(confirmed_links(docs, rest, percent, words), "confirmed_more")
+    rest = cut(candidate_pairs(sets, percent), "met_pairs").join(tested, ["u", "v"], "left_anti")
+    rest = rest.join(_as(facts, "u"), "u").join(_as(facts, "v"), "v").filter(possible).select("u", "v").distinct()
+    more = cut(confirmed_links(docs, rest, percent, words, sets), "confirmed_more")
     if more.take(1):
         labels = components(links.unionByName(more))
 
@@ -227,19 +224,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, keys: int = 16, rows: in
 
 def _members(tables: DataFrame) -> DataFrame:
     """Rows of the keys that several classes have."""
-    order = Window.partitionBy("key").orderBy("node")
-    seen = tables.select("key", "node", F.lag("node").over(order).alias("before"), F.lead("node").over(order).alias("after"))
-    differs = lambda c: F.coalesce(F.col(c) != F.col("node"), F.lit(False))
-    return seen.filter(differs("before") | differs("after")).select("key", "node")
-
-
-def _own_shingles(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """(node, own): how many shingles of a class no other of ``nodes`` has."""
-    nodes = cut(nodes.select(F.col("node").alias("doc_id")), "open_nodes")
-    sets = docs.select("doc_id", "text").join(nodes, "doc_id", "left_semi").mapInArrow(_set_rows(words), "node long, shingles array<long>")
-    each = sets.select("node", F.explode("shingles").alias("shingle"))
-    single = each.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("last")).filter("node = last")
-    return single.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    several = tables.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("key")
+    return tables.join(several, "key", "left_semi")
 
 
 def _hub_pairs(shared: DataFrame, most: int) -> DataFrame:

@@ -124,3 +124,60 @@ def test_stage_links_on_five_words(spark, monkeypatch):
     some = corpus(3, 40)
     got = sorted(tuple(r) for r in near_duplicates(spark.createDataFrame(some, "doc_id long, text string"), words=5).collect())
     assert got == brute(some)
+
+
+@pytest.mark.parametrize("percent,seed", [(80, 1), (80, 2), (50, 3), (95, 4)])
+def test_prefix_join_meets_every_similar_pair_of_two_parts(spark, percent, seed):
+    from ledgerlake.llm.prefix_join import candidate_pairs
+
+    rng = random.Random(seed)
+    base = [rng.sample(range(3000), rng.choice([1, 2, 5, 20, 90])) for _ in range(25)]
+    sets = []
+    for b in base:
+        for _ in range(rng.choice([1, 3, 8])):
+            keep = [x for x in b if rng.random() > rng.choice([0, 0.05, 0.1, 0.2])] or b
+            sets.append(set(keep) | set(rng.sample(range(3000, 9000), rng.choice([0, 0, 1, 4]))))
+    sets += [{1}, {1}, set(range(200)), set(range(40, 230))]
+    rows = [(i, rng.randrange(6) + 1000, sorted((x * 0x9E3779B97F4A7C15 + 12345) % 2**64 - 2**63 for x in s)) for i, s in enumerate(sets)]
+    found = {tuple(r) for r in candidate_pairs(spark.createDataFrame(rows, "node long, part long, shingles array<long>").repartition(5), percent).collect()}
+    needed = {(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets[:i]) if rows[i][1] != rows[j][1] and 100 * len(a & b) >= percent * len(a | b)}
+    assert needed <= found and needed
+    assert all(u > v and rows[u][1] != rows[v][1] for u, v in found)
+
+
+def test_prefix_join_of_no_sets(spark):
+    from ledgerlake.llm.prefix_join import candidate_pairs
+
+    assert candidate_pairs(spark.createDataFrame([], "node long, part long, shingles array<long>"), 80).collect() == []
+
+
+def test_a_large_group_of_near_copies(spark):
+    """Some hundred copies with 5 to 25 % of the words changed: few are 0.8 alike, most share table keys."""
+    rng = random.Random(11)
+    base = [f"b{k}" for k in range(150)]
+    rows = []
+    for i in range(300):
+        words = list(base)
+        for k in rng.sample(range(150), int(150 * rng.uniform(0.0, 0.12))):
+            words[k] = f"n{rng.randrange(100_000)}"
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in near_duplicates(df, hubs_tested=1).collect())
+    assert got == brute(rows)
+    assert len({r[2] for r in got}) > 20
+
+
+def test_the_prefix_join_of_a_group_of_copies_stays_small(spark):
+    """What meets does not grow with the square of a group whose copies have words of their own."""
+    from ledgerlake.llm.prefix_join import candidate_pairs
+
+    rng = random.Random(12)
+    met = {}
+    for size in (100, 400):
+        rows = []
+        for i in range(size):
+            own = rng.uniform(0.03, 0.10) if i % 8 else rng.uniform(0.13, 0.2)
+            n = int(200 * own)
+            rows.append((i, 1 if i % 8 else 1000 + i, sorted({*range(n, 200), *(10_000 + 1000 * i + k for k in range(n))})))
+        met[size] = candidate_pairs(spark.createDataFrame(rows, "node long, part long, shingles array<long>"), 80).count()
+    assert met[400] <= 8 * max(met[100], 10)
