@@ -13,7 +13,9 @@ missed with probability 2e-5, a pair at 0.85 with 5e-7.
 Work flows in four steps, all of them Spark joins and aggregates:
 
 1. documents with equal sets become one class, named by its smallest id;
-2. classes that share a table key are candidates. Every class is first
+2. classes that share a table key are candidates; a short key that one class
+   has alone can form none that is shared, so only the others are paired up,
+   which leaves out most of the tables' rows. Every class is first
    tested against a few hubs: for each of its keys, the class of the key that
    shares keys with most others (in a group of copies, the one they were made
    from). The confirmed links join most groups. All other pairs that share a
@@ -189,12 +191,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80, keys: int = 16, rows: in
     named = classes.select(F.col("node").alias("doc_id"), "d1", "d2", "n_shingles")
     reps = full.join(named, ["doc_id", "d1", "d2", "n_shingles"], "left_semi")
 
-    # All table keys of all classes; of those that more than one class has, the members.
-    tables = (
-        reps.select("doc_id", F.explode("a").alias("a"), "b")
-        .select("doc_id", "a", F.explode("b").alias("b"))
-        .select(F.xxhash64("a", "b").alias("key"), F.col("doc_id").alias("node"))
-    )
+    # Table keys of pairs of short keys that several classes have, and of those table keys the same.
+    short = [_members(reps.select(F.explode(side).alias("key"), F.col("doc_id").alias("node"))).withColumnRenamed("key", side) for side in "ab"]
+    tables = short[0].join(short[1], "node").select(F.xxhash64("a", "b").alias("key"), "node")
     shared = cut(_members(tables), "shared_keys")
     facts = reps.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "bits")
     possible = F.expr(_possible(percent, 2 * keys * rows))
@@ -222,10 +221,10 @@ def near_duplicates(docs: DataFrame, percent: int = 80, keys: int = 16, rows: in
     return out.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
 
 
-def _members(tables: DataFrame) -> DataFrame:
-    """Rows of the keys that several classes have."""
-    several = tables.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("key")
-    return tables.join(several, "key", "left_semi")
+def _members(keys: DataFrame) -> DataFrame:
+    """Rows (key, node) of the keys that several classes have."""
+    several = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("key")
+    return keys.join(several, "key", "left_semi")
 
 
 def _hub_pairs(shared: DataFrame, most: int) -> DataFrame:
