@@ -93,3 +93,63 @@ def test_top_k_with_rows_of_any_finite_size(spark):
         assert got == brute_top(rows[:-1], 5)
     with pytest.raises(Exception, match="does not fit a long"):
         top_k(df, F.col("id") % 50 == 0).collect()
+
+
+def test_sums_that_cancel_are_exact(spark):
+    """Components near 200,000 whose products cancel: the best scores differ by a few parts in 1e11 of the terms."""
+    for seed in range(8):
+        rng = np.random.default_rng(seed)
+        big = rng.integers(150_000, 200_000, (600, 1)) * np.array([[1, 1]])
+        small = rng.integers(-50, 50, (600, 6))
+        vectors = np.concatenate([big, small], axis=1).astype(np.int64)
+        queries = np.concatenate([np.tile([200_000, -200_000], (4, 1)), rng.integers(-50, 50, (4, 6))], axis=1)
+        index = ImpactIndex(vectors, 1600)
+        for (found, score), query in zip(index.top(queries, np.arange(600), np.full(4, -1), 3, 10), queries):
+            exact = vectors @ query
+            best = np.lexsort((np.arange(600), -exact))[:3]
+            assert found.tolist() == best.tolist() and score.tolist() == exact[best].tolist()
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors.tolist())] + [(1000 + 50 * i, [float(x) for x in q]) for i, q in enumerate(queries.tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in top_k(df, F.col("id") % 50 == 0, scale=1, few=10).collect())
+    assert got == brute_top(rows, 5, scale=1)
+
+
+def test_queries_stop_on_proof_before_the_postings_are_used_up():
+    rng = np.random.default_rng(2)
+    vectors = rng.integers(-3, 4, (4000, 32)).astype(np.int64)
+    vectors[rng.integers(0, 4000, 60), rng.integers(0, 32, 60)] = 400
+    queries = np.zeros((10, 32), np.int64)
+    queries[np.arange(10), np.arange(10)] = 300
+    queries += rng.integers(-1, 2, (10, 32))
+    index = ImpactIndex(vectors, 4)
+    found = index.top(queries, np.arange(4000), np.full(10, -1), 1, 64)
+    assert index.used < 0.5 * len(index.rows) * 10
+    assert all(score[0] == (vectors @ q).max() for (_, score), q in zip(found, queries))
+
+
+def test_only_large_rows_leave_the_index():
+    from ledgerlake.llm.impact_topk import _Block
+
+    rng = np.random.default_rng(3)
+    vectors = np.floor(rng.normal(0, 40, (2000, 16)))
+    vectors[7, 3], vectors[1200, 0] = 1e7, -1e15
+    block = _Block(vectors, np.arange(2000), 4)
+    assert block.beyond.tolist() == [7, 1200] and len(block.index.rows) > 20000
+    queries = np.concatenate([vectors[:5], vectors[1200:1201]])
+    for parts, query in zip(block.top(queries, np.array([0, 1, 2, 3, 4, 1200]), 4, 50), queries):
+        scores = [sum(int(a) * int(b) for a, b in zip(v, query)) for v in vectors.tolist()]
+        own = next(i for i, v in enumerate(vectors.tolist()) if v == query.tolist())
+        want = sorted(((-s, i) for i, s in enumerate(scores) if i != own))[:4]
+        assert sorted((-int(s), int(i)) for found, score in parts for i, s in zip(found, score))[:4] == want
+
+
+def test_top_k_with_vectors_of_unequal_length_and_repeated_rows(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(0, 0.3, int(rng.integers(1, 12))).tolist()) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in top_k(df, F.col("id") % 50 == 0, block_rows=90, query_rows=3, few=6).collect())
+    pad = lambda v: v + [0.0] * (12 - len(v))
+    assert got == brute_top([(i, pad(v)) for i, v in rows], 5)
+    twice = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [0.5, 0.0]), (2, [0.75, 1.0])] + [(50, [1.0])] * 300, "vec_id long, embedding array<double>")
+    out = [tuple(r) for r in top_k(twice, F.col("id") == 0, k=4, block_rows=40).orderBy("rank").collect()]
+    assert out == [(0, 1, 1, 65536), (0, 2, 1, 65536), (0, 3, 50, 65536), (0, 4, 50, 65536)]
