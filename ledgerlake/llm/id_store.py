@@ -19,11 +19,13 @@ The dictionary itself is a one-row Parquet file beside them, so readers check
 its hash; the whole store is written by Spark's committers and readable on any
 storage Spark reads.
 
-Encoding: the tokenizer's pre-tokenizer splits at white space, so a text's ids
-are those of its white-space-separated pieces, one after the other. Pieces are
-encoded once per worker process (a bounded cache) and texts are assembled with
-numpy. Whether a tokenizer allows this is checked on every document of the
-sample; if one differs, whole texts are encoded instead.
+Encoding: where a tokenizer splits at white space, a text's ids are those of
+its white-space-separated pieces, one after the other. Pieces are then encoded
+once per worker process (a bounded cache) and texts are assembled with numpy.
+Whether a tokenizer does is read from its own normalizer, pre-tokenizer and
+added tokens (:func:`splits_at_white_space`); for all others whole texts are
+encoded. The dictionary is trained by one task from the bounded sample; the
+driver holds the tokenizer's file and the dictionary, no encodings.
 
 Defined cases: NULL text is empty (only the end id); rows with a NULL id are
 left out; rows that repeat an id are each stored, ordered by text; an empty
@@ -33,6 +35,8 @@ table gives an empty store.
 from __future__ import annotations
 
 import hashlib
+import json
+import re
 import zlib
 
 import numpy as np
@@ -178,18 +182,75 @@ def _exact_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
 
 
 def pieces_agree(tokenizer_json: str, texts: list[str]) -> bool:
-    """Whether piece-wise encoding gives what the tokenizer gives for whole texts."""
+    """Whether piece-wise encoding gives what the tokenizer gives for these whole texts (a check for tests)."""
     encoder = PieceEncoder(tokenizer_json)
     if encoder.whole:
         return False
     return all(list(x) == y for x, y in zip(encoder.encode(pa.array(texts, pa.string())), encoder._ids(texts)))
 
 
-def _sample(docs: DataFrame, sample_docs: int, longest: int) -> list[str]:
+_PLAIN_NORMALIZERS = {"NFC", "NFD", "NFKC", "NFKD", "Lowercase", "StripAccents"}
+_WHITE_SPLITTERS = {"Whitespace", "WhitespaceSplit", "BertPreTokenizer"}
+
+
+def _steps(part: dict | None, inner: str) -> list[dict]:
+    """The steps of a normalizer or pre-tokenizer, sequences opened up."""
+    if part is None:
+        return []
+    return [x for step in part[inner] for x in _steps(step, inner)] if part["type"] == "Sequence" else [part]
+
+
+def _matches_no_space(pattern: str) -> bool:
+    """Whether a regular expression is of a kind whose matches hold no white space and see nothing around them."""
+    rest = re.sub(r"\[\^\\s[^\]]*\]", "", pattern)  # [^\s...]: anything but white space
+    return not re.search(r"\s|\.|\\[sSWDPbBAzZGXRKkg0-9xu]|\[\^|\(\?|[\^$]", rest)
+
+
+def splits_at_white_space(tokenizer_json: str) -> bool:
+    """Whether a text's ids are those of its white-space-separated pieces, told by the tokenizer's own parts.
+
+    True for kinds known to be so: normalizers that change characters one by one
+    or by composition (nothing composes with white space) or turn white space
+    to a blank; a pre-tokenizer that splits at white space first, or keeps only
+    matches without white space; added tokens without white space that take
+    none in. False for anything else.
+    """
+    about = json.loads(tokenizer_json)
+    for step in _steps(about.get("normalizer"), "normalizers"):
+        blank = step["type"] == "Replace" and step.get("pattern") == {"Regex": "\\s+"} and step.get("content") == " "
+        if step["type"] not in _PLAIN_NORMALIZERS and not blank:
+            return False
+    first = next(iter(_steps(about.get("pre_tokenizer"), "pretokenizers")), {"type": None})
+    kept = first["type"] == "Split" and first.get("behavior") == "Removed" and first.get("invert") and _matches_no_space(first.get("pattern", {}).get("Regex", "."))
+    if first["type"] not in _WHITE_SPLITTERS and not kept:
+        return False
+    added = about.get("added_tokens") or []
+    return not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or re.search(r"\s", t["content"]) for t in added)
+
+
+def vocabulary_size(tokenizer_json: str) -> int:
+    """One more than the largest id."""
+    about = json.loads(tokenizer_json)
+    vocab = about["model"]["vocab"]
+    ids = vocab.values() if isinstance(vocab, dict) else range(len(vocab))
+    return max([*ids, *(t["id"] for t in about.get("added_tokens") or [])], default=-1) + 1
+
+
+def _sample(docs: DataFrame, sample_docs: int, longest: int) -> DataFrame:
     n = docs.count()
     drawn = docs.filter(ident_hash(F.col("doc_id"), 7) < int(min(1.0, sample_docs / max(n, 1)) * (1 << 30)))
-    rows = drawn.filter(F.octet_length("text") <= longest).collect()
-    return [r["text"] for r in sorted(rows, key=lambda r: (r["doc_id"], r["text"]))]
+    return drawn.filter(F.octet_length("text") <= longest)
+
+
+def _trainer(tokenizer_json: str, whole: bool, end_id: int, width: str, size: int):
+    def train(batches):
+        key = (hashlib.sha256(tokenizer_json.encode()).hexdigest(), whole)
+        encoder = worker_cache("piece encoder", key, lambda: PieceEncoder(tokenizer_json, whole))
+        samples = [np.append(x, np.uint32(end_id)).astype(width).tobytes() for batch in batches for x in encoder.encode(batch.column(1))]
+        yield pa.RecordBatch.from_arrays([pa.array([train_dictionary(samples, size)], pa.binary())], names=["dictionary"])
+        X.release_memory()
+
+    return train
 
 
 def train_dictionary(samples: list[bytes], size: int) -> bytes:
@@ -252,18 +313,19 @@ def write_store(
 ) -> None:
     """Encode ``docs`` (doc_id, text) and write the store below ``path``.
 
-    The tokenizer file is read on the driver and sent to the tasks.
+    The tokenizer file is read on the driver and sent to the tasks. The sample
+    for the dictionary holds about ``sample_docs`` documents of at most
+    ``sample_longest`` bytes.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).filter("doc_id is not null")
     with open(tokenizer_path, encoding="utf-8") as f:
         tokenizer_json = f.read()
-    encoder = PieceEncoder(tokenizer_json)
-    width = "<u2" if max(encoder.tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1) <= 1 << 16 else "<u4"
-    texts = _sample(docs, sample_docs, sample_longest)
-    whole = not pieces_agree(tokenizer_json, texts)
-    trained = PieceEncoder(tokenizer_json, whole)
-    dictionary = train_dictionary([np.append(x, np.uint32(end_id)).astype(width).tobytes() for x in trained.encode(pa.array(texts, pa.string()))], dictionary_bytes)
+    width = "<u2" if max(vocabulary_size(tokenizer_json), end_id + 1) <= 1 << 16 else "<u4"
+    whole = not splits_at_white_space(tokenizer_json)
+    drawn = _sample(docs, sample_docs, sample_longest).repartition(1).sortWithinPartitions("doc_id", "text")
+    trained = drawn.mapInArrow(_trainer(tokenizer_json, whole, end_id, width, dictionary_bytes), "dictionary binary").collect()
+    dictionary = bytes(trained[0]["dictionary"]) if trained else b""
     about = [(hashlib.sha256(dictionary).hexdigest(), bytearray(dictionary), width)]
     spark.createDataFrame(about, "dictionary_sha256 string, dictionary binary, width string").coalesce(1).write.parquet(f"{path}/dictionary")
     shared = spark.sparkContext.broadcast((tokenizer_json, whole, dictionary, width, level))
@@ -313,15 +375,18 @@ def _dictionary(spark: SparkSession, path: str) -> tuple[bytes, str]:
 def read_store(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, decoded from the files.
 
-    Starts come from the block counts: a running sum over one small row per
-    block, joined back to the decoded documents.
+    Starts come from the block counts, joined back to the decoded documents: a
+    running sum over the blocks of a part, and one over the parts, which are as
+    many as there were writing tasks.
     """
     shared = spark.sparkContext.broadcast(_dictionary(spark, path))
     blocks = spark.read.schema(BLOCK_SCHEMA).parquet(f"{path}/blocks")
     docs = blocks.mapInArrow(_reader(shared), "part int, block long, doc_id long, before long, n_tokens long, ids_crc32 long")
     sizes = blocks.select("part", "block", "counts").mapInArrow(_block_sizes, "part int, block long, total long")
-    order = Window.orderBy("part", "block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("part", "block", F.coalesce(F.sum("total").over(order), F.lit(0)).alias("block_start"))
+    before = lambda order: F.coalesce(F.sum("total").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = sizes.groupBy("part").agg(F.sum("total").alias("total")).select("part", before(Window.orderBy("part")).alias("part_start"))
+    inside = sizes.select("part", "block", before(Window.partitionBy("part").orderBy("block")).alias("inside"))
+    starts = inside.join(parts, "part").select("part", "block", (F.col("part_start") + F.col("inside")).alias("block_start"))
     return docs.join(starts, ["part", "block"]).select("doc_id", (F.col("block_start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
 
 

@@ -277,3 +277,36 @@ def test_packing_is_optimal_for_long_texts(spark):
         choices = (c + (lengths[-1],) for k in range(min(buckets, len(lengths))) for c in itertools.combinations(lengths[:-1], k))
         assert sum(r["padding"] for r in out) == min(padding(lengths, [1] * len(lengths), c) for c in choices)
         assert {r["bucket_length"] for r in out} <= set(lengths)
+
+
+def test_which_tokenizers_are_encoded_by_pieces():
+    import json
+
+    import public_tokenizers
+
+    with open(TOKENIZER, encoding="utf-8") as f:
+        about = json.load(f)
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        assert not I.splits_at_white_space(f.read())  # a blank belongs to the word behind it
+    split = lambda **change: I.splits_at_white_space(json.dumps(about | change))
+    assert split() and I.vocabulary_size(json.dumps(about)) == 49408
+    keep = lambda pattern, **more: {"type": "Split", "pattern": {"Regex": pattern}, "behavior": "Removed", "invert": True, **more}
+    for pattern, good in ((r"\p{L}+", True), (r"[^\s]+", True), (r"\S+ ?", False), (r".", False), (r"[^a]", False), (r"\w+(?= )", False), (r"a\b", False), (r"\P{L}", False)):
+        assert split(pre_tokenizer=keep(pattern)) is good, pattern
+    assert split(pre_tokenizer={"type": "WhitespaceSplit"}) and not split(pre_tokenizer=None) and not split(pre_tokenizer=keep(r"\p{L}+", invert=False))
+    assert not split(normalizer={"type": "Prepend", "prepend": "_"}) and split(normalizer=None)
+    assert not split(added_tokens=[{"id": 1, "content": "a b"}]) and not split(added_tokens=[{"id": 1, "content": "a", "lstrip": True}])
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_store_without_a_sample_and_with_whole_texts(spark, name):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    rows = [(i, t) for i, t in enumerate([*ODD, "  two  blanks\n", "word " * 60_000])]
+    path = fresh_dir(spark, "ids_test")
+    I.write_store(spark.createDataFrame(rows, "doc_id long, text string"), path, public_tokenizers.path(name), sample_longest=-1)
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+    want = {i: np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [1], "<u4") for i, t in rows}
+    got = {r["doc_id"]: (r["n_tokens"], r["ids_crc32"]) for r in I.read_store(spark, path).collect()}
+    assert got == {i: (len(x), zlib.crc32(x.tobytes())) for i, x in want.items()}
