@@ -14,6 +14,10 @@ own meet nobody there, however many share the rest.
 * An element at place p of a set of n bounds the partner's size by
   (1 + t) / t * (n - p) - n, and sizes differ by the factor t at most. Rows of
   both sides meet by element and size band within these bounds.
+* Each set has a bitmap of 1024 hash classes. A class that one set has and the
+  other lacks holds an element that they do not share, so the bitmaps bound
+  their intersection as well; near copies that differ in too many places drop
+  out in the join.
 * Sets of one part need not meet. Of each element the part with most of its rows
   (a large group of copies) is only met, it does not ask; so the work is that
   of the rows outside of it.
@@ -33,8 +37,9 @@ from ledgerlake.llm import text_np as X
 from ledgerlake.llm.common import cut
 
 CLASSES = (2, 4, 16, 64)
+MAP_BITS = 1024
 _BAND = np.log(1.03)
-_SCHEMA = "shingle long, node long, part long, n int, least int, most int"
+_SCHEMA = "shingle long, node long, part long, n int, least int, most int, map array<long>"
 
 
 def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
@@ -72,13 +77,24 @@ def _prefixes(bits: int, held, percent: int):
                 most = np.minimum((100 + percent) * (n - place) // percent - n, 100 * n // percent)
                 use = np.flatnonzero((kind > 0) & (most >= least))
                 at = pa.array(row[use])
-                columns = [pa.array(elements[use].view(np.int64)), part.column(0).take(at), part.column(1).take(at), *(pa.array(x[use].astype(np.int32)) for x in (n, least, most))]
-                yield pa.RecordBatch.from_arrays(columns, names=["shingle", "node", "part", "n", "least", "most"])
+                held_classes = np.zeros((len(sizes), MAP_BITS), bool)
+                held_classes[row, (X.mix(elements) % np.uint64(MAP_BITS)).astype(np.int64)] = True
+                maps = np.packbits(held_classes, axis=1).view(np.int64)
+                lists = pa.ListArray.from_arrays(np.arange(len(sizes) + 1, dtype=np.int32) * maps.shape[1], maps.ravel())
+                columns = [pa.array(elements[use].view(np.int64)), part.column(0).take(at), part.column(1).take(at), *(pa.array(x[use].astype(np.int32)) for x in (n, least, most)), lists.take(at)]
+                yield pa.RecordBatch.from_arrays(columns, names=["shingle", "node", "part", "n", "least", "most", "map"])
         X.release_memory()
 
     return emit
 
 
+def _maps_allow(percent: int) -> str:
+    """Condition that the sets may share enough, by the classes that one has and the other lacks."""
+    apart = lambda x, y: " + ".join(f"bit_count(map_{x}[{k}] & ~map_{y}[{k}])" for k in range(MAP_BITS // 64))
+    enough = lambda x, y: f"{100 + percent} * (n_{x} - ({apart(x, y)})) >= {percent} * (n_u + n_v)"
+    return f"{enough('u', 'v')} and {enough('v', 'u')}"
+
+
 def candidate_pairs(sets: DataFrame, percent: int) -> DataFrame:
     """(u, v), u > v: all pairs of nodes in different parts whose sets may reach ``percent``.
 
@@ -96,8 +112,8 @@ def candidate_pairs(sets: DataFrame, percent: int) -> DataFrame:
     shared = cut(shared.filter("lo < hi").select("shingle", F.col("top.part").alias("top")), "shared_prefixes")
     band = lambda c: F.floor(F.log(c) / F.lit(float(_BAND))).cast("int")
     asking = rows.join(shared, "shingle").filter("part <> top")
-    asking = asking.select("shingle", *[F.col(c).alias(f"{c}_u") for c in ("node", "part", "n", "least", "most")], F.explode(F.sequence(band("least"), band("most"))).alias("band"))
-    met = rows.select("shingle", *[F.col(c).alias(f"{c}_v") for c in ("node", "part", "n", "least", "most")], band("n").alias("band"))
-    fits = "part_u <> part_v and n_v between least_u and most_u and n_u between least_v and most_v"
+    asking = asking.select("shingle", *[F.col(c).alias(f"{c}_u") for c in ("node", "part", "n", "least", "most", "map")], F.explode(F.sequence(band("least"), band("most"))).alias("band"))
+    met = rows.select("shingle", *[F.col(c).alias(f"{c}_v") for c in ("node", "part", "n", "least", "most", "map")], band("n").alias("band"))
+    fits = "part_u <> part_v and n_v between least_u and most_u and n_u between least_v and most_v and " + _maps_allow(percent)
     pairs = asking.join(met, ["shingle", "band"]).filter(fits)
     return pairs.select(F.greatest("node_u", "node_v").alias("u"), F.least("node_u", "node_v").alias("v")).filter("u <> v").distinct()
