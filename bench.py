@@ -49,7 +49,7 @@ def main() -> None:
 
     from ledgerlake import schemas
     from ledgerlake.operators import history, index, refine, scd2
-    from ledgerlake.plans.index_job import update_index
+    from ledgerlake.plans.index_job import build_index_table, update_index_table
     from ledgerlake.plans.registered import BATCH_1, BATCH_2, CLOCK_1, CLOCK_2
     from ledgerlake.session import fresh_dir
     from ledgerlake.sinks import catalog
@@ -144,8 +144,11 @@ def main() -> None:
                 BATCH_2,
             ),
             f"{base}/history/users_history",
+            BATCH_2,
         ),
     )
+    # not timed: the published index that the one-day update starts from
+    build_index_table(spark, f"{base}/raw/transactions_dup", f"{db}.transaction_index", f"{base}/index", f"{base}/index_occurrences", BATCH_1)
     timed(
         "txn_index_build",
         lambda: write_partitioned(
@@ -159,7 +162,7 @@ def main() -> None:
 
     timed(
         "txn_index_update_one_day",
-        lambda: update_index(spark, f"{base}/raw/transactions_dup", f"{base}/raw/transaction_index", f"{base}/raw/transaction_index_2", [(2026, 4, 23)]),
+        lambda: update_index_table(spark, f"{base}/raw/transactions_dup", f"{db}.transaction_index", f"{base}/index", f"{base}/index_occurrences", [(2026, 4, 23)], BATCH_2),
     )
 
     def lookups():

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake import schemas
-from ledgerlake.functions.derived import same_values
+from ledgerlake.functions.derived import row_digest, same_values
 from ledgerlake.functions.quality import first_present
 from ledgerlake.operators.dedupe import latest_per_key, refuse_repeats
 from ledgerlake.operators.lineage import clock_column
@@ -94,6 +94,36 @@ def history_delta(
     return _checked(delta, incoming, order)
 
 
+def changed_rows(current: DataFrame, incoming: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """(user_id, digest, change_type) of the current rows that a delta logs, each once.
+
+    Found from keys and digests alone, so the attributes of unchanged rows,
+    which are most of a snapshot, are never shuffled. Rows are equal where
+    their SHA-256 digests are.
+    """
+    digest = row_digest(ATTRIBUTES)
+    inc = one_snapshot(incoming, order).select(F.col(KEY).alias("_k"), digest.alias("_inc"))
+    cur = current.filter(F.col(KEY).isNotNull()).select(KEY, digest.alias("digest"))
+    change_type = F.when(F.col("_inc").isNull(), F.lit("DELETE")).when(F.col("_inc") != F.col("digest"), F.lit("UPDATE"))
+    found = cur.join(inc, F.col(KEY) == F.col("_k"), "left_outer").select(KEY, "digest", change_type.alias("change_type"))
+    return _checked(found.filter(F.col("change_type").isNotNull()).distinct(), incoming, order)
+
+
+def before_images(current: DataFrame, changed: DataFrame, detected_at: _dt.datetime | str | None = None, batch_id: str = "") -> DataFrame:
+    """The delta of :func:`history_delta` from the rows that :func:`changed_rows` found.
+
+    ``changed`` is best a written table: where it is small, Spark knows so and
+    broadcasts it, and the current rows are not shuffled at all.
+    """
+    rows = current.filter(F.col(KEY).isNotNull()).withColumn("digest", row_digest(ATTRIBUTES))
+    return rows.join(changed, [KEY, "digest"]).select(
+        *schemas.USER_COLUMNS,
+        "change_type",
+        clock_column(detected_at).alias("change_detected_at"),
+        F.lit(batch_id).alias("batch_id"),
+    )
+
+
 def change_count(delta: DataFrame) -> DataFrame:
     """Number of logged changes as a one-row DataFrame (lazy; no driver action)."""
     return delta.agg(F.count(F.lit(1)).alias("change_count"))

@@ -101,8 +101,8 @@ def cards_refined(source: DataFrame, current_year: int | None = None, signed_mon
     return _cast_to(step, schemas.CARDS_REFINED)
 
 
-def transactions_refined(source: DataFrame, currency_from_raw: bool = False, signed_money: bool = False) -> DataFrame:
-    """transactions_refined (28 columns, txn year, month and day last).
+def transactions_refined(source: DataFrame, currency_from_raw: bool = False, signed_money: bool = False, keep: list[str] | None = None) -> DataFrame:
+    """transactions_refined (28 columns, txn year, month and day last), then the source columns ``keep``.
 
     When source and output are both ``amount`` the reference derives the
     currency code after ``amount`` has become a DOUBLE; no ``$`` is left, so
@@ -125,7 +125,8 @@ def transactions_refined(source: DataFrame, currency_from_raw: bool = False, sig
     layer1 += money
     layer1 += D.timestamp_parts(when, "txn_timestamp", "txn_year", "txn_month", "txn_day")
     layer1 += [F.col(c) for c in ["use_chip", "merchant_id", "merchant_city", "merchant_state", "zip", "mcc", "errors"]]
-    return _cast_to(source.select(*layer1), schemas.TRANSACTIONS_REFINED)
+    step = source.select(*layer1, *(keep or []))
+    return step.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.TRANSACTIONS_REFINED.fields], *(keep or []))
 
 
 def transactions_dated(refined: DataFrame) -> DataFrame:
@@ -135,6 +136,19 @@ def transactions_dated(refined: DataFrame) -> DataFrame:
     )
 
 
+def transactions_undated(refined: DataFrame) -> DataFrame:
+    """The rows that :func:`transactions_dated` leaves out."""
+    return refined.filter(F.col("txn_year").isNull() | F.col("txn_month").isNull() | F.col("txn_day").isNull())
+
+
+def flag_counts(refined: DataFrame) -> dict[str, Column]:
+    """Aggregates for a quality report: all rows, undated ones (transactions), and each true flag."""
+    counts = {"rows": F.count(F.lit(1))}
+    if "txn_year" in refined.columns:
+        counts["undated"] = F.count_if(F.col("txn_year").isNull() | F.col("txn_month").isNull() | F.col("txn_day").isNull())
+    return counts | {c: F.count_if(F.col(c)) for c in refined.columns if c.endswith("_flag")}
+
+
 def month_keys(refined: DataFrame) -> DataFrame:
     """Distinct (txn_year, txn_month) of dated rows, ascending."""
     return (

@@ -335,6 +335,16 @@ ORACLE["ingest_tables"] = " UNION ALL ".join(
     for t, label in (("customer", "users_data.csv"), ("part", "cards_data.csv"), ("orders", "transactions_data.csv"))
     for day in (23, 24)
 )
+for _name, _table, _label in (("users", "customer", "users_data.csv"), ("cards", "part", "cards_data.csv"), ("transactions", "orders", "transactions_data.csv")):
+    ORACLE[f"ingest_{_name}"] = " UNION ALL ".join(_ingested(_table, _label, day) for day in (23, 24))
+
+_DRIFT = (
+    "drifting",
+    "SELECT * REPLACE (CASE WHEN ingest_day = 22 THEN CAST(CAST(replace(amount, '$', '') AS DOUBLE) AS VARCHAR) ELSE amount END AS amount, "
+    "CASE WHEN ingest_day = 22 THEN NULL ELSE errors END AS errors), CASE WHEN ingest_day = 23 THEN use_chip END AS channel FROM transactions",
+)
+ORACLE["raw_reconciled_days"] = with_chain([_DRIFT], "SELECT * FROM drifting", ["transactions"])
+ORACLE["transactions_refined_drifting"] = with_chain([_DRIFT, ("tr", RS.transactions_refined("drifting"))], "SELECT * FROM tr", ["transactions"])
 ORACLE["ingest_latest_batch_catalog"] = _ingested("customer", "users_data.csv", 24)
 
 _CLOCK_3, _BATCH_3 = "TIMESTAMP '2026-04-25 04:22:19'", "'20260425_042219'"
@@ -348,6 +358,8 @@ _BACK = (
 ORACLE["users_history_append"] = with_chain(
     _DELTA + [_BACK], "SELECT * FROM delta UNION ALL SELECT * FROM delta_back", ["users_1", "users_2"]
 )
+ORACLE["users_history_narrow"] = ORACLE["users_history_append"]
+ORACLE["users_history_unchanged_rerun"] = ORACLE["users_history_delta"]
 ORACLE["users_current_refresh"] = with_chain(_UN, "SELECT * FROM u2n", ["users_1", "users_2"])
 ORACLE["scd2_roundtrip"] = ORACLE["scd2_merge"]
 ORACLE["scd2_split_roundtrip"] = ORACLE["scd2_merge"]
@@ -376,3 +388,25 @@ ORACLE["warehouse_transactions"] = with_chain(
     ["transactions"],
 )
 ORACLE["transactions_stream_roundtrip"] = ORACLE["transactions_dated"]
+ORACLE["transactions_stream_reingested"] = ORACLE["transactions_dated"]
+
+
+def _report(table: str, flags: list[str], more: str = "") -> str:
+    """One row per count: all rows, the counts ``more`` and the true values of each flag."""
+    counts = ["SELECT 'rows' AS metric, count(*) AS value FROM " + table, *([more] if more else [])]
+    counts += [f"SELECT '{f}', count(*) FROM {table} WHERE {f}" for f in flags]
+    return " UNION ALL ".join(counts)
+
+
+_UNDATED = "txn_year IS NULL OR txn_month IS NULL OR txn_day IS NULL"
+_TXN_FLAGS = [f"{c}_{kind}_flag" for c in ("transaction_id", "client_id", "card_id", "amount") for kind in ("null", "unknown")]
+ORACLE["transactions_rejects"] = with_chain([("tr", RS.transactions_refined("transactions"))], f"SELECT * FROM tr WHERE {_UNDATED}", ["transactions"])
+ORACLE["transactions_quality_report"] = with_chain(
+    [("tr", RS.transactions_refined("transactions"))],
+    f"SELECT metric, value, {BATCH_1} AS batch_id FROM ({_report('tr', _TXN_FLAGS, f"SELECT 'undated', count(*) FROM tr WHERE {_UNDATED}")})",
+    ["transactions"],
+)
+_NULLS = ["user_id", "current_age", "retirement_age", "birth_year", "birth_month", "latitude", "longitude", "credit_score", "num_credit_cards"]
+_NULLS += [f"{c}_amount" for c in ("per_capita_income", "yearly_income", "total_debt")]
+_USER_FLAGS = [f"{c}_{kind}_flag" for c in _NULLS for kind in ("null", "unknown")] + [f"{c}_outlier_flag" for c in ("birth_year", "current_age", "retirement_age")]
+ORACLE["users_quality_report"] = with_chain(USERS_REFINED, _report("users_refined", _USER_FLAGS), ["users"])

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake import schemas
-from ledgerlake.operators.history import history_delta, normalize_users, one_snapshot
-from ledgerlake.session import batch_id_for
+from ledgerlake.operators.history import before_images, changed_rows, history_delta, normalize_users, one_snapshot
+from ledgerlake.session import batch_id_for, fresh_dir
 from ledgerlake.sinks.publish import publish_version
 from ledgerlake.sinks.writers import append_batch
 
@@ -24,6 +24,7 @@ def run_users_history(
     current_table: str | None = None,
     bucket_count: int | None = None,
     order: list[str] | None = None,
+    narrow: bool = False,
 ) -> DataFrame:
     """Append this batch's UPDATE/DELETE before images and publish the new snapshot.
 
@@ -36,11 +37,19 @@ def run_users_history(
     cannot be split by AQE the way a shuffled one can.
     ``order``: columns of ``incoming`` that decide between rows with the same
     key, in the log and in the published snapshot alike; without it a repeated
-    key is an error. Returns this batch's part of the log, read from its files.
+    key is an error. ``narrow`` compares keys and digests first and fetches the
+    changed rows afterwards: less to shuffle where few rows change.
+    Returns this batch's part of the log, read from its files.
     """
     batch_id = batch_id or batch_id_for(clock)
     cur, inc = normalize_users(current), normalize_users(incoming, keep=order)
-    delta = history_delta(cur, inc, detected_at=clock, batch_id=batch_id, order=order)
+    if narrow:
+        found = changed_rows(cur, inc, order)
+        path = fresh_dir(current.sparkSession, "changed_rows")
+        found.write.parquet(path)
+        delta = before_images(cur, current.sparkSession.read.schema(found.schema).parquet(path), clock, batch_id)
+    else:
+        delta = history_delta(cur, inc, detected_at=clock, batch_id=batch_id, order=order)
     append_batch(delta, history_path, batch_id)
     bucket_by = (bucket_count, "user_id") if bucket_count and current_table else None
     kept = inc.filter("user_id is null").unionByName(one_snapshot(inc, order)).select(*schemas.USER_COLUMNS)

@@ -32,7 +32,7 @@ from ledgerlake.plans.corrections_job import apply_corrections
 from ledgerlake.plans.warehouse import RefineTargets, run_warehouse
 from ledgerlake.session import batch_id_for, fresh_dir
 from ledgerlake.sinks import catalog
-from ledgerlake.sinks.writers import append_batch, append_refined_transactions, write_partitioned
+from ledgerlake.sinks.writers import append_batch, append_refined_transactions, append_with_rejects, write_observed, write_partitioned
 from ledgerlake.sources import parquet as P
 from ledgerlake.sources import tpch_fixtures as X
 from ledgerlake.streaming.transactions_stream import start_transactions_append
@@ -535,6 +535,35 @@ def q_transactions_append_rerun(spark, sf):
     return spark.read.schema(schemas.TRANSACTIONS_REFINED).parquet(path)
 
 
+def _with_rejects(spark, sf, name: str) -> str:
+    base = fresh_dir(spark, name)
+    refined = refine.transactions_refined(X.transactions(spark, sf))
+    append_with_rejects(refined, f"{base}/refined", f"{base}/rejects", f"{base}/report", BATCH_1)
+    return base
+
+
+@register
+def q_transactions_rejects(spark, sf):
+    """The undated transactions that an append keeps apart."""
+    columns = [f.name for f in schemas.TRANSACTIONS_REFINED.fields]
+    return spark.read.schema(schemas.TRANSACTIONS_REFINED).parquet(f"{_with_rejects(spark, sf, 'rejects')}/rejects").select(*columns)
+
+
+@register
+def q_transactions_quality_report(spark, sf):
+    """Null, unknown and undated counts that the writing pass of an append took."""
+    return spark.read.schema("metric string, value long, batch_id string").parquet(f"{_with_rejects(spark, sf, 'report')}/report")
+
+
+@register
+def q_users_quality_report(spark, sf):
+    """Null, unknown and outlier counts that the writing pass of users_refined took."""
+    path = fresh_dir(spark, "users_observed")
+    df = refine.users_refined(X.users(spark, sf), current_year=CURRENT_YEAR)
+    counts = write_observed(df, path, schemas.USERS_REFINED_PARTITIONS)
+    return spark.createDataFrame(sorted(counts.items()), "metric string, value long")
+
+
 @register
 def q_cards_refined_rewrite(spark, sf):
     """cards_refined written twice by the job's write; the second dimension starts in another month."""
@@ -587,6 +616,49 @@ def q_ingest_tables(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def _ingested_table(name: str) -> Query:
+    """A query that gives all columns of one ingested table, both days."""
+    def query(spark, sf):
+        return spark.read.parquet(_ingested(spark, sf)[name])
+
+    query.__name__ = f"q_ingest_{name}"
+    return query
+
+
+for _name in ("users", "cards", "transactions"):
+    register(_ingested_table(_name))
+
+
+def _drifting_days(spark, sf, base: str) -> DataFrame:
+    """Raw transactions by ingest day, as a source whose columns change would leave them.
+
+    Day 22 lacks ``errors`` and has ``amount`` as a number and ``client_id`` as
+    an INT; day 23 has a new column ``channel`` and ``mcc`` as an INT.
+    """
+    raw = X.transactions(spark, sf)
+    number = F.regexp_replace("amount", "[$]", "").cast("double")
+    days = {
+        21: raw,
+        22: raw.drop("errors").withColumns({"amount": number, "client_id": F.col("client_id").cast("int")}),
+        23: raw.withColumns({"mcc": F.col("mcc").cast("int"), "channel": F.col("use_chip")}),
+    }
+    for day, rows in days.items():
+        write_partitioned(rows.filter(F.col("ingest_day") == day), base, schemas.INGEST_PARTITIONS)
+    return P.read_reconciled(spark, base)
+
+
+@register
+def q_raw_reconciled_days(spark, sf):
+    """Ingest days whose columns differ, read as one table."""
+    return _drifting_days(spark, sf, fresh_dir(spark, "drift"))
+
+
+@register
+def q_transactions_refined_drifting(spark, sf):
+    """The refined transactions of those days."""
+    return refine.transactions_refined(_drifting_days(spark, sf, fresh_dir(spark, "drift_refined")))
+
+
 @register
 def q_ingest_latest_batch_catalog(spark, sf):
     """The ingest job registers its tables; the latest batch comes from SHOW PARTITIONS."""
@@ -605,6 +677,27 @@ def q_users_history_append(spark, sf):
     return spark.read.schema(schemas.users_history_schema()).parquet(f"{base}/history")
 
 
+@register
+def q_users_history_narrow(spark, sf):
+    """As users_history_append, with keys and digests compared first."""
+    base = fresh_dir(spark, "users_history_narrow")
+    u1, u2 = X.users_snapshot_1(spark, sf), X.users_snapshot_2(spark, sf)
+    run_users_history(u1, u2, f"{base}/history", f"{base}/current", CLOCK_2, BATCH_2, narrow=True)
+    run_users_history(u2, u1, f"{base}/history", f"{base}/current", CLOCK_3, BATCH_3, narrow=True)
+    return spark.read.schema(schemas.users_history_schema()).parquet(f"{base}/history")
+
+
+@register
+def q_users_history_unchanged_rerun(spark, sf):
+    """A batch is run, then run again after the snapshot was taken back: its part of the log is empty."""
+    base = fresh_dir(spark, "users_history_rerun")
+    u1, u2 = X.users_snapshot_1(spark, sf), X.users_snapshot_2(spark, sf)
+    run_users_history(u1, u2, f"{base}/history", f"{base}/current", CLOCK_2, BATCH_2)
+    run_users_history(u2, u1, f"{base}/history", f"{base}/current", CLOCK_3, BATCH_3)
+    run_users_history(u2, u2, f"{base}/history", f"{base}/current", CLOCK_3, BATCH_3)
+    return spark.read.schema(schemas.users_history_schema()).parquet(f"{base}/history")
+
+
 @register
 def q_users_current_refresh(spark, sf):
     """Snapshot refresh through a catalog table moved between versions."""
@@ -744,3 +837,16 @@ def q_transactions_stream_roundtrip(spark, sf):
         q = start_transactions_append(spark, f"{base}/raw", f"{base}/out", f"{base}/checkpoint", schema)
         q.awaitTermination()
     return spark.read.schema(schemas.TRANSACTIONS_REFINED).parquet(f"{base}/out")
+
+
+@register
+def q_transactions_stream_reingested(spark, sf):
+    """Day 23 is ingested again, an hour later and as new files; the stream refines each row once."""
+    base = fresh_dir(spark, "stream_reingested")
+    raw = X.transactions(spark, sf)
+    again = raw.filter(F.col("ingest_day") == 23).withColumn("ingest_time", F.expr("ingest_time + interval 1 hour"))
+    for rows in (raw, again):
+        write_partitioned(rows, f"{base}/raw", schemas.INGEST_PARTITIONS, mode="append")
+        q = start_transactions_append(spark, f"{base}/raw", f"{base}/out", f"{base}/checkpoint", raw.schema, dedupe_within="30 days")
+        q.awaitTermination()
+    return spark.read.schema(schemas.TRANSACTIONS_REFINED).parquet(f"{base}/out")

@@ -15,12 +15,13 @@ from __future__ import annotations
 import re
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerlake import schemas
+from ledgerlake.functions.derived import row_digest
 from ledgerlake.operators.dedupe import latest_per_key
-from ledgerlake.operators.refine import transactions_dated
+from ledgerlake.operators.refine import flag_counts, transactions_dated, transactions_undated
 
 
 def write_partitioned(
@@ -133,6 +134,12 @@ def _row_key() -> Column:
     return F.struct(F.col("transaction_id_raw").alias("id"), F.when(F.col("transaction_id_raw").isNull(), values).alias("values"))
 
 
+def row_identity() -> Column:
+    """Digest of what tells refined transactions apart: the day and the raw id, else all raw values."""
+    parts = schemas.TRANSACTIONS_REFINED_PARTITIONS
+    return F.when(F.col("transaction_id_raw").isNotNull(), row_digest([*parts, "transaction_id_raw"])).otherwise(row_digest([*parts, *_WITHOUT_ID]))
+
+
 def append_refined_transactions(
     refined: DataFrame,
     path: str | None = None,
@@ -190,3 +197,40 @@ def append_refined_transactions(
         writer.insertInto(table)
     else:
         write_partitioned(batch, path, parts, mode="append", rebalance=True, max_records_per_file=max_records_per_file)
+
+
+def write_observed(df: DataFrame, path: str, partition_by: list[str], keep: Column | None = None, mode: str = "append", max_records_per_file: int = 200000) -> dict[str, int]:
+    """Write a refined table and return its quality counts, taken by the writing pass.
+
+    The counts (:func:`ledgerlake.operators.refine.flag_counts`) are an
+    ``Observation`` behind the shuffle that sizes the files: there each row
+    passes in the stage that writes, where a task that is run again counts
+    once. ``keep``: of the counted rows, those to write.
+    """
+    observed = Observation()
+    rows = df.hint("rebalance", *partition_by).observe(observed, *[c.alias(name) for name, c in flag_counts(df).items()])
+    write_partitioned(rows if keep is None else rows.filter(keep), path, partition_by, mode=mode, max_records_per_file=max_records_per_file)
+    return {name: int(n or 0) for name, n in observed.get.items()}
+
+
+def append_with_rejects(refined: DataFrame, path: str, rejects_path: str, report_path: str, batch_id: str, max_records_per_file: int = 200000) -> dict[str, int]:
+    """Append refined transactions, keep the undated ones, and log the batch's quality counts.
+
+    One pass writes the dated rows and counts nulls, unknowns and undated rows
+    of the batch. Undated rows, which have no partition to stand in, go to
+    ``rejects_path``, partitioned by batch; the batch is read a second time for
+    that only if there are any. ``report_path`` gets a row per count. Both are
+    replaced when a batch is run again; the append itself is not idempotent
+    (see :func:`append_refined_transactions`).
+    """
+    if has_sink_log(refined.sparkSession, path):
+        raise ValueError(f"{path} belongs to a streaming sink; append through the stream or to another path")
+    parts = schemas.TRANSACTIONS_REFINED_PARTITIONS
+    columns = [f.name for f in schemas.TRANSACTIONS_REFINED.fields]
+    dated = F.col("txn_year").isNotNull() & F.col("txn_month").isNotNull() & F.col("txn_day").isNotNull()
+    counts = write_observed(refined.select(*columns), path, parts, dated, max_records_per_file=max_records_per_file)
+    undated = transactions_undated(refined).select(*columns)
+    append_batch(undated if counts["undated"] else undated.limit(0), rejects_path, batch_id)
+    report = refined.sparkSession.createDataFrame(sorted(counts.items()), "metric string, value long")
+    append_batch(report.coalesce(1), report_path, batch_id)
+    return counts

@@ -3,13 +3,16 @@
 The reference reads each table through a single connection (one task). Given
 a numeric ``partition_column``, the read is split into ``num_partitions``
 range queries over [lower_bound, upper_bound]; missing bounds are fetched
-with one ``min``/``max`` query (a single row). Connection details are
-arguments - nothing is stored in the code.
+with one ``min``/``max`` query (a single row). Where the column's values are
+not spread evenly, equal ranges make one connection read most rows;
+:func:`read_jdbc_quantiles` splits at quantiles of the column instead.
+Connection details are arguments - nothing is stored in the code.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def jdbc_options(
@@ -88,3 +91,39 @@ def read_jdbc(
 def read_jdbc_table(spark: SparkSession, url: str, table: str, properties: dict) -> DataFrame:
     """Function form, ``spark.read.jdbc(url, table, properties=...)``."""
     return spark.read.jdbc(url=url, table=table, properties=properties)
+
+
+def quantile_bounds(keys: DataFrame, column: str, num_partitions: int, error: float = 0.001) -> list:
+    """At most ``num_partitions - 1`` ascending values that part the column's rows evenly.
+
+    One pass with mergeable summaries (``approx_percentile``); a value that
+    holds several shares of the rows stands once, so its split is larger and
+    the number of splits smaller.
+    """
+    shares = [F.lit(i / num_partitions) for i in range(1, num_partitions)]
+    if not shares:
+        return []
+    found = keys.agg(F.approx_percentile(column, F.array(*shares), F.lit(int(1 / error))).alias("q")).first()["q"]
+    return sorted(set(found or []))
+
+
+def split_predicates(column: str, bounds: list) -> list[str]:
+    """Conditions, one a split; every row, also one without a key, meets exactly one."""
+    if not bounds:
+        return ["1 = 1"]
+    first = f"{column} < {bounds[0]} OR {column} IS NULL"
+    middle = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(bounds[:-1], bounds[1:])]
+    return [first, *middle, f"{column} >= {bounds[-1]}"]
+
+
+def read_jdbc_quantiles(spark: SparkSession, url: str, table: str, column: str, num_partitions: int | None = None, **conn) -> DataFrame:
+    """One table, split at the quantiles of a numeric column.
+
+    The column alone is read first (an index-only scan where the database has
+    one), itself in equal ranges, to find the bounds.
+    """
+    num_partitions = num_partitions or spark.sparkContext.defaultParallelism
+    narrow = read_jdbc(spark, url, f"(SELECT {column} FROM {table}) k", column, num_partitions, **conn)
+    predicates = split_predicates(column, quantile_bounds(narrow, column, num_partitions))
+    properties = jdbc_options(url, table, **conn)
+    return spark.read.jdbc(url=properties.pop("url"), table=properties.pop("dbtable"), predicates=predicates, properties=properties)

@@ -1,4 +1,4 @@
-"""Raw tables: the latest ingest batch, batch keys."""
+"""Raw tables: the latest ingest batch, batch keys, ingest days whose columns differ."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlake import schemas
 
@@ -96,3 +97,75 @@ def latest_batch(df: DataFrame, parts: list[str] | None = None) -> DataFrame:
         return df
     LOG.info("latest batch: %s", "-".join(str(v) for v in key))
     return _filter_key(df, parts, key)
+
+
+# --- ingest days whose columns differ ------------------------------------------
+
+_WHOLE = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
+
+
+def wider_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """A type that holds the values of both: the wider number, else text.
+
+    Whole numbers widen among each other; with a DOUBLE the result is DOUBLE up
+    to INT and text for BIGINT, whose values a DOUBLE does not all hold; FLOAT
+    with DOUBLE is DOUBLE; two decimals give one with the digits of both, if 38
+    suffice. DATE with TIMESTAMP is TIMESTAMP. Anything else is read as text.
+    """
+    if a == b:
+        return a
+    if isinstance(a, T.NullType) or isinstance(b, T.NullType):
+        return b if isinstance(a, T.NullType) else a
+    if a in _WHOLE and b in _WHOLE:
+        return max(a, b, key=_WHOLE.index)
+    kinds = {type(a), type(b)}
+    if kinds == {T.FloatType, T.DoubleType}:
+        return T.DoubleType()
+    if T.DoubleType in kinds and kinds & {T.ByteType, T.ShortType, T.IntegerType}:
+        return T.DoubleType()
+    if kinds == {T.DecimalType}:
+        scale = max(a.scale, b.scale)
+        whole = max(a.precision - a.scale, b.precision - b.scale)
+        return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else T.StringType()
+    if kinds == {T.DateType, T.TimestampType}:
+        return T.TimestampType()
+    return T.StringType()
+
+
+def reconciled_schema(schemas_: list[T.StructType]) -> T.StructType:
+    """All columns of the schemas in order of appearance, each with a type that holds all its values."""
+    types: dict[str, T.DataType] = {}
+    for schema in schemas_:
+        for f in schema.fields:
+            types[f.name] = wider_type(types[f.name], f.dataType) if f.name in types else f.dataType
+    return T.StructType([T.StructField(name, kind) for name, kind in types.items()])
+
+
+def read_reconciled(spark: SparkSession, path: str, parts: list[str] | None = None) -> DataFrame:
+    """A table partitioned by ingest day, whose days may differ in their columns.
+
+    A column that a day lacks is NULL there; one whose type differs is read
+    with each day's own type and cast to :func:`wider_type`. Days with the same
+    schema are read by one scan, so the plan has as many scans as there are
+    schemas, and filters on the ingest columns prune days in each. Schemas come
+    from one footer a day.
+    """
+    parts = parts or schemas.INGEST_PARTITIONS
+    root = path.rstrip("/")
+    days = sorted(tuple(r) for r in spark.read.parquet(root).select(*parts).distinct().collect())
+    if not days:
+        return spark.read.parquet(root)
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    for day in days:
+        place = f"{root}/" + "/".join(f"{p}={v}" for p, v in zip(parts, day))
+        schema = spark.read.parquet(place).schema
+        groups.setdefault(schema.simpleString(), (schema, []))[1].append(place)
+    whole = reconciled_schema([schema for schema, _ in groups.values()])
+    out = None
+    for schema, places in groups.values():
+        read = T.StructType([*schema.fields, *[T.StructField(p, T.IntegerType()) for p in parts]])
+        day_rows = spark.read.schema(read).option("basePath", root).parquet(*places)
+        columns = [(F.col(f.name).cast(f.dataType) if f.name in schema.names else F.lit(None).cast(f.dataType)).alias(f.name) for f in whole.fields]
+        part = day_rows.select(*columns, *parts)
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -6,7 +6,16 @@ directory, every raw file is refined exactly once: the checkpoint records
 which files were read and the parquet sink's log records which output files
 were committed, so a restarted or retried query neither skips nor repeats
 rows. The refine itself is the same stateless projection as the batch
-builder; no state store is involved.
+builder, and by default no state store is involved.
+
+A day that is ingested again arrives as new files. With ``dedupe_within`` the
+stream keeps the digest of every row's identity (its day and raw id; without
+an id, all raw values) in Spark's state store and drops rows it has seen. The
+event time is ``ingest_time``, so the state holds what was ingested in that
+time span before the newest row and no more: a day that is ingested again
+later than that is refined again, and rows that arrive with an ``ingest_time``
+older than the span are dropped as late (the progress of the query counts them;
+ingestion stamps rows with its own clock, so only old files copied in can be).
 
 ``trigger(availableNow=True)`` processes what has arrived and stops, which
 makes the stream usable as a scheduled job.
@@ -20,6 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake import schemas
 from ledgerlake.operators.refine import transactions_dated, transactions_refined
+from ledgerlake.sinks.writers import row_identity
 
 
 def raw_transactions_stream(
@@ -40,9 +50,17 @@ def refined_transactions_stream(
     raw_path: str,
     schema: T.StructType,
     max_files_per_trigger: int | None = None,
+    dedupe_within: str | None = None,
 ) -> DataFrame:
     """Dated, refined transactions as a streaming DataFrame."""
-    return transactions_dated(transactions_refined(raw_transactions_stream(spark, raw_path, schema, max_files_per_trigger)))
+    raw = raw_transactions_stream(spark, raw_path, schema, max_files_per_trigger)
+    if dedupe_within is None:
+        return transactions_dated(transactions_refined(raw))
+    raw = raw.withWatermark("ingest_time", dedupe_within)
+    rows = transactions_dated(transactions_refined(raw, keep=["ingest_time"]))
+    # 32 bytes of state a row, dealt to the state store's partitions by the digest
+    fresh = rows.withColumn("_key", row_identity()).dropDuplicatesWithinWatermark(["_key"])
+    return fresh.select(*[f.name for f in schemas.TRANSACTIONS_REFINED.fields])
 
 
 def start_transactions_append(
@@ -55,14 +73,19 @@ def start_transactions_append(
     processing_time: str | None = None,
     max_files_per_trigger: int | None = None,
     max_records_per_file: int = 200000,
+    dedupe_within: str | None = None,
 ) -> StreamingQuery:
     """Start the append stream into ``out_path`` partitioned by txn year / month / day.
 
+    ``dedupe_within`` (such as ``"30 days"``): drop rows that were seen within
+    this span of ingest time; see the module notes. It is a part of the
+    checkpointed query, so it is given from the first run on or never.
+
     ``checkpoint`` must be on shared storage (for example below
     ``spark.checkpoint.dir``); it is what makes restarts exactly-once.
     """
     writer = (
-        refined_transactions_stream(spark, raw_path, schema, max_files_per_trigger)
+        refined_transactions_stream(spark, raw_path, schema, max_files_per_trigger, dedupe_within)
         .writeStream.format("parquet")
         .option("path", out_path)
         .option("checkpointLocation", checkpoint)
