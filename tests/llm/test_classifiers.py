@@ -109,46 +109,92 @@ def test_passages_cover_the_whole_text():
     assert sizes.tolist() == [1, 1, 16, 1, 2]
 
 
-def reference_bits(counts, text, options):
+def reference_bits(learned, text, order):
     """Code length of a text, byte by byte, straight from the definition."""
-    tables = P.CodeTables({"x": counts}, **options)
-    symbol, S = tables.symbol, tables.S
+    start = [10] * order
     seen = {}
-    for gram, n in zip(counts[0].tolist(), counts[1].tolist()):
-        b = [int(symbol[(gram >> s) & 255]) for s in (24, 16, 8, 0)]
-        for k in range(4):
-            seen.setdefault(tuple(b[3 - k : 3]), {}).setdefault(b[3], 0)
-            seen[tuple(b[3 - k : 3])][b[3]] += n
-    rare = 256 - (S - 1)
-
-    def bits(context, s):
-        if context is None:
-            return 8.0 if s < S - 1 else 8.0 - math.log2(rare)
+    for t in learned:
+        data = start + list(t.encode())
+        for at in range(order, len(data)):
+            for k in range(order + 1):
+                here = seen.setdefault(tuple(data[at - k : at]), {})
+                here[data[at]] = here.get(data[at], 0) + 1
+
+    def bits(context, byte):
         here = seen.get(context, {})
-        shorter = context[1:] if context else None
-        if len(context) == 3 and sum(here.values()) < options.get("min_context", 2):
-            return bits(shorter, s)
         total, kinds = sum(here.values()), len(here)
-        if s in here:
-            return math.log2((total + kinds) / here[s])
-        return (math.log2((total + kinds) / kinds) if total else 0.0) + bits(shorter, s)
-
-    data = [int(symbol[b]) for b in [10, 10, 10] + list(text.encode())]
-    return sum(bits(tuple(data[k - 3 : k]), data[k]) + (math.log2(rare) if data[k] == S - 1 else 0.0) for k in range(3, len(data)))
-
-
-@pytest.mark.parametrize("options", [{}, {"symbols": 12, "min_context": 3}])
-def test_code_lengths_follow_the_definition(options):
-    learn = pa.RecordBatch.from_arrays([pa.array(["the cat sat on the mat, the end", "on the way to the sea"]), pa.array(["x", "x"])], names=["text", "lang"])
-    (out,) = P._grams([learn])
-    counts = (out.column(1).to_numpy().astype(np.uint32), out.column(2).to_numpy())
-    order = np.argsort(counts[0])
-    counts = (counts[0][order], counts[1][order])
-    texts = ["the sea sat", "", "zzz ÿ the", "t"]
+        if byte in here:
+            return math.log2((total + kinds) / here[byte])
+        escape = math.log2((total + kinds) / kinds) if total else 0.0
+        return escape + (bits(context[1:], byte) if context else 8.0)
+
+    data = start + list(text.encode())
+    return sum(bits(tuple(data[at - order : at]), data[at]) for at in range(order, len(data)))
+
+
+def learned_counts(texts, order):
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(["x"] * len(texts))], names=["text", "lang"])
+    (out,) = P._grams(order)([batch])
+    counts = out.column(1).to_numpy().view(np.uint64), out.column(2).to_numpy()
+    by = np.argsort(counts[0])
+    return counts[0][by], counts[1][by]
+
+
+SCRIPTS = "".join(chr(c) for block in (0x21, 0xA1, 0x391, 0x410, 0x531, 0x5D0, 0x621, 0x905, 0x3042, 0x4E00, 0xAC00, 0x1F600) for c in range(block, block + 60))
+
+
+@pytest.mark.parametrize("order", [0, 2, 4, 6])
+def test_code_lengths_follow_the_definition(order):
+    learn = ["the cat sat on the mat, the end", "on the way to the sea", SCRIPTS * 2]
+    assert len(set(SCRIPTS.encode())) > 111
+    tables = P.CodeTables({"x": learned_counts(learn, order)}, order)
+    texts = ["the sea sat", "", "zzz ÿ the", "t", SCRIPTS[::-1], "\U00010348 \x7f"]
     got = []
     for _, data, offsets in X_slices(texts):
-        got += P.CodeTables({"x": counts}, **options).bits(data, offsets)[:, 0].tolist()
-    assert got == pytest.approx([reference_bits(counts, t, options) for t in texts], rel=1e-4)
+        got += tables.bits(data, offsets)[:, 0].tolist()
+    assert got == pytest.approx([reference_bits(learn, t, order) for t in texts], rel=1e-4)
+
+
+def test_trees_leave_no_context_out():
+    rng = random.Random(3)
+    text = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(400_000))
+    tree = P.ContextTree(*learned_counts([text], 4), 4)
+    assert len(tree.escapes[4].keys) > 200_000
+    contexts = {text[k : k + 4] for k in range(len(text) - 4)}
+    assert len(tree.escapes[4].keys) == len(contexts) + 4  # and those that reach before the text
+
+
+def test_fifty_languages_within_memory_and_texts_of_no_language(spark):
+    import tracemalloc
+
+    rng = random.Random(4)
+    letters = [rng.sample(SCRIPTS, 25) for _ in range(50)]
+    word = lambda k: "".join(rng.choice(letters[k][:8] if rng.random() < 0.7 else letters[k]) for _ in range(rng.randint(2, 7)))
+    vocabulary = [[word(k) for _ in range(200)] for k in range(50)]
+    text = lambda k, n: " ".join(rng.choice(vocabulary[k]) for _ in range(n))
+    rows = [(i, text(i % 50, 60), f"l{i % 50:02d}") for i in range(1500)]
+    noise = "".join(chr(rng.choice([*range(0x21, 0x7E)])) + (" " if rng.random() < 0.1 else "") for _ in range(600))
+    rows += [(5000, noise, None), (5001, text(7, 50), None), (5002, "x", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learn = F.col("doc_id") < 1000
+    got = {r["doc_id"]: r["lang_pred"] for r in P.identify(df, learn).collect()}
+    assert sum(got[i] == f"l{i % 50:02d}" for i in range(1000, 1500)) > 490
+    kept = {r["doc_id"] for r in P.keep_identified(df, learn).collect()}
+    assert 5000 not in kept and 5001 in kept and len(kept & set(range(1500))) > 1470
+    counts = P.learn(df.filter(learn))
+    tracemalloc.start()
+    P.CodeTables(counts)
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(counts) == 50 and held < 60 * sum(len(g) for g, _ in counts.values())
+
+
+def test_language_ties_repeated_ids_and_long_texts(spark):
+    same = "a b a b"
+    rows = [(i, same, lang) for i, lang in enumerate(["de", "en"] * 5)] + [(50, same, None), (50, "b a", None), (51, same * 200_000, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = [(r["doc_id"], r["lang_pred"], r["score"]) for r in P.identify(df, F.col("doc_id") < 10).collect() if r["doc_id"] >= 50]
+    assert sorted(got) == [(50, "de", 0.5), (50, "de", 0.5), (51, "de", 0.5)]
 
 
 def X_slices(texts):
