@@ -17,6 +17,7 @@ from ledgerlake.llm import multiset_hash as M
 from ledgerlake.llm.fair_mix import mix, mix_plan
 from ledgerlake.llm.warc_revisit import parse_archive, read_archives, write_archives
 from ledgerlake.session import fresh_dir
+from tests.conftest import confs
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -70,11 +71,15 @@ def test_fingerprints_ignore_order_and_follow_insertion_and_deletion(spark):
 
 def test_fingerprint_words_equal_a_plain_sum(spark):
     text = "A b. C d! E\n\n\nF. A b."
-    hashes = [r["h"] for r in spark.createDataFrame([("A b.",), ("C d!",), ("E",), ("F.",), ("A b.",)], "p string").select(F.xxhash64("p").alias("h")).collect()]
+    pieces = spark.createDataFrame([("A b.",), ("C d!",), ("E",), ("F.",), ("A b.",)], "p string")
+    hashes = [r["h"] for r in pieces.select(F.array(*[F.xxhash64(F.lit(k), "p") for k in range(M.SEEDS)]).alias("h")).collect()]
     (words,) = prints(spark, [text])
-    for k in range(M.NARROW):
-        lanes = [sum(((h % (1 << 64)) >> k >> at) & 1 for h in hashes) % (1 << 16) for at in M.LANES]
-        assert words[k] == sum(v << at for v, at in zip(lanes, M.LANES))
+    for seed in range(M.SEEDS):
+        own = [h[seed] % (1 << 64) for h in hashes]
+        for k in range(M.EACH):
+            lanes = [sum((h >> k >> at) & 1 for h in own) for at in M.LANES]
+            assert words[seed * M.EACH + k] == sum(v << at for v, at in zip(lanes, M.LANES))
+        assert words[M.NARROW + seed] == sum(h & M._SIXTY for h in own) & M._SIXTY
     assert words[-1] == 5
 
 
@@ -99,7 +104,7 @@ def test_edited_fingerprints_equal_brute_force(spark):
     def like(a, b):
         if a == b:
             return 1.0
-        x, y = ([((2 * ((w >> at) & 0xFFFF) - f[-1] + 32768) % 65536) - 32768 for w in f[: M.NARROW] for at in M.LANES] for f in (a, b))
+        x, y = ([((2 * ((w >> at) & 0xFFFFF) - f[-1] + 2**19) % 2**20) - 2**19 for w in f[: M.NARROW] for at in M.LANES] for f in (a, b))
         norm = sum(v * v for v in x + y)
         return min(1.0, max(0.0, 2 * sum(p * q for p, q in zip(x, y)) / norm)) if norm else 0.0
 
@@ -107,6 +112,42 @@ def test_edited_fingerprints_equal_brute_force(spark):
         assert r["near_edited"] == pytest.approx(like(own[k], other[k])) and r["near_next"] == pytest.approx(like(own[k], own[(k + 1) % len(own)]))
 
 
+def test_likeness_of_texts_that_share_paragraphs(spark):
+    """The estimate's error is that of 252 lanes, and many repeats of a paragraph do not wrap a lane."""
+    rng = random.Random(6)
+    pool = [f"Paragraph {k} of the pool." for k in range(400)]
+    rows, shares = [], []
+    for i in range(120):
+        base = rng.sample(pool, 40)
+        keep = rng.randint(0, 40)
+        other = base[:keep] + rng.sample([p for p in pool if p not in base], 40 - keep)
+        rows.append((i, "\n".join(base), "\n".join(other)))
+        shares.append(keep / 40)
+    rows.append((500, "a\n" * 40_000, "a\n" * 20_000))
+    df = M.with_fingerprint(M.with_fingerprint(spark.createDataFrame(rows, "i long, a string, b string"), "a", "x"), "b", "y")
+    df = M._once(M._once(df, "x_lanes", M.lanes("x")), "y_lanes", M.lanes("y")).select("i", M.likeness("x", "y").alias("like"))
+    got = {r["i"]: r["like"] for r in df.collect()}
+    errors = [got[i] - share for i, share in enumerate(shares) if 0.1 < share < 1]
+    assert np.sqrt(np.mean(np.square(errors))) < 0.09 and max(map(abs, errors)) < 0.3
+    assert got[500] == pytest.approx(0.8)  # 2 * 1 * 2 / (1 + 4)
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_the_next_document_with_sparse_ids_repeats_and_long_texts(spark, parts):
+    rng = random.Random(7)
+    ids = sorted([rng.randrange(-(2**62), 2**62) for _ in range(40)] + list(range(5000, 5060)))
+    rows = [(i, f"text {i}. more") for i in ids] + [(5001, "again"), (5001, "again"), (5100, "long. " * 50_000)]
+    rows.sort()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    with confs(spark, **{"spark.sql.shuffle.partitions": str(parts)}):
+        got = sorted((r["doc_id"], r["edited_sha256"]) for r in M.edited_fingerprints(df).collect())
+    want = []
+    for k, (i, t) in enumerate(rows):
+        half = len(t) // 2
+        want.append((i, hashlib.sha256((t[: len(t) - half] + rows[(k + 1) % len(rows)][1][:half]).encode()).hexdigest()))
+    assert got == sorted(want)
+
+
 def test_fingerprints_of_one_and_no_document(spark):
     schema = "doc_id long, text string"
     (r,) = M.edited_fingerprints(spark.createDataFrame([(4, "abcd")], schema)).collect()
