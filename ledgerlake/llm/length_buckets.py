@@ -27,6 +27,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.common import cut
 from ledgerlake.llm.fair_mix import word_count
 
 
@@ -76,6 +77,7 @@ def pack(docs: DataFrame, buckets: int = 16, token_budget: int = 16384, digits:
     """
     length = word_count(F.col("text").cast("string")) if length is None else length
     rows = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), length.cast("long").alias("n_tokens"))
+    rows = cut(rows, "lengths")  # texts are counted once, for the histogram and the batches
     rounded = F.col("n_tokens")
     if digits is not None:
         unit = f"shiftleft(1L, greatest(length(bin(n_tokens)) - {digits}, 0))"
