@@ -84,10 +84,28 @@ def records(pages: DataFrame, least_bytes: int = 1000, date: str = "2024-01-01T0
     return known.select(value.alias("value"))
 
 
-def write_archives(pages: DataFrame, path: str, least_bytes: int = 1000, date: str = "2024-01-01T00:00:00Z", records_per_file: int = 2048) -> None:
-    """Write ``pages`` (page_id, url, html) as WARC files below ``path``."""
-    writer = records(pages, least_bytes, date).write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", records_per_file)
-    writer.text(path)
+SIZE_CLASSES = (1 << 16, 1 << 20, 1 << 24)  # payload bytes up to which a class goes; larger ones are the last class
+
+
+def _size_class() -> Column:
+    size = F.octet_length(F.encode(F.coalesce("html", F.lit("")), "utf-8"))
+    return F.lit(0) + sum(F.when(size > most, 1).otherwise(0) for most in SIZE_CLASSES)
+
+
+def write_archives(pages: DataFrame, path: str, least_bytes: int = 1000, date: str = "2024-01-01T00:00:00Z", records_per_file: int = 2048, file_bytes: int = 1 << 27) -> None:
+    """Write ``pages`` (page_id, url, html) as WARC files below ``path``.
+
+    Files hold at most ``records_per_file`` records and about ``file_bytes`` of
+    payload: pages are written by size class, each with as many records a file
+    as its largest payloads allow (a record of the last class has a file of its
+    own). Equal payloads are of one class, so classes are resolved apart; there
+    are four at most, and only those that occur cost a pass.
+    """
+    present = sorted(r["c"] for r in pages.select(_size_class().alias("c")).distinct().collect())
+    for at, place in enumerate(present or [0]):
+        most = max(1, min(records_per_file, file_bytes // SIZE_CLASSES[place])) if place < len(SIZE_CLASSES) else 1
+        some = pages if len(present) < 2 else pages.filter(_size_class() == place)
+        records(some, least_bytes, date).write.mode("append" if at else "errorifexists").option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", most).text(path)
 
 
 def parse_archive(data: memoryview):

@@ -227,3 +227,66 @@ def test_held_out_languages_of_the_test_tables(spark):
     docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet").select("doc_id", "lang")
     rows = QUERIES["op9_ppm_language"](spark, SF_CHECK).join(docs, "doc_id").filter("held_out").collect()
     assert len(rows) > 100 and sum(r["lang_pred"] == r["lang"] for r in rows) / len(rows) > 0.99
+
+
+def test_attention_forward_pass_plainly():
+    """Gated attention over passages, written out one passage at a time."""
+    rng = np.random.default_rng(1)
+    features, passages = rng.normal(size=(10, 6)).astype(np.float32), np.array([4, 1, 5])
+    net = Q.AttentionNet(np.full(6, 0.1), np.full(6, 1.5), hidden=5, gate=3)
+    sigmoid = lambda v: 1 / (1 + math.exp(-v))
+    first, want = 0, []
+    for n in passages:
+        hidden, scores = [], []
+        for row in features[first : first + n]:
+            x = [min(5.0, max(-5.0, (v - 0.1) / 1.5)) for v in row.tolist()]
+            h = [math.tanh(sum(x[i] * net.p["E"][i, j] for i in range(6)) + net.p["e"][j]) for j in range(5)]
+            t = [math.tanh(sum(h[i] * net.p["V"][i, j] for i in range(5))) for j in range(3)]
+            g = [sigmoid(sum(h[i] * net.p["U"][i, j] for i in range(5))) for j in range(3)]
+            hidden.append(h)
+            scores.append(sum(t[j] * g[j] * net.p["w"][j] for j in range(3)))
+        weights = [math.exp(s) / sum(math.exp(o) for o in scores) for s in scores]
+        whole = [sum(w * h[j] for w, h in zip(weights, hidden)) for j in range(5)]
+        want.append(sigmoid(sum(whole[j] * net.p["c"][j] for j in range(5)) + net.p["b"][0]))
+        first += n
+    assert net.forward(features, passages)[0].tolist() == pytest.approx(want, rel=1e-5)
+
+
+def risk(w, b, x, toxic, prior, decay):
+    """Non-negative PU risk with the sigmoid loss: prior * R_P(+) + max(0, R_U(-) - prior * R_P(-)), and weight decay."""
+    score = x @ w + b
+    loss = 1 / (1 + np.exp(score))  # of calling a row positive
+    positive, unlabelled = score[toxic], score[~toxic]
+    negative = float((1 - loss[~toxic]).mean() - prior * (1 - loss[toxic]).mean())
+    assert len(positive) and len(unlabelled)
+    return prior * float(loss[toxic].mean()) + max(0.0, negative) + decay / 2 * float(w @ w)
+
+
+def test_pu_training_lowers_the_non_negative_risk():
+    rng = np.random.default_rng(2)
+    truth = rng.random(1200) < 0.3
+    x = np.where(truth[:, None], rng.random((1200, 6)) < 0.7, rng.random((1200, 6)) < 0.2).astype(np.float32)
+    known = truth & (rng.random(1200) < 0.5)  # the rest of the toxic rows are unlabelled
+    prior = 0.18
+    w, b = T.fit_nnpu(x, known, prior)
+    start = risk(np.zeros(6), math.log(prior / (1 - prior)), x, known, prior, 2e-4)
+    best = risk(w.astype(float), float(b), x, known, prior, 2e-4)
+    assert best < 0.6 * start
+    for _ in range(50):  # no step nearby is better by more than the rounding of the training
+        assert risk(w + rng.normal(0, 0.05, 6), b + rng.normal(0, 0.05), x, known, prior, 2e-4) > best - 2e-3
+    unlabelled = ~known
+    found = (x @ w + b > 0)[unlabelled]
+    assert (found == truth[unlabelled]).mean() > 0.9
+
+
+def test_classifiers_with_long_texts_repeated_ids_and_one_kind_of_label(spark):
+    rows = documents(120, 8)
+    docs = spark.createDataFrame([(i, t) for i, t, *_ in rows] + [(0, rows[0][1]), (900, "house tree " * 60_000), (901, None)], "doc_id long, text string")
+    always = F.lit(True)
+    for column, score in (("quality", Q.quality_scores), ("toxic", T.toxicity_scores)):
+        labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(100)] + [(1, 1), (1, 0)], f"doc_id long, {column} int")
+        out = score(docs, labels, always).collect()
+        assert len(out) == 123 and all(0 <= r["score"] <= 1 for r in out)
+        assert len({r["score"] for r in out if r["doc_id"] == 0}) == 1
+        one = spark.createDataFrame([(i, 1) for i in range(100)], f"doc_id long, {column} int")
+        assert all(0 <= r["score"] <= 1 for r in score(docs, one, always).collect())

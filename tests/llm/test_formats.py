@@ -62,6 +62,25 @@ def prints(spark, texts):
     return [r["words"] for r in sorted(rows, key=lambda r: r["doc_id"])]
 
 
+def test_archives_roll_by_bytes(spark, tmp_path):
+    import os
+
+    small = [(i, f"http://a/{i}", f"page {i} " * 200) for i in range(300)]
+    middle = [(1000 + i, "u", f"{i % 3} " * 60_000) for i in range(12)]
+    large = [(2000 + i, None, f"{i // 2}" * 1_200_000) for i in range(5)]
+    pages = spark.createDataFrame([*small, *middle, *large], "page_id long, url string, html string").coalesce(2)
+    path = str(tmp_path / "warc")
+    write_archives(pages, path, file_bytes=1 << 21)
+    sizes = [os.path.getsize(os.path.join(path, f)) for f in os.listdir(path) if f.startswith("part-")]
+    assert max(sizes) < 3 << 20 and len(sizes) > 8
+    got = {r["page_id"]: (r["payload_bytes"], r["record_type"], r["refers_to"]) for r in read_archives(spark, path).collect()}
+    rows = {i: h.encode() for i, _, h in [*small, *middle, *large]}
+    keeper = {}
+    for i, h in rows.items():
+        keeper[h] = max(keeper.get(h, i), i)
+    assert got == {i: (len(h), "response", None) if keeper[h] == i else (len(h), "revisit", keeper[h]) for i, h in rows.items()}
+
+
 def test_fingerprints_ignore_order_and_follow_insertion_and_deletion(spark):
     a, b, whole, swapped, twice, none, empty = prints(spark, ["One here. Two!", "Three?\nFour", "One here. Two!\nThree?\nFour", "Four\nThree? Two! One here.", "Four\nThree? Two! Two! One here.", None, ""])
     assert whole == swapped != twice and none == empty
