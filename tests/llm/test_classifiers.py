@@ -265,15 +265,15 @@ def risk(w, b, x, toxic, prior, decay):
 def test_pu_training_lowers_the_non_negative_risk():
     rng = np.random.default_rng(2)
     truth = rng.random(1200) < 0.3
-    x = np.where(truth[:, None], rng.random((1200, 6)) < 0.7, rng.random((1200, 6)) < 0.2).astype(np.float32)
+    x = np.where(truth[:, None], rng.random((1200, 12)) < 0.6, rng.random((1200, 12)) < 0.03).astype(np.float32)  # as select_features leaves them
     known = truth & (rng.random(1200) < 0.5)  # the rest of the toxic rows are unlabelled
     prior = 0.18
     w, b = T.fit_nnpu(x, known, prior)
-    start = risk(np.zeros(6), math.log(prior / (1 - prior)), x, known, prior, 2e-4)
+    start = risk(np.zeros(12), math.log(prior / (1 - prior)), x, known, prior, 2e-4)
     best = risk(w.astype(float), float(b), x, known, prior, 2e-4)
     assert best < 0.6 * start
     for _ in range(50):  # no step nearby is better by more than the rounding of the training
-        assert risk(w + rng.normal(0, 0.05, 6), b + rng.normal(0, 0.05), x, known, prior, 2e-4) > best - 2e-3
+        assert risk(w + rng.normal(0, 0.05, 12), b + rng.normal(0, 0.05), x, known, prior, 2e-4) > best - 2e-3
     unlabelled = ~known
     found = (x @ w + b > 0)[unlabelled]
     assert (found == truth[unlabelled]).mean() > 0.9
