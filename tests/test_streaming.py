@@ -30,3 +30,35 @@ def test_new_ingest_day_is_appended_once(spark):
     assert out.count() == dated(raw)
     assert out.groupBy("transaction_id").count().filter(F.col("count") > 1).count() == 0
     assert run().count() == dated(raw)  # nothing new: nothing appended
+
+
+def _raw(spark, rows: int, days: int):
+    n = F.col("id")
+    text = {c: F.concat(F.lit(c), n % 7) for c in ("amount", "use_chip", "merchant_id", "merchant_city", "merchant_state", "zip", "mcc", "errors")}
+    lineage = {
+        "table_source": F.lit("t"),
+        "ingest_time": F.lit("2026-04-23 02:00:00").cast("timestamp"),
+        **{c: F.lit(v) for c, v in zip(schemas.INGEST_PARTITIONS, (2026, 4, 23))},
+    }
+    return spark.range(rows).withColumns({"date": F.date_add(F.lit("2026-01-01"), (n % days).cast("int")).cast("string"), "client_id": n, "card_id": n, **text, **lineage})
+
+
+def _streamed(spark, raw, **options):
+    base = fresh_dir(spark, "stream_days")
+    write_partitioned(raw, f"{base}/raw", schemas.INGEST_PARTITIONS)
+    start_transactions_append(spark, f"{base}/raw", f"{base}/out", f"{base}/ckpt", raw.schema, dedupe_within="30 days", **options).awaitTermination()
+    out = spark.read.schema(schemas.TRANSACTIONS_REFINED).parquet(f"{base}/out")
+    return out, [f.rsplit("/", 1)[0] for f in out.inputFiles()]
+
+
+def test_deduplicated_rows_of_a_day_share_a_file(spark):
+    out, files = _streamed(spark, _raw(spark, 600, 30))
+    assert out.count() == out.select("transaction_id").distinct().count() == 600
+    assert len(files) == len(set(files)) == 30  # not one for each task and day
+
+
+def test_busy_day_is_dealt_to_several_tasks(spark):
+    out, files = _streamed(spark, _raw(spark, 600, 1), max_records_per_file=80)
+    assert out.count() == out.select("transaction_id").distinct().count() == 600
+    assert len(set(files)) == 1
+    assert out.select(F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1)).distinct().count() > 1
