@@ -205,6 +205,7 @@ def _model(docs: DataFrame, labels: DataFrame, learn_from: Column, passage_words
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null")
     marked = labels.filter("quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.round(F.avg("quality")).cast("int").alias("label"))
     net = train(docs.filter(learn_from), marked.filter(learn_from), passage_words=passage_words, **options)
+    X.release_memory()  # of the bags
     return docs, docs.sparkSession.sparkContext.broadcast(net)
 
 
