@@ -214,6 +214,19 @@ def test_language_defined_cases(spark):
     assert kept.schema == df.schema and sorted(r["doc_id"] for r in kept.collect()) == list(range(60)) + [103]
 
 
+def test_language_counts_and_rates_of_all_labelled_documents(spark):
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(40)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(50)), "aa") for i in range(2500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    grams, seen = P.learn(df)["aa"]
+    assert int(seen.sum()) == sum(len(t) for _, t, _ in rows)  # one string a byte of every text
+    least = sorted(seen.tolist(), reverse=True)[19]
+    assert P.learn(df, strings=20)["aa"][1].tolist() == [n for n in seen.tolist() if n > least or (n == least and sum(x >= least for x in seen) <= 20)]
+    rated = df.select("text", "lang", F.lit("aa").alias("_lang_pred"), (F.col("doc_id") / 2500).alias("_rate"))
+    assert P.usual_rates(rated).collect()[0]["_usual"] == pytest.approx(0.95, abs=1e-3)
+
+
 @pytest.mark.parametrize("name, column, least", [("op2_mil_quality", "quality", 0.97), ("op8_pu_toxicity", "toxic", 0.85)])
 def test_held_out_labels_of_the_test_tables(spark, name, column, least):
     labels = spark.read.parquet(f"{SF_CHECK}/labels.parquet").select("doc_id", column)
