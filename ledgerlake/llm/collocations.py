@@ -89,7 +89,7 @@ def hash_text(text: str) -> int:
 class _Combiner:
     """Counts of (lang, text) rows of a task, combined when many are held."""
 
-    def __init__(self, most: int = 1 << 20):
+    def __init__(self, most: int = 1 << 18):
         self.most, self.held, self.size, self.whole = most, [], 0, 0
 
     def add(self, lang: str, texts: pa.Array):
@@ -102,15 +102,20 @@ class _Combiner:
         held = self._combined()
         if held.num_rows > self.most:
             self.held, self.size, self.whole = [], 0, 0
-            return held
+            return _in_order(held)
         self.held, self.size, self.whole = [held], held.num_rows, held.num_rows
         return None
 
     def _combined(self) -> pa.Table:
-        return pa.concat_tables(self.held).group_by(["lang", "text"]).aggregate([("n", "sum")]).select(["lang", "text", "n_sum"]).rename_columns(["lang", "text", "n"])
+        return pa.concat_tables(self.held).group_by(["lang", "text"], use_threads=False).aggregate([("n", "sum")]).select(["lang", "text", "n_sum"]).rename_columns(["lang", "text", "n"])
 
     def rest(self):
-        return self._combined() if self.held else None
+        return _in_order(self._combined()) if self.held else None
+
+
+def _in_order(table: pa.Table) -> pa.Table:
+    """Sorted: texts that start alike lie together, which files and shuffles compress far better."""
+    return table.combine_chunks().sort_by([("lang", "ascending"), ("text", "ascending")])
 
 
 def _text_array(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
@@ -194,7 +199,7 @@ def _leaves(bits: int, held):
 
 def _subtree(least: int):
     def build(table: pa.Table) -> pa.Table:
-        table = table.group_by(["lang", "suffix", "level"]).aggregate([("n", "sum")])
+        table = table.group_by(["lang", "suffix", "level"], use_threads=False).aggregate([("n", "sum")])
         lists = pc.split_pattern(table.column("suffix"), " ").combine_chunks()
         lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
         sizes = np.diff(lists.offsets.to_numpy())

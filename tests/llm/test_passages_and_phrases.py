@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -290,3 +291,17 @@ def test_products_beyond_64_bits(spark, monkeypatch):
 
 def test_phrases_of_no_rows(spark):
     assert collocations(spark.createDataFrame([], "lang string, text string")).collect() == []
+
+
+def test_combiner_holds_few_rows_and_gives_them_in_order():
+    from ledgerlake.llm.collocations import _Combiner
+
+    combiner, out, most = _Combiner(), [], 0
+    for k in range(12):
+        texts = pa.array([f"w{(i * 7919 + k * 50_000) % 700_001}" for i in range(100_000)], pa.large_string())
+        out.append(combiner.add("en", texts))
+        most = max(most, combiner.size)
+    out = [t for t in [*out, combiner.rest()] if t is not None]
+    assert most <= 1 << 19 and len(out) > 1
+    assert sum(sum(t.column("n").to_pylist()) for t in out) == 1_200_000
+    assert all((x := t.column("text").to_pylist()) == sorted(x) for t in out)
