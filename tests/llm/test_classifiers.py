@@ -189,6 +189,27 @@ def test_fifty_languages_within_memory_and_texts_of_no_language(spark):
     assert len(counts) == 50 and held < 60 * sum(len(g) for g, _ in counts.values())
 
 
+def test_scoring_memory_follows_the_run_not_the_batch():
+    import tracemalloc
+    from types import SimpleNamespace
+
+    rng = np.random.default_rng(1)
+    texts = ["".join(map(chr, rng.integers(97, 123, 2000))) for _ in range(3000)] + [None, "", "12 34"]
+    grams, seen = np.unique(P._packed(np.frombuffer("".join(texts[:50]).encode(), np.uint8), np.array([0, 100_000]), 4), return_counts=True)
+    shared = SimpleNamespace(value=("scoring memory", 4, {"a": (grams, seen), "b": (grams[::2], seen[::2])}))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    score = P._predictor(shared, 1, [0])
+    next(score(iter([batch.slice(0, 1)])))  # the trees are built and kept
+    tracemalloc.start()
+    found = pa.Table.from_batches(list(score(iter([batch]))))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80e6
+    assert found.column("doc_id").to_pylist() == list(range(len(texts)))
+    alone = [next(score(iter([batch.slice(k, 1)]))) for k in (0, 999, 1000, 2999, 3000, 3001, 3002)]
+    assert found.take([0, 999, 1000, 2999, 3000, 3001, 3002]).to_pylist() == pa.Table.from_batches(alone).to_pylist()
+
+
 def test_language_ties_repeated_ids_and_long_texts(spark):
     same = "a b a b"
     rows = [(i, same, lang) for i, lang in enumerate(["de", "en"] * 5)] + [(50, same, None), (50, "b a", None), (51, same * 200_000, None)]
