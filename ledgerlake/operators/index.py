@@ -40,6 +40,15 @@ def day_occurrences(transactions: DataFrame) -> DataFrame:
     return latest_per_key(index_projection(transactions), ["transaction_id", *schemas.INGEST_PARTITIONS], order=LATEST_INGEST[:1])
 
 
+def one_day_occurrences(transactions: DataFrame) -> DataFrame:
+    """:func:`day_occurrences` of the rows of a single ingest day, without the day's columns.
+
+    The id alone is the key, a single long by which Spark sorts faster.
+    """
+    slim = index_projection(transactions).drop(*schemas.INGEST_PARTITIONS)
+    return latest_per_key(slim, "transaction_id", order=LATEST_INGEST[:1])
+
+
 def survivors(occurrences: DataFrame) -> DataFrame:
     """The index of the transactions that ``occurrences`` was made from.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake import schemas
-from ledgerlake.operators.index import day_occurrences, lookup_transactions, missing_ids, survivors, transaction_index
+from ledgerlake.operators.index import day_occurrences, lookup_transactions, missing_ids, one_day_occurrences, survivors, transaction_index
 from ledgerlake.session import fresh_dir
 from ledgerlake.sinks.partitions import partition_name, publish_partitions, published
 from ledgerlake.sinks.writers import bloom_options, clustered, table_exists_at, write_partitioned
@@ -101,10 +101,21 @@ def _on_days(days: list[tuple[int, int, int]]):
     return wanted
 
 
+def _on_other_days(days: list[tuple[int, int, int]]):
+    return ~F.coalesce(_on_days(days), F.lit(False))
+
+
+def _scratch(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` written below the shared folder and read back, so that what reads them twice computes them once."""
+    path = fresh_dir(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def _write_occurrences(raw: DataFrame, occurrences_path: str, days) -> None:
     """Replace the named days of the occurrences table, also by nothing."""
     for day in days:
-        found = day_occurrences(raw.filter(_on_days([day]))).drop(*schemas.INGEST_PARTITIONS)
+        found = one_day_occurrences(raw.filter(_on_days([day])))
         found.write.mode("overwrite").parquet(f"{occurrences_path.rstrip('/')}/{partition_name(schemas.INGEST_PARTITIONS, day)}")
 
 
@@ -117,11 +128,14 @@ def build_index_table(spark: SparkSession, transactions_path: str, table: str, b
     days = [tuple(r) for r in occurrences.select(*schemas.INGEST_PARTITIONS).distinct().collect()]
     _, places = published(spark, table, base_path)
     gone = [tuple(int(x.split("=")[1]) for x in p.split("/")) for p in places]
-    _publish_index(survivors(occurrences), table, base_path, version, schema, sorted({*days, *gone}))
+    _publish_index(_scratch(survivors(occurrences), "survivors"), table, base_path, version, schema, sorted({*days, *gone}))
 
 
 def _publish_index(rows: DataFrame, table: str, base_path: str, version: str, schema, days) -> None:
-    """The days' rows, clustered for lookups by id, as the next version of the index."""
+    """The days' rows, clustered for lookups by id, as the next version of the index.
+
+    Ranges are drawn in a pass of its own over ``rows``, so these lie in files.
+    """
     rows = clustered(rows, "transaction_id", schemas.INGEST_PARTITIONS)
     publish_partitions(rows, table, base_path, version, schema, schemas.INGEST_PARTITIONS, days, options=bloom_options("transaction_id"))
 
@@ -152,16 +166,16 @@ def update_index_table(
     _write_occurrences(spark.read.parquet(transactions_path), occurrences_path, days)
     occurrences = spark.read.schema(schema).parquet(occurrences_path)
     stood = index.filter(_on_days(days)).select("transaction_id")
-    path = fresh_dir(spark, "touched")
-    stood.unionByName(occurrences.filter(_on_days(days)).select("transaction_id")).distinct().write.parquet(path)
-    touched = spark.read.schema("transaction_id long").parquet(path).withColumnRenamed("transaction_id", "_touched")
+    ids = stood.unionByName(occurrences.filter(_on_days(days)).select("transaction_id")).distinct()
+    touched = _scratch(ids, "touched").withColumnRenamed("transaction_id", "_touched")
     same = F.col("transaction_id").eqNullSafe(F.col("_touched"))
-    path = fresh_dir(spark, "survivors")
-    survivors(occurrences.join(touched, same, "left_semi")).write.parquet(path)
-    fresh = spark.read.schema(schema).parquet(path)
+    # whatever lies on the named days is touched, so only other days' rows are looked up
+    elsewhere = occurrences.filter(_on_other_days(days)).join(touched, same, "left_semi")
+    fresh = _scratch(survivors(occurrences.filter(_on_days(days)).unionByName(elsewhere)), "survivors")
     parts = schemas.INGEST_PARTITIONS
-    before = index.join(touched, same, "left_semi").select(*parts)
+    others = index.filter(_on_other_days(days))
+    before = others.join(touched, same, "left_semi").select(*parts)
     moved = {tuple(r) for r in before.unionByName(fresh.select(*parts)).distinct().collect()} | set(days)
-    kept = index.filter(_on_days(sorted(moved))).join(touched, same, "left_anti")
+    kept = _scratch(others.filter(_on_days(sorted(moved))).join(touched, same, "left_anti"), "kept")
     _publish_index(kept.unionByName(fresh), table, base_path, version, schema, sorted(moved))
     return sorted(moved)

@@ -252,6 +252,24 @@ def test_index_days_equal_a_rebuild(spark):
     assert update() == []
 
 
+def test_an_update_looks_up_other_days_only_and_publishes_from_files(spark, monkeypatch):
+    from ledgerlake.plans import index_job
+
+    base, table = fresh_dir(spark, "looked_up"), _unique("looked_up")
+    merged, plans = [], []
+    survivors, publish = index_job.survivors, index_job._publish_index
+    monkeypatch.setattr(index_job, "survivors", lambda df: (merged.append(plan_of(df, "simple")), survivors(df))[1])
+    monkeypatch.setattr(index_job, "_publish_index", lambda df, *rest: (plans.append(plan_of(df, "simple")), publish(df, *rest))[1])
+    write_partitioned(raw_rows(spark, [(1, 1, 1), (2, 1, 1), (None, 1, 1), (3, 2, 1)]), f"{base}/raw", schemas.INGEST_PARTITIONS)
+    build_index_table(spark, f"{base}/raw", table, base, f"{base}/occurrences", "v1")
+    write_partitioned(raw_rows(spark, [(1, 2, 1), (None, 2, 1), (4, 2, 1), (4, 2, 2)]), f"{base}/raw", schemas.INGEST_PARTITIONS)
+    assert update_index_table(spark, f"{base}/raw", table, base, f"{base}/occurrences", [(2026, 4, 2)], "v2") == [(2026, 4, 1), (2026, 4, 2)]
+    assert rows_of(spark.table(table)) == rows_of(IX.transaction_index(spark.read.parquet(f"{base}/raw")).select(*schemas.INDEX_COLUMNS))
+    assert "Union" in merged[-1]  # the named day's occurrences take part in no join
+    for plan in plans:  # drawing the ranges repeats no join and no aggregate
+        assert "Join" not in plan and "Aggregate" not in plan
+
+
 def test_an_update_reads_raw_rows_of_its_days_only(spark):
     from ledgerlake.plans.index_job import _on_days
 
