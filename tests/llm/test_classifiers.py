@@ -210,6 +210,11 @@ def test_scoring_memory_follows_the_run_not_the_batch():
     assert found.take([0, 999, 1000, 2999, 3000, 3001, 3002]).to_pylist() == pa.Table.from_batches(alone).to_pylist()
 
 
+def test_a_run_shorter_than_its_contexts():
+    short = np.frombuffer(b"ba", np.uint8)
+    assert P._packed(short, np.array([0, 2]), 4).tolist() == [0x0A0A0A0A62, 0x0A0A0A6261]
+
+
 def test_language_ties_repeated_ids_and_long_texts(spark):
     same = "a b a b"
     rows = [(i, same, lang) for i, lang in enumerate(["de", "en"] * 5)] + [(50, same, None), (50, "b a", None), (51, same * 200_000, None)]
